@@ -1,25 +1,33 @@
 """Dense id allocation in id order without a global sort.
 
-Rows need the number of rows before them. A window over the whole table would
-put all rows in one task, so the count is taken in three digits of the id:
+A row's new id follows from the number of rows before it. A window over the
+whole table would put all rows in one task, so the number is put together from
+two parts:
 
-* rows are exchanged by ``id >> 21``; a bucket spans 2**21 ids and ids are
-  unique, so no task ranks more than 2**21 narrow rows per bucket;
-* buckets are counted on that same exchange (reused, no second scan) and
-  summed inside ``bucket >> 21``, again at most 2**21 rows per group;
-* the groups left over are at most 2**22 for any 64-bit id and take one window.
+* rows are exchanged by ``id >> 16``. A bucket spans 2**16 ids and ids are
+  unique, so ranking a bucket never takes more than 2**16 narrow rows;
+* the buckets are counted on that same exchange, which is reused and not
+  computed twice, and their totals are summed up in bucket order.
+
+The totals are one row per 2**16 ids of the id range: ten million for a
+table of 600 billion dense ids. For ids strewn over the 64-bit range, where a
+bucket may hold a single row, ``sparse`` sums in further steps of 2**16, so that
+the last window sees at most 2**16 rows whatever the ids are.
 
 The result depends on values only, so a retried task gives the same ids.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIGIT_BITS = 21
+DIGIT_BITS = 16
+ID_BITS = 64
 STEP = 2
 
+_SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
 
 def high_water(table: DataFrame, id_column: str = "Id") -> Column:
     """Next free id of a table, as a scalar subquery inside the plan."""
@@ -27,27 +35,24 @@ def high_water(table: DataFrame, id_column: str = "Id") -> Column:
     return (F.coalesce(top, F.lit(0)) + 1).cast("bigint")
 
 
-def _summed_before(counts: DataFrame) -> DataFrame:
+def _summed_before(counts: DataFrame, bits_left: int) -> DataFrame:
     """``(bucket, n)`` to ``(bucket, before)``: rows in all smaller buckets."""
-    group = F.shiftright("bucket", DIGIT_BITS)
-    inside = (
-        Window.partitionBy("group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    overall = Window.orderBy("top_group").rowsBetween(Window.unboundedPreceding, 0)
-    tops = (
-        counts.groupBy(group.alias("top_group"))
-        .agg(F.sum("n").alias("rows"))
-        .select("top_group", (F.sum("rows").over(overall) - F.col("rows")).alias("base"))
-    )
+    if bits_left <= DIGIT_BITS:
+        return counts.selectExpr("bucket", f"sum(n) OVER (ORDER BY bucket {_SO_FAR}) - n AS before")
+    grouped = counts.selectExpr("bucket AS inner_bucket", "n", f"bucket >> {DIGIT_BITS} AS bucket")
+    groups = grouped.groupBy("bucket").agg(F.sum("n").alias("n"))
+    bases = _summed_before(groups, bits_left - DIGIT_BITS).withColumnRenamed("before", "base")
+    within = f"sum(n) OVER (PARTITION BY bucket ORDER BY inner_bucket {_SO_FAR}) - n AS within"
     return (
-        counts.withColumn("group", group)
-        .withColumn("within", F.sum("n").over(inside) - F.col("n"))
-        .join(tops, F.col("group") == F.col("top_group"), "left")
-        .select("bucket", (F.col("base") + F.col("within")).alias("before"))
+        grouped.selectExpr("inner_bucket", "bucket", within)
+        .join(bases, "bucket", "left")
+        .selectExpr("inner_bucket AS bucket", "base + within AS before")
     )
 
 
-def fill_new_ids(matches: DataFrame, start: int | Column, step: int = STEP) -> DataFrame:
+def fill_new_ids(
+    matches: DataFrame, start: int | Column, step: int = STEP, sparse: bool = False
+) -> DataFrame:
     """Give every unmatched row of ``(old_id, new_id, ...)`` a fresh id.
 
     The i-th unmatched row in ``old_id`` order gets ``start + step * i``;
@@ -55,39 +60,38 @@ def fill_new_ids(matches: DataFrame, start: int | Column, step: int = STEP) -> D
     ride along, so keep the frame narrow.
     """
     start = F.lit(start) if isinstance(start, int) else start
-    bucket = F.shiftright("old_id", DIGIT_BITS)
-    keyed = matches.repartition(bucket)
+    bucket = f"old_id >> {DIGIT_BITS}"
+    keyed = matches.repartition(F.expr(bucket))
 
-    counts = keyed.groupBy(bucket.alias("bucket")).agg(
-        F.count(F.when(F.col("new_id").isNull(), F.col("old_id"))).alias("n")
+    counts = keyed.groupBy(F.expr(f"{bucket} AS bucket")).agg(
+        F.expr("count(CASE WHEN new_id IS NULL THEN old_id END) AS n")
     )
-    before = _summed_before(counts)
+    before = _summed_before(counts, ID_BITS - DIGIT_BITS if sparse else DIGIT_BITS)
 
-    running = (
-        Window.partitionBy("own_bucket")
-        .orderBy("old_id")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    missing = F.col("new_id").isNull()
-    position = F.col("before") + F.col("rank") - 1
-    fresh = F.when(missing, start + step * position).otherwise(F.col("new_id"))
+    missing_so_far = f"""
+        sum(CASE WHEN new_id IS NULL THEN 1 ELSE 0 END)
+            OVER (PARTITION BY {bucket} ORDER BY old_id {_SO_FAR}) AS missing_so_far"""
+    fresh = start + step * F.expr("before + missing_so_far - 1")
+    new_id = F.when(F.expr("new_id IS NULL"), fresh).otherwise(F.col("new_id")).cast("bigint")
     return (
-        keyed.withColumn("own_bucket", bucket)
-        .withColumn("rank", F.sum(F.when(missing, F.lit(1)).otherwise(0)).over(running))
-        .join(before, F.col("own_bucket") == F.col("bucket"), "left")
+        keyed.selectExpr("*", f"{bucket} AS own_bucket", missing_so_far)
+        .join(before, F.expr("own_bucket = bucket"), "left")
         .select(
-            *[fresh.cast("bigint").alias(c) if c == "new_id" else F.col(c) for c in matches.columns],
-            missing.alias("created"),
+            *[new_id.alias(c) if c == "new_id" else c for c in matches.columns],
+            F.expr("new_id IS NULL AS created"),
         )
     )
 
 
 def allocate_ids(
-    rows: DataFrame, start: int | Column, step: int = STEP, id_column: str = "Id"
+    rows: DataFrame,
+    start: int | Column,
+    step: int = STEP,
+    id_column: str = "Id",
+    sparse: bool = False,
 ) -> DataFrame:
     """``(old_id, new_id)`` for every row, none of them matched to anything."""
-    unmatched = rows.select(
-        F.col(id_column).cast("bigint").alias("old_id"),
-        F.lit(None).cast("bigint").alias("new_id"),
+    unmatched = rows.selectExpr(
+        f"CAST({id_column} AS BIGINT) AS old_id", "CAST(NULL AS BIGINT) AS new_id"
     )
-    return fill_new_ids(unmatched, start, step).select("old_id", "new_id")
+    return fill_new_ids(unmatched, start, step, sparse).select("old_id", "new_id")

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,16 +27,25 @@ class Created:
     relationship: Relationship
 
 
-def best_match(target: DataFrame, keys: Sequence[str], value: str = "Id") -> DataFrame:
-    """One target row per natural key: the one with the greatest value."""
+def best_match(target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One target row per natural key: the one with the greatest id."""
     return target.groupBy(*[F.col(k).alias(f"key_{k}") for k in keys]).agg(
-        F.max(value).cast("bigint").alias("new_id")
+        F.expr("CAST(max(Id) AS BIGINT) AS new_id")
     )
 
 
-def same_keys(keys: Sequence[str]) -> Column:
+def same_keys(keys: Sequence[str], equal: str = "<=>") -> Column:
     """Null-safe equality. It plans as a hashed equi-join, nulls included."""
-    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"key_{k}")) for k in keys])
+    return F.expr(" AND ".join(f"`{k}` {equal} `key_{k}`" for k in keys))
+
+
+def _matched(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], equal: str, how: str
+) -> DataFrame:
+    narrow = source.selectExpr("CAST(Id AS BIGINT) AS old_id", *[f"`{k}`" for k in keys])
+    return narrow.join(best_match(target, keys), same_keys(keys, equal), how).select(
+        "old_id", "new_id"
+    )
 
 
 def natural_match(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -46,31 +53,22 @@ def natural_match(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
 
     The target is reduced to one row per key before the join, so a source row
     gives exactly one result row however often the key repeats on either side.
+    The null-safe join shuffles that reduced side again under its own hash,
+    which leaves the skew-join rule free to split a hot key of the source.
     """
-    narrow = source.select(F.col("Id").cast("bigint").alias("old_id"), *keys)
-    return narrow.join(best_match(target, keys), same_keys(keys), "left").select(
-        "old_id", "new_id"
-    )
+    return _matched(source, target, keys, "<=>", "left")
 
 
 def inner_match(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """As ``natural_match``, but only matched rows; null keys match nothing."""
-    narrow = source.select(F.col("Id").cast("bigint").alias("old_id"), *keys).dropna(
-        subset=list(keys)
-    )
-    on = reduce(and_, [F.col(k) == F.col(f"key_{k}") for k in keys])
-    return narrow.join(best_match(target, keys), on, "inner").select("old_id", "new_id")
+    return _matched(source, target, keys, "=", "inner")
 
 
 def with_new_ids(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The rows that have a pair, under their new id, columns in their order."""
-    numbered = rows.join(
-        pairs.select(F.col("old_id").alias("pair_old"), F.col("new_id").alias("pair_new")),
-        F.col("Id") == F.col("pair_old"),
-        "inner",
-    )
-    return numbered.select(
-        *[F.col("pair_new").alias("Id") if c == "Id" else F.col(c) for c in rows.columns]
+    numbered = pairs.selectExpr("old_id AS pair_old", "new_id AS pair_new")
+    return rows.join(numbered, F.expr("Id = pair_old"), "inner").selectExpr(
+        *["pair_new AS Id" if c == "Id" else f"`{c}`" for c in rows.columns]
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,11 @@ class Relationship:
     pairs: DataFrame
     identities: tuple[int, ...] = ()
 
+    @cached_property
+    def lookup(self) -> DataFrame:
+        """The pairs under names that clash with no table's columns."""
+        return self.pairs.selectExpr("old_id AS rel_old", "new_id AS rel_new")
+
     def with_identities(self, *ids: int) -> Relationship:
         return replace(self, identities=tuple(ids))
 

@@ -1,4 +1,13 @@
-"""Rewriting foreign keys through relationships."""
+"""Rewriting foreign keys through relationships.
+
+A lookup joins a side that is unique on its key. Where that side is small by
+its statistics Spark broadcasts it, else both are shuffled on the key. Null and
+reserved keys (0, -1) would then all meet in one task: they join under the
+row's own id instead, which spreads them, and an extra condition keeps them
+from finding a partner. Other hot keys are split by the skew-join rule of
+adaptive execution, which applies as the looked-up side is shuffled for the
+join and not aggregated in it.
+"""
 
 from __future__ import annotations
 
@@ -7,36 +16,40 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regraft.functions.columns import as_id, is_digits, is_integer_text, split_list
+from regraft.functions.columns import is_digits, is_integer_text, split_list
 from regraft.operators.relationship import Relationship
 
 
-def _looked_up(
-    df: DataFrame, column: str, rel: Relationship, row_id: str
-) -> tuple[DataFrame, Column]:
-    """Join one relationship; returns the frame and the new value as a column.
+def _reserved(key: str, rel: Relationship) -> str | None:
+    listed = ", ".join(map(str, rel.identities))
+    return f"{key} IN ({listed})" if listed else None
 
-    Null and reserved ids would all hash to one partition. They join under the
-    row's own id instead, which spreads them, and the extra join condition
-    keeps them from ever finding a partner. Other hot keys meet a unique side,
-    so the skew-join rule of adaptive execution can split them.
-    """
-    key = as_id(column)
-    reserved = key.isin(*rel.identities) if rel.identities else F.lit(False)
-    plain = key.isNotNull() & ~reserved
-    pairs = rel.pairs.select(F.col("old_id").alias("rel_old"), F.col("new_id").alias("rel_new"))
-    joined = (
-        df.withColumn("join_key", F.when(plain, key).otherwise(as_id(row_id)))
-        .withColumn("joins", F.coalesce(plain, F.lit(False)))
-        .join(pairs, (F.col("join_key") == F.col("rel_old")) & F.col("joins"), "left")
-    )
-    value = F.when(reserved, key).otherwise(F.col("rel_new")) if rel.identities else F.col("rel_new")
-    return joined, value
+
+def _key(df: DataFrame, column: str) -> str:
+    """The column as an id. Text that is no number counts as null."""
+    kind = df.schema[column].dataType.typeName()
+    return f"`{column}`" if kind == "long" else f"try_cast(`{column}` AS BIGINT)"
 
 
-def _settled(df: DataFrame, joined: DataFrame, column: str, value: Column) -> DataFrame:
+def _looked_up(
+    df: DataFrame, column: str, rel: Relationship, row_id: str
+) -> tuple[DataFrame, str]:
+    """Join one relationship; returns the frame and the new value's expression."""
+    key, own = _key(df, column), f"try_cast(`{row_id}` AS BIGINT)"
+    reserved = _reserved(key, rel)
+    plain = f"({key} IS NOT NULL AND NOT {reserved})" if reserved else f"({key} IS NOT NULL)"
+    on = f"CASE WHEN {plain} THEN {key} ELSE {own} END = rel_old AND {plain}"
+    value = f"CASE WHEN {reserved} THEN {key} ELSE rel_new END" if reserved else "rel_new"
+    return df.join(rel.lookup, F.expr(on), "left"), value
+
+
+def _settled(df: DataFrame, joined: DataFrame, column: str, value: str | Column) -> DataFrame:
+    if isinstance(value, str):
+        return joined.selectExpr(
+            *[f"CAST({value} AS BIGINT) AS `{c}`" if c == column else f"`{c}`" for c in df.columns]
+        )
     return joined.select(
-        *[value.cast("bigint").alias(c) if c == column else F.col(c) for c in df.columns]
+        *[value.cast("bigint").alias(c) if c == column else c for c in df.columns]
     )
 
 
@@ -56,15 +69,12 @@ def remap(
         if column not in df.columns:
             continue
         if required and not rel.identities:
-            pairs = rel.pairs.select(
-                F.col("old_id").alias("rel_old"), F.col("new_id").alias("rel_new")
-            )
-            joined = df.join(pairs, as_id(column) == F.col("rel_old"), "inner")
-            df = _settled(df, joined, column, F.col("rel_new"))
+            joined = df.join(rel.lookup, F.expr(f"{_key(df, column)} = rel_old"), "inner")
+            df = _settled(df, joined, column, "rel_new")
             continue
         joined, value = _looked_up(df, column, rel, row_id)
         if required:
-            joined = joined.where(value.isNotNull())
+            joined = joined.where(f"({value}) IS NOT NULL")
         df = _settled(df, joined, column, value)
     return df
 
@@ -72,16 +82,17 @@ def remap(
 def remap_or_keep(df: DataFrame, column: str, rel: Relationship, row_id: str = "Id") -> DataFrame:
     """Like an update join: an id the relationship lacks stays as it was."""
     joined, value = _looked_up(df, column, rel, row_id)
-    return _settled(df, joined, column, F.coalesce(value, as_id(column)))
+    return _settled(df, joined, column, f"coalesce({value}, {_key(df, column)})")
 
 
 def remap_or_default(
     df: DataFrame, column: str, rel: Relationship, default: int | Column, row_id: str = "Id"
 ) -> DataFrame:
     """An id the relationship lacks, or a null, becomes ``default``."""
-    default = F.lit(default) if isinstance(default, int) else default
     joined, value = _looked_up(df, column, rel, row_id)
-    return _settled(df, joined, column, F.coalesce(value, default))
+    if isinstance(default, int):
+        return _settled(df, joined, column, f"coalesce({value}, {default})")
+    return _settled(df, joined, column, F.coalesce(F.expr(value), default))
 
 
 def remap_list(
@@ -99,27 +110,27 @@ def remap_list(
     """
     valid = is_integer_text("token") if strict else is_digits("token")
     tokens = (
-        df.select(F.col(row_id).alias("list_row"), F.posexplode(split_list(column)))
-        .withColumnRenamed("col", "token")
+        df.selectExpr(f"`{row_id}` AS list_row", f"posexplode(split(`{column}`, ',')) AS (pos, token)")
         .where(valid)
-        .select("list_row", "pos", as_id(F.trim("token")).alias("token_id"))
+        .selectExpr("list_row", "pos", "try_cast(trim(token) AS BIGINT) AS token_id")
     )
-    pairs = rel.complete().select(F.col("old_id").alias("rel_old"), F.col("new_id").alias("rel_new"))
-    entries = F.sort_array(F.collect_list(F.struct("pos", "rel_new")))
+    reserved = _reserved("token_id", rel)
+    value = f"CASE WHEN {reserved} THEN token_id ELSE rel_new END" if reserved else "rel_new"
+    entries = f"""
+        array_join(transform(sort_array(collect_list(
+            CASE WHEN {value} IS NOT NULL THEN struct(pos, {value} AS id) END)),
+            e -> CAST(e.id AS STRING)), ',') AS new_list"""
     lists = (
-        tokens.join(pairs, F.col("token_id") == F.col("rel_old"), "inner")
+        tokens.join(rel.lookup, F.expr("token_id = rel_old"), "left" if reserved else "inner")
         .groupBy("list_row")
-        .agg(
-            F.array_join(
-                F.transform(entries, lambda e: e["rel_new"].cast("string")), ","
-            ).alias("new_list")
-        )
+        .agg(F.expr(entries))
+    )
+    kept = f"""
+        CASE WHEN `{column}` IS NULL OR `{column}` = '' THEN `{column}`
+             ELSE coalesce(new_list, '') END AS `{column}`"""
+    return df.join(lists, F.expr(f"`{row_id}` = list_row"), "left").selectExpr(
+        *[kept if c == column else f"`{c}`" for c in df.columns]
     )
-    joined = df.join(lists, F.col(row_id) == F.col("list_row"), "left")
-    value = F.when(
-        F.col(column).isNull() | (F.col(column) == ""), F.col(column)
-    ).otherwise(F.coalesce("new_list", F.lit("")))
-    return joined.select(*[value.alias(c) if c == column else F.col(c) for c in df.columns])
 
 
 def bad_list_tokens(df: DataFrame, column: str, row_id: str = "Id") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,17 @@ from regraft.plans.crm import (
     STAGE_OFFSET,
     STAGE_SETTINGS,
 )
-from regraft.plans.spec import Moved, Outcome, Relationships, give_ids, move, settle
+from regraft.plans.spec import (
+    Moved,
+    Outcome,
+    Relationships,
+    TableSpec,
+    give_ids,
+    move,
+    settle,
+)
 from regraft.sources.app import App
+from regraft.sources.staging import at_once
 
 
 def _plan_keys_filled(plans: DataFrame) -> DataFrame:
@@ -163,7 +173,8 @@ class Orders:
 
     Every table is numbered in full before any row is dropped, so tables that
     refer to each other can be settled in any order. Which rows stay is decided
-    on old ids: a child follows the parents that were kept.
+    on old ids: a child follows the parents that were kept. What several tables
+    ask for goes through ``keep``; the rest is used once and stays a plan.
     """
 
     source: App
@@ -171,15 +182,21 @@ class Orders:
     rels: dict[str, Relationship]
     keep: Keep = lazily
 
-    # Whose kept rows a table asks for, and whose ids.
-    NEEDS_KEPT = {"kept_job": "job", "kept_invoice": "invoice", "kept_payplan": "payplan",
-                  "kept_payment": "payment"}
+    # Whose kept rows a child asks for, by the name it uses.
+    KEPT = {
+        "kept_job": "job",
+        "kept_invoice": "invoice",
+        "kept_payplan": "payplan",
+        "kept_payment": "payment",
+    }
+    # Tables whose full numbering only they use.
+    OWN_NUMBERS = ("job", "payplan_item")
 
     def __post_init__(self) -> None:
         self._numbered: dict[str, DataFrame] = {}
         self._moved: dict[str, Moved] = {}
 
-    def spec(self, name: str):
+    def spec(self, name: str) -> TableSpec:
         spec = ORDER_TABLES[name]
         if spec is PAY_PLAN and "card" not in self.rels:
             spec = replace(spec, lookups={}, constants={**spec.constants, "CC1": 0})
@@ -188,16 +205,16 @@ class Orders:
     def numbered(self, name: str) -> DataFrame:
         if name not in self._numbered:
             spec = self.spec(name)
-            self._numbered[name] = give_ids(
-                spec, self.source.table(spec.table), self.target.next_id(spec.table), {}, self.keep
-            )
+            rows, next_id = self.source.table(spec.table), self.target.next_id(spec.table)
+            keep = lazily if name in self.OWN_NUMBERS else self.keep
+            self._numbered[name] = give_ids(spec, rows, next_id, {}, keep)
         return self._numbered[name]
 
     def relationship(self, name: str) -> Relationship:
         if name in self.rels:
             return self.rels[name]
-        if name in self.NEEDS_KEPT:
-            return self.moved(self.NEEDS_KEPT[name]).kept
+        if name in self.KEPT:
+            return self.moved(self.KEPT[name]).kept
         return Relationship(
             self.numbered(name).select("old_id", "new_id"), ORDER_TABLES[name].identities
         )
@@ -207,12 +224,21 @@ class Orders:
             spec = self.spec(name)
             names = {*spec.parents.values(), *spec.lookups.values(), *spec.lists.values()}
             rels = {n: self.relationship(n) for n in names}
+            keep = self.keep if name in self.KEPT.values() else lazily
             self._moved[name] = settle(
-                spec, self.source.table(spec.table), self.numbered(name), rels, self.keep
+                spec, self.source.table(spec.table), self.numbered(name), rels, keep
             )
         return self._moved[name]
 
+    def stage_all(self) -> None:
+        """Run what ``keep`` writes, independent parts together."""
+        at_once([partial(self.numbered, name) for name in ORDER_TABLES])
+        self.moved("invoice")
+        at_once([partial(self.moved, name) for name in self.KEPT.values()])
+
     def outcome(self) -> Outcome:
+        if self.keep is not lazily:
+            self.stage_all()
         moved = {name: self.moved(name) for name in ORDER_TABLES}
         return Outcome(
             rows={ORDER_TABLES[n].table: m.rows for n, m in moved.items()},

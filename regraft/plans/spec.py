@@ -68,15 +68,25 @@ class Outcome:
         )
 
 
-def set_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:
-    """Set columns to one value each, in the column's type where it exists."""
+def _typed(rows: DataFrame, name: str, value: object) -> str:
+    """A constant as an expression, in the column's type where it exists."""
+    if name in rows.columns:
+        kind = rows.schema[name].dataType.simpleString()
+    else:
+        kind = "bigint" if isinstance(value, int) else "string"
+    text = "NULL" if value is None else f"'{value}'" if isinstance(value, str) else str(value)
+    return f"CAST({text} AS {kind}) AS `{name}`"
 
-    def typed(name: str, value: object) -> Column:
-        if name in df.columns:
-            return F.lit(value).cast(df.schema[name].dataType)
-        return F.lit(value).cast("bigint" if isinstance(value, int) else "string")
 
-    return df.withColumns({n: typed(n, v) for n, v in constants.items()}) if constants else df
+def set_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:
+    """Set columns to one value each; columns the frame lacks come at the end."""
+    if not constants:
+        return df
+    added = [c for c in constants if c not in df.columns]
+    return df.selectExpr(
+        *[_typed(df, c, constants[c]) if c in constants else f"`{c}`" for c in df.columns],
+        *[_typed(df, c, constants[c]) for c in added],
+    )
 
 
 def _named(names: Mapping[str, str], rels: Relationships) -> dict[str, Relationship]:
@@ -85,10 +95,10 @@ def _named(names: Mapping[str, str], rels: Relationships) -> dict[str, Relations
 
 def _narrow(spec: TableSpec, rows: DataFrame) -> DataFrame:
     keys = [c for c in (*spec.parents, *spec.lookups) if c in rows.columns]
-    return rows.select(
-        F.col("Id").cast("bigint").alias("old_id"),
-        F.lit(None).cast("bigint").alias("new_id"),
-        *keys,
+    return rows.selectExpr(
+        "CAST(Id AS BIGINT) AS old_id",
+        "CAST(NULL AS BIGINT) AS new_id",
+        *[f"`{k}`" for k in keys],
     )
 
 
@@ -127,22 +137,22 @@ def settle(
     ]
     whole = keys
     if payload:
-        rest = rows.select(F.col("Id").alias("row_id"), *payload)
+        rest = rows.selectExpr("Id AS row_id", *[f"`{c}`" for c in payload])
         for column, rel in _named(spec.lists, rels).items():
             if column in payload:
                 rest = remap_list(rest, column, rel, strict=spec.strict_lists, row_id="row_id")
-        whole = rest.join(keys, F.col("row_id") == F.col("old_id"), "inner")
-    present = set(payload) | set(keys.columns)
-    ordered = [
-        F.col("new_id").alias("Id")
+        whole = rest.join(keys, F.expr("row_id = old_id"), "inner")
+    added = [c for c in spec.constants if c not in rows.columns]
+    columns = [
+        "new_id AS Id"
         if c == "Id"
-        else F.col(c)
-        if c in present
-        else F.lit(None).cast(rows.schema[c].dataType).alias(c)
-        for c in rows.columns
+        else _typed(rows, c, spec.constants[c])
+        if c in spec.constants
+        else f"`{c}`"
+        for c in [*rows.columns, *added]
     ]
     return Moved(
-        set_constants(whole.select(*ordered), spec.constants),
+        whole.selectExpr(*columns),
         Relationship(numbered.select("old_id", "new_id"), spec.identities),
         Relationship(keys.select("old_id", "new_id")),
     )

@@ -9,11 +9,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+JOBS_AT_ONCE = 6
+
+T = TypeVar("T")
+
+
+def at_once(jobs: Sequence[Callable[[], T]]) -> list[T]:
+    """Submit independent Spark jobs together, so short ones fill the cluster."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
 
 
 def shared_folder(spark: SparkSession) -> str:

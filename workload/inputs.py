@@ -226,14 +226,13 @@ INPUTS: dict[str, str] = {
                CAST(8 AS BIGINT) AS AffiliateId, CAST(8 AS BIGINT) AS PayPlanId,
                o_totalprice AS Amount, o_orderdate AS DateCreated
         FROM {orders} AS o JOIN {src_stage} AS s ON o.o_orderstatus = s.StageName""",
-    "dst_opportunity": _moved("src_opportunity"),
+    "dst_opportunity": "SELECT 100000 + 3 * (o_orderkey + 1) AS Id FROM {orders}",
     "src_interest": """
         SELECT l_orderkey * 10 + l_linenumber AS Id,
                CASE WHEN l_linenumber = 7 THEN 'Contact' ELSE 'Opportunity' END AS ObjType,
                l_orderkey + 1 AS ObjectId, max(l_partkey) + 1 AS ProductId,
                max(l_partkey) + 1 AS SubscriptionPlanId, CAST(3 AS BIGINT) AS LegacyProductId
         FROM {lineitem} GROUP BY l_orderkey, l_linenumber""",
-    "dst_interest": _moved("src_interest"),
     # Settings.
     "src_setting": "\nUNION ALL\n".join(
         [
@@ -347,12 +346,16 @@ INPUTS: dict[str, str] = {
     "src_order_subscription": """
         SELECT Id, OrderId AS JobId, SupplierKey + 1 AS JobRecurringId, Qty FROM {line_base}""",
     **{
-        f"dst_{t}": _moved(f"src_{t}")
+        f"dst_{t}": "SELECT 100000 + 3 * (o_orderkey + 1) AS Id FROM {orders}"
         for t in (
-            "address", "job", "invoice", "payplan", "invoice_item", "order_item", "payment",
-            "invoice_payment", "payplan_item", "subscription", "order_subscription",
+            "job", "invoice", "payplan", "payment", "invoice_payment", "payplan_item", "subscription",
         )
     },
+    **{
+        f"dst_{t}": "SELECT 100000 + 3 * (l_orderkey * 10 + l_linenumber) AS Id FROM {lineitem}"
+        for t in ("invoice_item", "order_item", "order_subscription", "interest")
+    },
+    "dst_address": _moved("src_address"),
     # Custom fields. The definitions are metadata; the values cover all customers.
     "src_form_tab": """
         SELECT CAST(r_regionkey + 1 AS BIGINT) AS Id,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from regraft.operators.integrity import (
     keep_children,
     without_existing,
 )
-from regraft.operators.match import match_or_create, natural_match
+from regraft.operators.match import Keep, lazily, match_or_create, natural_match
 from regraft.operators.names import free_names
 from regraft.operators.relationship import Relationship
 from regraft.operators.remap import remap, remap_list, remap_or_default, remap_or_keep
@@ -30,11 +30,11 @@ from regraft.operators.settings import set_values, setting
 from regraft.plans import contacts as people
 from regraft.plans import sales
 from regraft.plans import settings as switches
-from regraft.plans.crm import CONTACT, DROPDOWN_SETTINGS, ORDER_TABLES
+from regraft.plans.crm import CONTACT, CREDIT_CARD, DROPDOWN_SETTINGS, ORDER_TABLES
 from regraft.plans.custom_fields import custom_fields, drilldown_options, fields, tabs_and_headers
 from regraft.plans.spec import give_ids
 from regraft.sources.relationships import pairs_from_json, pairs_to_json
-from regraft.sources.staging import Staging
+from regraft.sources.staging import Staging, at_once
 from workload.inputs import Inputs, with_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,27 +45,36 @@ ORACLES: dict[str, str] = {}
 
 
 class Work:
-    """Inputs of one query with the relationships that several queries need."""
+    """Inputs of one query with the relationships that several queries need.
+
+    ``staged`` writes each relationship once, as a real transfer does; without
+    it everything stays one plan.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.inputs = Inputs(spark, folder)
         self.source = self.inputs.source()
         self.target = self.inputs.target()
+        self.keep: Keep = lazily
+
+    def staged(self) -> Work:
+        self.keep = Staging(self.spark).keep
+        return self
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.inputs[name]
 
     @cached_property
     def contact(self) -> Relationship:
-        numbered = give_ids(
-            CONTACT, people.people(self.source).select("Id"), self.target.next_id("Contact"), {}
-        )
+        rows = people.people(self.source).select("Id")
+        numbered = give_ids(CONTACT, rows, self.target.next_id("Contact"), {}, self.keep)
         return Relationship(numbered.select("old_id", "new_id"), CONTACT.identities)
 
     @cached_property
     def user(self) -> Relationship:
-        return people.user_relationship(self.source, self.target)
+        rel = people.user_relationship(self.source, self.target)
+        return replace(rel, pairs=self.keep("User_ids", rel.pairs))
 
     @cached_property
     def tag(self) -> Relationship:
@@ -78,16 +87,21 @@ class Work:
             self["dst_product"],
             ["ProductName"],
             self.target.next_id("Product"),
+            name="Product_ids",
+            keep=self.keep,
         ).relationship
 
     @cached_property
     def plan(self) -> Relationship:
-        return sales.subscription_plans(self.source, self.target, self.product).rels["plan"]
+        made = sales.subscription_plans(self.source, self.target, self.product, self.keep)
+        return made.rels["plan"]
 
     @cached_property
     def card(self) -> Relationship:
-        pairs = allocate_ids(self["staged_card"], self.target.next_id("CreditCard") + 50)
-        return Relationship(pairs, (0,))
+        numbered = give_ids(
+            CREDIT_CARD, self["staged_card"], self.target.next_id("CreditCard"), {}, self.keep
+        )
+        return Relationship(numbered.select("old_id", "new_id"), CREDIT_CARD.identities)
 
     @cached_property
     def existing_contact(self) -> Relationship:
@@ -98,17 +112,12 @@ class Work:
         return Relationship(pairs, (0,))
 
     def rels(self, *names: str) -> dict[str, Relationship]:
+        if self.keep is not lazily:
+            at_once([partial(getattr, self, name) for name in names if name != "product"])
         return {name: getattr(self, name) for name in names}
 
-    def orders(self, *names: str, staged: bool = False) -> sales.Orders:
-        rels = self.rels(*names)
-        if not staged:
-            return sales.Orders(self.source, self.target, rels)
-        stage = Staging(self.spark)
-        rels = {
-            n: replace(r, pairs=stage.keep(f"rel_{n}", r.pairs)) for n, r in rels.items()
-        }
-        return sales.Orders(self.source, self.target, rels, stage.keep)
+    def orders(self, *names: str) -> sales.Orders:
+        return sales.Orders(self.source, self.target, self.rels(*names), self.keep)
 
 
 def query(name: str, sql: str):
@@ -731,7 +740,8 @@ _CONTACT = "LEFT JOIN {rel_contact} AS c ON s.ContactId = c.old_id"
 )
 def orders_cascade(w: Work) -> DataFrame:
     """The whole family, staged table by table as a real transfer does it."""
-    family = w.orders(*_ORDER_RELS, staged=True)
+    family = w.staged().orders(*_ORDER_RELS)
+    family.stage_all()
     parts = [
         family.moved(name).kept.pairs.select(F.lit(name).alias("entity"), F.col("new_id").alias("Id"))
         for name in ORDER_TABLES
