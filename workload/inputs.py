@@ -84,6 +84,9 @@ INPUTS: dict[str, str] = {
                c_name AS CompanyName
         FROM {customer}
         WHERE c_acctbal > 9000""",
+    "dst_company_owner": """
+        SELECT 100000 + 3 * Id AS Id, 100000 + 3 * MainContactId AS MainContactId, CompanyName
+        FROM {src_company_owner}""",
     # Lead sources.
     "src_lead_source_category": """
         SELECT CAST(r_regionkey + 1 AS BIGINT) AS Id, r_name AS Name FROM {region}""",
