@@ -30,9 +30,10 @@ from regraft.plans.spec import (
     Outcome,
     Relationships,
     TableSpec,
+    assemble,
     give_ids,
+    members,
     move,
-    settle,
 )
 from regraft.sources.app import App
 from regraft.sources.staging import at_once
@@ -194,7 +195,7 @@ class Orders:
 
     def __post_init__(self) -> None:
         self._numbered: dict[str, DataFrame] = {}
-        self._moved: dict[str, Moved] = {}
+        self._members: dict[str, DataFrame] = {}
 
     def spec(self, name: str) -> TableSpec:
         spec = ORDER_TABLES[name]
@@ -210,39 +211,42 @@ class Orders:
             self._numbered[name] = give_ids(spec, rows, next_id, {}, keep)
         return self._numbered[name]
 
+    def members(self, name: str) -> DataFrame:
+        if name not in self._members:
+            spec = self.spec(name)
+            rels = {n: self.relationship(n) for n in spec.parents.values()}
+            keep = self.keep if name in self.KEPT.values() else lazily
+            self._members[name] = members(spec, self.numbered(name), rels, keep)
+        return self._members[name]
+
     def relationship(self, name: str) -> Relationship:
         if name in self.rels:
             return self.rels[name]
         if name in self.KEPT:
-            return self.moved(self.KEPT[name]).kept
+            return Relationship(self.members(self.KEPT[name]).select("old_id", "new_id"))
         return Relationship(
             self.numbered(name).select("old_id", "new_id"), ORDER_TABLES[name].identities
         )
 
-    def moved(self, name: str) -> Moved:
-        if name not in self._moved:
-            spec = self.spec(name)
-            names = {*spec.parents.values(), *spec.lookups.values(), *spec.lists.values()}
-            rels = {n: self.relationship(n) for n in names}
-            keep = self.keep if name in self.KEPT.values() else lazily
-            self._moved[name] = settle(
-                spec, self.source.table(spec.table), self.numbered(name), rels, keep
-            )
-        return self._moved[name]
+    def rows(self, name: str) -> DataFrame:
+        spec = self.spec(name)
+        rels = {
+            n: self.relationship(n) for n in (*spec.lookups.values(), *spec.lists.values())
+        }
+        return assemble(spec, self.source.table(spec.table), self.members(name), rels)
 
     def stage_all(self) -> None:
         """Run what ``keep`` writes, independent parts together."""
         at_once([partial(self.numbered, name) for name in ORDER_TABLES])
-        self.moved("invoice")
-        at_once([partial(self.moved, name) for name in self.KEPT.values()])
+        self.members("invoice")
+        at_once([partial(self.members, name) for name in self.KEPT.values()])
 
     def outcome(self) -> Outcome:
         if self.keep is not lazily:
             self.stage_all()
-        moved = {name: self.moved(name) for name in ORDER_TABLES}
         return Outcome(
-            rows={ORDER_TABLES[n].table: m.rows for n, m in moved.items()},
-            rels={n: self.relationship(n) for n in ORDER_TABLES},
+            rows={spec.table: self.rows(name) for name, spec in ORDER_TABLES.items()},
+            rels={name: self.relationship(name) for name in ORDER_TABLES},
         )
 
 

@@ -118,20 +118,21 @@ def give_ids(
     return keep(f"{spec.table}_ids", numbered)
 
 
-def settle(
-    spec: TableSpec,
-    rows: DataFrame,
-    numbered: DataFrame,
-    rels: Relationships,
-    keep: Keep = lazily,
-) -> Moved:
-    """Settle the keys of a numbered table and put its rows together."""
-    keys = numbered
-    if spec.numbers_all:
-        keys = remap(keys, _named(spec.parents, rels), required=True, row_id="old_id")
-    keys = remap(keys, _named(spec.lookups, rels), row_id="old_id")
-    keys = keep(f"{spec.table}_keys", keys)
+def members(
+    spec: TableSpec, numbered: DataFrame, rels: Relationships, keep: Keep = lazily
+) -> DataFrame:
+    """The numbered rows whose parents all resolve, parents rewritten."""
+    if not spec.numbers_all:
+        return numbered
+    settled = remap(numbered, _named(spec.parents, rels), required=True, row_id="old_id")
+    return keep(f"{spec.table}_members", settled)
+
 
+def assemble(
+    spec: TableSpec, rows: DataFrame, keys: DataFrame, rels: Relationships
+) -> DataFrame:
+    """The members' whole rows: other keys looked up, the other columns joined."""
+    keys = remap(keys, _named(spec.lookups, rels), row_id="old_id")
     payload = [
         c for c in rows.columns if c != "Id" and c not in keys.columns and c not in spec.constants
     ]
@@ -151,10 +152,22 @@ def settle(
         else f"`{c}`"
         for c in [*rows.columns, *added]
     ]
+    return whole.selectExpr(*columns)
+
+
+def settle(
+    spec: TableSpec,
+    rows: DataFrame,
+    numbered: DataFrame,
+    rels: Relationships,
+    keep: Keep = lazily,
+) -> Moved:
+    """Settle the keys of a numbered table and put its rows together."""
+    kept = members(spec, numbered, rels, keep)
     return Moved(
-        whole.selectExpr(*columns),
+        assemble(spec, rows, kept, rels),
         Relationship(numbered.select("old_id", "new_id"), spec.identities),
-        Relationship(keys.select("old_id", "new_id")),
+        Relationship(kept.select("old_id", "new_id")),
     )
 
 

@@ -714,7 +714,6 @@ def tag_applications(w: Work) -> DataFrame:
 
 # Orders family.
 
-_ORDER_RELS = ("contact", "user", "product", "plan", "card")
 _CONTACT = "LEFT JOIN {rel_contact} AS c ON s.ContactId = c.old_id"
 
 
@@ -739,11 +738,14 @@ _CONTACT = "LEFT JOIN {rel_contact} AS c ON s.ContactId = c.old_id"
                  WHERE s.PayPlanId IN (SELECT Id FROM {kept_payplan})""",
 )
 def orders_cascade(w: Work) -> DataFrame:
-    """The whole family, staged table by table as a real transfer does it."""
-    family = w.staged().orders(*_ORDER_RELS)
+    """Which rows of the nine tables go along, and under which ids.
+
+    Staged table by table, as a transfer does it.
+    """
+    family = w.staged().orders("contact")
     family.stage_all()
     parts = [
-        family.moved(name).kept.pairs.select(F.lit(name).alias("entity"), F.col("new_id").alias("Id"))
+        family.members(name).select(F.lit(name).alias("entity"), F.col("new_id").alias("Id"))
         for name in ORDER_TABLES
     ]
     whole = parts[0]
@@ -772,7 +774,7 @@ def orders_cascade(w: Work) -> DataFrame:
         WHERE s.Id IN (SELECT Id FROM {{kept_job}})""",
 )
 def jobs(w: Work) -> DataFrame:
-    return w.orders("contact", "user").moved("job").rows
+    return w.orders("contact", "user").rows("job")
 
 
 @query(
@@ -791,7 +793,7 @@ def jobs(w: Work) -> DataFrame:
         WHERE s.Id IN (SELECT Id FROM {{kept_invoice}})""",
 )
 def invoices(w: Work) -> DataFrame:
-    return w.orders("contact", "user", "product").moved("invoice").rows
+    return w.orders("contact", "user", "product").rows("invoice")
 
 
 @query(
@@ -806,7 +808,7 @@ def invoices(w: Work) -> DataFrame:
         WHERE s.Id IN (SELECT Id FROM {{kept_payplan}})""",
 )
 def payplans(w: Work) -> DataFrame:
-    return w.orders("contact", "user", "product", "card").moved("payplan").rows
+    return w.orders("contact", "user", "product", "card").rows("payplan")
 
 
 @query(
@@ -823,7 +825,7 @@ def payplans(w: Work) -> DataFrame:
         WHERE s.InvoiceId IN (SELECT Id FROM {{kept_invoice}}) AND s.JobId IN (SELECT Id FROM {{kept_job}})""",
 )
 def invoice_items(w: Work) -> DataFrame:
-    return w.orders("contact", "user", "product").moved("invoice_item").rows
+    return w.orders("contact", "user", "product").rows("invoice_item")
 
 
 @query(
@@ -841,7 +843,7 @@ def invoice_items(w: Work) -> DataFrame:
         WHERE s.OrderId IN (SELECT Id FROM {{kept_job}})""",
 )
 def order_items(w: Work) -> DataFrame:
-    return w.orders("contact", "user", "product", "plan").moved("order_item").rows
+    return w.orders("contact", "user", "product", "plan").rows("order_item")
 
 
 @query(
@@ -858,7 +860,7 @@ def order_items(w: Work) -> DataFrame:
         WHERE s.Id IN (SELECT Id FROM {{kept_payment}})""",
 )
 def payments(w: Work) -> DataFrame:
-    return w.orders("contact", "user", "product").moved("payment").rows
+    return w.orders("contact", "user", "product").rows("payment")
 
 
 @query(
@@ -872,7 +874,7 @@ def payments(w: Work) -> DataFrame:
         WHERE s.InvoiceId IN (SELECT Id FROM {{kept_invoice}}) AND s.PaymentId IN (SELECT Id FROM {{kept_payment}})""",
 )
 def invoice_payments(w: Work) -> DataFrame:
-    return w.orders("contact", "user", "product").moved("invoice_payment").rows
+    return w.orders("contact", "user", "product").rows("invoice_payment")
 
 
 @query(
@@ -883,7 +885,7 @@ def invoice_payments(w: Work) -> DataFrame:
        WHERE s.PayPlanId IN (SELECT Id FROM {kept_payplan})""",
 )
 def payplan_items(w: Work) -> DataFrame:
-    return w.orders("contact", "user", "product", "card").moved("payplan_item").rows
+    return w.orders("contact", "user", "product", "card").rows("payplan_item")
 
 
 @query(
@@ -892,7 +894,7 @@ def payplan_items(w: Work) -> DataFrame:
         FROM {{src_address}} AS s JOIN {{rel_address}} AS r ON s.Id = r.old_id {_CONTACT}""",
 )
 def addresses(w: Work) -> DataFrame:
-    return w.orders("contact").moved("address").rows
+    return w.orders("contact").rows("address")
 
 
 # Products, opportunities, subscriptions.
@@ -1120,7 +1122,7 @@ def report(w: Work) -> DataFrame:
         Contact=made.rows["Contact"],
         LeadSource=made.rows["LeadSource"],
         ContactGroup=made.rows["ContactGroup"],
-        Job=orders_made.moved("job").rows,
+        Job=orders_made.rows("job"),
     )
 
     def counted(app) -> dict[str, DataFrame]:
