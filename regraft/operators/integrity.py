@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,10 +32,13 @@ def cascade(
     return kept
 
 
-def without_existing(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_existing(
+    rows: DataFrame, target: DataFrame, keys: Sequence[str], nulls_equal: bool = False
+) -> DataFrame:
     """Rows whose key the target lacks; a null in the key counts as lacking."""
     have = target.select(*[F.col(k).cast(rows.schema[k].dataType).alias(f"have_{k}") for k in keys])
-    on = reduce(and_, [F.col(k) == F.col(f"have_{k}") for k in keys])
+    equal = "<=>" if nulls_equal else "="
+    on = F.expr(" AND ".join(f"`{k}` {equal} `have_{k}`" for k in keys))
     return rows.join(have, on, "left_anti")
 
 

@@ -34,16 +34,14 @@ def best_match(target: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def same_keys(keys: Sequence[str], equal: str = "<=>") -> Column:
+def same_keys(keys: Sequence[str]) -> Column:
     """Null-safe equality. It plans as a hashed equi-join, nulls included."""
-    return F.expr(" AND ".join(f"`{k}` {equal} `key_{k}`" for k in keys))
+    return F.expr(" AND ".join(f"`{k}` <=> `key_{k}`" for k in keys))
 
 
-def _matched(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], equal: str, how: str
-) -> DataFrame:
+def _matched(source: DataFrame, target: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     narrow = source.selectExpr("CAST(Id AS BIGINT) AS old_id", *[f"`{k}`" for k in keys])
-    return narrow.join(best_match(target, keys), same_keys(keys, equal), how).select(
+    return narrow.join(best_match(target, keys), same_keys(keys), how).select(
         "old_id", "new_id"
     )
 
@@ -56,12 +54,12 @@ def natural_match(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     The null-safe join shuffles that reduced side again under its own hash,
     which leaves the skew-join rule free to split a hot key of the source.
     """
-    return _matched(source, target, keys, "<=>", "left")
+    return _matched(source, target, keys, "left")
 
 
 def inner_match(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """As ``natural_match``, but only matched rows; null keys match nothing."""
-    return _matched(source, target, keys, "=", "inner")
+    return _matched(source.dropna(subset=list(keys)), target, keys, "inner")
 
 
 def with_new_ids(rows: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from regraft.sources.app import App
 from regraft.sources.sinks import overridden, snapshot
 
 
-def user_relationship(source: App, target: App) -> Relationship:
+def user_relationship(source: App, target: App, keep: Keep = lazily) -> Relationship:
     """Users by global id, overridden by email; unmatched users become 0."""
     by_global_id = natural_match(source.table("User"), target.table("User"), ["GlobalUserId"])
 
@@ -42,7 +42,7 @@ def user_relationship(source: App, target: App) -> Relationship:
 
     by_email = inner_match(addresses(source), addresses(target), ["Email"])
     pairs = prefer_later(by_global_id.fillna(0, subset=["new_id"]), by_email)
-    return Relationship(pairs, USER_IDENTITIES)
+    return Relationship(keep("User_ids", pairs), USER_IDENTITIES)
 
 
 def lead_sources(source: App, target: App, keep: Keep = lazily) -> Outcome:
@@ -147,7 +147,7 @@ def contacts(
     keep: Keep = lazily,
 ) -> Outcome:
     """Contacts, their tags, lead sources and companies, and the transfer marker."""
-    user_rel = user_rel or user_relationship(source, target)
+    user_rel = user_rel or user_relationship(source, target, keep)
     outcome = Outcome(rels={"user": user_rel})
     lookups, lists, constants = dict(CONTACT.lookups), {}, {}
     if with_lead_sources:

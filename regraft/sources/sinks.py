@@ -26,7 +26,7 @@ def in_layout_of(rows: DataFrame, target: DataFrame) -> DataFrame:
 
 def append_parquet(rows: DataFrame, path: str, keys: Sequence[str] = ("Id",)) -> None:
     target = rows.sparkSession.read.parquet(path)
-    fresh = without_existing(in_layout_of(rows, target), target, keys)
+    fresh = without_existing(in_layout_of(rows, target), target, keys, nulls_equal=True)
     fresh.write.mode("append").parquet(path)
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regraft.operators.integrity import first_per_key, keep_children
-from regraft.operators.match import natural_match
+from regraft.operators.match import inner_match, natural_match
 from regraft.operators.relationship import Relationship
 from regraft.operators.remap import remap
 
@@ -74,6 +74,14 @@ def test_hot_natural_key_is_split(spark, facts):
         assert "skew=true" in final_plan(got)
 
 
+def test_hot_key_of_an_inner_match_is_split(spark, facts):
+    target = spark.range(5000).selectExpr("id AS Id", "CASE WHEN id = 9 THEN 'hot' ELSE concat('k', id) END AS Name")
+    with settings(spark):
+        got = inner_match(facts, target, ["Name"])
+        assert len(got.collect()) > 80_000
+        assert "skew=true" in final_plan(got)
+
+
 def test_null_natural_key_is_split(spark, facts):
     nulls = facts.withColumn("Name", F.nullif("Name", F.lit("hot")))
     target = spark.range(5000).selectExpr("id AS Id", "CASE WHEN id > 9 THEN concat('k', id) END AS Name")

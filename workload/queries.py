@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import datetime
 from functools import cached_property, partial
 
@@ -73,8 +72,7 @@ class Work:
 
     @cached_property
     def user(self) -> Relationship:
-        rel = people.user_relationship(self.source, self.target)
-        return replace(rel, pairs=self.keep("User_ids", rel.pairs))
+        return people.user_relationship(self.source, self.target, self.keep)
 
     @cached_property
     def tag(self) -> Relationship:
@@ -525,7 +523,10 @@ def one_difference(w: Work) -> DataFrame:
 
 @query(
     "q20_common_rows",
-    f"SELECT *, 'both' AS _merge FROM (({_FIRST}) INTERSECT ({_SECOND}))",
+    f"""SELECT Id, Name, Segment, count(*) AS copies, 'both' AS _merge
+        FROM ({_FIRST}) AS l JOIN (SELECT Id AS Id2, Name AS Name2, Segment AS Segment2 FROM ({_SECOND})) AS r
+          ON Id = Id2 AND Name IS NOT DISTINCT FROM Name2 AND Segment = Segment2
+        GROUP BY Id, Name, Segment""",
 )
 def common_rows(w: Work) -> DataFrame:
     return frame_difference(w.inputs.sql(_FIRST), w.inputs.sql(_SECOND), "both")
