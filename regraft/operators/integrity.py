@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def keep_children(children: DataFrame, column: str, parents: DataFrame, key: str = "Id") -> DataFrame:
-    """Children whose parent is among ``parents``."""
+    """Children whose parent is among ``parents``, which are unique on their key."""
     return children.join(
         parents.select(F.col(key).alias("parent_key")),
         F.col(column) == F.col("parent_key"),
@@ -33,13 +33,27 @@ def cascade(
 
 
 def without_existing(
-    rows: DataFrame, target: DataFrame, keys: Sequence[str], nulls_equal: bool = False
+    rows: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    nulls_equal: bool = False,
+    repeats: bool = True,
 ) -> DataFrame:
-    """Rows whose key the target lacks; a null in the key counts as lacking."""
-    have = target.select(*[F.col(k).cast(rows.schema[k].dataType).alias(f"have_{k}") for k in keys])
-    equal = "<=>" if nulls_equal else "="
-    on = F.expr(" AND ".join(f"`{k}` {equal} `have_{k}`" for k in keys))
-    return rows.join(have, on, "left_anti")
+    """Rows whose key the target lacks; a null in the key counts as lacking.
+
+    The target's keys are combined before their shuffle, so a key it repeats
+    very often costs one row. If ``rows`` may repeat keys too, the join is keyed
+    null-safely: it then shuffles the combined keys anew, which leaves the
+    skew-join rule free to split a hot key of ``rows``.
+    """
+    have = target.select(
+        *[F.col(k).cast(rows.schema[k].dataType).alias(f"have_{k}") for k in keys]
+    ).distinct()
+    equal = "<=>" if nulls_equal or repeats else "="
+    terms = [f"`{k}` {equal} `have_{k}`" for k in keys]
+    if not nulls_equal:
+        terms += [f"`{k}` IS NOT NULL" for k in keys]
+    return rows.join(have, F.expr(" AND ".join(terms)), "left_anti")
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:

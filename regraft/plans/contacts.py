@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from regraft.functions.columns import blank_to_null, timestamp_text, transfer_label
 from regraft.operators.integrity import first_per_key, in_use, keep_children, without_existing
 from regraft.operators.match import (
+    Created,
     Keep,
     inner_match,
     lazily,
@@ -30,6 +32,7 @@ from regraft.plans.crm import (
 from regraft.plans.spec import Moved, Outcome, give_ids, move, set_constants, settle
 from regraft.sources.app import App
 from regraft.sources.sinks import overridden, snapshot
+from regraft.sources.staging import at_once
 
 
 def user_relationship(source: App, target: App, keep: Keep = lazily) -> Relationship:
@@ -46,24 +49,20 @@ def user_relationship(source: App, target: App, keep: Keep = lazily) -> Relation
 
 
 def lead_sources(source: App, target: App, keep: Keep = lazily) -> Outcome:
-    categories = match_or_create(
-        source.table("LeadSourceCategory"),
-        target.table("LeadSourceCategory"),
-        ["Name"],
-        target.next_id("LeadSourceCategory"),
-        name="LeadSourceCategory_ids",
-        keep=keep,
+    def matched(table: str) -> Created:
+        return match_or_create(
+            source.table(table),
+            target.table(table),
+            ["Name"],
+            target.next_id(table),
+            name=f"{table}_ids",
+            keep=keep,
+        )
+
+    categories, made = at_once(
+        [partial(matched, "LeadSourceCategory"), partial(matched, "LeadSource")]
     )
     category_rel = categories.relationship.with_identities(0)
-    rows = source.table("LeadSource")
-    made = match_or_create(
-        rows,
-        target.table("LeadSource"),
-        ["Name"],
-        target.next_id("LeadSource"),
-        name="LeadSource_ids",
-        keep=keep,
-    )
     created = remap(made.rows, {"LeadSourceCategoryId": category_rel})
     return Outcome(
         rows={"LeadSourceCategory": categories.rows, "LeadSource": created},
@@ -79,23 +78,24 @@ def tags(source: App, target: App, tag_ids: Sequence[int] = (), keep: Keep = laz
         rows = rows.where(F.col("Id").isin(*tag_ids))
         used = in_use(rows, "GroupCategoryId", "category")
         categories = keep_children(categories, "Id", used, "category")
-    made_categories = match_or_create(
-        categories,
-        target.table("ContactGroupCategory"),
-        ["CategoryName"],
-        target.next_id("ContactGroupCategory"),
-        name="ContactGroupCategory_ids",
-        keep=keep,
+
+    def matched(table: str, chosen: DataFrame, key: str) -> Created:
+        return match_or_create(
+            chosen,
+            target.table(table),
+            [key],
+            target.next_id(table),
+            name=f"{table}_ids",
+            keep=keep,
+        )
+
+    made_categories, made = at_once(
+        [
+            partial(matched, "ContactGroupCategory", categories, "CategoryName"),
+            partial(matched, "ContactGroup", rows, "GroupName"),
+        ]
     )
     category_rel = made_categories.relationship.with_identities(0)
-    made = match_or_create(
-        rows,
-        target.table("ContactGroup"),
-        ["GroupName"],
-        target.next_id("ContactGroup"),
-        name="ContactGroup_ids",
-        keep=keep,
-    )
     created = remap(made.rows, {"GroupCategoryId": category_rel})
     return Outcome(
         rows={"ContactGroupCategory": made_categories.rows, "ContactGroup": created},
@@ -130,7 +130,7 @@ def people(source: App, only_tag: int | None = None) -> DataFrame:
     if only_tag is None:
         return rows
     tagged = source.table("ContactGroupAssign").where(F.col("GroupId") == only_tag)
-    return keep_children(rows, "Id", tagged, "ContactId")
+    return keep_children(rows, "Id", in_use(tagged, "ContactId", "contact"), "contact")
 
 
 def contacts(
@@ -147,21 +147,26 @@ def contacts(
     keep: Keep = lazily,
 ) -> Outcome:
     """Contacts, their tags, lead sources and companies, and the transfer marker."""
-    user_rel = user_rel or user_relationship(source, target, keep)
-    outcome = Outcome(rels={"user": user_rel})
     lookups, lists, constants = dict(CONTACT.lookups), {}, {}
-    if with_lead_sources:
-        outcome = outcome.and_then(lead_sources(source, target, keep))
-    else:
+    if not with_lead_sources:
         del lookups["LeadSourceId"]
         constants["LeadSourceId"] = 0
     if with_tags:
-        outcome = outcome.and_then(tags(source, target, tag_ids, keep))
         lists = CONTACT.lists
     spec = replace(CONTACT, lookups=lookups, lists=lists, constants=constants)
-
     rows = people(source, only_tag)
-    numbered = give_ids(spec, rows, target.next_id("Contact"), outcome.rels, keep)
+
+    def users() -> Outcome:
+        return Outcome(rels={"user": user_rel or user_relationship(source, target, keep)})
+
+    parts = [users]
+    if with_lead_sources:
+        parts.append(partial(lead_sources, source, target, keep))
+    if with_tags:
+        parts.append(partial(tags, source, target, tag_ids, keep))
+    numbering = partial(give_ids, spec, rows, target.next_id("Contact"), {}, keep)
+    numbered, *outcomes = at_once([numbering, *parts])
+    outcome = reduce(Outcome.and_then, outcomes)
     contact_rel = Relationship(numbered.select("old_id", "new_id"), spec.identities)
     rels = {**outcome.rels, "contact": contact_rel}
     moved = settle(spec, rows, numbered, rels, keep)
@@ -207,7 +212,7 @@ def tag_applications(
     rows = remap(rows, {"GroupId": tag_rel}, row_id=spread)
     keys = ["ContactId", "GroupId"]
     rows = first_per_key(rows.drop("Id"), keys, order_by=["DateCreated"])
-    return without_existing(rows, target.table("ContactGroupAssign"), keys)
+    return without_existing(rows, target.table("ContactGroupAssign"), keys, repeats=False)
 
 
 def contact_actions(

@@ -49,21 +49,21 @@ def _plan_keys_filled(plans: DataFrame) -> DataFrame:
 
 def products(source: App, target: App, keep: Keep = lazily) -> Outcome:
     """Products by name, their plans by terms, and product categories."""
-    made = match_or_create(
-        source.table("Product"),
-        target.table("Product"),
-        ["ProductName"],
-        target.next_id("Product"),
-        name="Product_ids",
-        keep=keep,
-    )
-    plans = subscription_plans(source, target, made.relationship, keep)
-    categories = product_categories(source, target, keep)
-    return (
-        Outcome(rows={"Product": made.rows}, rels={"product": made.relationship})
-        .and_then(plans)
-        .and_then(categories)
-    )
+
+    def with_plans() -> Outcome:
+        made = match_or_create(
+            source.table("Product"),
+            target.table("Product"),
+            ["ProductName"],
+            target.next_id("Product"),
+            name="Product_ids",
+            keep=keep,
+        )
+        outcome = Outcome(rows={"Product": made.rows}, rels={"product": made.relationship})
+        return outcome.and_then(subscription_plans(source, target, made.relationship, keep))
+
+    plans, categories = at_once([with_plans, partial(product_categories, source, target, keep)])
+    return plans.and_then(categories)
 
 
 def subscription_plans(
@@ -129,11 +129,14 @@ def opportunities(
     source: App, target: App, rels: Relationships, keep: Keep = lazily
 ) -> Outcome:
     """Opportunities of transferred contacts; stages that are gone get the default."""
-    made_stages = stages(source, target, keep)
-    stage_rel = made_stages.rels["stage"]
-    moved = move(
-        OPPORTUNITY, source.table("Opportunity"), target.next_id("Opportunity"), rels, keep
+    rows, next_id = source.table("Opportunity"), target.next_id("Opportunity")
+    made_stages, moved = at_once(
+        [
+            partial(stages, source, target, keep),
+            partial(move, OPPORTUNITY, rows, next_id, rels, keep),
+        ]
     )
+    stage_rel = made_stages.rels["stage"]
     default = as_id(target.setting(DEFAULT_STAGE_SETTING))
     rows = remap_or_default(moved.rows, "StageID", stage_rel, default)
     return made_stages.and_then(

@@ -25,6 +25,8 @@ T = TypeVar("T")
 
 def at_once(jobs: Sequence[Callable[[], T]]) -> list[T]:
     """Submit independent Spark jobs together, so short ones fill the cluster."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
     inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
         return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]

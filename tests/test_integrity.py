@@ -32,7 +32,10 @@ def test_existing_rows_go_and_nulls_stay(frame, rows):
     pairs = "C BIGINT, G BIGINT"
     new = frame(pairs, (1, 1), (1, 2), (None, 1), (2, None))
     have = frame(pairs, (1, 1), (None, 1), (2, None))
-    assert rows(without_existing(new, have, ["C", "G"])) == [(1, 2), (2, None), (None, 1)]
+    lacking = [(1, 2), (2, None), (None, 1)]
+    assert rows(without_existing(new, have, ["C", "G"])) == lacking
+    assert rows(without_existing(new, have, ["C", "G"], repeats=False)) == lacking
+    assert rows(without_existing(new, have, ["C", "G"], nulls_equal=True)) == [(1, 2)]
 
 
 def test_first_per_key(frame, rows):

@@ -5,7 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from regraft.operators.integrity import first_per_key, keep_children
+from regraft.operators.integrity import first_per_key, keep_children, without_existing
 from regraft.operators.match import inner_match, natural_match
 from regraft.operators.relationship import Relationship
 from regraft.operators.remap import remap
@@ -82,6 +82,18 @@ def test_hot_key_of_an_inner_match_is_split(spark, facts):
         assert "skew=true" in final_plan(got)
 
 
+def test_hot_key_among_existing_rows_is_split_and_combined(spark, facts):
+    have = facts.where("Fk > 100 OR Fk = 7").select("Fk")
+    with settings(spark):
+        got = without_existing(facts, have, ["Fk"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan
+        assert {r.Fk for r in got.collect()} == set(range(101)) - {7}
+        got = without_existing(facts, have, ["Fk"])
+        got.collect()
+        assert "skew=true" in final_plan(got)
+
+
 def test_null_natural_key_is_split(spark, facts):
     nulls = facts.withColumn("Name", F.nullif("Name", F.lit("hot")))
     target = spark.range(5000).selectExpr("id AS Id", "CASE WHEN id > 9 THEN concat('k', id) END AS Name")

@@ -30,7 +30,13 @@ from regraft.plans import contacts as people
 from regraft.plans import sales
 from regraft.plans import settings as switches
 from regraft.plans.crm import CONTACT, CREDIT_CARD, DROPDOWN_SETTINGS, ORDER_TABLES
-from regraft.plans.custom_fields import custom_fields, drilldown_options, fields, tabs_and_headers
+from regraft.plans.custom_fields import (
+    custom_fields,
+    drilldown_options,
+    field_rows,
+    match_fields,
+    tabs_and_headers,
+)
 from regraft.plans.spec import give_ids
 from regraft.sources.relationships import pairs_from_json, pairs_to_json
 from regraft.sources.staging import Staging, at_once
@@ -1051,7 +1057,7 @@ def custom_values(w: Work) -> DataFrame:
 )
 def new_fields(w: Work) -> DataFrame:
     forms = tabs_and_headers(w.source, w.target)
-    return fields(w.source, w.target, forms.rels["header"])[0].rows["DataFormField"]
+    return field_rows(match_fields(w.source, w.target), forms.rels["header"])
 
 
 @query(
@@ -1073,8 +1079,7 @@ def new_fields(w: Work) -> DataFrame:
        WHERE s.Id NOT IN (SELECT old_id FROM present)""",
 )
 def options(w: Work) -> DataFrame:
-    forms = tabs_and_headers(w.source, w.target)
-    rel = fields(w.source, w.target, forms.rels["header"])[0].rels["field"]
+    rel = match_fields(w.source, w.target).made.relationship
     return drilldown_options(w.source, w.target, rel).rows["DrilldownOption"]
 
 
