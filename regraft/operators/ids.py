@@ -6,8 +6,7 @@ two parts:
 
 * rows are exchanged by ``id >> 16``. A bucket spans 2**16 ids and ids are
   unique, so ranking a bucket never takes more than 2**16 narrow rows;
-* the buckets are counted on that same exchange, which is reused and not
-  computed twice, and their totals are summed up in bucket order.
+* the buckets are counted and their totals summed up in bucket order.
 
 The totals are one row per 2**16 ids of the id range: ten million for a
 table of 600 billion dense ids. For ids strewn over the 64-bit range, where a
@@ -63,7 +62,11 @@ def fill_new_ids(
     bucket = f"old_id >> {DIGIT_BITS}"
     keyed = matches.repartition(F.expr(bucket))
 
-    counts = keyed.groupBy(F.expr(f"{bucket} AS bucket")).agg(
+    # Pairs alone share their exchange with the counts. With further columns the
+    # two would differ; then the ids are counted where they are read, which
+    # shuffles a row per bucket and task.
+    counted = keyed if len(matches.columns) == 2 else matches
+    counts = counted.groupBy(F.expr(f"{bucket} AS bucket")).agg(
         F.expr("count(CASE WHEN new_id IS NULL THEN old_id END) AS n")
     )
     before = _summed_before(counts, ID_BITS - DIGIT_BITS if sparse else DIGIT_BITS)

@@ -238,9 +238,14 @@ class Orders:
         }
         return assemble(spec, self.source.table(spec.table), self.members(name), rels)
 
+    def number(self, *names: str) -> Orders:
+        """Number some tables, together."""
+        at_once([partial(self.numbered, name) for name in names])
+        return self
+
     def stage_all(self) -> None:
         """Run what ``keep`` writes, independent parts together."""
-        at_once([partial(self.numbered, name) for name in ORDER_TABLES])
+        self.number(*ORDER_TABLES)
         self.members("invoice")
         at_once([partial(self.members, name) for name in self.KEPT.values()])
 

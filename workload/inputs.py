@@ -174,8 +174,11 @@ INPUTS: dict[str, str] = {
         FROM {part}""",
     "dst_product": """
         SELECT 100000 + 3 * (p_partkey + 1) AS Id,
-               CASE WHEN p_size > 17 THEN ProductName || ' (retired)' ELSE ProductName END AS ProductName
-        FROM {part} AS p JOIN {src_product} AS s ON p.p_partkey + 1 = s.Id""",
+               CASE WHEN p_retailprice > 900 THEN
+                    p_name || '|' || p_brand || '|' || p_type || '|' || CAST(p_size AS VARCHAR(9))
+                    || CASE WHEN p_size > 17 THEN ' (retired)' ELSE '' END
+               END AS ProductName
+        FROM {part}""",
     "src_plan": """
         SELECT p_partkey + 1 AS Id,
                CASE WHEN p_brand = 'Brand#9' THEN -1 - p_partkey ELSE p_partkey + 1 END AS ProductId,

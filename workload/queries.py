@@ -832,7 +832,7 @@ def payplans(w: Work) -> DataFrame:
         WHERE s.InvoiceId IN (SELECT Id FROM {{kept_invoice}}) AND s.JobId IN (SELECT Id FROM {{kept_job}})""",
 )
 def invoice_items(w: Work) -> DataFrame:
-    return w.orders("contact", "user", "product").rows("invoice_item")
+    return w.orders("contact", "user").rows("invoice_item")
 
 
 @query(
