@@ -138,7 +138,7 @@ INPUTS: dict[str, str] = {
                ts AS DateCreated
         FROM {events} AS e JOIN {src_tag} AS t ON e.event_type = t.GroupName""",
     "contact_groups": f"""
-        SELECT ContactId, {_joined('CAST(GroupId AS VARCHAR(20))', 'GroupId')} || ',x, 7' AS Groups
+        SELECT ContactId, {_joined('CAST(GroupId AS STRING)', 'GroupId')} || ',x, 7' AS Groups
         FROM (SELECT DISTINCT ContactId, GroupId FROM {{src_tag_application}}
               WHERE ContactId IS NOT NULL) AS applied
         GROUP BY ContactId""",
@@ -168,14 +168,14 @@ INPUTS: dict[str, str] = {
     "src_product": """
         SELECT p_partkey + 1 AS Id,
                CASE WHEN p_retailprice > 900 THEN
-                    p_name || '|' || p_brand || '|' || p_type || '|' || CAST(p_size AS VARCHAR(9))
+                    p_name || '|' || p_brand || '|' || p_type || '|' || CAST(p_size AS STRING)
                END AS ProductName,
                p_brand AS Sku, CAST(p_retailprice AS DECIMAL(12, 2)) AS Price
         FROM {part}""",
     "dst_product": """
         SELECT 100000 + 3 * (p_partkey + 1) AS Id,
                CASE WHEN p_retailprice > 900 THEN
-                    p_name || '|' || p_brand || '|' || p_type || '|' || CAST(p_size AS VARCHAR(9))
+                    p_name || '|' || p_brand || '|' || p_type || '|' || CAST(p_size AS STRING)
                     || CASE WHEN p_size > 17 THEN ' (retired)' ELSE '' END
                END AS ProductName
         FROM {part}""",
@@ -247,7 +247,7 @@ INPUTS: dict[str, str] = {
             _list_setting("optionsuffixes", "o_orderpriority", "orders"),
             _list_setting("optionphonetypes", "p_type", "part"),
             _list_setting("optionfaxtypes", "l_returnflag", "lineitem"),
-            "SELECT 'stagewin', CAST(max(Id) AS VARCHAR(20)) FROM {src_stage} WHERE StageName = 'F'",
+            "SELECT 'stagewin', CAST(max(Id) AS STRING) FROM {src_stage} WHERE StageName = 'F'",
             "SELECT 'stageloss', '' FROM {src_stage} WHERE StageName = 'F'",
         ]
     ),
@@ -262,7 +262,7 @@ INPUTS: dict[str, str] = {
             ),
             _list_setting("optionphonetypes", "CASE WHEN p_size < 9 THEN p_type ELSE p_brand END", "part"),
             _list_setting("optionfaxtypes", "l_linestatus", "lineitem"),
-            "SELECT 'defaultstage', CAST(min(Id) AS VARCHAR(20)) FROM {dst_stage}",
+            "SELECT 'defaultstage', CAST(min(Id) AS STRING) FROM {dst_stage}",
             "SELECT 'stagewin', '1' FROM {dst_stage} WHERE StageName = 'F'",
             "SELECT 'stageloss', '2' FROM {dst_stage} WHERE StageName = 'F'",
             "SELECT 'runPurchaseActionsOnManualOrders', CASE WHEN count(*) > 0 THEN '1' ELSE '0' END FROM {orders}",
@@ -301,7 +301,7 @@ INPUTS: dict[str, str] = {
                o_orderpriority AS JobNotes, o_orderdate AS DateCreated
         FROM {order_base}""",
     "product_sold": f"""
-        SELECT OrderId, ' ' || {_joined('CAST(ProductId AS VARCHAR(20))', 'LineNumber')} || ',-4' AS ProductSold
+        SELECT OrderId, ' ' || {_joined('CAST(ProductId AS STRING)', 'LineNumber')} || ',-4' AS ProductSold
         FROM {{line_base}} GROUP BY OrderId""",
     "src_invoice": """
         SELECT b.Id, ContactId,
@@ -401,7 +401,7 @@ INPUTS: dict[str, str] = {
         FROM {customer}""",
     "dst_custom": """
         SELECT 100000 + 3 * Id AS Id, Segment AS MarketSegment, Balance,
-               CAST(CAST(Nation AS BIGINT) AS VARCHAR(20)) AS Nation, Code9
+               CAST(CAST(Nation AS BIGINT) AS STRING) AS Nation, Code9
         FROM {src_custom}""",
     "src_option": """
         SELECT CAST(r_regionkey + 1 AS BIGINT) AS Id, CAST(0 AS BIGINT) AS CategoryId,

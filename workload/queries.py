@@ -243,7 +243,7 @@ ORACLE_RELATIONS: dict[str, str] = {
         WHERE (ContactId = 0 OR ContactId IN (SELECT old_id FROM {rel_contact}))
           AND InvoiceId IN (SELECT Id FROM {kept_invoice})""",
     "exp_taken": """
-        SELECT DISTINCT replace(p_name, ' ', '') || CAST(p_size AS VARCHAR(9)) AS name
+        SELECT DISTINCT replace(p_name, ' ', '') || CAST(p_size AS STRING) AS name
         FROM {part} WHERE p_type = 'SMALL' OR p_type = 'ECONOMY'
         UNION SELECT DISTINCT replace(p_name, ' ', '') FROM {part} WHERE p_type = 'SMALL'""",
 }
@@ -539,8 +539,8 @@ def common_rows(w: Work) -> DataFrame:
 
 
 _LISTS = """
-    SELECT OrderId AS Id, <<CAST(ProductId AS VARCHAR(20))|LineNumber>> AS have,
-           <<CAST(SupplierKey + 1 AS VARCHAR(20))|LineNumber>> AS more
+    SELECT OrderId AS Id, <<CAST(ProductId AS STRING)|LineNumber>> AS have,
+           <<CAST(SupplierKey + 1 AS STRING)|LineNumber>> AS more
     FROM {line_base} GROUP BY OrderId"""
 
 
@@ -561,16 +561,16 @@ def lists_merged(w: Work) -> DataFrame:
     "q22_free_names",
     """WITH cleaned AS (
            SELECT p_partkey + 1 AS Id,
-                  replace(p_name, ' ', '') || CASE WHEN p_retailprice > 950 THEN '' ELSE CAST(p_size AS VARCHAR(9)) END AS clean
+                  replace(p_name, ' ', '') || CASE WHEN p_retailprice > 950 THEN '' ELSE CAST(p_size AS STRING) END AS clean
            FROM {part}),
        wanted AS (
            SELECT DISTINCT clean, regexp_extract(clean, '^(.*?)([0-9]*)$', 1) AS stem,
                   coalesce(TRY_CAST(regexp_extract(clean, '^(.*?)([0-9]*)$', 2) AS BIGINT) + 1, 0) AS first_number
            FROM cleaned),
        found AS (
-           SELECT clean, stem || CAST(min(n) AS VARCHAR(9)) AS next_name
+           SELECT clean, stem || CAST(min(n) AS STRING) AS next_name
            FROM wanted, (SELECT unnest(generate_series(0, 200)) AS n) AS numbers
-           WHERE n >= first_number AND stem || CAST(n AS VARCHAR(9)) NOT IN (SELECT name FROM {exp_taken})
+           WHERE n >= first_number AND stem || CAST(n AS STRING) NOT IN (SELECT name FROM {exp_taken})
            GROUP BY clean, stem)
        SELECT c.Id, CASE WHEN t.name IS NULL THEN c.clean ELSE f.next_name END AS free_name
        FROM cleaned AS c LEFT JOIN {exp_taken} AS t ON c.clean = t.name
@@ -579,7 +579,7 @@ def lists_merged(w: Work) -> DataFrame:
 def names_free(w: Work) -> DataFrame:
     names = w.inputs.sql(
         """SELECT p_partkey + 1 AS Id,
-                  p_name || CASE WHEN p_retailprice > 950 THEN '!' ELSE CAST(p_size AS VARCHAR(9)) END AS name
+                  p_name || CASE WHEN p_retailprice > 950 THEN '!' ELSE CAST(p_size AS STRING) END AS name
            FROM {part}"""
     )
     taken = w.inputs.sql(ORACLE_RELATIONS["exp_taken"])
