@@ -8,16 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_digests
 from .common import table
+from .quality import quality
 
 #: Folder of the public vocabulary files.
 VOCABULARIES = "/opt/tokenizers"
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(table(spark, folder, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_quality": op7_quality,
     "op10_bpe": op10_bpe,
 }
 
