@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_digests
 from .common import table
+from .html import main_text
 from .quality import quality
 
 #: Folder of the public vocabulary files.
@@ -18,12 +19,17 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages"))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(table(spark, folder, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
+    "op9_main_text": op9_main_text,
     "op10_bpe": op10_bpe,
 }
 
