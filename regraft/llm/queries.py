@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_digests
 from .common import table
+from .decontaminate import contamination
 from .html import main_text
 from .quality import quality
 
@@ -15,6 +16,10 @@ from .quality import quality
 VOCABULARIES = "/opt/tokenizers"
 
 
+def op6_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -28,6 +33,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_contamination": op6_contamination,
     "op7_quality": op7_quality,
     "op9_main_text": op9_main_text,
     "op10_bpe": op10_bpe,
