@@ -5,17 +5,75 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
 from .common import table
 from .decontaminate import contamination
 from .html import main_text
+from .licenses import license_scan
 from .quality import quality
+from .urls import host, judge, path
 
 #: Folder of the public vocabulary files.
 VOCABULARIES = "/opt/tokenizers"
 
 
+def captures_and_entries(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pages with a fetch time, and a dated list of their hosts and sections: lists that grow with the table."""
+    day = lambda n: F.timestamp_add("DAY", n.cast("int"), F.lit("2024-01-01").cast("timestamp"))
+    captures = pages.select("page_id", "url", day(F.col("page_id") * 17 % 365).alias("fetched"))
+    named = pages.select(host(F.col("url")).alias("host"), F.element_at(F.split(path(F.col("url")), "/"), 2).alias("section"), "page_id")
+    hosts = named.where("host != ''").groupBy("host").agg(F.min("page_id").alias("m")).where("m % 3 != 0")
+    sections = named.where("host != '' AND section != ''").groupBy("host", "section").agg(F.min("page_id").alias("m")).where("m % 5 < 2")
+    begun = F.col("m") * 37 % 300
+    entry = lambda frame, name, pattern, action, when: frame.select(
+        F.lit(name).alias("list"), pattern.alias("pattern"), F.lit(action).alias("action"), day(when).alias("dated")
+    )
+    section = F.concat_ws("/", "host", "section")
+    entries = (
+        entry(hosts, "hosts", F.col("host"), "add", begun)
+        .union(entry(hosts.where("m % 2 = 0"), "hosts", F.col("host"), "remove", begun + 45))
+        .union(entry(hosts.where("m % 4 = 0"), "hosts", F.col("host"), "add", begun + 60))
+        .union(entry(sections, "sections", section, "add", F.col("m") * 11 % 365))
+        .union(entry(sections, "sections", section, "remove", F.col("m") * 11 % 365 + 90))
+    )
+    return captures, entries
+
+
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    captures, entries = captures_and_entries(table(spark, folder, "pages").select("page_id", "url"))
+    return judge(captures, entries).select("page_id", "url", "blocked", "n_entries", "list", "pattern")
+
+
+OP1_SQL = """
+WITH p AS (
+  SELECT page_id, url, regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#:]*)', 1) AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path,
+         DATE '2024-01-01' + CAST(page_id * 17 % 365 AS INT) AS fetched FROM pages),
+hosts AS (SELECT host, min(page_id) AS m FROM p WHERE host <> '' GROUP BY host HAVING min(page_id) % 3 <> 0),
+sections AS (
+  SELECT host || '/' || split_part(path, '/', 2) AS pattern, min(page_id) AS m FROM p
+  WHERE host <> '' AND split_part(path, '/', 2) <> '' GROUP BY 1 HAVING min(page_id) % 5 < 2),
+listed AS (
+  SELECT 'hosts' AS list, host AS pattern, CAST(m * 37 % 300 AS INT) AS since,
+         CASE WHEN m % 2 = 0 THEN CAST(m * 37 % 300 + 45 AS INT) END AS until FROM hosts
+  UNION ALL SELECT 'hosts', host, CAST(m * 37 % 300 + 60 AS INT), NULL FROM hosts WHERE m % 4 = 0
+  UNION ALL SELECT 'sections', pattern, CAST(m * 11 % 365 AS INT), CAST(m * 11 % 365 + 90 AS INT) FROM sections),
+hits AS (
+  SELECT page_id, list, pattern, row_number() OVER (PARTITION BY page_id ORDER BY list, -length(pattern), pattern, since) AS k,
+         count(*) OVER (PARTITION BY page_id) AS n
+  FROM p JOIN listed ON (host = pattern OR ends_with(host, '.' || pattern) OR starts_with(host || path || '/', pattern || '/') AND list = 'sections')
+  WHERE fetched >= DATE '2024-01-01' + since AND (until IS NULL OR fetched < DATE '2024-01-01' + until))
+SELECT p.page_id, url, n IS NOT NULL AS blocked, coalesce(n, 0) AS n_entries, list, pattern
+FROM p LEFT JOIN hits ON p.page_id = hits.page_id AND k = 1
+"""
+
+
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(table(spark, folder, "documents"))
+
+
 def op6_contamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -33,10 +91,12 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
+    "op3_licenses": op3_licenses,
     "op6_contamination": op6_contamination,
     "op7_quality": op7_quality,
     "op9_main_text": op9_main_text,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL}
