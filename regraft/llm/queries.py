@@ -12,6 +12,7 @@ from .common import table
 from .decontaminate import contamination
 from .html import main_text
 from .licenses import license_scan
+from .neardup_vectors import near_duplicates
 from .quality import quality
 from .urls import host, judge, path
 
@@ -82,6 +83,10 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text(table(spark, folder, "pages"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_licenses": op3_licenses,
     "op6_contamination": op6_contamination,
     "op7_quality": op7_quality,
+    "op8_vectors": op8_vectors,
     "op9_main_text": op9_main_text,
     "op10_bpe": op10_bpe,
 }

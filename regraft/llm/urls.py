@@ -85,9 +85,9 @@ def judge(captures: DataFrame, entries: DataFrame, ident: str = "page_id") -> Da
             F.min(F.struct("list", (-F.length("pattern")).alias("shorter"), "pattern", "since")).alias("entry"),
         )
     )
-    same = [named[c].eqNullSafe(found[c]) for c in (ident, "url", "fetched")]
-    return named.join(found, same, "left").select(
-        named[ident], named.url, named.fetched, F.col("n_entries").isNotNull().alias("blocked"),
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (ident, "url", "fetched")]
+    return named.alias("n").join(found.alias("f"), same, "left").select(
+        f"n.{ident}", "n.url", "n.fetched", F.col("n_entries").isNotNull().alias("blocked"),
         F.coalesce("n_entries", F.lit(0)).alias("n_entries"), "entry.list", "entry.pattern", "entry.since",
     )
 
