@@ -83,3 +83,55 @@ def spread(frame: DataFrame, *keys) -> DataFrame:
 def texts(documents: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` (null: empty), whatever other columns there are."""
     return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of equal keys of sorted batches, each as a table."""
+    kept: list[pa.RecordBatch] = []
+
+    def key(batch: pa.RecordBatch, row: int) -> tuple:
+        return tuple(batch.column(k)[row].as_py() for k in keys)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        changed = np.zeros(batch.num_rows, bool)
+        for k in keys:
+            values = np.asarray(batch.column(k))
+            changed[1:] |= values[1:] != values[:-1]
+        cuts = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            if start == 0 and kept and key(kept[-1], 0) != key(batch, 0):
+                yield pa.Table.from_batches(kept)
+                kept = []
+            elif start > 0:
+                yield pa.Table.from_batches(kept)
+                kept = []
+            kept.append(batch.slice(start, end - start))
+    if kept:
+        yield pa.Table.from_batches(kept)
+
+
+#: Bits of a set of ids for filtering before a shuffle: 1 MB, whatever the input; full, it lets all rows pass.
+ID_BITS = 1 << 23
+
+
+def id_bits(frame: DataFrame, column: str) -> bytes:
+    """Marks the ids of a column; others may share their bits, so an exact join has to follow."""
+    place = F.expr(f"(({column} ^ shiftright({column}, 23)) & {ID_BITS - 1}L) + 1")
+    parts = (
+        frame.select(place.alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+        .collect()
+    )
+    marked = bytearray(ID_BITS // 8)
+    for part, bits in parts:  # counted from 1, 4096 bytes each
+        marked[(part - 1) * 4096 : part * 4096] = bytes(bits)
+    return bytes(marked)
+
+
+def marked_ids(bits: bytes, ids: pa.Array) -> np.ndarray:
+    values = np.asarray(ids.cast(pa.int64()).fill_null(-1))
+    place = (values ^ (values >> 23)) & (ID_BITS - 1)
+    return (np.frombuffer(bits, np.uint8)[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1

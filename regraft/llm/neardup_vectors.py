@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread, stage
+from .common import runs_of, spread, stage
 from .components import connected_components, smallest_labels
 
 FIT_VECTORS = 20_000
@@ -84,33 +84,6 @@ def fit_codes(vectors: DataFrame, sample_size: int = FIT_VECTORS) -> dict[int, t
     return models
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Runs of equal keys of sorted batches, each as a table."""
-    kept: list[pa.RecordBatch] = []
-
-    def key(batch: pa.RecordBatch, row: int) -> tuple:
-        return tuple(batch.column(k)[row].as_py() for k in keys)
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        changed = np.zeros(batch.num_rows, bool)
-        for k in keys:
-            values = np.asarray(batch.column(k))
-            changed[1:] |= values[1:] != values[:-1]
-        cuts = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
-        for start, end in zip(cuts, cuts[1:]):
-            if start == 0 and kept and key(kept[-1], 0) != key(batch, 0):
-                yield pa.Table.from_batches(kept)
-                kept = []
-            elif start > 0:
-                yield pa.Table.from_batches(kept)
-                kept = []
-            kept.append(batch.slice(start, end - start))
-    if kept:
-        yield pa.Table.from_batches(kept)
-
-
 def _meetings(entries: DataFrame) -> DataFrame:
     """Entries ``id, dim, code, ...`` dealt to blocks of buckets: ``tab, bucket, low, high, home, block, ...``."""
     own = F.expr(f"shiftrightunsigned(code, tab * {SUBSTRING}) & {(1 << SUBSTRING) - 1}")
@@ -155,7 +128,7 @@ def _met(group: pa.Table, radius: int) -> tuple[np.ndarray, np.ndarray]:
 def _with_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: list[np.ndarray] = []
     held = 0
-    for group in _groups(batches, _KEYS):
+    for group in runs_of(batches, _KEYS):
         if group.num_rows < 2:
             continue
         i, j = _met(group, RADIUS)
@@ -172,7 +145,7 @@ def _with_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def _linked(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """``a, b, n``: with ``b`` an edge of a forest that connects the linked; without, ``n`` links of ``a``."""
-    for group in _groups(batches, _KEYS):
+    for group in runs_of(batches, _KEYS):
         if group.num_rows < 2:
             continue
         i, j = _met(group, RADIUS)

@@ -13,6 +13,7 @@ from .decontaminate import contamination
 from .html import main_text
 from .licenses import license_scan
 from .neardup_vectors import near_duplicates
+from .ngram_join import jaccard_classes
 from .quality import quality
 from .urls import host, judge, path
 
@@ -75,6 +76,10 @@ def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(table(spark, folder, "documents"))
 
 
+def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_classes(table(spark, folder, "documents"), 4, 85)
+
+
 def op6_contamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -98,6 +103,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op3_licenses": op3_licenses,
+    "op4_jaccard": op4_jaccard,
     "op6_contamination": op6_contamination,
     "op7_quality": op7_quality,
     "op8_vectors": op8_vectors,
