@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch, stage, texts
+from .common import id_bits, marked_ids, per_batch, stage, texts
 
 SLOTS = 1 << 16
 #: Labelled rows that the linear model is fitted on; the log-count ratios use all.
@@ -122,8 +122,8 @@ def class_counts(labelled: DataFrame) -> np.ndarray:
     def count(batches):
         counts = np.zeros((2, SLOTS), np.int64)
         for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                counts[label, indicators(text)] += 1
+            for slots, label in zip(batch.column("slots").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                counts[label, np.frombuffer(slots, np.uint16)] += 1
         parts = [(i, counts[:, i : i + CHUNK]) for i in range(0, SLOTS, CHUNK)]
         parts = [(i, part.tobytes()) for i, part in parts if part.any()]
         yield pa.RecordBatch.from_arrays(
@@ -178,17 +178,18 @@ def logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 def fit_quality(documents: DataFrame, labels: DataFrame, cost: float = 1.0, fit_rows: int = FIT_ROWS) -> QualityModel:
     """Learns from ``labels(doc_id, label)``; the log-count ratios use all of its rows."""
-    known = labels.select("doc_id", F.col("label").cast("int").alias("label")).where("label IN (0, 1)")
-    labelled = stage(texts(documents).join(known, "doc_id"), "labelled")
-    zeros, ones = class_counts(labelled.select("text", "label"))
-
-    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "text").limit(fit_rows)
+    known = labels.select("doc_id", F.col("label").cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)")
+    bits = documents.sparkSession.sparkContext.broadcast(id_bits(known, "doc_id"))
 
     def featurise(batch: pa.RecordBatch) -> pa.RecordBatch:
-        slots = [indicators(t).tobytes() for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("label"), pa.array(slots, pa.binary())], ["label", "slots"])
-
-    sample = per_batch(chosen.select("text", "label"), featurise, "label int, slots binary").collect()
+        chosen = batch.filter(pa.array(marked_ids(bits.value, batch.column("doc_id"))))
+        slots = [indicators(t).tobytes() for t in chosen.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([chosen.column("doc_id"), pa.array(slots, pa.binary())], ["doc_id", "slots"])
+
+    features = per_batch(texts(documents), featurise, "doc_id long, slots binary")
+    labelled = stage(features.hint("merge").join(known, "doc_id"), "labelled")
+    zeros, ones = class_counts(labelled.select("slots", "label"))
+    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "slots").limit(fit_rows).select("label", "slots").collect()
     y = np.array([r.label for r in sample])
     if len(set(y.tolist())) < 2:
         share = float(np.clip(y.mean(), 0.001, 0.999)) if len(y) else 0.5
