@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import bounded_sample, slices
 
 #: Pages the trees are fitted on, the ones of smallest hash below ``FIT_BYTES``.
 FIT_PAGES = 240
@@ -420,10 +420,7 @@ def extract(sources: list[str], trees: Trees) -> list[str]:
 def main_text(pages: DataFrame, sample_size: int = FIT_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     session = pages.sparkSession
-    sample = (
-        pages.where(F.length("html").between(1, FIT_BYTES))
-        .orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample_size).select("html").collect()
-    )
+    sample = bounded_sample(pages.where(F.length("html").between(1, FIT_BYTES)), "page_id", sample_size, "html").select("html").collect()
     sent = session.sparkContext.broadcast(fit_pages([r.html for r in sample]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

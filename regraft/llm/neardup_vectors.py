@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs_of, spread, stage
+from .common import bounded_sample, runs_of, spread, stage
 from .components import connected_components, smallest_labels
 
 FIT_VECTORS = 20_000
@@ -74,10 +74,7 @@ def fit_codes(vectors: DataFrame, sample_size: int = FIT_VECTORS) -> dict[int, t
     """A model for each vector length."""
     models = {}
     for dimension in sorted(r.n for r in vectors.select(F.size("embedding").alias("n")).where("n > 0").distinct().collect()):
-        rows = (
-            vectors.where(F.size("embedding") == dimension)
-            .orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_size).select("embedding").collect()
-        )
+        rows = bounded_sample(vectors.where(F.size("embedding") == dimension), "vec_id", sample_size).select("embedding").collect()
         sample = [v / np.linalg.norm(v) for r in rows if (v := usable(r.embedding)) is not None]
         if sample:
             models[dimension] = learn_rotation(np.array(sample), bits_of(dimension))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bits, marked_ids, per_batch, stage, texts
+from .common import bounded_sample, id_bits, marked_ids, per_batch, stage, texts
 
 SLOTS = 1 << 16
 #: Labelled rows that the linear model is fitted on; the log-count ratios use all.
@@ -189,7 +189,7 @@ def fit_quality(documents: DataFrame, labels: DataFrame, cost: float = 1.0, fit_
     features = per_batch(texts(documents), featurise, "doc_id long, slots binary")
     labelled = stage(features.hint("merge").join(known, "doc_id"), "labelled")
     zeros, ones = class_counts(labelled.select("slots", "label"))
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "slots").limit(fit_rows).select("label", "slots").collect()
+    sample = bounded_sample(labelled, "doc_id", fit_rows, "label", "slots").select("label", "slots").collect()
     y = np.array([r.label for r in sample])
     if len(set(y.tolist())) < 2:
         share = float(np.clip(y.mean(), 0.001, 0.999)) if len(y) else 0.5

@@ -15,6 +15,7 @@ from .licenses import license_scan
 from .neardup_vectors import near_duplicates
 from .ngram_join import jaccard_classes
 from .quality import quality
+from .suffix_dedup import repeat_digests
 from .urls import host, judge, path
 
 #: Folder of the public vocabulary files.
@@ -80,6 +81,10 @@ def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_classes(table(spark, folder, "documents"), 4, 85)
 
 
+def op5_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return repeat_digests(table(spark, folder, "documents"), 50)
+
+
 def op6_contamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op3_licenses": op3_licenses,
     "op4_jaccard": op4_jaccard,
+    "op5_suffixes": op5_suffixes,
     "op6_contamination": op6_contamination,
     "op7_quality": op7_quality,
     "op8_vectors": op8_vectors,
