@@ -14,6 +14,7 @@ from .html import main_text
 from .licenses import license_scan
 from .neardup_vectors import near_duplicates
 from .ngram_join import jaccard_classes
+from .phrases import phrase_digests
 from .quality import quality
 from .suffix_dedup import repeat_digests
 from .urls import host, judge, path
@@ -73,6 +74,10 @@ FROM p LEFT JOIN hits ON p.page_id = hits.page_id AND k = 1
 """
 
 
+def op2_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_digests(table(spark, folder, "documents"), 35)
+
+
 def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(table(spark, folder, "documents"))
 
@@ -107,6 +112,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_phrases": op2_phrases,
     "op3_licenses": op3_licenses,
     "op4_jaccard": op4_jaccard,
     "op5_suffixes": op5_suffixes,
