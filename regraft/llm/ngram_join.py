@@ -3,7 +3,7 @@
 All n-grams stand in one global order, by how often they were seen again within
 a task (rare first), then by hash. Its first fragment of a document, as long as
 two documents above the threshold must share one n-gram of it, is joined: that
-chains documents to candidate groups. The sets of the candidates then meet block
+ties documents into candidate groups. The sets of the candidates then meet block
 against block; the order is cut into fragments, the overlaps of each fragment
 are counted separately and summed per pair, and the sum decides exactly.
 
@@ -35,6 +35,8 @@ from .components import connected_components, smallest_labels
 SLOT_BITS = 20
 #: Sets that one side of a comparison holds.
 BLOCK = 256
+#: Documents of an n-gram that are tried pair by pair.
+SHORT = 32
 #: N-grams in a fragment of a comparison.
 FRAGMENT = 2048
 
@@ -145,6 +147,64 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarr
     return total
 
 
+def candidate_edges(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Edges between documents that share an n-gram of their first fragments and may be above the threshold.
+
+    Rows come by token and size. Within a token every pair of up to ``SHORT``
+    documents is tried: sizes must allow the threshold, and so must what is left
+    of both orders from this n-gram on. Longer lists chain documents of
+    neighbouring sizes, cut only where sizes are too far apart for any pair.
+    """
+    kept = np.zeros((0, 4), np.int64)  # the last token's rows so far; of a long list the last row, for the rest
+    long_list = False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("token", "n_shingles", "at", "mark")], 1)
+        same = len(kept) > 0 and rows[0, 0] == kept[0, 0]
+        if len(kept) and not same:
+            yield from _edges_of(kept, long_list, percent)
+            kept, long_list = kept[:0], False
+        rows = np.concatenate([kept, rows])
+        others = np.flatnonzero(rows[:, 0] != rows[-1, 0])
+        last = int(others[-1]) + 1 if len(others) else 0
+        if last:
+            yield from _edges_of(rows[:last], False, percent, long_list)
+            long_list = False
+        kept = rows[last:]
+        if len(kept) > SHORT:
+            yield from _edges_of(kept, True, percent)
+            kept, long_list = kept[-1:], True
+    if len(kept):
+        yield from _edges_of(kept, long_list, percent)
+
+
+def _edges_of(rows: np.ndarray, long_list: bool, percent: int, first_long: bool = False) -> Iterator[pa.RecordBatch]:
+    token, size, at, mark = rows.T
+    starts = np.concatenate([[True], token[1:] != token[:-1]])
+    run = np.cumsum(starts) - 1
+    length = np.bincount(run)
+    chained = (length > SHORT) | long_list
+    chained[0] |= first_long
+    chained = chained[run]
+    found = []
+    for step in range(1, SHORT):
+        if step >= len(rows):
+            break
+        together = token[step:] == token[:-step]
+        if not together.any():
+            break
+        i = np.flatnonzero(together & (~chained[step:] | (step == 1)))
+        j = i + step
+        i, j = i[near_ := 100 * size[i] >= percent * size[j]], j[near_]
+        left = np.minimum(size[i] - at[i], size[j] - at[j])
+        may = chained[i] | ((100 + percent) * left >= percent * (size[i] + size[j]))
+        may &= mark[i] != mark[j]
+        found.append(np.stack([mark[i[may]], mark[j[may]]], 1))
+    if found and len(pairs := np.unique(np.concatenate(found), axis=0)):
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
 _KEYS = ["grp", "low", "high"]
 
 
@@ -212,9 +272,10 @@ def jaccard_classes(documents: DataFrame, size: int = 4, percent: int = 85) -> D
     sets = stage(
         described.where("mark IS NOT NULL").groupBy("mark", "n_shingles").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "sets"
     )
-    postings = described.where("fragment IS NOT NULL").select("mark", F.explode("fragment").alias("token"))
-    chained = postings.withColumn("before", F.lag("mark").over(Window.partitionBy("token").orderBy("mark")))
-    groups = connected_components(chained.where("before != mark").select(F.col("mark").alias("a"), F.col("before").alias("b")))
+    postings = described.where("fragment IS NOT NULL").select("mark", "n_shingles", F.posexplode("fragment").alias("at", "token"))
+    order = ["token", "n_shingles", "mark"]
+    near = spread(postings, "token").sortWithinPartitions(*order).mapInArrow(lambda b: candidate_edges(b, percent), "a long, b long")
+    groups = connected_components(near)
 
     members = groups.select(F.col("node").alias("mark"), F.col("component").alias("grp")).join(sets, "mark")
     in_group = Window.partitionBy("grp").orderBy("n_shingles", "id")
