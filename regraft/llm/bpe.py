@@ -173,3 +173,23 @@ def bpe_digests(documents: DataFrame, path: str) -> DataFrame:
         )
 
     return per_batch(texts(documents), work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def bpe_documents(documents: DataFrame, path: str) -> DataFrame:
+    """``doc_id, lang, source, n_tokens, ids, decoded_sha256`` of every document, for training."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bpe = loaded(path)
+        ids = [bpe.encode(t or "") for t in batch.column("text").to_pylist()]
+        lengths = [len(i) // 4 for i in ids]
+        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        values = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
+        digests = [hashlib.sha256(bpe.decode(i).encode()).hexdigest() for i in ids]
+        kept = [batch.column(c) for c in ("doc_id", "lang", "source")]
+        return pa.RecordBatch.from_arrays(
+            [*kept, pa.array(lengths, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(digests)],
+            ["doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256"],
+        )
+
+    schema = "doc_id long, lang string, source string, n_tokens long, ids array<int>, decoded_sha256 string"
+    return per_batch(documents.select("doc_id", "text", "lang", "source"), work, schema)

@@ -143,3 +143,18 @@ def bounded_sample(frame: DataFrame, key: str, size: int, *ties: str) -> DataFra
     if total > 2 * size:
         frame = frame.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int((1 << 30) * 2 * size / total))
     return frame.orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 30)), key, *ties).limit(size)
+
+
+def without_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose ``doc_id`` isn't among ``ids``; only those that may be are shuffled."""
+    found = stage(ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), "ids")
+    bits = documents.sparkSession.sparkContext.broadcast(id_bits(found, "doc_id"))
+
+    def chosen(marked: bool):
+        def run(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(marked_ids(bits.value, batch.column("doc_id")) == marked))
+
+        return documents.mapInArrow(run, documents.schema)
+
+    return chosen(False).union(chosen(True).hint("merge").join(found, "doc_id", "left_anti").select(*documents.columns))

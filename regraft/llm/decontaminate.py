@@ -141,4 +141,4 @@ def contamination(documents: DataFrame, benchmark: DataFrame, share: float = 0.5
 def decontaminated(documents: DataFrame, benchmark: DataFrame, share: float = 0.5) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
     found = stage(contamination(documents, benchmark, share).select("doc_id").distinct(), "contaminated")
-    return documents.join(found, "doc_id", "left_anti").select(*documents.columns)
+    return documents.hint("merge").join(found, "doc_id", "left_anti").select(*documents.columns)

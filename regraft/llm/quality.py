@@ -219,6 +219,19 @@ def score_quality(documents: DataFrame, model: QualityModel) -> DataFrame:
     return per_batch(texts(documents), work, "doc_id long, score double")
 
 
+def accepted(documents: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The documents that score ``threshold`` or more, with all their columns."""
+    model = fit_quality(documents, labels.select("doc_id", F.col("quality").alias("label")))
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches):
+        for batch in batches:
+            scores = np.array([sent.value.score(indicators(t or "")) for t in batch.column("text").to_pylist()])
+            yield batch.filter(pa.array(scores >= threshold))
+
+    return documents.mapInArrow(work, documents.schema)
+
+
 def held_out():
     """Rows that are never learnt from."""
     return F.crc32(F.col("doc_id").cast("string")) % 5 == 0

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs_of, spread, stage
+from .common import runs_of, spread, stage, without_ids
 from .ngram_join import mixed
 from .seeds import bucket_bits, covered, keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, split_seed, with_seeds, with_spans
 from .suffix import MOST, repeat_classes
@@ -214,6 +214,42 @@ def kept_bytes(data: bytes, ranges: np.ndarray) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
+def whole_characters(data: bytes, ranges: np.ndarray) -> np.ndarray:
+    """Ranges drawn in to whole UTF-8 characters; those left empty go."""
+    out = []
+    for a, b in ranges.tolist():
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            out.append((a, b))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def without_repeats(documents: DataFrame, length: int) -> DataFrame:
+    """The documents with whole characters removed that an earlier document's strings cover.
+
+    All columns stay; ``n_chars`` follows the text; a document of which nothing
+    is left goes. ``doc_id`` is taken as unique.
+    """
+    given = keyed(documents)
+
+    def finish(text: str, ranges: np.ndarray) -> tuple:
+        data = text.encode()
+        return (kept_bytes(data, whole_characters(data, ranges)).decode() if len(ranges) else None,)
+
+    spans = stage(earlier_spans(given, length), "repeats")
+    touched = spans.select("doc_id").distinct()
+    cut = with_spans(given, spans, finish, [pa.field("kept", pa.string())], "doc_id long, kept string").where("kept IS NOT NULL")
+    columns = [c for c in documents.columns if c not in ("text", "n_chars")]
+    changed = documents.select(*columns).hint("merge").join(cut, "doc_id").where("kept != ''")
+    text = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return without_ids(documents, touched).union(
+        changed.select(*(text[c].alias(c) if c in text else c for c in documents.columns))
+    )
+
+
 def _finished(documents: DataFrame, length: int, digest: bool) -> DataFrame:
     given = keyed(documents)
 
