@@ -1,9 +1,10 @@
 """N-gram Jaccard join by vertical partitioning.
 
-All n-grams stand in one global order, by how often they were seen again within
-a task (rare first), then by hash. Its first fragment of a document, as long as
-two documents above the threshold must share one n-gram of it, is joined: that
-ties documents into candidate groups. The sets of the candidates then meet block
+All n-grams stand in one global order, rare ones first, then by hash. The first
+fragment of a document, as long as two documents above the threshold must share
+one n-gram of it, is joined, and its overlaps are counted per pair: where they
+and the rest can't reach the threshold the pair is out, the others tie documents
+into candidate groups. The sets of the candidates then meet block
 against block; the order is cut into fragments, the overlaps of each fragment
 are counted separately and summed per pair, and the sum decides exactly.
 
@@ -28,11 +29,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_bits, marked_ids, runs_of, spread, stage, texts
+from .common import bucket_bits, id_bits, marked_ids, runs_of, split_seed, spread, stage, texts
 from .components import connected_components, smallest_labels
 
-#: Frequency classes of n-grams are kept for so many slots of hashes (1 MB, whatever the input).
-SLOT_BITS = 20
+#: Frequency classes of n-grams are kept for so many slots of hashes (4 MB, whatever the input).
+SLOT_BITS = 22
 #: Sets that one side of a comparison holds.
 BLOCK = 256
 #: Documents of an n-gram that are tried pair by pair.
@@ -85,9 +86,14 @@ def slot(tokens: np.ndarray) -> np.ndarray:
 
 
 def frequency_classes(documents: DataFrame, size: int) -> np.ndarray:
-    """For each slot the binary logarithm of how often n-grams recur there within batches, over all documents."""
+    """For each slot the binary logarithm of its most frequent n-gram's count, over all documents.
 
-    def count(batches):
+    N-grams are counted by hash range as packed arrays. The slots are filled with
+    the most frequent, down to the class at which a sixteenth of them is taken.
+    """
+    bits = bucket_bits(documents)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             sets = {}
@@ -96,27 +102,51 @@ def frequency_classes(documents: DataFrame, size: int) -> np.ndarray:
                 sets[hashlib.blake2b(tokens.tobytes(), digest_size=8).digest()] = tokens
             if not sets:
                 continue
-            every = np.sort(np.concatenate(list(sets.values())))
-            if not len(every):
-                continue
+            bucket, rest = split_seed(np.sort(np.concatenate(list(sets.values()))), bits)
+            cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else [], len(bucket)).astype(int)
+            if len(cuts) > 1:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(bucket[cuts[:-1]].astype(np.int32)),
+                        pa.array([rest[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                    ],
+                    ["bucket", "rest"],
+                )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs_of(batches, ["bucket"]):
+            every = np.sort(np.concatenate([np.frombuffer(r, np.uint32) for r in group.column("rest").to_pylist()]))
             starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
             counts = np.diff(np.append(starts, len(every)))
-            again = counts >= 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot(every[starts[again]])), pa.array(counts[again].astype(np.int64))], ["slot", "n"]
-            )
-
-    rows = documents.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n >= 8")
+            often = counts >= 8
+            value = every[starts[often]].astype(np.uint64) | np.uint64(group.column("bucket")[0].as_py() << 32)
+            place = (value >> np.uint64(32 + bits - SLOT_BITS)).astype(np.int64)
+            kind = np.log2(counts[often]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(kind)], ["slot", "kind"])
+
+    packed = spread(documents.mapInArrow(pack, "bucket int, rest binary"), "bucket").sortWithinPartitions("bucket")
+    slots = stage(packed.mapInArrow(count, "slot long, kind int").groupBy("slot").agg(F.max("kind").alias("kind")), "slots")
+    taken, least = 0, 64
+    for kind, n in sorted(((r.kind, r.n) for r in slots.groupBy("kind").agg(F.count("*").alias("n")).collect()), reverse=True):
+        taken += n
+        if taken > 1 << SLOT_BITS - 4:
+            break
+        least = kind
     classes = np.zeros(1 << SLOT_BITS, np.uint8)
-    found = rows.toArrow()  # a row for each slot at most
+    found = slots.where(F.col("kind") >= least).toArrow()  # a sixteenth of the slots at most
     if found.num_rows:
-        classes[np.asarray(found.column("slot"))] = np.log2(np.asarray(found.column("n"))).astype(np.uint8)
+        classes[np.asarray(found.column("slot"))] = np.asarray(found.column("kind")).astype(np.uint8)
     return classes
 
 
+def fragment_length(count: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """One n-gram more than may be missing from a partner."""
+    return count + (-percent * count // 100) + 1
+
+
 def first_fragment(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
-    """The first n-grams of the global order, one more than may be missing from a partner."""
-    length = len(tokens) - -(-percent * len(tokens) // 100) + 1
+    """The first n-grams of the global order."""
+    length = fragment_length(len(tokens), percent)
     own = classes[slot(tokens)]
     rare = tokens[own == 0]
     if len(rare) >= length:
@@ -148,19 +178,20 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarr
 
 
 def candidate_edges(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Edges between documents that share an n-gram of their first fragments and may be above the threshold.
+    """``a, b, shared, least``: n-grams that first fragments share, and how many the pair has to share there.
 
     Rows come by token and size. Within a token every pair of up to ``SHORT``
-    documents is tried: sizes must allow the threshold, and so must what is left
-    of both orders from this n-gram on. Longer lists chain documents of
-    neighbouring sizes, cut only where sizes are too far apart for any pair.
+    documents whose sizes allow the threshold is counted. Longer lists chain
+    documents of neighbouring sizes, cut only where sizes are too far apart for
+    any pair. A pair's overlap is what the fragments share and at most what the
+    longer rest holds, which gives ``least``.
     """
-    kept = np.zeros((0, 4), np.int64)  # the last token's rows so far; of a long list the last row, for the rest
+    kept = np.zeros((0, 3), np.int64)  # the last token's rows so far; of a long list the last row, for the rest
     long_list = False
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("token", "n_shingles", "at", "mark")], 1)
+        rows = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("token", "n_shingles", "mark")], 1)
         same = len(kept) > 0 and rows[0, 0] == kept[0, 0]
         if len(kept) and not same:
             yield from _edges_of(kept, long_list, percent)
@@ -180,7 +211,8 @@ def candidate_edges(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator
 
 
 def _edges_of(rows: np.ndarray, long_list: bool, percent: int, first_long: bool = False) -> Iterator[pa.RecordBatch]:
-    token, size, at, mark = rows.T
+    token, size, mark = rows.T
+    rest = size - fragment_length(size, percent)
     starts = np.concatenate([[True], token[1:] != token[:-1]])
     run = np.cumsum(starts) - 1
     length = np.bincount(run)
@@ -196,13 +228,16 @@ def _edges_of(rows: np.ndarray, long_list: bool, percent: int, first_long: bool
             break
         i = np.flatnonzero(together & (~chained[step:] | (step == 1)))
         j = i + step
-        i, j = i[near_ := 100 * size[i] >= percent * size[j]], j[near_]
-        left = np.minimum(size[i] - at[i], size[j] - at[j])
-        may = chained[i] | ((100 + percent) * left >= percent * (size[i] + size[j]))
-        may &= mark[i] != mark[j]
-        found.append(np.stack([mark[i[may]], mark[j[may]]], 1))
-    if found and len(pairs := np.unique(np.concatenate(found), axis=0)):
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        near = (100 * size[i] >= percent * size[j]) & (mark[i] != mark[j])
+        i, j = i[near], j[near]
+        least = -(-percent * (size[i] + size[j]) // (100 + percent)) - np.maximum(rest[i], rest[j])
+        found.append(np.stack([np.minimum(mark[i], mark[j]), np.maximum(mark[i], mark[j]), np.where(chained[i], 0, least)], 1))
+    if found and len(every := np.concatenate(found)):
+        pairs, shared = np.unique(every, axis=0, return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.array(pairs[:, k]) for k in range(2)), pa.array(shared.astype(np.int64)), pa.array(pairs[:, 2])],
+            ["a", "b", "shared", "least"],
+        )
 
 
 _KEYS = ["grp", "low", "high"]
@@ -272,9 +307,12 @@ def jaccard_classes(documents: DataFrame, size: int = 4, percent: int = 85) -> D
     sets = stage(
         described.where("mark IS NOT NULL").groupBy("mark", "n_shingles").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "sets"
     )
-    postings = described.where("fragment IS NOT NULL").select("mark", "n_shingles", F.posexplode("fragment").alias("at", "token"))
+    postings = described.where("fragment IS NOT NULL").select("mark", "n_shingles", F.explode("fragment").alias("token"))
     order = ["token", "n_shingles", "mark"]
-    near = spread(postings, "token").sortWithinPartitions(*order).mapInArrow(lambda b: candidate_edges(b, percent), "a long, b long")
+    counted = spread(postings, "token").sortWithinPartitions(*order).mapInArrow(
+        lambda b: candidate_edges(b, percent), "a long, b long, shared long, least long"
+    )
+    near = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("least").alias("least")).where("shared >= least")
     groups = connected_components(near)
 
     members = groups.select(F.col("node").alias("mark"), F.col("component").alias("grp")).join(sets, "mark")

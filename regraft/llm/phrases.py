@@ -23,9 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import runs_of, spread, stage
+from .common import bucket_bits, runs_of, split_seed, spread, stage
 from .ngram_join import WordHashes, sequences
-from .seeds import bucket_bits, keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, split_seed, with_seeds, with_spans
+from .seeds import keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, with_seeds, with_spans
 
 GRAM = 8
 #: Words that the passages of one automaton hold; further passages go to the next.

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bits, marked_ids, runs_of, spread, stage, texts
+from .common import id_bits, marked_ids, runs_of, split_seed, spread, stage, texts
 
 #: Rows of a batch that share one packed exchange.
 PACKED_ROWS = 60_000
@@ -45,16 +45,6 @@ def seeds(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return starts, np.append(starts[1:], count), (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def bucket_bits(frame: DataFrame) -> int:
-    partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4, min(16, (partitions - 1).bit_length()))
-
-
-def split_seed(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and the next 32 bits."""
-    return (values >> np.uint64(64 - bits)).astype(np.uint16), (values >> np.uint64(32 - bits)).astype(np.uint32)
-
-
 def recurring_seeds(given: DataFrame, seeds_of: Callable[[str], np.ndarray], bits: int) -> DataFrame:
     """``doc_id, mark, found``: packed seeds of a text, by bucket, that were given more than once.
 

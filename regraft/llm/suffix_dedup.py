@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs_of, spread, stage, without_ids
+from .common import bucket_bits, runs_of, split_seed, spread, stage, without_ids
 from .ngram_join import mixed
-from .seeds import bucket_bits, covered, keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, split_seed, with_seeds, with_spans
+from .seeds import covered, keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, with_seeds, with_spans
 from .suffix import MOST, repeat_classes
 
 GRAM = 16
