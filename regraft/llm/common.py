@@ -168,3 +168,16 @@ def bucket_bits(frame: DataFrame) -> int:
 def split_seed(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and the next 32 bits."""
     return (values >> np.uint64(64 - bits)).astype(np.uint16), (values >> np.uint64(32 - bits)).astype(np.uint32)
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of few rows, where Python objects are made of them."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
+def rows_of(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """Rows of a batch, made into Python objects a few at a time."""
+    for part in pieces(iter([batch])):
+        yield from zip(*(part.column(c).to_pylist() for c in columns), strict=True)

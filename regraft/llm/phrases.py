@@ -23,11 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bucket_bits, runs_of, split_seed, spread, stage
+from .common import bucket_bits, rows_of, runs_of, split_seed, spread, stage
 from .ngram_join import WordHashes, sequences
 from .seeds import keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, with_seeds, with_spans
 
 GRAM = 8
+#: Each hash range of the seeds is confirmed in so many parts, as a power of two.
+MERGE_BITS = 2
 #: Words that the passages of one automaton hold; further passages go to the next.
 AUTOMATON_WORDS = 400_000
 
@@ -96,14 +98,14 @@ def recurring_spans(given: DataFrame, length: int) -> DataFrame:
         own_hashes = WordHashes()
         for batch in batches:
             sent: dict[bytes, list] = {}
-            for doc, mark, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "text", "found"))):
+            for doc, mark, text, found in rows_of(batch, "doc_id", "mark", "text", "found"):
                 words = text.encode().split()
                 values = grams(own_hashes.of(words))
                 starts, ends, at = seeds(values, width)
                 for k in np.flatnonzero(recurring(values[at], found, bits)).tolist():
                     a, b = int(starts[k]), int(ends[k]) - 1 + length
                     sent.setdefault(b" ".join(words[a:b]), []).append((int(values[at[k]]), doc, mark, a, b))
-            yield from _packed(sent, bits)
+            yield from _packed(sent, bits + MERGE_BITS)
 
     found = recurring_seeds(given, seeds_of, bits)
     schema = "bucket int, doc_id long, mark long, data binary, texts binary, weights binary, owners binary"

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bits, marked_ids, runs_of, split_seed, spread, stage, texts
+from .common import id_bits, marked_ids, rows_of, runs_of, split_seed, spread, stage, texts
 
 #: Rows of a batch that share one packed exchange.
 PACKED_ROWS = 60_000
@@ -55,7 +55,7 @@ def recurring_seeds(given: DataFrame, seeds_of: Callable[[str], np.ndarray], bit
         for whole in batches:
             for begin in range(0, whole.num_rows, PACKED_ROWS):
                 batch = whole.slice(begin, PACKED_ROWS)
-                each = [seeds_of(t) for t in batch.column("text").to_pylist()]
+                each = [seeds_of(t) for (t,) in rows_of(batch, "text")]
                 values = np.concatenate(each)
                 who = np.repeat(np.arange(len(each)), [len(e) for e in each])
                 bucket, rest = split_seed(values, bits)
@@ -175,7 +175,7 @@ def with_spans(given: DataFrame, spans: DataFrame, finish: Callable[[str, np.nda
     def alone(batches):
         for batch in batches:
             rest = batch.filter(pa.array(~marked_ids(bits.value, batch.column("doc_id"))))
-            yield made(rest, [finish(t, none) for t in rest.column("text").to_pylist()])
+            yield made(rest, [finish(t, none) for (t,) in rows_of(rest, "text")])
 
     def candidates(batches):
         for batch in batches:
@@ -183,8 +183,7 @@ def with_spans(given: DataFrame, spans: DataFrame, finish: Callable[[str, np.nda
 
     def cut(batches):
         for batch in batches:
-            pairs = zip(batch.column("text").to_pylist(), batch.column("data").to_pylist())
-            yield made(batch, [finish(t, covered(d) if d else none) for t, d in pairs])
+            yield made(batch, [finish(t, covered(d) if d else none) for t, d in rows_of(batch, "text", "data")])
 
     chosen = given.mapInArrow(candidates, "doc_id long, mark long, text string")
     together = chosen.hint("merge").join(gathered, ["doc_id", "mark"], "left")

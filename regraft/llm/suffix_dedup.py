@@ -1,7 +1,7 @@
 """Substrings that occur in an earlier document: suffix arrays of shards, merged by binary search.
 
 Seeds tell which regions of a text can hold a string of another text. Each task
-lines up such regions into shards of up to 2 MB, orders their suffixes, and
+lines up such regions into shards of up to 1 MB, orders their suffixes, and
 finds the classes of equal strings by their common prefixes: what has an earlier
 document in its shard is settled. The first occurrences of each shard go on, by
 seed hash, to where the shards are merged: there every shard's strings are
@@ -24,15 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, runs_of, split_seed, spread, stage, without_ids
+from .common import bucket_bits, pieces, runs_of, split_seed, spread, stage, without_ids
 from .ngram_join import mixed
 from .seeds import covered, keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, with_seeds, with_spans
-from .suffix import MOST, repeat_classes
+from .suffix import repeat_classes
 
 GRAM = 16
+#: Each hash range of the seeds is merged in so many parts, as a power of two.
+MERGE_BITS = 2
 _M = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Regions of a shard; a longer one is cut, with an overlap of a string.
-SHARD = MOST - 4096
+SHARD = 1_000_000
 
 
 def _eights(data: bytes) -> np.ndarray:
@@ -79,7 +81,7 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
 
     def regions(batches) -> Iterator[tuple]:
         """``(doc, mark, offset, bytes, starts, ends, seed hashes)`` of merged candidate windows."""
-        for batch in batches:
+        for batch in pieces(batches):
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "mark", "text", "found")]
             for doc, mark, text, found in zip(*columns):
                 data = text.encode()
@@ -125,7 +127,7 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
                     a, b = int(starts[k]), int(ends[k])
                     sent.append((value[k], doc, mark, offset + a, data[a : b - 1 + length]))
                 base += len(data) + 1
-            yield from _packed(spans, sent, bits)
+            yield from _packed(spans, sent, bits + MERGE_BITS)
 
     found = recurring_seeds(given, seeds_of, bits)
     both = stage(
