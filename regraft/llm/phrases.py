@@ -3,9 +3,11 @@
 Seeds tell which regions of a text can hold a recurring window. Regions go, by
 seed hash, to shards that hold all regions of a seed, copies within a task as
 one. A shard confirms the windows that recur, joins those that follow each other
-to passages, compiles the passages into Aho-Corasick automata over words, and
-streams all its regions through them to find every occurrence. Each window that
-recurs is part of a passage of its own region, so every word it covers is found.
+to passages, compiles windows that cover the passages into an Aho-Corasick
+automaton over words, and streams all its regions through it to find every
+occurrence. Each window that recurs is part of a passage of its own region, so
+every word it covers is found. All regions of all documents go through the
+automaton that can hold their passages.
 
 Defined results: null, empty and blank texts have no words; texts shorter than a
 window keep all words; a window that recurs within one text counts; rows that
@@ -30,11 +32,11 @@ from .seeds import keyed, merged, recurring, recurring_seeds, seeds, spans_bytes
 GRAM = 8
 #: Each hash range of the seeds is confirmed in so many parts, as a power of two.
 MERGE_BITS = 2
-#: Words that the passages of one automaton hold; further passages go to the next.
-AUTOMATON_WORDS = 400_000
+#: Regions whose passages make one automaton; those of a seed stay together.
+SHARD = 2_000
 
 
-def _confirmed(contexts: list[list[bytes]], weights: list[int], length: int, hashes: WordHashes) -> list[np.ndarray]:
+def _confirmed(contexts: list[list[bytes]], weights: np.ndarray, length: int, hashes: WordHashes) -> list[np.ndarray]:
     """For each context which windows recur: seen twice, or in a context that stands for several."""
     keys = [sequences(hashes.of(words), length) for words in contexts]
     every = np.concatenate(keys)
@@ -44,40 +46,24 @@ def _confirmed(contexts: list[list[bytes]], weights: list[int], length: int, has
     return np.split(recurs, np.cumsum([len(k) for k in keys])[:-1])
 
 
-def _passages(contexts: list[list[bytes]], confirmed: list[np.ndarray], length: int) -> list[tuple[bytes, ...]]:
-    found = set()
-    for words, recurs in zip(contexts, confirmed):
-        starts = np.flatnonzero(recurs)
-        for a, b in np.stack(merged_runs(starts), 1).tolist() if len(starts) else ():
-            found.add(tuple(words[a : b + length]))
-    return sorted(found)
+def passage_windows(words: list[bytes], recurs: np.ndarray, length: int) -> list[tuple[bytes, ...]]:
+    """Recurring windows that together cover the passages of a context: end to end, and the last of each."""
+    starts = np.flatnonzero(recurs)
+    if not len(starts):
+        return []
+    breaks = np.flatnonzero(np.diff(starts) != 1)
+    firsts, lasts = starts[np.append(0, breaks + 1)].tolist(), starts[np.append(breaks, len(starts) - 1)].tolist()
+    return [tuple(words[k : k + length]) for a, b in zip(firsts, lasts) for k in [*range(a, b, length), b]]
 
 
-def merged_runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last of each run of consecutive numbers."""
-    breaks = np.flatnonzero(np.diff(starts) != 1)
-    return starts[np.append(0, breaks + 1)], starts[np.append(breaks, len(starts) - 1)]
-
-
-def locate(contexts: list[list[bytes]], passages: list[tuple[bytes, ...]]) -> list[list[tuple[int, int]]]:
-    """For each context the word ranges where any passage occurs."""
-    out: list[list[tuple[int, int]]] = [[] for _ in contexts]
-    begin = 0
-    while begin < len(passages):
-        end, held = begin, 0
-        while end < len(passages) and (end == begin or held + len(passages[end]) <= AUTOMATON_WORDS):
-            held += len(passages[end])
-            end += 1
-        numbers: dict[bytes, int] = {}
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for passage in passages[begin:end]:
-            automaton.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in passage), len(passage))
-        automaton.make_automaton()
-        for words, hits in zip(contexts, out):
-            for last, size in automaton.iter(tuple(numbers.get(w, 0) for w in words)):
-                hits.append((last - size + 1, last + 1))
-        begin = end
-    return out
+def locate(contexts: list[list[bytes]], windows: set[tuple[bytes, ...]], length: int) -> list[list[int]]:
+    """For each context where any of the windows begins: one automaton over words, all contexts streamed through it."""
+    numbers: dict[bytes, int] = {}
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    for window in windows:
+        automaton.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in window), 1)
+    automaton.make_automaton()
+    return [[last + 1 - length for last, _ in automaton.iter(tuple(numbers.get(w, 0) for w in words))] for words in contexts]
 
 
 def recurring_spans(given: DataFrame, length: int) -> DataFrame:
@@ -114,21 +100,28 @@ def recurring_spans(given: DataFrame, length: int) -> DataFrame:
     def confirm(batches) -> Iterator[pa.RecordBatch]:
         own_hashes = WordHashes()
         for group in runs_of(batches, ["bucket"]):
-            contexts: list[list[bytes]] = []
-            weights: list[int] = []
-            owners: list[np.ndarray] = []
-            for row in group.select(["texts", "weights", "owners"]).to_pylist():
-                contexts += [t.split(b" ") for t in row["texts"].split(b"\n")]
-                weights += np.frombuffer(row["weights"], np.int64).tolist()
-                owners.append(np.frombuffer(row["owners"], np.int64).reshape(-1, 3))
-            who = np.concatenate(owners)
-            confirmed = _confirmed(contexts, weights, length, own_hashes)
-            hits = locate(contexts, _passages(contexts, confirmed, length))
+            texts: list[bytes] = []
+            for row in group.column("texts").to_pylist():
+                texts += row.split(b"\n")
+            weights = np.concatenate([np.frombuffer(w, np.int64) for w in group.column("weights").to_pylist()])
+            owners = np.concatenate([np.frombuffer(o, np.int64).reshape(-1, 4) for o in group.column("owners").to_pylist()])
+            order = np.argsort(owners[:, 3], kind="stable")
+            seed = owners[order, 3]
+            # regions of one seed together, about SHARD at a time
+            begins = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
+            cuts = [*begins[np.unique(np.searchsorted(begins, np.arange(0, len(order), SHARD)).clip(max=len(begins) - 1))].tolist(), len(order)]
             rows = []
-            for (doc, mark, offset), ranges, weight in zip(who.tolist(), hits, weights):
-                if ranges and weight == 1:  # the copies of a task's own are settled there
-                    pairs = np.array(sorted(ranges), np.int64) + offset
-                    rows.append((doc, mark, np.stack(merged(pairs[:, 0], pairs[:, 1]), 1).tobytes()))
+            for a, b in zip(cuts, cuts[1:]):
+                own = order[a:b].tolist()
+                contexts = [texts[i].split(b" ") for i in own]
+                confirmed = _confirmed(contexts, weights[own], length, own_hashes)
+                windows = {w for words, recurs in zip(contexts, confirmed) for w in passage_windows(words, recurs, length)}
+                if not windows:
+                    continue
+                for i, hits in zip(own, locate(contexts, windows, length)):
+                    if hits and weights[i] == 1:  # the copies of a task's own are settled there
+                        doc, mark, offset, _ = owners[i].tolist()
+                        rows.append((doc, mark, spans_bytes(np.array(hits, np.int64) + offset, length)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "mark", "data"]
@@ -153,15 +146,16 @@ def _packed(sent: dict[bytes, list], bits: int) -> Iterator[pa.RecordBatch]:
         rows.append((None, doc, mark, np.stack(merged(pairs[:, 0], pairs[:, 1]), 1).tobytes(), None, None, None))
     items = list(sent.items())
     if items:
-        bucket, _ = split_seed(np.array([p[0][0] for _, p in items], np.uint64), bits)
-        order = np.argsort(bucket, kind="stable")
+        values = np.array([p[0][0] for _, p in items], np.uint64)
+        bucket, _ = split_seed(values, bits)
+        order, signed = np.argsort(bucket, kind="stable"), values.view(np.int64)
         cuts = [0, *(np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1).tolist(), len(order)]
         for a, b in zip(cuts, cuts[1:]):
             own = [items[i] for i in order[a:b].tolist()]
             rows.append((
                 int(bucket[order[a]]), None, None, None, b"\n".join(t for t, _ in own),
                 np.array([len(p) for _, p in own], np.int64).tobytes(),
-                np.array([(p[0][1] if p[0][1] is not None else -1, p[0][2], p[0][3]) for _, p in own], np.int64).tobytes(),
+                np.array([(p[0][1] if p[0][1] is not None else -1, p[0][2], p[0][3], v) for (_, p), v in zip(own, signed[order[a:b]])], np.int64).tobytes(),
             ))
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
