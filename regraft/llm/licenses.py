@@ -87,6 +87,18 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+def densest(words: list[str], low: int, high: int, template: list[str]) -> tuple[int, int, int]:
+    """Most aligned words that lie within twice the template, their first and last place."""
+    near = [(i + low, j) for i, j in align(words[low:high], template)]
+    best, left = (0, 0, 0), 0
+    for right in range(len(near)):
+        while near[right][0] - near[left][0] >= 2 * len(template):
+            left += 1
+        if right - left + 1 > best[0]:
+            best = right - left + 1, near[left][0], near[right][0]
+    return best
+
+
 def scan(text: str, templates: dict[str, list[str]], least: float) -> list[tuple[str, float, int, int]]:
     """``(name, coverage, start, end)`` with the span in characters."""
     found = list(WORDS.finditer(text))
@@ -110,23 +122,18 @@ def scan(text: str, templates: dict[str, list[str]], least: float) -> list[tuple
             if allowed < 0:
                 break
         matches, seen = [], -1
-        for at in sorted(i for w in rarest for i in places.get(w, ())):
+        for at, word in sorted((i, w) for w in rarest for i in places.get(w, ())):
             if at <= seen:
                 continue
-            low, high = max(0, at - 2 * size), min(len(words), at + 2 * size)
-            pairs = align(words[low:high], template)
-            near = [(i + low, j) for i, j in pairs]
-            # the densest part that lies within twice the template
-            best, left = (0, 0, 0), 0
-            for right in range(len(near)):
-                while near[right][0] - near[left][0] >= 2 * size:
-                    left += 1
-                best = max(best, (right - left + 1, -left, right))
-            if best[0] >= size - missing:
-                start, end = near[-best[1]][0], near[best[2]][0]
-                matches.append((best[0] / size, start, end))
-                if best[0] == size and end - start + 1 == size:
-                    seen = end
+            # close around where the template would lie, so that a copy next to it doesn't blur the anchors; else wider
+            spots = [(at - j - missing, at - j + size + missing) for j, w in enumerate(template) if w == word]
+            for low, high in [*spots, (at - 2 * size, at + 2 * size)]:
+                best, start, end = densest(words, max(0, low), min(len(words), high), template)
+                if best >= size - missing:
+                    matches.append((best / size, start, end))
+                    if best == size == end - start + 1:
+                        seen = end
+                        break
         taken: list[tuple[int, int]] = []
         for coverage, start, end in sorted(set(matches), key=lambda m: (-m[0], m[2] - m[1], m[1])):
             if all(end < a or start > b for a, b in taken):
