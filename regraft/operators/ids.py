@@ -8,10 +8,8 @@ two parts:
   unique, so ranking a bucket never takes more than 2**16 narrow rows;
 * the buckets are counted and their totals summed up in bucket order.
 
-The totals are one row per 2**16 ids of the id range: ten million for a
-table of 600 billion dense ids. For ids strewn over the 64-bit range, where a
-bucket may hold a single row, ``sparse`` sums in further steps of 2**16, so that
-the last window sees at most 2**16 rows whatever the ids are.
+The totals are summed in steps of 2**16 buckets, so that no window sees more
+than 2**16 rows, dense ids or strewn over the 64-bit range.
 
 The result depends on values only, so a retried task gives the same ids.
 """
@@ -50,7 +48,7 @@ def _summed_before(counts: DataFrame, bits_left: int) -> DataFrame:
 
 
 def fill_new_ids(
-    matches: DataFrame, start: int | Column, step: int = STEP, sparse: bool = False
+    matches: DataFrame, start: int | Column, step: int = STEP
 ) -> DataFrame:
     """Give every unmatched row of ``(old_id, new_id, ...)`` a fresh id.
 
@@ -69,7 +67,7 @@ def fill_new_ids(
     counts = counted.groupBy(F.expr(f"{bucket} AS bucket")).agg(
         F.expr("count(CASE WHEN new_id IS NULL THEN old_id END) AS n")
     )
-    before = _summed_before(counts, ID_BITS - DIGIT_BITS if sparse else DIGIT_BITS)
+    before = _summed_before(counts, ID_BITS - DIGIT_BITS)
 
     missing_so_far = f"""
         sum(CASE WHEN new_id IS NULL THEN 1 ELSE 0 END)
@@ -91,10 +89,9 @@ def allocate_ids(
     start: int | Column,
     step: int = STEP,
     id_column: str = "Id",
-    sparse: bool = False,
 ) -> DataFrame:
     """``(old_id, new_id)`` for every row, none of them matched to anything."""
     unmatched = rows.selectExpr(
         f"CAST({id_column} AS BIGINT) AS old_id", "CAST(NULL AS BIGINT) AS new_id"
     )
-    return fill_new_ids(unmatched, start, step, sparse).select("old_id", "new_id")
+    return fill_new_ids(unmatched, start, step).select("old_id", "new_id")

@@ -54,16 +54,16 @@ class Moved:
 
 @dataclass(frozen=True)
 class Outcome:
-    """What a transfer leaves: rows to append, tables to replace, relationships."""
+    """What a transfer leaves: rows to append, settings ``(Name, Value)`` to update, relationships."""
 
     rows: Mapping[str, DataFrame] = field(default_factory=dict)
-    replaced: Mapping[str, DataFrame] = field(default_factory=dict)
+    updated: Mapping[str, DataFrame] = field(default_factory=dict)
     rels: Mapping[str, Relationship] = field(default_factory=dict)
 
     def and_then(self, other: Outcome) -> Outcome:
         return Outcome(
             {**self.rows, **other.rows},
-            {**self.replaced, **other.replaced},
+            {**self.updated, **other.updated},
             {**self.rels, **other.rels},
         )
 

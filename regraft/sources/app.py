@@ -10,10 +10,19 @@ from pyspark.sql import functions as F
 from regraft.operators.diff import append_rows, column_types, schema_rows
 from regraft.operators.ids import high_water
 from regraft.operators.settings import setting
+from regraft.sources.sinks import read_wide
 
 Reader = Callable[[str], DataFrame]
 
 
+def even_split(low: int | None, high: int | None, parallelism: int) -> dict[str, str]:
+    """Options of a JDBC read in ranges of ids, two for each core; none for an empty table."""
+    if low is None or high is None:
+        return {}
+    parts = max(1, min(2 * parallelism, high - low + 1))
+    return {"partitionColumn": "Id", "lowerBound": str(low), "upperBound": str(high + 1), "numPartitions": str(parts)}
+
+
 class App:
     """Tables by name. Immutable: changes give a new ``App``."""
 
@@ -23,8 +32,10 @@ class App:
         reader: Reader,
         tables: Mapping[str, DataFrame] | None = None,
         next_ids: Mapping[str, int] | None = None,
+        place: str = "",
     ) -> None:
         self.name = name
+        self.place = place
         self._reader = reader
         self._tables = dict(tables or {})
         self._next_ids = dict(next_ids or {})
@@ -38,7 +49,7 @@ class App:
 
     @classmethod
     def parquet(cls, spark: SparkSession, name: str, root: str, **kwargs) -> App:
-        return cls(name, lambda table: spark.read.parquet(f"{root}/{table}"), **kwargs)
+        return cls(name, lambda table: read_wide(spark, f"{root}/{table}"), place=root, **kwargs)
 
     @classmethod
     def jdbc(
@@ -49,13 +60,24 @@ class App:
         split: Mapping[str, Mapping[str, str]] | None = None,
         **kwargs,
     ) -> App:
-        """``split[table]`` holds partitionColumn, lowerBound, upperBound, numPartitions."""
+        """``split[table]`` holds partitionColumn, lowerBound, upperBound, numPartitions.
+
+        Without it a table with a whole-number ``Id`` is split evenly between
+        its least and greatest, which the database is asked for; other tables
+        are read by one task.
+        """
 
         def read(table: str) -> DataFrame:
-            how = {**options, **(split or {}).get(table, {}), "dbtable": table}
-            return spark.read.format("jdbc").options(**how).load()
+            reader = spark.read.format("jdbc").options(**options)
+            how = (split or {}).get(table)
+            if how is None:
+                kinds = dict(reader.option("dbtable", table).load().dtypes)
+                if kinds.get("Id") in ("int", "bigint"):
+                    asked = reader.option("dbtable", f"(SELECT MIN(Id) AS low, MAX(Id) AS high FROM {table}) AS bounds")
+                    how = even_split(*asked.load().first(), spark.sparkContext.defaultParallelism)
+            return spark.read.format("jdbc").options(**{**options, **(how or {}), "dbtable": table}).load()
 
-        return cls(name, read, **kwargs)
+        return cls(name, read, place=options["url"], **kwargs)
 
     def table(self, name: str, columns: Sequence[str] = ()) -> DataFrame:
         """A table, or the named columns of it only; they are pruned in the scan."""
@@ -89,7 +111,7 @@ class App:
         return setting(self.table("AppSetting"), name)
 
     def replaced(self, **tables: DataFrame) -> App:
-        return App(self.name, self._reader, {**self._tables, **tables}, self._next_ids)
+        return App(self.name, self._reader, {**self._tables, **tables}, self._next_ids, self.place)
 
     def appended(self, **rows: DataFrame) -> App:
         """The app as it will be once the rows are in."""

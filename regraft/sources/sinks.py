@@ -1,43 +1,121 @@
-"""Where rows go: appended, upserted, or as a snapshot to look at.
+"""Where rows go: appended, updated by key, or as a snapshot to look at.
 
-Each sink writes from the executors. An append leaves out rows whose key is
-there already, so publishing again after a failure adds nothing twice.
+Each sink writes from the executors. Nothing is left out without a word: columns
+that the target lacks widen it, a value that doesn't fit the target's type stops
+the write, and so does an id that another row holds. Rows that are there already
+as a whole are not added twice, so publishing again after a failure is safe.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regraft.operators.diff import add_columns, append_rows, column_types, pick
+from regraft.operators.diff import append_rows, column_types, pick
 from regraft.operators.integrity import without_existing
 
 BATCH_ROWS = 10_000
+SHOWN = 5
 
 
-def in_layout_of(rows: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows with the target's columns, order and types."""
+class IdsTaken(ValueError):
+    """Rows to publish whose ids other rows of the target hold."""
+
+
+def read_wide(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table with all columns that any of its files has."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
+def in_types_of(rows: DataFrame, target: DataFrame) -> DataFrame:
+    """Rows with the target's types where it has the column; their other columns stay."""
     kinds = column_types(target.schema)
-    shaped = add_columns(rows, kinds)
-    return shaped.select(*[F.col(c).cast(kinds[c]).alias(c) for c in target.columns])
+    return rows.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else c for c in rows.columns])
+
+
+def fresh_rows(rows: DataFrame, target: DataFrame, keys: Sequence[str] = ("Id",)) -> DataFrame:
+    """The rows whose keys the target lacks; stops if an id is held by a row that differs."""
+    shaped = in_types_of(rows, target)
+    if tuple(keys) == ("Id",):
+        shared = [c for c in shaped.columns if c in target.columns]
+        held = target.select(*[F.col(c).alias(f"held_{c}") for c in shared])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"held_{c}")) for c in shared])
+        # a column that the target lacks would be null there
+        same = reduce(and_, [F.col(c).isNull() for c in shaped.columns if c not in shared], same)
+        taken = shaped.join(held, F.col("Id") == F.col("held_Id")).where(~same).select("Id").limit(SHOWN)
+        if found := [r.Id for r in taken.collect()]:
+            raise IdsTaken(f"other rows hold ids of ours, such as {found}")
+    return without_existing(shaped, target, keys, nulls_equal=True)
 
 
 def append_parquet(rows: DataFrame, path: str, keys: Sequence[str] = ("Id",)) -> None:
-    target = rows.sparkSession.read.parquet(path)
-    fresh = without_existing(in_layout_of(rows, target), target, keys, nulls_equal=True)
-    fresh.write.mode("append").parquet(path)
+    """Adds files in the rows' own columns; :func:`read_wide` shows the columns that are new."""
+    fresh_rows(rows, read_wide(rows.sparkSession, path), keys).write.mode("append").parquet(path)
 
 
 def replace_parquet(table: DataFrame, path: str) -> None:
-    """Overwrite a table. ``table`` must not read from ``path``: stage it first."""
-    table.write.mode("overwrite").parquet(path)
+    """Writes a table beside the one at ``path`` and swaps them, so that a failure leaves one of the two."""
+    context = table.sparkSession.sparkContext
+    fresh, old = f"{path}-{uuid.uuid4().hex}", f"{path}-{uuid.uuid4().hex}"
+    table.write.parquet(fresh)
+    place, before, after = (context._jvm.org.apache.hadoop.fs.Path(p) for p in (path, old, fresh))
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    if files.exists(place):
+        files.rename(place, before)
+    files.rename(after, place)
+    files.delete(before, True)
+
+
+def with_updates(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """The target as it is now with the updated columns of the keyed rows; keys it lacks are added."""
+    renamed = updates.select(*[F.col(c).alias(f"new_{c}") for c in updates.columns])
+    joined = target.join(renamed, F.col(key) == F.col(f"new_{key}"), "left")
+    hit = F.col(f"new_{key}").isNotNull()
+    kept = joined.select(
+        *[F.when(hit, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if c in updates.columns else c for c in target.columns]
+    )
+    have = target.select(F.col(key).alias("have_key"))
+    return append_rows(kept, updates.join(have, F.col(key) == F.col("have_key"), "left_anti"))
+
+
+def update_parquet(updates: DataFrame, path: str, key: str) -> None:
+    """Keyed rows only: what else changed in the table meanwhile stays as it is."""
+    replace_parquet(with_updates(read_wide(updates.sparkSession, path), updates, key), path)
+
+
+def read_jdbc(spark: SparkSession, table: str, options: Mapping[str, str]) -> DataFrame:
+    return spark.read.format("jdbc").options(**options).option("dbtable", table).load()
+
+
+def append_jdbc(rows: DataFrame, table: str, options: Mapping[str, str], keys: Sequence[str] = ("Id",)) -> None:
+    """As :func:`append_parquet`; a database isn't widened, columns that its table lacks stop the write."""
+    target = read_jdbc(rows.sparkSession, table, options)
+    if lacking := [c for c in rows.columns if c not in target.columns]:
+        raise ValueError(f"{table} lacks the columns {lacking}")
+    writer = fresh_rows(rows, target, keys).write.format("jdbc").options(**options).option("dbtable", table)
+    writer.option("batchsize", BATCH_ROWS).mode("append").save()
 
 
-def append_jdbc(rows: DataFrame, table: str, options: Mapping[str, str]) -> None:
-    writer = rows.write.format("jdbc").options(**options).option("dbtable", table)
-    writer.option("batchsize", BATCH_ROWS).mode("append").save()
+def update_jdbc(updates: DataFrame, table: str, options: Mapping[str, str], key: str, value: str) -> None:
+    """One statement for each row; for settings, of which there is a fixed number of names."""
+    context = updates.sparkSession.sparkContext
+    properties = context._jvm.java.util.Properties()
+    for name, text in options.items():
+        properties.setProperty(name, text)
+    connection = context._jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+    try:
+        statement = connection.prepareStatement(f"UPDATE {table} SET {value} = ? WHERE {key} = ?")
+        for row in updates.select(key, value).collect():
+            statement.setString(1, row[value])
+            statement.setString(2, row[key])
+            statement.executeUpdate()
+    finally:
+        connection.close()
 
 
 def snapshot(rows: DataFrame, path: str, form: str = "parquet") -> None:
@@ -45,12 +123,28 @@ def snapshot(rows: DataFrame, path: str, form: str = "parquet") -> None:
     rows.write.mode("overwrite").option("header", True).format(form).save(path)
 
 
+def read_named_csv(spark: SparkSession, path: str, kinds: Mapping[str, str]) -> DataFrame:
+    """Columns of a CSV by the names in its header; a missing one or a cell that doesn't fit stops the read."""
+    cells = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    if lacking := [c for c in kinds if c not in cells.columns]:
+        raise ValueError(f"{path} lacks the columns {lacking}")
+    if further := [c for c in cells.columns if c not in kinds]:
+        raise ValueError(f"{path} has unknown columns {further}")
+    return cells.select(*[strictly(F.col(c), kind).alias(c) for c, kind in kinds.items()])
+
+
+def strictly(cell: Column, kind: str) -> Column:
+    """Text as ``kind``; what can't be read raises an error, whatever the session's mode."""
+    value = cell.try_cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"not {kind}: "), cell)).cast(kind)
+    return F.when(cell.isNotNull() & value.isNull(), wrong).otherwise(value)
+
+
 def overridden(prepared: DataFrame, path: str | None) -> DataFrame:
     """Rows of a CSV in place of the prepared ones, when there is one."""
     if path is None:
         return prepared
-    reader = prepared.sparkSession.read.schema(prepared.schema).option("header", True)
-    return reader.csv(path)
+    return read_named_csv(prepared.sparkSession, path, column_types(prepared.schema))
 
 
 def insert_members(target: DataFrame, staged: DataFrame, column: str, members: DataFrame) -> DataFrame:
@@ -58,3 +152,10 @@ def insert_members(target: DataFrame, staged: DataFrame, column: str, members: D
     new = members.select(F.col("new_id").alias("member"))
     chosen = staged.join(new, F.col(column) == F.col("member"), "left_semi")
     return append_rows(target, pick(chosen, target.columns))
+
+
+def readable(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was finished."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)

@@ -7,16 +7,17 @@ what the planner checks before it broadcasts a relationship.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from regraft.sources.sinks import readable
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 JOBS_AT_ONCE = 6
 
@@ -33,33 +34,38 @@ def at_once(jobs: Sequence[Callable[[], T]]) -> list[T]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; a temporary one only in local mode."""
+    """The folder that ``spark.checkpoint.dir`` names; in local mode without one, a folder of the warehouse."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="regraft-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir") + "/stages"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None:  # the session has ended
+        return
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 class Staging:
-    """A folder of stage tables. With a fixed root a rerun finds them again."""
+    """A folder of stage tables. With a fixed root a rerun finds them again; without, they go at the program's end."""
 
     def __init__(self, spark: SparkSession, root: str | None = None) -> None:
         self.spark = spark
         self.root = root or f"{shared_folder(spark)}/regraft/{uuid.uuid4().hex}"
+        if root is None:
+            atexit.register(_remove, spark, self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def has(self, name: str) -> bool:
-        try:
-            self.read(name)
-        except AnalysisException:
-            return False
-        return True
+        """Whether the table was written to its end."""
+        return readable(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))

@@ -128,13 +128,33 @@ def test_rerun_reads_the_finished_stages(spark, done, source, target_root, place
     assert again.report().collect() == done.report().collect()
 
 
+def test_another_selection_or_app_refuses_the_run_folder(spark, done, source, target_root, place):
+    staging = Staging(spark, str(place / "run"))
+    target = App.parquet(spark, "dst", target_root)
+    for selection, app in ((Selection(tag_ids=(1,)), target), (done.selection, App.of("other", {}))):
+        with pytest.raises(ValueError, match="another run"):
+            Transfer(spark, source, app, selection, staging, RUN_TIME)
+
+
 def test_publishing_twice_is_publishing_once(spark, done, source, target_root):
     expected = {t: done.target.table(t).count() for t in ("Contact", "Job", "Custom_Contact")}
+    fresh_jobs = {tuple(map(str, r)) for r in fresh(done, "Job").collect()}
+    columns = fresh(done, "Job").columns
+    wanted = {r.Name: r.Value for r in done.target.table("AppSetting").collect()}
+    settings = spark.read.parquet(f"{target_root}/AppSetting")
+    meanwhile = settings.selectExpr("Name", "CASE WHEN Name = 'untouched' THEN 'changed' ELSE Value END AS Value")
+    replace_parquet(meanwhile, f"{target_root}/AppSetting")
     done.publish_parquet(target_root)
     done.publish_parquet(target_root)
     published = App.parquet(spark, "dst", target_root)
     assert {t: published.table(t).count() for t in expected} == expected
+    jobs = published.table("Job", columns).where("ContactId IS NOT NULL").collect()
+    assert {tuple(map(str, r)) for r in jobs} == fresh_jobs
     assert "Balance0" in published.columns("Custom_Contact")
+    values = {r.Name: r.Value for r in published.table("AppSetting").collect()}
+    assert values["untouched"] == "changed" and values["runPurchaseActionsOnManualOrders"] == "0"
+    assert values == wanted | {"untouched": "changed"}
+    assert done.report(published).collect() == done.report().collect()
     assert people.lead_sources(source, published).rows["LeadSource"].isEmpty()
     assert people.tags(source, published).rows["ContactGroup"].isEmpty()
 

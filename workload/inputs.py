@@ -234,11 +234,9 @@ INPUTS: dict[str, str] = {
         FROM {orders} AS o JOIN {src_stage} AS s ON o.o_orderstatus = s.StageName""",
     "dst_opportunity": "SELECT 100000 + 3 * (o_orderkey + 1) AS Id FROM {orders}",
     "src_interest": """
-        SELECT l_orderkey * 10 + l_linenumber AS Id,
-               CASE WHEN l_linenumber = 7 THEN 'Contact' ELSE 'Opportunity' END AS ObjType,
-               l_orderkey + 1 AS ObjectId, max(l_partkey) + 1 AS ProductId,
-               max(l_partkey) + 1 AS SubscriptionPlanId, CAST(3 AS BIGINT) AS LegacyProductId
-        FROM {lineitem} GROUP BY l_orderkey, l_linenumber""",
+        SELECT Id, CASE WHEN LineNumber = 7 THEN 'Contact' ELSE 'Opportunity' END AS ObjType,
+               OrderId AS ObjectId, ProductId, ProductId AS SubscriptionPlanId, CAST(3 AS BIGINT) AS LegacyProductId
+        FROM {line_base}""",
     # Settings.
     "src_setting": "\nUNION ALL\n".join(
         [
@@ -280,11 +278,16 @@ INPUTS: dict[str, str] = {
                2 * CAST(substr(o_orderpriority, 1, 1) AS BIGINT) + 1 AS StaffId,
                o_custkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderdate
         FROM {orders}""",
+    # every line of its own, by its place in the order
     "line_base": """
-        SELECT l_orderkey * 10 + l_linenumber AS Id, l_orderkey + 1 AS OrderId, l_linenumber AS LineNumber,
-               max(l_partkey) + 1 AS ProductId, max(l_suppkey) AS SupplierKey,
-               CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS Qty, count(*) AS Lines
-        FROM {lineitem} GROUP BY l_orderkey, l_linenumber""",
+        SELECT l_orderkey * 1048576 + place AS Id, l_orderkey + 1 AS OrderId, place AS LineNumber,
+               l_partkey + 1 AS ProductId, l_suppkey AS SupplierKey,
+               CAST(l_quantity AS BIGINT) AS Qty, CAST(1 AS BIGINT) AS Lines
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY l_orderkey
+                  ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                           l_returnflag, l_linestatus, l_shipdate) AS place
+              FROM {lineitem}) AS numbered""",
     "src_address": """
         SELECT c_custkey + 1 AS Id,
                CASE WHEN c_nationkey = 6 THEN CAST(-3 AS BIGINT) ELSE 2 * c_custkey + 2 END AS ContactId,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regraft.functions.columns import filled, list_union
-from regraft.operators.diff import add_columns, frame_difference, pick, rename_columns, upsert
+from regraft.operators.diff import add_columns, append_rows, frame_difference, pick, rename_columns, upsert
 from regraft.operators.ids import allocate_ids, fill_new_ids
 from regraft.operators.integrity import (
     cascade,
@@ -1045,7 +1045,8 @@ def actions(w: Work) -> DataFrame:
        FROM {src_custom} AS s JOIN {rel_contact} AS r ON s.Id = r.old_id""",
 )
 def custom_values(w: Work) -> DataFrame:
-    return custom_fields(w.source, w.target, w.contact).replaced["Custom_Contact"]
+    values = custom_fields(w.source, w.target, w.contact).rows["Custom_Contact"]
+    return append_rows(w["dst_custom"], values)
 
 
 @query(
