@@ -1,4 +1,7 @@
-"""``python -m regraft``: transfer between two folders of Parquet tables.
+"""``python -m regraft``: transfer between two folders of Parquet tables or two databases.
+
+A side that begins with ``jdbc:`` is a database; user, password and driver come
+from a properties file, ``--source-properties`` and ``--target-properties``.
 
 Stages go below the run folder; the same command again takes up an unfinished
 run. Without ``--publish`` the target is left as it is and only the report is
@@ -9,11 +12,13 @@ from __future__ import annotations
 
 import argparse
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from regraft.plans.transfer import Selection, Transfer, stage_report
 from regraft.sources.app import App
+from regraft.sources.relationships import write_csv, write_json
 from regraft.sources.staging import Staging
 
 SKIPPABLE = (
@@ -30,10 +35,11 @@ SKIPPABLE = (
 )
 
 
-def arguments() -> argparse.Namespace:
+def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="regraft", description=__doc__)
     for side in ("source", "target"):
-        parser.add_argument(f"--{side}", required=True, help=f"folder of the {side}'s tables")
+        parser.add_argument(f"--{side}", required=True, help=f"folder or JDBC address of the {side}'s tables")
+        parser.add_argument(f"--{side}-properties", help="file of name=value lines for JDBC")
         parser.add_argument(f"--{side}-name", default=side)
     parser.add_argument("--run", required=True, help="shared folder for the stages of this run")
     parser.add_argument("--skip", nargs="*", choices=SKIPPABLE, default=[])
@@ -42,8 +48,27 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--product-interests", action="store_true")
     parser.add_argument("--actions-override", help="CSV that replaces the prepared actions")
     parser.add_argument("--actions-snapshot", help="where to put the prepared actions for review")
+    parser.add_argument("--next-ids", nargs="*", default=[], metavar="TABLE=ID", help="next free ids of the target, where they lie above the greatest")
+    parser.add_argument("--export-relationships", help="folder for each relationship as JSON and CSV")
     parser.add_argument("--publish", action="store_true")
-    return parser.parse_args()
+    return parser.parse_args(given)
+
+
+def jdbc_options(address: str, properties: str | None) -> dict[str, str]:
+    options = {"url": address}
+    if properties:
+        lines = Path(properties).read_text().splitlines()
+        pairs = [x.split("=", 1) for x in lines if "=" in x and not x.lstrip().startswith("#")]
+        options |= {name.strip(): value.strip() for name, value in pairs}
+    return options
+
+
+def app(spark: SparkSession, args: argparse.Namespace, side: str) -> App:
+    address, name = getattr(args, side), getattr(args, f"{side}_name")
+    next_ids = {t: int(i) for t, i in (x.split("=", 1) for x in args.next_ids)} if side == "target" else {}
+    if address.startswith("jdbc:"):
+        return App.jdbc(spark, name, jdbc_options(address, getattr(args, f"{side}_properties")), next_ids=next_ids)
+    return App.parquet(spark, name, address, next_ids=next_ids)
 
 
 def main() -> None:
@@ -59,8 +84,8 @@ def main() -> None:
     )
     transfer = Transfer(
         spark,
-        App.parquet(spark, args.source_name, args.source),
-        App.parquet(spark, args.target_name, args.target),
+        app(spark, args, "source"),
+        app(spark, args, "target"),
         selection,
         Staging(spark, args.run),
         datetime.now(),
@@ -68,7 +93,15 @@ def main() -> None:
     stage_report(transfer.report()).show(truncate=False)
     if transfer.dropdowns_modified():
         print("Dropdown lists have changed: users of the target must reload.")
-    if args.publish:
+    if selection.orders:
+        transfer.bad_tokens().show(truncate=False)
+    if args.export_relationships:
+        for name, rel in transfer.rels.items():
+            write_json(rel, f"{args.export_relationships}/{name}.json")
+            write_csv(rel, f"{args.export_relationships}/{name}.csv")
+    if args.publish and args.target.startswith("jdbc:"):
+        transfer.publish_jdbc(jdbc_options(args.target, args.target_properties))
+    elif args.publish:
         transfer.publish_parquet(args.target)
 
 

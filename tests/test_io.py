@@ -1,5 +1,7 @@
 import pytest
 
+from regraft.__main__ import app, arguments, jdbc_options
+
 from regraft.operators.relationship import Relationship
 from regraft.sources import relationships as io
 from regraft.sources import staging
@@ -116,6 +118,16 @@ def test_types(frame, spark):
     assert in_types_of(frame("B BIGINT, Id INT", (1, 2)), target).dtypes == [("B", "bigint"), ("Id", "bigint")]
 
 
+def test_command_line_takes_both_kinds_of_sides(spark, tmp_path):
+    (tmp_path / "p").write_text("# login\nuser = me\npassword=a=b\n")
+    given = f"--source jdbc:x:y --source-properties {tmp_path}/p --target {tmp_path} --run r --next-ids Contact=70".split()
+    args = arguments(given)
+    assert jdbc_options(args.source, args.source_properties) == {"url": "jdbc:x:y", "user": "me", "password": "a=b"}
+    assert app(spark, args, "source").place == "jdbc:x:y"
+    replace_parquet(spark.range(1).selectExpr("id AS Id"), str(tmp_path / "Contact"))
+    assert spark.range(1).select(app(spark, args, "target").next_id("Contact")).first()[0] == 70
+
+
 def test_even_split_covers_the_ids():
     assert even_split(None, None, 8) == {}
     assert even_split(5, 6, 8)["numPartitions"] == "2"

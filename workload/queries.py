@@ -24,7 +24,7 @@ from regraft.operators.integrity import (
 from regraft.operators.match import Keep, lazily, match_or_create, natural_match
 from regraft.operators.names import free_names
 from regraft.operators.relationship import Relationship
-from regraft.operators.remap import remap, remap_list, remap_or_default, remap_or_keep
+from regraft.operators.remap import bad_list_tokens, remap, remap_list, remap_or_default, remap_or_keep
 from regraft.operators.settings import set_values, setting
 from regraft.plans import contacts as people
 from regraft.plans import sales
@@ -39,6 +39,7 @@ from regraft.plans.custom_fields import (
 )
 from regraft.plans.spec import give_ids
 from regraft.sources.relationships import pairs_from_json, pairs_to_json
+from regraft.sources.sinks import fresh_rows, with_updates
 from regraft.sources.staging import Staging, at_once
 from workload.inputs import Inputs, with_inputs
 
@@ -504,25 +505,26 @@ def product_lists(w: Work) -> DataFrame:
 
 # Differences.
 
-_FIRST = "SELECT c_custkey AS Id, c_name AS Name, c_mktsegment AS Segment FROM {customer}"
+_FIRST = """SELECT c_custkey AS Id, c_name AS Name, c_mktsegment AS Segment FROM {customer}
+            UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM {customer} WHERE c_custkey % 10 = 3"""
 _SECOND = """SELECT c_custkey AS Id, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_name END AS Name,
                     CASE WHEN c_nationkey > 12 THEN 'OTHER' ELSE c_mktsegment END AS Segment
-             FROM {customer} UNION ALL SELECT c_custkey, c_name, 'EXTRA' FROM {customer}"""
+             FROM {customer} UNION ALL SELECT c_custkey, c_name, 'EXTRA' FROM {customer}
+             UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM {customer} WHERE c_custkey % 15 = 3"""
 
 
-@query(
-    "q19_frame_difference",
-    f"""SELECT *, 'left_only' AS _merge FROM (({_SECOND}) EXCEPT ALL ({_FIRST}))
-        UNION ALL SELECT *, 'right_only' FROM (({_FIRST}) EXCEPT ALL ({_SECOND}))""",
-)
+def _only_in(rows: str, other: str, label: str) -> str:
+    return f"""SELECT Id, Name, Segment, '{label}' AS _merge FROM ({rows}) AS mine WHERE NOT EXISTS (
+                   SELECT 1 FROM ({other}) AS theirs WHERE mine.Id = theirs.Id
+                   AND mine.Name IS NOT DISTINCT FROM theirs.Name AND mine.Segment IS NOT DISTINCT FROM theirs.Segment)"""
+
+
+@query("q19_frame_difference", f"{_only_in(_SECOND, _FIRST, 'left_only')} UNION ALL {_only_in(_FIRST, _SECOND, 'right_only')}")
 def both_differences(w: Work) -> DataFrame:
     return frame_difference(w.inputs.sql(_FIRST), w.inputs.sql(_SECOND))
 
 
-@query(
-    "q20_one_sided_difference",
-    f"SELECT *, 'right_only' AS _merge FROM (({_FIRST}) EXCEPT ALL ({_SECOND}))",
-)
+@query("q20_one_sided_difference", _only_in(_FIRST, _SECOND, "right_only"))
 def one_difference(w: Work) -> DataFrame:
     return frame_difference(w.inputs.sql(_FIRST), w.inputs.sql(_SECOND), "right_only")
 
@@ -1186,3 +1188,49 @@ def fill_unmatched(w: Work) -> DataFrame:
         F.when(F.col("LineNumber") > 3, F.col("ProductId")).alias("new_id"),
     )
     return fill_new_ids(matches, 500)
+
+
+# Publishing and what is read.
+
+
+@query(
+    "q45_publish_rows",
+    f"""SELECT Id, MarketSegment, CAST(NULL AS DOUBLE) AS Balance, Code9, Nickname FROM ({_NEW_VALUES})
+        WHERE Id NOT IN (SELECT Id FROM {{dst_custom}})""",
+)
+def rows_to_publish(w: Work) -> DataFrame:
+    """What an append adds: rows the target holds already as a whole are left out, new columns stay."""
+    rows = w.inputs.sql(
+        "SELECT 9000000000 + Id AS Id, Segment AS MarketSegment, Code9, NoField AS Nickname FROM {src_custom} WHERE Code9 IS NULL OR Code9 >= 12"
+    )
+    have = w["dst_custom"].select("Id", "MarketSegment", "Code9").withColumn("Nickname", F.lit(None).cast("string"))
+    published = fresh_rows(rows.unionByName(have), w["dst_custom"])
+    return published.withColumn("Balance", F.lit(None).cast("double"))
+
+
+@query(
+    "q46_settings_applied",
+    f"""SELECT d.Name, CASE WHEN d.Name IN ({', '.join(f"'{n}'" for n in DROPDOWN_SETTINGS)})
+               THEN array_to_string(list_concat(string_split(d.Value, ','),
+                    [x FOR x IN string_split(s.Value, ',') IF NOT list_contains(string_split(d.Value, ','), x)]), ',')
+               WHEN d.Name IN ('runPurchaseActionsOnManualOrders', 'emailinvoiceflag', 'invoicepayments') AND d.Value = '1' THEN '0'
+               WHEN d.Name = 'untouched' THEN 'changed meanwhile' ELSE d.Value END AS Value
+        FROM {{dst_setting}} AS d LEFT JOIN {{src_setting}} AS s ON d.Name = s.Name""",
+)
+def settings_applied(w: Work) -> DataFrame:
+    """Updates put into the table as it is when they are published."""
+    updates = switches.dropdown_updates(w.source, w.target).unionByName(switches.receipt_updates(w.target))
+    changed = F.when(F.col("Name") == "untouched", "changed meanwhile").otherwise(F.col("Value"))
+    return with_updates(w["dst_setting"].withColumn("Value", changed), updates, "Name")
+
+
+@query(
+    "q47_bad_list_tokens",
+    """SELECT token, count(*) AS lists FROM (
+           SELECT unnest(string_split(ProductSold || CASE WHEN OrderId % 3 = 0 THEN ',x' || CAST(OrderId % 2 AS VARCHAR) ELSE ',7 ' END, ',')) AS token
+           FROM {product_sold}) WHERE TRY_CAST(trim(token) AS BIGINT) IS NULL GROUP BY token""",
+)
+def bad_tokens(w: Work) -> DataFrame:
+    marked = F.when(F.col("OrderId") % 3 == 0, F.concat(F.lit(",x"), (F.col("OrderId") % 2).cast("string"))).otherwise(F.lit(",7 "))
+    rows = w["product_sold"].select(F.col("OrderId").alias("Id"), F.concat("ProductSold", marked).alias("ProductSold"))
+    return bad_list_tokens(rows, "ProductSold").groupBy("token").agg(F.count("*").alias("lists"))
