@@ -125,9 +125,18 @@ class Work:
         return sales.Orders(self.source, self.target, self.rels(*names), self.keep)
 
 
+#: Queries whose relationships are written once and read back, as in a transfer; for the
+#: others one plan was as fast or faster at sf0.1, with exchanges reused.
+STAGED = ("q30_orders_cascade", "q30_order_items", "q32_", "q33_")
+
+
 def query(name: str, sql: str):
     def register(build: Callable[[Work], DataFrame]):
-        QUERIES[name] = lambda spark, folder: build(Work(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            work = Work(spark, folder)
+            return build(work.staged() if name.startswith(STAGED) else work)
+
+        QUERIES[name] = run
         ORACLES[name] = sql
         return build
 
@@ -751,7 +760,7 @@ def orders_cascade(w: Work) -> DataFrame:
 
     Staged table by table, as a transfer does it.
     """
-    family = w.staged().orders("contact")
+    family = w.orders("contact")
     family.stage_all()
     parts = [
         family.members(name).select(F.lit(name).alias("entity"), F.col("new_id").alias("Id"))
