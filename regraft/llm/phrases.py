@@ -34,6 +34,8 @@ GRAM = 8
 MERGE_BITS = 2
 #: Regions whose passages make one automaton; those of a seed stay together.
 SHARD = 2_000
+#: Characters that stand for a digit of a word's number in an automaton.
+ALPHABET = 64
 
 
 def _confirmed(contexts: list[list[bytes]], weights: np.ndarray, length: int, hashes: WordHashes) -> list[np.ndarray]:
@@ -56,14 +58,38 @@ def passage_windows(words: list[bytes], recurs: np.ndarray, length: int) -> list
     return [tuple(words[k : k + length]) for a, b in zip(firsts, lasts) for k in [*range(a, b, length), b]]
 
 
+def word_codes(windows: set[tuple[bytes, ...]]) -> tuple[dict[bytes, str], str]:
+    """Each word as a few characters, those of each place from an alphabet of their own; the code of other words.
+
+    Nodes of the automaton then have at most ``ALPHABET`` children, and a match
+    can't begin within a word.
+    """
+    words = sorted({w for window in windows for w in window})
+    digits = 1
+    while ALPHABET**digits < len(words):
+        digits += 1
+    codes = {}
+    for number, word in enumerate(words):
+        code = []
+        for place in range(digits):
+            number, digit = divmod(number, ALPHABET)
+            code.append(chr(256 + ALPHABET * place + digit))
+        codes[word] = "".join(code)
+    return codes, "\x01" * digits
+
+
 def locate(contexts: list[list[bytes]], windows: set[tuple[bytes, ...]], length: int) -> list[list[int]]:
     """For each context where any of the windows begins: one automaton over words, all contexts streamed through it."""
-    numbers: dict[bytes, int] = {}
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    codes, other = word_codes(windows)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
     for window in windows:
-        automaton.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in window), 1)
+        automaton.add_word("".join([codes[w] for w in window]), 1)
     automaton.make_automaton()
-    return [[last + 1 - length for last, _ in automaton.iter(tuple(numbers.get(w, 0) for w in words))] for words in contexts]
+    size = len(other)
+    return [
+        [(last + 1) // size - length for last, _ in automaton.iter("".join([codes.get(w, other) for w in words]))]
+        for words in contexts
+    ]
 
 
 def recurring_spans(given: DataFrame, length: int) -> DataFrame:
