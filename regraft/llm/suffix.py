@@ -71,7 +71,8 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, ends: np.ndarray) ->
     fresh[order[0]] = True
     a = np.flatnonzero(fresh)
     b = before[a]
-    most = np.minimum(ends[np.searchsorted(ends, a)] - a, ends[np.searchsorted(ends, b)] - b)
+    end_of = np.repeat(ends.astype(np.int32), np.diff(ends, prepend=-1))
+    most = np.minimum(end_of[a] - a, end_of[b] - b)
     most[b == a] = 0
     words = np.ndarray((len(symbols) - 3,), "<u8", symbols.data, 0, (2,))
     length = np.zeros(len(a), np.int64)
@@ -93,7 +94,7 @@ def repeat_classes(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.nda
     count = int(ends[-1]) + 1
     order = suffix_array(symbols, count)
     prefixes = common_prefixes(symbols, order, ends)
-    owner = np.searchsorted(ends, order)
+    owner = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=-1))[order]
     whole = ends[owner] - order >= length
     classes = np.cumsum(prefixes < length)
     return order[whole], classes[whole], owner[whole]

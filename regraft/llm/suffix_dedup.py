@@ -3,10 +3,10 @@
 Seeds tell which regions of a text can hold a string of another text. Each task
 lines up such regions into shards of up to 1 MB, orders their suffixes, and
 finds the classes of equal strings by their common prefixes: what has an earlier
-document in its shard is settled. The first occurrences of each shard go on, by
-seed hash, to where the shards are merged: there every shard's strings are
-looked up by binary search among all others'. A class has one row for each
-shard, so copies are combined before the shuffle.
+document in its shard is settled. What the earliest document of a shard has goes
+on, by seed hash, to where the shards are merged: there every shard's strings
+are looked up by binary search among all others'. A class goes on from one
+document of a shard, so copies are combined before the shuffle.
 
 Defined results: null and empty texts have no bytes; texts shorter than the
 string length keep all; rows that repeat a ``doc_id`` don't count as earlier for
@@ -70,6 +70,31 @@ def _shards(regions: Iterator[tuple]) -> Iterator[list[tuple]]:
         yield held
 
 
+def settled_shard(shard: list[tuple], length: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """What an earlier document of the shard has, and the first occurrences that go on."""
+    docs = np.array([-(1 << 63) if r[0] is None else r[0] for r in shard], np.int64)
+    place, classes, owner = repeat_classes([r[3] for r in shard], length)
+    first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
+    earliest = np.minimum.reduceat(docs[owner], first)
+    later = docs[owner] > np.repeat(earliest, np.diff(np.append(first, len(place))))
+    total = sum(len(r[3]) + 1 for r in shard)
+    settled, open_ = np.zeros(total + 1, bool), np.zeros(total + 1, np.int32)
+    settled[place[later]] = True
+    open_[place[~later] + 1] = 1
+    opened = np.cumsum(open_)
+    base, spans = 0, []
+    sent: list[tuple] = []
+    for doc, mark, offset, data, starts, ends, value in shard:
+        done = np.flatnonzero(settled[base : base + len(data)])
+        if len(done):
+            spans.append((doc, mark, spans_bytes(done + offset, length)))
+        go = np.flatnonzero(opened[base + ends] > opened[base + starts])
+        if len(go):
+            sent.append((-(1 << 63) if doc is None else doc, mark, offset, data, starts[go], ends[go], value[go]))
+        base += len(data) + 1
+    yield from _packed(spans, sent, length, bits)
+
+
 def earlier_spans(given: DataFrame, length: int) -> DataFrame:
     """``doc_id, mark, data``: packed byte ranges covered by strings that start in an earlier document."""
     bits = bucket_bits(given)
@@ -101,33 +126,7 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
 
     def settle(batches) -> Iterator[pa.RecordBatch]:
         for shard in _shards(regions(batches)):
-            docs = np.array([-(1 << 63) if r[0] is None else r[0] for r in shard], np.int64)
-            place, classes, owner = repeat_classes([r[3] for r in shard], length)
-            first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
-            earliest = np.minimum.reduceat(docs[owner], first)
-            number = np.cumsum(np.concatenate([[True], classes[1:] != classes[:-1]])) - 1
-            later = docs[owner] > earliest[number]
-            # of the earliest document's strings one stands for the class
-            leads = np.lexsort((place, later, number))
-            lead = np.zeros(len(place), bool)
-            lead[leads[np.concatenate([[True], number[leads][1:] != number[leads][:-1]])]] = True
-            total = sum(len(r[3]) + 1 for r in shard)
-            settled, open_ = np.zeros(total, bool), np.zeros(total, bool)
-            settled[place[later]] = True
-            open_[place[~later]] = True
-            goes = np.zeros(total, bool)
-            goes[place[lead]] = True
-            base, spans, sent = 0, [], []
-            for doc, mark, offset, data, starts, ends, value in shard:
-                done = np.flatnonzero(settled[base : base + len(data)])
-                if len(done):
-                    spans.append((doc, mark, spans_bytes(done + offset, length)))
-                counts = np.concatenate([[0], np.cumsum(open_[base : base + len(data)])])
-                for k in np.flatnonzero(counts[ends] > counts[starts]).tolist():
-                    a, b = int(starts[k]), int(ends[k])
-                    sent.append((value[k], doc, mark, offset + a, data[a : b - 1 + length]))
-                base += len(data) + 1
-            yield from _packed(spans, sent, bits + MERGE_BITS)
+            yield from settled_shard(shard, length, bits + MERGE_BITS)
 
     found = recurring_seeds(given, seeds_of, bits)
     both = stage(
@@ -182,20 +181,28 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
     return both.where("bucket IS NULL").select("doc_id", "mark", "data").union(merged_spans)
 
 
-def _packed(spans: list[tuple], sent: list[tuple], bits: int) -> Iterator[pa.RecordBatch]:
+def _packed(spans: list[tuple], sent: list[tuple], length: int, bits: int) -> Iterator[pa.RecordBatch]:
     names = ["bucket", "doc_id", "mark", "data", "docs", "offsets", "sizes"]
     types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
     rows = [(None, doc, mark, data, None, None, None) for doc, mark, data in spans]
     if sent:
-        bucket, _ = split_seed(np.array([s[0] for s in sent], np.uint64), bits)
+        counts = [len(s[4]) for s in sent]
+        docs = np.repeat(np.array([(s[0], s[1]) for s in sent], np.int64), counts, axis=0)
+        text = np.frombuffer(b"".join(s[3] for s in sent), np.uint8)
+        base = np.repeat(np.cumsum([0] + [len(s[3]) for s in sent[:-1]]), counts)
+        starts, ends, value = (np.concatenate([s[k] for s in sent]) for k in (4, 5, 6))
+        offsets = np.repeat([s[2] for s in sent], counts) + starts
+        sizes = ends - 1 + length - starts
+        bucket, _ = split_seed(value, bits)
         order = np.argsort(bucket, kind="stable")
         cuts = [0, *(np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1).tolist(), len(order)]
         for a, b in zip(cuts, cuts[1:]):
-            own = [sent[i] for i in order[a:b].tolist()]
+            own = order[a:b]
+            size = sizes[own]
+            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(base[own] + starts[own], size)
             rows.append((
-                int(bucket[order[a]]), None, None, b"".join(s[4] for s in own),
-                np.array([(-(1 << 63) if s[1] is None else s[1], s[2]) for s in own], np.int64).tobytes(),
-                np.array([s[3] for s in own], np.int64).tobytes(), np.array([len(s[4]) for s in own], np.int64).tobytes(),
+                int(bucket[own[0]]), None, None, text[place].tobytes(), docs[own].tobytes(),
+                offsets[own].astype(np.int64).tobytes(), size.astype(np.int64).tobytes(),
             ))
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
