@@ -75,9 +75,9 @@ def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[tuple[int,
     yield start, len(lengths)
 
 
-def spread(frame: DataFrame, *keys) -> DataFrame:
-    """Dealt out by keys over the session's shuffle partitions, without coalescing."""
-    return frame.repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+def spread(frame: DataFrame, *keys, times: int = 1) -> DataFrame:
+    """Dealt out by keys over the session's shuffle partitions, or ``times`` as many, without coalescing."""
+    return frame.repartition(times * int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def texts(documents: DataFrame) -> DataFrame:

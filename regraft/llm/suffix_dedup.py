@@ -31,7 +31,7 @@ from .suffix import repeat_classes
 
 GRAM = 16
 #: Each hash range of the seeds is merged in so many parts, as a power of two.
-MERGE_BITS = 2
+MERGE_BITS = 4
 _M = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Regions of a shard; a longer one is cut, with an overlap of a string.
 SHARD = 1_000_000
@@ -136,6 +136,7 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
     def merge(batches) -> Iterator[pa.RecordBatch]:
         for group in runs_of(batches, ["bucket"]):
             rows = group.select(["data", "docs", "offsets", "sizes"]).to_pylist()
+            del group
             docs = np.concatenate([np.frombuffer(r["docs"], np.int64).reshape(-1, 2) for r in rows])
             offsets = np.concatenate([np.frombuffer(r["offsets"], np.int64) for r in rows])
             sizes = np.concatenate([np.frombuffer(r["sizes"], np.int64) for r in rows])
@@ -177,7 +178,7 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
             )
 
     open_rows = both.where("bucket IS NOT NULL").select("bucket", "data", "docs", "offsets", "sizes")
-    merged_spans = spread(open_rows, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "doc_id long, mark long, data binary")
+    merged_spans = spread(open_rows, "bucket", times=4).sortWithinPartitions("bucket").mapInArrow(merge, "doc_id long, mark long, data binary")
     return both.where("bucket IS NULL").select("doc_id", "mark", "data").union(merged_spans)
 
 
