@@ -154,7 +154,7 @@ def test_publishing_twice_is_publishing_once(spark, done, source, target_root):
     values = {r.Name: r.Value for r in published.table("AppSetting").collect()}
     assert values["untouched"] == "changed" and values["runPurchaseActionsOnManualOrders"] == "0"
     assert values == wanted | {"untouched": "changed"}
-    assert done.report(published).collect() == done.report().collect()
+    assert sorted(map(tuple, done.report(published).collect())) == sorted(map(tuple, done.report().collect()))
     assert people.lead_sources(source, published).rows["LeadSource"].isEmpty()
     assert people.tags(source, published).rows["ContactGroup"].isEmpty()
 
