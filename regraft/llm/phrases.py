@@ -35,7 +35,7 @@ MERGE_BITS = 2
 #: Regions whose passages make one automaton; those of a seed stay together.
 SHARD = 2_000
 #: Characters that stand for a digit of a word's number in an automaton.
-ALPHABET = 64
+ALPHABET = 256
 
 
 def _confirmed(contexts: list[list[bytes]], weights: np.ndarray, length: int, hashes: WordHashes) -> list[np.ndarray]:
@@ -139,15 +139,20 @@ def recurring_spans(given: DataFrame, length: int) -> DataFrame:
             rows = []
             for a, b in zip(cuts, cuts[1:]):
                 own = order[a:b].tolist()
-                contexts = [texts[i].split(b" ") for i in own]
-                confirmed = _confirmed(contexts, weights[own], length, own_hashes)
+                alike: dict[bytes, list[int]] = {}  # equal regions of several tasks as one
+                for i in own:
+                    alike.setdefault(texts[i], []).append(i)
+                contexts = [text.split(b" ") for text in alike]
+                times = np.array([weights[i].sum() for i in alike.values()])
+                confirmed = _confirmed(contexts, times, length, own_hashes)
                 windows = {w for words, recurs in zip(contexts, confirmed) for w in passage_windows(words, recurs, length)}
                 if not windows:
                     continue
-                for i, hits in zip(own, locate(contexts, windows, length)):
-                    if hits and weights[i] == 1:  # the copies of a task's own are settled there
-                        doc, mark, offset, _ = owners[i].tolist()
-                        rows.append((doc, mark, spans_bytes(np.array(hits, np.int64) + offset, length)))
+                for places, hits in zip(alike.values(), locate(contexts, windows, length)):
+                    for i in places if hits else ():
+                        if weights[i] == 1:  # the copies of a task's own are settled there
+                            doc, mark, offset, _ = owners[i].tolist()
+                            rows.append((doc, mark, spans_bytes(np.array(hits, np.int64) + offset, length)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "mark", "data"]
