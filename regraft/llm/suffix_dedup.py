@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,6 +138,8 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
         for group in runs_of(batches, ["bucket"]):
             rows = group.select(["data", "docs", "offsets", "sizes"]).to_pylist()
             del group
+            for row in rows:
+                row["data"] = zstandard.decompress(row["data"])
             docs = np.concatenate([np.frombuffer(r["docs"], np.int64).reshape(-1, 2) for r in rows])
             offsets = np.concatenate([np.frombuffer(r["offsets"], np.int64) for r in rows])
             sizes = np.concatenate([np.frombuffer(r["sizes"], np.int64) for r in rows])
@@ -202,7 +205,7 @@ def _packed(spans: list[tuple], sent: list[tuple], length: int, bits: int) -> It
             size = sizes[own]
             place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(base[own] + starts[own], size)
             rows.append((
-                int(bucket[own[0]]), None, None, text[place].tobytes(), docs[own].tobytes(),
+                int(bucket[own[0]]), None, None, zstandard.compress(text[place].tobytes(), 1), docs[own].tobytes(),
                 offsets[own].astype(np.int64).tobytes(), size.astype(np.int64).tobytes(),
             ))
     if rows:
