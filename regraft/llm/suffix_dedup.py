@@ -1,7 +1,7 @@
 """Substrings that occur in an earlier document: suffix arrays of shards, merged by binary search.
 
 Seeds tell which regions of a text can hold a string of another text. Each task
-lines up such regions into shards of up to 1 MB, orders their suffixes, and
+lines up such regions into shards of up to 0.6 MB, orders their suffixes, and
 finds the classes of equal strings by their common prefixes: what has an earlier
 document in its shard is settled. What the earliest document of a shard has goes
 on, by seed hash, to where the shards are merged: there every shard's strings
@@ -33,9 +33,11 @@ from .suffix import repeat_classes
 GRAM = 16
 #: Each hash range of the seeds is merged in so many parts, as a power of two.
 MERGE_BITS = 4
+#: Strings looked up at a time.
+LOOKUP = 1 << 18
 _M = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Regions of a shard; a longer one is cut, with an overlap of a string.
-SHARD = 1_000_000
+SHARD = 600_000
 
 
 def _eights(data: bytes) -> np.ndarray:
@@ -138,8 +140,6 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
         for group in runs_of(batches, ["bucket"]):
             rows = group.select(["data", "docs", "offsets", "sizes"]).to_pylist()
             del group
-            for row in rows:
-                row["data"] = zstandard.decompress(row["data"])
             docs = np.concatenate([np.frombuffer(r["docs"], np.int64).reshape(-1, 2) for r in rows])
             offsets = np.concatenate([np.frombuffer(r["offsets"], np.int64) for r in rows])
             sizes = np.concatenate([np.frombuffer(r["sizes"], np.int64) for r in rows])
@@ -148,7 +148,7 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
             for r in rows:
                 own = np.frombuffer(r["sizes"], np.int64)
                 ends = np.cumsum(own)
-                every = string_keys(r["data"], length)
+                every = string_keys(zstandard.decompress(r.pop("data")), length)
                 inside = np.ones(len(every), bool)
                 for back in range(1, length):
                     hit = ends[:-1] - back
@@ -160,14 +160,18 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
             ordered = keys[order]
             heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
             earliest = np.minimum.reduceat(doc[order], heads)
-            # each shard's strings looked up by binary search among the merged ones
-            later = earliest[np.searchsorted(ordered[heads], keys)] < doc
-            begin = np.cumsum(counts) - counts
-            place = np.arange(len(keys)) - np.repeat(begin, counts) + np.repeat(offsets, counts)
-            which = np.repeat(np.arange(len(counts)), counts)[later]
-            place = place[later]
-            if not len(place):
+            distinct, ordered = ordered[heads], None
+            # each shard's strings looked up by binary search among the merged ones, part by part
+            later = np.concatenate([
+                earliest[np.searchsorted(distinct, keys[k : k + LOOKUP])] < doc[k : k + LOOKUP] for k in range(0, len(keys), LOOKUP)
+            ])
+            del order, keys, doc, distinct, earliest
+            found = np.flatnonzero(later)
+            if not len(found):
                 continue
+            ends = np.cumsum(counts)
+            which = np.searchsorted(ends, found, "right")
+            place = found - (ends - counts)[which] + offsets[which]
             by_text = np.lexsort((place, docs[which, 1], docs[which, 0]))
             who, place = docs[which[by_text]], place[by_text]
             cuts = [0, *(np.flatnonzero((who[1:] != who[:-1]).any(1)) + 1).tolist(), len(place)]
