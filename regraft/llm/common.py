@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space that separates words: what ``bytes.split()`` and this pattern know.
@@ -112,6 +112,22 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(kept)
 
 
+#: Stands for a null ``doc_id``; the lowest bit of a row's mark tells it from a row that has this id.
+NO_ID = -(1 << 63)
+
+
+def row_key() -> tuple[Column, Column]:
+    """``doc_id`` and a mark of ``text``, never null: rows that repeat an id are told apart by their text's hash."""
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    mark = F.when(F.col("doc_id").isNull(), text.bitwiseAND(F.lit(-2).cast("long"))).otherwise(text.bitwiseOR(F.lit(1).cast("long")))
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")), mark
+
+
+def given_id(doc: str, mark: str) -> Column:
+    """The ``doc_id`` that a row came with."""
+    return F.expr(f"CASE WHEN {mark} & 1 = 1 THEN {doc} END")
+
+
 #: Bits of a set of ids for filtering before a shuffle: 1 MB, whatever the input; full, it lets all rows pass.
 ID_BITS = 1 << 23
 
@@ -160,6 +176,28 @@ def without_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
     return chosen(False).union(chosen(True).hint("merge").join(found, "doc_id", "left_anti").select(*documents.columns))
 
 
+def with_key(documents: DataFrame) -> DataFrame:
+    doc, mark = row_key()
+    return documents.select(*documents.columns, doc.alias("_key_id"), mark.alias("_key_mark"))
+
+
+def without_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
+    """Documents whose :func:`row_key` isn't among ``rows`` (``doc_id, mark``); only those that may be are shuffled."""
+    found = stage(rows.select(F.col("doc_id").alias("_key_id"), F.col("mark").alias("_key_mark")).distinct(), "rows")
+    bits = documents.sparkSession.sparkContext.broadcast(id_bits(found, "_key_id"))
+    given = with_key(documents)
+
+    def chosen(marked: bool):
+        def run(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(marked_ids(bits.value, batch.column("_key_id")) == marked))
+
+        return given.mapInArrow(run, given.schema)
+
+    rest = chosen(True).hint("merge").join(found, ["_key_id", "_key_mark"], "left_anti")
+    return chosen(False).select(*documents.columns).union(rest.select(*documents.columns))
+
+
 def bucket_bits(frame: DataFrame) -> int:
     partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(4, min(16, (partitions - 1).bit_length()))

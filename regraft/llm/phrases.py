@@ -11,7 +11,7 @@ automaton that can hold their passages.
 
 Defined results: null, empty and blank texts have no words; texts shorter than a
 window keep all words; a window that recurs within one text counts; rows that
-repeat recur; an empty table gives no rows; further columns are ignored. Words
+repeat recur; a null ``doc_id`` is one like others; an empty table gives no rows; further columns are ignored. Words
 are what ``[^\\x20\\x09-\\x0D]+`` matches, unchanged.
 """
 
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bucket_bits, rows_of, runs_of, split_seed, spread, stage
+from .common import bucket_bits, given_id, rows_of, runs_of, split_seed, spread, stage
 from .ngram_join import WordHashes, sequences
 from .seeds import keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, with_seeds, with_spans
 
@@ -186,7 +186,7 @@ def _packed(sent: dict[bytes, list], bits: int) -> Iterator[pa.RecordBatch]:
             rows.append((
                 int(bucket[order[a]]), None, None, None, b"\n".join(t for t, _ in own),
                 np.array([len(p) for _, p in own], np.int64).tobytes(),
-                np.array([(p[0][1] if p[0][1] is not None else -1, p[0][2], p[0][3], v) for (_, p), v in zip(own, signed[order[a:b]])], np.int64).tobytes(),
+                np.array([(p[0][1], p[0][2], p[0][3], v) for (_, p), v in zip(own, signed[order[a:b]])], np.int64).tobytes(),
             ))
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
@@ -218,4 +218,5 @@ def _finished(documents: DataFrame, length: int, digest: bool) -> DataFrame:
 
     name = "kept_sha256" if digest else "kept"
     fields = [pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64()), pa.field(name, pa.string())]
-    return with_spans(given, recurring_spans(given, length), finish, fields, f"doc_id long, n_words long, n_removed long, {name} string")
+    cut = with_spans(given, recurring_spans(given, length), finish, fields, f"n_words long, n_removed long, {name} string")
+    return cut.select(given_id("doc_id", "mark").alias("doc_id"), *(f.name for f in fields))

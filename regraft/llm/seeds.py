@@ -16,16 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bits, marked_ids, rows_of, runs_of, split_seed, spread, stage, texts
+from .common import id_bits, marked_ids, row_key, rows_of, runs_of, split_seed, spread, stage, texts
 
 #: Rows of a batch that share one packed exchange.
 PACKED_ROWS = 60_000
 
 
 def keyed(documents: DataFrame) -> DataFrame:
-    """``doc_id, mark, text``: rows that repeat an id are told apart by their text's hash."""
-    given = texts(documents)
-    return given.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    """``doc_id, mark, text``, none null: the row's key, see :func:`row_key`."""
+    doc, mark = row_key()
+    return texts(documents).select(doc.alias("doc_id"), mark.alias("mark"), "text")
 
 
 def seeds(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -158,7 +158,7 @@ def covered(packed: list[bytes]) -> np.ndarray:
 
 
 def with_spans(given: DataFrame, spans: DataFrame, finish: Callable[[str, np.ndarray], tuple], fields: list[pa.Field], schema: str) -> DataFrame:
-    """``finish(text, ranges)`` of every text, those without a span where they are read.
+    """``doc_id, mark`` and ``finish(text, ranges)`` of every text, those without a span where they are read.
 
     ``spans`` has ``doc_id, mark, data`` with any number of rows for a text.
     """
@@ -168,8 +168,8 @@ def with_spans(given: DataFrame, spans: DataFrame, finish: Callable[[str, np.nda
 
     def made(batch, rows):
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(fields), fields))],
-            ["doc_id", *(f.name for f in fields)],
+            [batch.column("doc_id"), batch.column("mark"), *(pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(fields), fields))],
+            ["doc_id", "mark", *(f.name for f in fields)],
         )
 
     def alone(batches):
@@ -187,4 +187,5 @@ def with_spans(given: DataFrame, spans: DataFrame, finish: Callable[[str, np.nda
 
     chosen = given.mapInArrow(candidates, "doc_id long, mark long, text string")
     together = chosen.hint("merge").join(gathered, ["doc_id", "mark"], "left")
+    schema = f"doc_id long, mark long, {schema}"
     return given.mapInArrow(alone, schema).union(together.mapInArrow(cut, schema))

@@ -10,7 +10,7 @@ document of a shard, so copies are combined before the shuffle.
 
 Defined results: null and empty texts have no bytes; texts shorter than the
 string length keep all; rows that repeat a ``doc_id`` don't count as earlier for
-each other; a null ``doc_id`` comes before all; an empty table gives no rows;
+each other, those without one (null) neither; a null ``doc_id`` comes before all; an empty table gives no rows;
 further columns are ignored.
 """
 
@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, pieces, runs_of, split_seed, spread, stage, without_ids
+from .common import bucket_bits, given_id, pieces, runs_of, split_seed, spread, stage, with_key, without_rows
 from .ngram_join import mixed
 from .seeds import covered, keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, with_seeds, with_spans
 from .suffix import repeat_classes
@@ -61,6 +61,11 @@ def string_keys(data: bytes, length: int) -> np.ndarray:
     return total
 
 
+def id_order(docs: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Ranks of the ids of row keys, equal for equal ids; a null comes before all."""
+    return (2 * np.unique(docs, return_inverse=True)[1] + (marks & 1)).astype(np.int32)
+
+
 def _shards(regions: Iterator[tuple]) -> Iterator[list[tuple]]:
     held, size = [], 0
     for region in regions:
@@ -75,7 +80,7 @@ def _shards(regions: Iterator[tuple]) -> Iterator[list[tuple]]:
 
 def settled_shard(shard: list[tuple], length: int, bits: int) -> Iterator[pa.RecordBatch]:
     """What an earlier document of the shard has, and the first occurrences that go on."""
-    docs = np.array([-(1 << 63) if r[0] is None else r[0] for r in shard], np.int64)
+    docs = id_order(*(np.array([r[k] for r in shard], np.int64) for k in (0, 1)))
     place, classes, owner = repeat_classes([r[3] for r in shard], length)
     first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
     earliest = np.minimum.reduceat(docs[owner], first)
@@ -93,7 +98,7 @@ def settled_shard(shard: list[tuple], length: int, bits: int) -> Iterator[pa.Rec
             spans.append((doc, mark, spans_bytes(done + offset, length)))
         go = np.flatnonzero(opened[base + ends] > opened[base + starts])
         if len(go):
-            sent.append((-(1 << 63) if doc is None else doc, mark, offset, data, starts[go], ends[go], value[go]))
+            sent.append((doc, mark, offset, data, starts[go], ends[go], value[go]))
         base += len(data) + 1
     yield from _packed(spans, sent, length, bits)
 
@@ -155,7 +160,7 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
                     inside[hit[hit >= 0]] = False
                 keys.append(every[inside])
             keys = np.concatenate(keys)
-            doc = np.repeat(docs[:, 0], counts)
+            doc = np.repeat(id_order(docs[:, 0], docs[:, 1]), counts)
             order = np.argsort(keys, kind="stable")
             ordered = keys[order]
             heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
@@ -248,7 +253,7 @@ def without_repeats(documents: DataFrame, length: int) -> DataFrame:
     """The documents with whole characters removed that an earlier document's strings cover.
 
     All columns stay; ``n_chars`` follows the text; a document of which nothing
-    is left goes. ``doc_id`` is taken as unique.
+    is left goes. Rows are told apart by their key, so a ``doc_id`` may repeat or be null.
     """
     given = keyed(documents)
 
@@ -257,12 +262,11 @@ def without_repeats(documents: DataFrame, length: int) -> DataFrame:
         return (kept_bytes(data, whole_characters(data, ranges)).decode() if len(ranges) else None,)
 
     spans = stage(earlier_spans(given, length), "repeats")
-    touched = spans.select("doc_id").distinct()
-    cut = with_spans(given, spans, finish, [pa.field("kept", pa.string())], "doc_id long, kept string").where("kept IS NOT NULL")
-    columns = [c for c in documents.columns if c not in ("text", "n_chars")]
-    changed = documents.select(*columns).hint("merge").join(cut, "doc_id").where("kept != ''")
-    text = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return without_ids(documents, touched).union(
+    cut = with_spans(given, spans, finish, [pa.field("kept", pa.string())], "kept string").where("kept IS NOT NULL AND kept != ''")
+    cut = cut.select(F.col("doc_id").alias("_key_id"), F.col("mark").alias("_key_mark"), F.col("kept").alias("_kept")).distinct()
+    changed = with_key(documents).drop("text", "n_chars").hint("merge").join(cut, ["_key_id", "_key_mark"])
+    text = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("long")}
+    return without_rows(documents, spans).union(
         changed.select(*(text[c].alias(c) if c in text else c for c in documents.columns))
     )
 
@@ -277,5 +281,6 @@ def _finished(documents: DataFrame, length: int, digest: bool) -> DataFrame:
 
     name, kind, sql = ("kept_sha256", pa.string(), "string") if digest else ("kept", pa.binary(), "binary")
     fields = [pa.field(n, pa.int64()) for n in ("n_bytes", "n_removed", "n_spans")] + [pa.field(name, kind)]
-    schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, {name} {sql}"
-    return with_spans(given, earlier_spans(given, length), finish, fields, schema)
+    schema = f"n_bytes long, n_removed long, n_spans long, {name} {sql}"
+    cut = with_spans(given, earlier_spans(given, length), finish, fields, schema)
+    return cut.select(given_id("doc_id", "mark").alias("doc_id"), *(f.name for f in fields))

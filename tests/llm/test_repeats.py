@@ -82,6 +82,33 @@ def test_repeated_rows_of_one_id(documents):
     assert [r.n_removed for r in repeat_digests(documents((7, twice), (7, twice))).collect()] == [0, 0]
 
 
+def test_null_ids_among_repeated_texts(documents):
+    texts = odd_texts()
+    ids = [-1 if i in (4, 7, 15) else i for i in range(len(texts))]  # by hand, -1 stands for null and comes first
+    table = documents(*((None if i < 0 else i, t) for i, t in zip(ids, texts))).coalesce(1)
+
+    def got(frame):
+        return sorted((-1 if r[0] is None else r[0], *r[1:]) for r in frame.collect())
+
+    assert got(phrase_digests(table)) == phrases_by_hand(list(zip(ids, texts)), 35)
+    assert got(repeat_digests(table)) == bytes_by_hand(list(zip(ids, texts)), 50)
+
+
+def test_a_null_id_is_before_the_least_and_is_no_other(documents):
+    text = "some words that are longer than fifty bytes, all of them the same"
+    table = documents((5, text), (-(1 << 63), text), (None, text), (None, f"{text}!"))
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_removed) for r in repeat_digests(table).collect())
+    assert got == [(False, 0, 0), (False, 0, 0), (True, -(1 << 63), len(text)), (True, 5, len(text))]
+
+
+def test_pipeline_form_with_null_ids(documents):
+    passage = "p" * 60
+    table = documents((3, f"a{passage}b"), (None, passage), (None, f"{passage}c"), (4, passage), (None, "clean"), (3, "other"))
+    got = [(r.doc_id, r.text) for r in without_repeats(table, 51).collect()]
+    want = [(3, "ab"), (3, "other"), (None, "clean"), (None, passage), (None, f"{passage}c")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_bytes_of_the_table(spark, corpus):
     table, rows = corpus
     assert sorted(map(tuple, repeat_digests(table).collect())) == bytes_by_hand(rows, 50)
