@@ -2,22 +2,24 @@
 
 Numbers, names and units become typed placeholders; every window of ``WINDOW``
 canonical words of a document is hashed and joined with the windows of the
-benchmark. Hits on one diagonal (document position less item position) form an
-alignment; it counts if the placeholders' values map one to one, so a question
-asked again with other numbers or names is caught and a chance mixture is not.
-An item is found in a document if its counting alignments cover at least
-``share`` of its distinct windows; it is ``exact`` if no value differs.
+benchmark. A hit proposes an alignment, a diagonal of document position less item
+position, along which the words themselves are compared. A word agrees if it is
+the same or a placeholder of the same type whose value goes where most places of
+that item value go (more than half), so a question asked again with other numbers
+or names is caught, also if two of them coincide, and a chance mixture is not. A
+window counts if all its words agree. An item is found in a document if at least
+``share`` of its distinct windows count; it is ``exact`` if no value differs.
 
 Defined results: null and empty texts have no window; an item of fewer words
 than a window is one window as a whole, and matches nothing if it has fewer than
 ``LITERALS`` words that aren't placeholders; repeated rows of documents give the
-hits of one; repeated ``item_id`` are told apart by text only in their windows;
-an empty table gives no rows; further columns are ignored.
+hits of one; texts that repeat an ``item_id`` are judged one by one and the best
+covered is shown; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -52,89 +54,103 @@ def _canonical(spaced: Column) -> Column:
     return F.translate(F.lower(typed), PUNCTUATION, "")
 
 
-def _canonical_words(text: Column) -> Column:
-    return F.filter(F.split(_canonical(_spaced(text)), " "), lambda w: w != "")
+def _typed_words(text: Column) -> Column:
+    return F.array_remove(F.split(_canonical(_spaced(text)), " "), "")
 
 
-def _both_words(text: Column) -> Column:
-    """Canonical words with the words they stand for, lower case without punctuation."""
-    spaced = _spaced(text)
-    plain = F.translate(F.lower(F.translate(spaced, "\u0001", "")), PUNCTUATION, "")
-    pairs = F.arrays_zip(F.split(_canonical(spaced), " ").alias("typed"), F.split(plain, " ").alias("plain"))
-    return F.filter(pairs, lambda p: p["typed"] != "")
+def _plain_words(text: Column) -> Column:
+    """The words that typed ones stand for, lower case without punctuation, as many as those."""
+    return F.array_remove(F.split(F.translate(F.lower(F.translate(_spaced(text), "\u0001", "")), PUNCTUATION, ""), " "), "")
 
 
-def _window_hashes(words: Column, length: Column) -> Column:
-    last = F.size(words) - length
+def _window_hashes(length: Column) -> Column:
+    """Of each window of the columns ``typed`` and ``plain`` both hashes."""
+    last = F.size("typed") - length
+    part = lambda name, i: F.xxhash64(F.slice(name, i + 1, length)).alias(name)
     return F.when(
-        last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(F.slice(words, i + 1, length)))
+        last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(part("typed", i), part("plain", i)))
     )
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``hash, length, item_id, at, slots, windows``: each distinct window of an item once, at its first place."""
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, item, typed, plain, length``: each distinct text of an id that is long enough."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(
-        "item_id", F.filter(F.transform(_both_words("text"), lambda p: p["typed"]), lambda w: w != "").alias("words")
+        "item_id", F.xxhash64("text").alias("item"), _typed_words(F.col("text")).alias("typed"), _plain_words(F.col("text")).alias("plain")
+    ).distinct()
+    return items.withColumn("length", F.least(F.size("typed"), F.lit(WINDOW))).where(f"length >= {LITERALS}")
+
+
+def benchmark_windows(items: DataFrame) -> DataFrame:
+    """``item_id, item, length, at, typed, plain, literal``: each distinct window of an item once, at its first place."""
+    each = items.select(
+        "item_id", "item", "length", F.col("typed").alias("words"), F.posexplode(_window_hashes(F.col("length"))).alias("at", "hashes")
     )
-    items = items.withColumn("length", F.least(F.size("words"), F.lit(WINDOW))).where(f"length >= {LITERALS}")
-    each = items.select("item_id", "length", "words", F.posexplode(_window_hashes(F.col("words"), F.col("length"))).alias("at", "hash"))
     slots = F.size(F.filter(F.slice("words", F.col("at") + 1, F.col("length")), lambda w: w.startswith("\u0001")))
-    first = (
-        each.withColumn("slots", slots).where(f"length - slots >= {LITERALS}")
-        .groupBy("item_id", "length", "hash").agg(F.min(F.struct("at", "slots")).alias("first"))
-        .select("item_id", "length", "hash", "first.at", "first.slots")
+    each = each.select("item_id", "item", "length", "at", "hashes.typed", "hashes.plain", (F.col("length") - slots >= LITERALS).alias("literal"))
+    return (
+        each.where("literal").groupBy("item_id", "item", "length", "typed").agg(F.min(F.struct("at", "plain", "literal")).alias("first"))
+        .select("item_id", "item", "length", "first.at", "typed", "first.plain", "first.literal")
     )
-    return first.join(first.groupBy("item_id").agg(F.count("*").alias("windows")), "item_id")
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, share: float = 0.5) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, coverage, kind`` for each item found in a document."""
-    known = stage(benchmark_windows(benchmark), "windows")
+    items = stage(benchmark_items(benchmark), "items")
+    known = stage(benchmark_windows(items), "windows")
     lengths = [r.length for r in known.select("length").distinct().collect()]  # WINDOW values at most
+    small = known.count() <= BROADCAST_WINDOWS
+    sent = F.broadcast if small else lambda frame: frame
     texts = documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    words = texts.select("doc_id", _canonical_words(F.col("text")).alias("words"))
-    side = known.select("hash", "length", "item_id", "at", "slots", "windows")
-    if known.count() <= BROADCAST_WINDOWS:
-        side = F.broadcast(side)
+    words = texts.select("doc_id", _typed_words(F.col("text")).alias("typed"), _plain_words(F.col("text")).alias("plain"))
+    side = sent(known.select("item_id", "item", "length", "at", F.col("typed").alias("hash")))
     hits = None
     for n in lengths or [WINDOW]:
-        each = words.select("doc_id", F.posexplode(_window_hashes(F.col("words"), F.lit(n))).alias("place", "hash"))
+        each = words.select("doc_id", F.posexplode(_window_hashes(F.lit(n))).alias("place", "hashes"))
+        each = each.select("doc_id", "place", F.col("hashes.typed").alias("hash"))
         found = each.join(side.where(F.col("length") == n), "hash")
         hits = found if hits is None else hits.union(found)
-    hits = stage(
-        hits.select("doc_id", "item_id", "place", "at", "length", "slots", "windows", (F.col("place") - F.col("at")).alias("diagonal")), "hits"
+    alignment = ["doc_id", "item_id", "item", "diagonal"]
+    alignments = stage(hits.select("doc_id", "item_id", "item", (F.col("place") - F.col("at")).alias("diagonal")).distinct(), "alignments")
+
+    # word by word along the diagonals, for the few documents that have some
+    ids = stage(alignments.select("doc_id").distinct(), "ids")
+    if ids.count() <= BROADCAST_WINDOWS:
+        ids = F.broadcast(ids)
+    ours = texts.join(ids, "doc_id", "left_semi").distinct().select(
+        "doc_id", F.xxhash64("text").alias("row"), _typed_words(F.col("text")).alias("our_typed"), _plain_words(F.col("text")).alias("our_plain")
     )
-    alignment = ["doc_id", "item_id", "diagonal"]
-
-    # values of the placeholders, for the few documents that have some among their hits
-    slotted = hits.where("slots > 0")
-    valued = texts.join(slotted.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", _both_words(F.col("text")).alias("ours"))
-    asked = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", _both_words(F.col("text")).alias("theirs"))
-    pairs = slotted.join(valued, "doc_id").join(asked, "item_id").select(
-        *alignment, F.explode(F.arrays_zip(
-            F.slice("ours", F.col("place") + 1, F.col("length")).alias("ours"),
-            F.slice("theirs", F.col("at") + 1, F.col("length")).alias("theirs"),
-        )).alias("pair"),
-    ).where("startswith(pair.theirs.typed, '\u0001')").select(
-        *alignment, F.col("pair.theirs.typed").alias("type"), F.col("pair.ours.plain").alias("ours"), F.col("pair.theirs.plain").alias("theirs")
-    ).distinct()
-    checked = pairs.groupBy(*alignment, "type").agg(
-        F.count("*").alias("n"), F.count_distinct("ours").alias("n_ours"), F.count_distinct("theirs").alias("n_theirs"),
-        F.max((F.col("ours") != F.col("theirs")).cast("int")).alias("changed"),
-    ).groupBy(*alignment).agg(
-        F.min(((F.col("n") == F.col("n_ours")) & (F.col("n") == F.col("n_theirs"))).cast("int")).alias("consistent"),
-        F.max("changed").alias("changed"),
+    compared = alignments.join(ours, "doc_id").join(sent(items), ["item_id", "item"]).select(
+        *alignment, "row", "length", F.posexplode(F.transform("typed", lambda t, k: F.struct(
+            t.alias("type"), F.get("plain", k).alias("theirs"), F.get("our_plain", k + F.col("diagonal")).alias("ours"),
+            F.get("our_typed", k + F.col("diagonal")).alias("our_type"),
+        ))).alias("at", "word"),
+    ).select(
+        *alignment, "row", "length", "at", "word.type", "word.theirs", "word.ours",
+        F.col("word.theirs").eqNullSafe(F.col("word.ours")).alias("same"),
+        (F.startswith("word.type", F.lit("\u0001")) & F.col("word.type").eqNullSafe(F.col("word.our_type"))).alias("slot"),
     )
-    counting = hits.join(checked, alignment, "left").where("slots = 0 OR consistent = 1")
+    value = [*alignment, "row", "type", "theirs"]
+    agreeing, places = (F.count_if("slot").over(Window.partitionBy(*keys)) for keys in ([*value, "ours"], value))
+    judged = compared.withColumn("agrees", F.col("same") | (F.col("slot") & (2 * agreeing > places)))
+    # a text shorter than a window ends within its only one
+    frame = Window.partitionBy(*alignment, "row").orderBy("at").rowsBetween(0, WINDOW - 1)
+    counting = judged.withColumn("agree", F.count_if("agrees").over(frame)).withColumn("alike", F.count_if("same").over(frame)).where(
+        "agree = length"
+    ).select("doc_id", "item_id", "item", "at", (F.col("alike") < F.col("length")).alias("changed"))
+    per_window = counting.join(sent(known.select("item_id", "item", "at", "literal")), ["item_id", "item", "at"]).groupBy(
+        "doc_id", "item_id", "item", "at", "literal"
+    ).agg(F.min("changed").alias("changed"))
+    totals = known.groupBy("item_id", "item").agg(F.count("*").alias("item_windows"))
     return (
-        counting.groupBy("doc_id", "item_id")
-        .agg(
-            F.count_distinct("length", "at").alias("n_windows"), F.first("windows").alias("item_windows"),
-            F.max(F.when(F.col("slots") > 0, F.col("changed")).otherwise(0)).alias("changed"),
+        per_window.groupBy("doc_id", "item_id", "item").agg(F.count("*").alias("n_windows"), F.max("changed").alias("changed"))
+        .join(sent(totals), ["item_id", "item"])
+        .withColumn("best", F.struct((F.col("n_windows") / F.col("item_windows")).alias("coverage"), "n_windows", "item_windows", "changed"))
+        .groupBy("doc_id", "item_id").agg(F.max("best").alias("best"))
+        .where(F.col("best.coverage") >= share)
+        .select(
+            "doc_id", "item_id", "best.n_windows", "best.item_windows", "best.coverage",
+            F.when(F.col("best.changed"), "reparameterised").otherwise("exact").alias("kind"),
         )
-        .withColumn("coverage", F.col("n_windows") / F.col("item_windows"))
-        .where(F.col("coverage") >= share)
-        .select("doc_id", "item_id", "n_windows", "item_windows", "coverage", F.when(F.col("changed") == 1, "reparameterised").otherwise("exact").alias("kind"))
     )
 
 

@@ -103,6 +103,21 @@ def test_values_must_map_one_to_one(spark, documents):
     assert [(r.doc_id, r.kind) for r in rows] == [(0, "reparameterised")]
 
 
+def test_values_may_coincide(spark, documents):
+    items = [
+        (1, "If Anna buys 5 apples for 3 dollars each then how much does Anna pay in total today?"),
+        (2, "walk 3 km to the old mill and then another 5 miles along the river bank until dusk"),
+        (3, "first add 4 to the sum and write it down then take 6 off and after a long and quiet pause of the whole class add 4 to the sum"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    texts = [
+        items[0][1].replace("5", "4").replace("3", "4"), items[1][1].replace("3", "2").replace("5 miles", "5 km"),
+        items[2][1].replace("6", "7").replace("class add 4", "class add 9"),
+    ]
+    got = sorted((r.doc_id, r.item_id, r.kind) for r in contamination(documents(*texts), benchmark).collect())
+    assert got == [(0, 1, "reparameterised"), (1, 2, "reparameterised"), (2, 3, "reparameterised")]
+
+
 def test_quality_on_held_out_rows(spark, folder):
     place = folder.replace("0.001", "0.01")
     table, labels = (spark.read.parquet(f"{place}/{n}.parquet") for n in ("documents", "labels"))
