@@ -8,11 +8,14 @@ the same or a placeholder of the same type whose value goes where most places of
 that item value go (more than half), so a question asked again with other numbers
 or names is caught, also if two of them coincide, and a chance mixture is not. A
 window counts if all its words agree. An item is found in a document if at least
-``share`` of its distinct windows count; it is ``exact`` if no value differs.
+``share`` of its distinct windows count, or of those with ``LITERALS`` words or
+more that aren't placeholders; it is ``exact`` if no value differs. Windows are
+joined on their plain words too, so those of fewer such words are found where a
+document holds them word for word (letter case and punctuation aside).
 
 Defined results: null and empty texts have no window; an item of fewer words
 than a window is one window as a whole, and matches nothing if it has fewer than
-``LITERALS`` words that aren't placeholders; repeated rows of documents give the
+``LITERALS`` words at all; repeated rows of documents give the
 hits of one; texts that repeat an ``item_id`` are judged one by one and the best
 covered is shown; an empty table gives no rows; further columns are ignored.
 """
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import stage
 
 WINDOW = 8
-#: Words of a window that must not be placeholders.
+#: Words of a window that must not be placeholders where values may differ.
 LITERALS = 5
 #: Windows of a benchmark that are broadcast; beyond it the join is shuffled.
 BROADCAST_WINDOWS = 1_000_000
@@ -88,11 +91,18 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     slots = F.size(F.filter(F.slice("words", F.col("at") + 1, F.col("length")), lambda w: w.startswith("\u0001")))
     each = each.select("item_id", "item", "length", "at", "hashes.typed", "hashes.plain", (F.col("length") - slots >= LITERALS).alias("literal"))
     return (
-        each.where("literal").groupBy("item_id", "item", "length", "typed").agg(F.min(F.struct("at", "plain", "literal")).alias("first"))
-        .select("item_id", "item", "length", "first.at", "typed", "first.plain", "first.literal")
+        each.groupBy("item_id", "item", "length", "plain").agg(F.min(F.struct("at", "typed", "literal")).alias("first"))
+        .select("item_id", "item", "length", "first.at", "first.typed", "plain", "first.literal")
     )
 
 
+def window_keys(known: DataFrame) -> DataFrame:
+    """``item_id, item, length, at, hash``: plain words of every window, and typed ones of those with enough literals."""
+    rows = known.select("item_id", "item", "length", "at", F.explode(F.when(
+        F.col("literal"), F.array_distinct(F.array("plain", "typed"))).otherwise(F.array("plain"))).alias("hash"))
+    return rows.groupBy("item_id", "item", "length", "hash").agg(F.min("at").alias("at"))
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame, share: float = 0.5) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, coverage, kind`` for each item found in a document."""
     items = stage(benchmark_items(benchmark), "items")
@@ -102,11 +112,12 @@ def contamination(documents: DataFrame, benchmark: DataFrame, share: float = 0.5
     sent = F.broadcast if small else lambda frame: frame
     texts = documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     words = texts.select("doc_id", _typed_words(F.col("text")).alias("typed"), _plain_words(F.col("text")).alias("plain"))
-    side = sent(known.select("item_id", "item", "length", "at", F.col("typed").alias("hash")))
+    side = sent(stage(window_keys(known), "keys"))
     hits = None
     for n in lengths or [WINDOW]:
         each = words.select("doc_id", F.posexplode(_window_hashes(F.lit(n))).alias("place", "hashes"))
-        each = each.select("doc_id", "place", F.col("hashes.typed").alias("hash"))
+        both = F.array("hashes.plain", "hashes.typed")
+        each = each.select("doc_id", "place", F.explode(F.when(F.col("hashes.plain") == F.col("hashes.typed"), F.array("hashes.plain")).otherwise(both)).alias("hash"))
         found = each.join(side.where(F.col("length") == n), "hash")
         hits = found if hits is None else hits.union(found)
     alignment = ["doc_id", "item_id", "item", "diagonal"]
@@ -137,14 +148,16 @@ def contamination(documents: DataFrame, benchmark: DataFrame, share: float = 0.5
     counting = judged.withColumn("agree", F.count_if("agrees").over(frame)).withColumn("alike", F.count_if("same").over(frame)).where(
         "agree = length"
     ).select("doc_id", "item_id", "item", "at", (F.col("alike") < F.col("length")).alias("changed"))
-    per_window = counting.join(sent(known.select("item_id", "item", "at", "literal")), ["item_id", "item", "at"]).groupBy(
-        "doc_id", "item_id", "item", "at", "literal"
-    ).agg(F.min("changed").alias("changed"))
-    totals = known.groupBy("item_id", "item").agg(F.count("*").alias("item_windows"))
+    per_window = counting.join(sent(known.select("item_id", "item", "at", "literal")), ["item_id", "item", "at"]).where(
+        "literal OR NOT changed"
+    ).groupBy("doc_id", "item_id", "item", "at", "literal").agg(F.min("changed").alias("changed"))
+    totals = known.groupBy("item_id", "item").agg(F.count("*").alias("item_windows"), F.count_if("literal").alias("item_literal"))
+    measure = lambda n, of: F.struct((F.col(n) / F.col(of)).alias("coverage"), F.col(n).alias("n_windows"), F.col(of).alias("item_windows"), "changed")
     return (
-        per_window.groupBy("doc_id", "item_id", "item").agg(F.count("*").alias("n_windows"), F.max("changed").alias("changed"))
+        per_window.groupBy("doc_id", "item_id", "item")
+        .agg(F.count("*").alias("n_windows"), F.count_if("literal").alias("n_literal"), F.max("changed").alias("changed"))
         .join(sent(totals), ["item_id", "item"])
-        .withColumn("best", F.struct((F.col("n_windows") / F.col("item_windows")).alias("coverage"), "n_windows", "item_windows", "changed"))
+        .withColumn("best", F.greatest(measure("n_windows", "item_windows"), F.when(F.col("item_literal") > 0, measure("n_literal", "item_literal"))))
         .groupBy("doc_id", "item_id").agg(F.max("best").alias("best"))
         .where(F.col("best.coverage") >= share)
         .select(

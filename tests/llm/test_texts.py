@@ -118,6 +118,20 @@ def test_values_may_coincide(spark, documents):
     assert got == [(0, 1, "reparameterised"), (1, 2, "reparameterised"), (2, 3, "reparameterised")]
 
 
+def test_windows_of_placeholders_are_found_word_for_word(spark, documents):
+    items = [
+        (1, "What is 15% of 80?"), (2, "4 8 15 16 23 42 108 7 9 11"), (3, "a Short History Of Nearly Everything In Seven Parts And More"),
+        (4, "sum 3 and 4 and 5, then 6 and 7: 8 9 10 11 12 13 14 15 16"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    texts = [
+        "now, what is 15% of 80? easy", "x 4 8 15 16 23 42 108 7 9 11 y", "the book a Short History Of Nearly Everything In Seven Parts And More", items[3][1],
+        "now what is 16% of 80", "x 5 9 16 17 24 43 109 8 10 12 y",
+    ]
+    got = sorted((r.doc_id, r.item_id, r.kind) for r in contamination(documents(*texts), benchmark).collect())
+    assert got == [(0, 1, "exact"), (1, 2, "exact"), (2, 3, "exact"), (3, 4, "exact")]
+
+
 def test_quality_on_held_out_rows(spark, folder):
     place = folder.replace("0.001", "0.01")
     table, labels = (spark.read.parquet(f"{place}/{n}.parquet") for n in ("documents", "labels"))
