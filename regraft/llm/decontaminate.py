@@ -11,7 +11,9 @@ window counts if all its words agree. An item is found in a document if at least
 ``share`` of its distinct windows count, or of those with ``LITERALS`` words or
 more that aren't placeholders; it is ``exact`` if no value differs. Windows are
 joined on their plain words too, so those of fewer such words are found where a
-document holds them word for word (letter case and punctuation aside).
+document holds them word for word (letter case and punctuation aside). A
+capitalised word is a name, at the beginning of a sentence if it isn't a usual one
+there.
 
 Defined results: null and empty texts have no window; an item of fewer words
 than a window is one window as a whole, and matches nothing if it has fewer than
@@ -37,13 +39,26 @@ BROADCAST_WINDOWS = 1_000_000
 NUMBER, UNIT, NAME = "\u0001n", "\u0001u", "\u0001p"
 SPELLED = "zero|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety|hundred|thousand|million|billion|dozen"
 UNITS = "mm|cm|dm|m|km|in|inch|inches|ft|foot|feet|yd|yards?|miles?|mi|mg|g|kg|t|tons?|tonnes?|lbs?|oz|pounds?|ml|cl|l|litres?|liters?|gallons?|ms|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|metres?|meters?|kilometres?|kilometers?|grams?|kilograms?|dollars?|cents?|euros?|percent|degrees?|hz|khz|mhz|ghz|w|kw|v|a|j|kj|n|pa|kb|mb|gb|tb|mph|kph|usd|eur|gbp"
+#: Function words and other common openings of sentences and questions.
+OPENERS = (
+    "The|This|That|These|Those|There|Their|They|Then|Than|Though|Although|Through|Throughout|Thus|Therefore|An|And|Any|All|Also|Another|Among|About|Above|Across|After|Again|Against|Along|"
+    "Already|Always|As|At|Away|Because|Before|Behind|Below|Beneath|Beside|Besides|Between|Beyond|Both|But|By|Can|Cannot|Could|Did|Do|Does|Doing|Done|Down|During|Each|Either|Else|Even|"
+    "Ever|Every|Everyone|Everything|Except|Few|Finally|First|Firstly|For|From|Further|Furthermore|Given|Had|Has|Have|Having|He|Hence|Her|Here|Hers|Him|His|How|However|If|In|Indeed|"
+    "Inside|Instead|Into|Is|It|Its|Just|Last|Lastly|Later|Less|Let|Like|Many|Maybe|Meanwhile|Might|More|Moreover|Most|Much|Must|My|Near|Nearly|Neither|Never|Nevertheless|Next|No|"
+    "Nobody|None|Nor|Not|Nothing|Now|Of|Off|Often|On|Once|One|Only|Or|Other|Others|Otherwise|Our|Out|Outside|Over|Perhaps|Per|Please|Quite|Rather|Second|Secondly|Several|Shall|She|"
+    "Should|Similarly|Since|So|Some|Someone|Something|Sometimes|Soon|Still|Such|Suppose|Assume|Sure|Together|Too|Toward|Towards|Under|Unless|Unlike|Until|Up|Upon|Us|Very|Was|We|Well|"
+    "Were|What|Whatever|When|Whenever|Where|Whereas|Wherever|Whether|Which|Whichever|While|Who|Whoever|Whole|Whom|Whose|Why|With|Within|Without|Would|Yes|Yet|You|Your|Yours|To|"
+    "Are|Am|Be|Been|Being|Answer|Calculate|Choose|Compute|Consider|Describe|Determine|Evaluate|Explain|Express|Find|Give|Identify|List|Note|Prove|Question|Select|Show|Simplify|Solve|"
+    "State|Use|Using|Write|Read|True|False"
+)
 PUNCTUATION = ".,;:!?\"'()[]{}<>«»“”„‘’…"
 
 _EDGE_BEFORE, _EDGE_AFTER = r"(?<![^ ])", r"(?![^ ])"
 _CLOSE = r"[.,;:!?)\]\"']*"
 _NUMBERS = rf"{_EDGE_BEFORE}[(\[\"'$€£]*[+-]?(?:[0-9][0-9.,:/]*(?:%|st|nd|rd|th|(?i:{UNITS}))?|(?i:{SPELLED})){_CLOSE}{_EDGE_AFTER}"
 _UNITS_AFTER = rf"(?<=\u0001n )(?i:{UNITS}){_CLOSE}{_EDGE_AFTER}"
-_NAMES = r"(?<=[\p{L}\p{N},;:] )\p{Lu}\p{Ll}+" + _CLOSE + _EDGE_AFTER
+# a capitalised word within a sentence, or at its beginning if it is none of OPENERS; what else the text holds has no say, as equal windows have to be typed alike
+_NAMES = rf"{_EDGE_BEFORE}(?:(?<=[\p{{L}}\p{{N}},;:] )|[(\[\"'“‘«„]*(?!(?:{OPENERS}){_CLOSE}{_EDGE_AFTER}))\p{{Lu}}\p{{Ll}}+{_CLOSE}{_EDGE_AFTER}"
 
 
 def _spaced(text: Column) -> Column:

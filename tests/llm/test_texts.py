@@ -132,6 +132,16 @@ def test_windows_of_placeholders_are_found_word_for_word(spark, documents):
     assert got == [(0, 1, "exact"), (1, 2, "exact"), (2, 3, "exact"), (3, 4, "exact")]
 
 
+def test_names_that_begin_sentences_and_other_letter_case(spark, documents):
+    item = "Tom has 5 apples in a basket. Tom buys 3 more at the market. Tom then eats 2 of them. How many are left?"
+    lower = "when we met in paris last spring john told mary about the old house"
+    benchmark = spark.createDataFrame([(1, item), (2, "When we met in Paris last spring John told Mary about the old house")], "item_id int, text string")
+    ann = item.replace("Tom", "Ann")
+    texts = [ann, f"An example. {ann}", item.lower(), lower, lower.upper(), item.replace("5", "6").lower(), ann.replace("Ann buys", "Bea buys").replace("Ann then", "Eve then")]
+    got = sorted((r.doc_id, r.item_id, r.kind) for r in contamination(documents(*texts), benchmark, 0.9).collect())
+    assert got == [(0, 1, "reparameterised"), (1, 1, "reparameterised"), (2, 1, "exact"), (3, 2, "exact"), (4, 2, "exact"), (5, 1, "reparameterised")]
+
+
 def test_quality_on_held_out_rows(spark, folder):
     place = folder.replace("0.001", "0.01")
     table, labels = (spark.read.parquet(f"{place}/{n}.parquet") for n in ("documents", "labels"))
