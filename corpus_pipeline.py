@@ -2,7 +2,8 @@
 
 Each stage takes the documents the one before kept. Low quality goes; of
 documents of five-word shingle similarity 0.8 or more, linked directly or through
-others, the one of smallest id stays; strings of 100 bytes that an earlier
+others, the one of smallest id stays, one without an id (null) only if no other
+has one; strings of 100 bytes that an earlier
 document holds go, in whole characters; documents that hold an item of the
 benchmark go; the rest is encoded.
 """
@@ -14,9 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regraft.llm.bpe import bpe_documents
-from regraft.llm.common import stage, table, without_ids
+from regraft.llm.common import stage, table, without_rows
 from regraft.llm.decontaminate import decontaminated
-from regraft.llm.ngram_join import jaccard_classes
+from regraft.llm.ngram_join import jaccard_rows
 from regraft.llm.quality import accepted
 from regraft.llm.queries import VOCABULARIES
 from regraft.llm.suffix_dedup import without_repeats
@@ -29,8 +30,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = jaccard_classes(docs, 5, 80)
-    return without_ids(docs, classes.where("doc_id != component_id"))
+    rows = jaccard_rows(docs, 5, 80).where("NOT doc_id <=> component_id")
+    return without_rows(docs, rows.selectExpr("key_id AS doc_id", "key_mark AS mark"))
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -136,7 +136,7 @@ def id_bits(frame: DataFrame, column: str) -> bytes:
     """Marks the ids of a column; others may share their bits, so an exact join has to follow."""
     place = F.expr(f"(({column} ^ shiftright({column}, 23)) & {ID_BITS - 1}L) + 1")
     parts = (
-        frame.select(place.alias("place"))
+        frame.where(F.col(column).isNotNull()).select(place.alias("place"))
         .groupBy(F.bitmap_bucket_number("place").alias("part"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
         .collect()

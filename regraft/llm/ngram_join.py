@@ -15,7 +15,9 @@ expected about once and changes one overlap by one.
 Defined results: null, empty and blank texts have no n-gram, component
 themselves and no link; fewer words than an n-gram make one n-gram of all of
 them; rows that repeat a ``doc_id`` with different texts are separate members of
-its class; an empty table gives no rows; further columns are ignored.
+its class; rows without a ``doc_id`` (null) are members like others, and the
+component is null only if none of its rows has an id; an empty table gives no
+rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, id_bits, marked_ids, runs_of, split_seed, spread, stage, texts
+from .common import bucket_bits, id_bits, marked_ids, row_key, runs_of, split_seed, spread, stage, texts
 from .components import connected_components, smallest_labels
 
 #: Frequency classes of n-grams are kept for so many slots of hashes (4 MB, whatever the input).
@@ -246,6 +248,10 @@ _KEYS = ["grp", "low", "high"]
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """``a, b, n``: with ``b`` an edge of a forest that connects the linked; without, ``n`` links of ``a``."""
     for group in runs_of(batches, _KEYS):
+        # rows that repeat as a whole send their set again
+        once = np.unique(np.asarray(group.column("id")), return_index=True)[1]
+        if len(once) < group.num_rows:
+            group = group.take(pa.array(np.sort(once)))
         if group.num_rows < 2:
             continue
         low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
@@ -279,7 +285,13 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 def jaccard_classes(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, n_links, component_id`` for every document."""
-    given = texts(documents)
+    return jaccard_rows(documents, size, percent).drop("key_id", "key_mark")
+
+
+def jaccard_rows(documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """As :func:`jaccard_classes`, with ``key_id, key_mark`` of every row (``row_key``)."""
+    key, key_mark = row_key()
+    given = texts(documents).select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key_id"), key_mark.alias("key_mark"), "text")
     context = documents.sparkSession.sparkContext
     classes = context.broadcast(frequency_classes(given.select("text"), size))
 
@@ -297,15 +309,18 @@ def jaccard_classes(documents: DataFrame, size: int = 4, percent: int = 85) -> D
                 seen.add(mark)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64()),
+                    *(batch.column(c) for c in ("doc_id", "key_id", "key_mark")), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64()),
                     pa.array(fragments, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "mark", "fragment"],
+                ["doc_id", "key_id", "key_mark", "n_shingles", "mark", "fragment"],
             )
 
-    described = stage(given.mapInArrow(describe, "doc_id long, n_shingles long, mark long, fragment array<long>"), "described")
+    schema = "doc_id long, key_id long, key_mark long, n_shingles long, mark long, fragment array<long>"
+    described = stage(given.mapInArrow(describe, schema), "described")
     sets = stage(
-        described.where("mark IS NOT NULL").groupBy("mark", "n_shingles").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "sets"
+        described.where("mark IS NOT NULL").groupBy("mark", "n_shingles").agg(
+            F.min("doc_id").alias("id"), F.min(F.struct("key_id", "key_mark")).alias("sender"), F.count("*").alias("copies")
+        ), "sets"
     )
     postings = described.where("fragment IS NOT NULL").select("mark", "n_shingles", F.explode("fragment").alias("token"))
     order = ["token", "n_shingles", "mark"]
@@ -315,8 +330,11 @@ def jaccard_classes(documents: DataFrame, size: int = 4, percent: int = 85) -> D
     near = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("least").alias("least")).where("shared >= least")
     groups = connected_components(near)
 
-    members = groups.select(F.col("node").alias("mark"), F.col("component").alias("grp")).join(sets, "mark")
-    in_group = Window.partitionBy("grp").orderBy("n_shingles", "id")
+    # sets go by their mark, which is never null; one row sends the n-grams of each
+    members = groups.select(F.col("node").alias("mark"), F.col("component").alias("grp")).join(sets, "mark").select(
+        "mark", "grp", "n_shingles", "copies", "sender.key_id", "sender.key_mark"
+    )
+    in_group = Window.partitionBy("grp").orderBy("n_shingles", "mark")
     members = stage(members.withColumn("block", F.floor((F.row_number().over(in_group) - 1) / BLOCK).cast("int")), "members")
     blocks = members.groupBy("grp", "block").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
     one, two = blocks.alias("one"), blocks.alias("two")
@@ -325,27 +343,32 @@ def jaccard_classes(documents: DataFrame, size: int = 4, percent: int = 85) -> D
     ).select("one.grp", F.col("one.block").alias("low"), F.col("two.block").alias("high"))
     sides = pairs.withColumn("block", F.explode(F.array_distinct(F.array("low", "high"))))
 
-    bits = context.broadcast(id_bits(members, "id"))
+    bits = context.broadcast(id_bits(members, "key_id"))
 
     def tokens_of(batches):
         hashes = WordHashes()
         for batch in batches:
-            chosen = batch.filter(pa.array(marked_ids(bits.value, batch.column("doc_id"))))
+            chosen = batch.filter(pa.array(marked_ids(bits.value, batch.column("key_id"))))
             if chosen.num_rows:
                 sets = [ngrams(t, size, hashes).tobytes() for t in chosen.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([chosen.column("doc_id"), pa.array(sets, pa.binary())], ["id", "tokens"])
+                yield pa.RecordBatch.from_arrays(
+                    [chosen.column("key_id"), chosen.column("key_mark"), pa.array(sets, pa.binary())], ["key_id", "key_mark", "tokens"]
+                )
 
-    full = given.mapInArrow(tokens_of, "id long, tokens binary")
-    placed = members.select("id", "copies", "grp", "block").join(sides, ["grp", "block"])
-    met = full.join(placed, "id").select(*_KEYS, "block", "id", "copies", "tokens")
+    full = given.mapInArrow(tokens_of, "key_id long, key_mark long, tokens binary")
+    placed = members.select("key_id", "key_mark", F.col("mark").alias("id"), "copies", "grp", "block").join(sides, ["grp", "block"])
+    met = full.join(placed, ["key_id", "key_mark"]).select(*_KEYS, "block", "id", "copies", "tokens")
     links = stage(
         spread(met, *_KEYS).sortWithinPartitions(*_KEYS).mapInArrow(lambda b: _linked(b, percent), "a long, b long, n long"), "links"
     )
-    component = connected_components(links.where("b IS NOT NULL"))
-    degree = links.where("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
-    class_of = sets.join(degree, "id", "left").join(component, F.col("id") == F.col("node"), "left").select(
-        "mark", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")
+    linked = connected_components(links.where("b IS NOT NULL")).select(F.col("node").alias("mark"), "component")
+    named = linked.join(sets, "mark").groupBy("component").agg(F.min("id").alias("component_id"))
+    component = linked.join(named, "component").select("mark", "component_id")
+    degree = links.where("b IS NULL").groupBy(F.col("a").alias("mark")).agg(F.sum("n").alias("links"))
+    class_of = sets.join(degree, "mark", "left").join(component, "mark", "left").select(
+        "mark", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id")
     )
-    return described.select("doc_id", "n_shingles", "mark").join(class_of, "mark", "left").select(
-        "doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "doc_id").alias("component_id")
+    return described.select("doc_id", "key_id", "key_mark", "n_shingles", "mark").join(class_of, "mark", "left").select(
+        "doc_id", "key_id", "key_mark", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
     )

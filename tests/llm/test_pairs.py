@@ -76,6 +76,21 @@ def test_jaccard_of_five_words_and_no_rows(documents):
     assert jaccard_classes(documents("x").where("false")).count() == 0
 
 
+def test_jaccard_with_null_ids(documents):
+    base = [f"w{k}" for k in range(100)]
+    near = [" ".join(base[:i] + ["new"] + base[i + 1 :]) for i in (0, 50, 99)]
+    alone = [" ".join(f"v{k}" for k in range(40)), " ".join(f"v{k}" for k in range(41))]
+    rows = [(None, " ".join(base)), (None, near[0]), (7, near[1]), (7, near[1]), (3, near[2]), (None, alone[0]), (None, alone[1]), (None, None), (9, "other")]
+    got = sorted(map(tuple, jaccard_classes(documents(*rows)).collect()), key=str)
+    by_place = jaccard_by_hand([(i, t) for i, (_, t) in enumerate(rows)], 4, 85)
+    classes = {}
+    for (i, _), (_, _, _, c) in zip(rows, by_place):
+        classes.setdefault(c, []).append(i)
+    least = {c: min((i for i in ids if i is not None), default=None) for c, ids in classes.items()}
+    assert got == sorted(((i, n, links, least[c]) for (i, _), (_, n, links, c) in zip(rows, by_place)), key=str)
+    assert {r[3] for r in got if r[0] == 7} == {3}
+
+
 def test_fragments():
     assert [fragment_length(n, 85) for n in (1, 4, 20, 100)] == [1, 1, 4, 16]
     draw = np.random.default_rng(0)

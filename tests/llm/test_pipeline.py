@@ -87,6 +87,16 @@ def test_ids_are_marked_and_removed(spark, documents):
     assert left.columns == table.columns and sorted(r.doc_id for r in left.collect()) == [8, 1 << 23]
 
 
+def test_null_ids_in_the_stages(spark, documents, folder):
+    text = " ".join(f"w{k}" for k in range(60))
+    table = documents((4, text), (None, text), (None, f"{text} more"), (None, "quite another text of some words"), (2, f"{text} end"), (4, "once more"))
+    left = corpus_pipeline.near_duplicate_stage(spark, table, folder)
+    want = [(2, f"{text} end"), (4, "once more"), (None, "quite another text of some words")]
+    assert left.columns == table.columns and sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+    bits = id_bits(spark.createDataFrame([(None,), (5,)], "v long"), "v")
+    assert marked_ids(bits, pa.array([5])).all() and not marked_ids(bits, pa.array([6])).any()
+
+
 def test_sample(spark):
     assert bounded_sample(spark.range(10_000), "id", 50).count() == 50
     assert bounded_sample(spark.range(30), "id", 50).count() == 30
