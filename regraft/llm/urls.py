@@ -2,8 +2,8 @@
 
 A list entry ``(list, pattern, action, dated)`` adds or removes a pattern from
 its date on; the next entry of the same list and pattern ends the interval. A
-pattern is a host (its subdomains included) or a host with a path prefix that
-ends at a slash. A capture looks up its host suffixes and path prefixes in the
+pattern is a host (its subdomains included, in any letter case) or a host with a
+path prefix that ends at a slash (in its own letter case). A capture looks up its host suffixes and path prefixes in the
 intervals that reach into its month, so the join is on equal keys and a hot
 host is split by adaptive execution.
 
@@ -46,7 +46,9 @@ def lookup_keys(url: Column, depth: int) -> Column:
 
 def validity(entries: DataFrame) -> DataFrame:
     """``list, pattern, since, until`` (null: still listed) from dated entries."""
-    usable = entries.select("list", F.regexp_replace(F.lower(F.trim("pattern")), "/+$", "").alias("pattern"), "action", "dated").where(
+    given = F.regexp_replace(F.trim("pattern"), "/+$", "")
+    pattern = F.concat(F.lower(F.regexp_extract(given, "^[^/]*", 0)), F.regexp_extract(given, "(?s)^[^/]*(.*)$", 1))
+    usable = entries.select("list", pattern.alias("pattern"), "action", "dated").where(
         "list IS NOT NULL AND pattern != '' AND dated IS NOT NULL AND action IN ('add', 'remove')"
     )
     per_date = usable.groupBy("list", "pattern", "dated").agg(F.min("action").alias("action"))

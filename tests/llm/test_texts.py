@@ -209,6 +209,20 @@ def test_odd_pages():
     assert all(isinstance(t, str) for t in extract(odd, trees)) and features(Page("")).shape[0] == 1
 
 
+def test_paths_keep_their_letter_case(spark):
+    day = F.timestamp_add("DAY", F.col("n"), F.lit("2024-01-01").cast("timestamp"))
+    entries = spark.createDataFrame(
+        [("a", "Example.COM/Casino/", "add", 0), ("a", "example.com/casino", "add", 0), ("a", "example.com/casino", "remove", 5)],
+        "list string, pattern string, action string, n int",
+    ).withColumn("dated", day)
+    captures = spark.createDataFrame(
+        [(1, "http://EXAMPLE.com/Casino/a", 9), (2, "http://example.com/casino/a", 9), (3, "http://example.com/casino", 3), (4, "http://example.com/CASINO", 3)],
+        "page_id long, url string, n int",
+    ).withColumn("fetched", day)
+    got = sorted((r.page_id, r.blocked, r.pattern) for r in judge(captures, entries).collect())
+    assert got == [(1, True, "example.com/Casino"), (2, False, None), (3, True, "example.com/casino"), (4, False, None)]
+
+
 def test_lists_at_fetch_time(spark):
     day = F.timestamp_add("DAY", F.col("n"), F.lit("2024-01-01").cast("timestamp"))
     entries = spark.createDataFrame(
