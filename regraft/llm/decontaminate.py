@@ -58,7 +58,8 @@ _CLOSE = r"[.,;:!?)\]\"']*"
 _NUMBERS = rf"{_EDGE_BEFORE}[(\[\"'$€£]*[+-]?(?:[0-9][0-9.,:/]*(?:%|st|nd|rd|th|(?i:{UNITS}))?|(?i:{SPELLED})){_CLOSE}{_EDGE_AFTER}"
 _UNITS_AFTER = rf"(?<=\u0001n )(?i:{UNITS}){_CLOSE}{_EDGE_AFTER}"
 # a capitalised word within a sentence, or at its beginning if it is none of OPENERS; what else the text holds has no say, as equal windows have to be typed alike
-_NAMES = rf"{_EDGE_BEFORE}(?:(?<=[\p{{L}}\p{{N}},;:] )|[(\[\"'“‘«„]*(?!(?:{OPENERS}){_CLOSE}{_EDGE_AFTER}))\p{{Lu}}\p{{Ll}}+{_CLOSE}{_EDGE_AFTER}"
+_OPEN = "[(\\[\"'“‘«„]*"
+_NAMES = rf"{_EDGE_BEFORE}(?={_OPEN}\p{{Lu}}\p{{Ll}})(?:(?<=[\p{{L}}\p{{N}},;:] )|{_OPEN}(?!(?:{OPENERS}){_CLOSE}{_EDGE_AFTER}))\p{{Lu}}\p{{Ll}}+{_CLOSE}{_EDGE_AFTER}"
 
 
 def _spaced(text: Column) -> Column:
