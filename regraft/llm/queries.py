@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from .html import main_text
 from .licenses import license_scan
 from .neardup_vectors import near_duplicates
 from .ngram_join import jaccard_classes
+from .packing import packing_digests
 from .phrases import phrase_digests
 from .quality import quality
 from .suffix_dedup import repeat_digests
@@ -110,6 +112,10 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(table(spark, folder, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_phrases": op2_phrases,
@@ -121,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vectors": op8_vectors,
     "op9_main_text": op9_main_text,
     "op10_bpe": op10_bpe,
+    "op11_packing": op11_packing,
 }
 
 ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL}
