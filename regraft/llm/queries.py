@@ -18,6 +18,7 @@ from .ngram_join import jaccard_classes
 from .packing import packing_digests
 from .phrases import phrase_digests
 from .quality import quality
+from .runs import run_digests, with_planted_runs
 from .suffix_dedup import repeat_digests
 from .urls import host, judge, path
 
@@ -116,6 +117,10 @@ def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
 
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(with_planted_runs(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_phrases": op2_phrases,
@@ -128,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_bpe": op10_bpe,
     "op11_packing": op11_packing,
+    "op12_runs": op12_runs,
 }
 
 ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL}
