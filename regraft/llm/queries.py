@@ -13,6 +13,7 @@ from .common import table
 from .decontaminate import contamination
 from .html import main_text
 from .licenses import license_scan
+from .manifest import manifest_digests
 from .neardup_vectors import near_duplicates
 from .ngram_join import jaccard_classes
 from .packing import packing_digests
@@ -121,6 +122,10 @@ def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_digests(with_planted_runs(table(spark, folder, "documents")))
 
 
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest_digests(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_phrases": op2_phrases,
@@ -134,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe": op10_bpe,
     "op11_packing": op11_packing,
     "op12_runs": op12_runs,
+    "op13_manifest": op13_manifest,
 }
 
 ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL}
