@@ -19,6 +19,11 @@ def lazily(name: str, frame: DataFrame) -> DataFrame:
     return frame
 
 
+def buckets_of(keep: Keep) -> int:
+    """Number of buckets that ``keep`` puts pairs in, 0 if it doesn't."""
+    return getattr(keep, "buckets", 0)
+
+
 @dataclass(frozen=True)
 class Created:
     """Rows to append to the target, and the relationship they belong to."""
@@ -113,4 +118,4 @@ def match_or_create(
         numbered = keep(name, fill_new_ids(matches, start))
         pairs = numbered.select("old_id", "new_id")
     created = with_new_ids(source if rows is None else rows, numbered.where("created"))
-    return Created(created, Relationship(pairs))
+    return Created(created, Relationship(pairs, buckets=0 if dedupe_source_keys else buckets_of(keep)))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +18,16 @@ class Relationship:
 
     ``identities`` are reserved ids such as 0 (unassigned) and -1 (the system
     user). They are answered by an expression and never take part in a join:
-    in most foreign keys 0 is by far the most frequent value.
+    in most foreign keys 0 is by far the most frequent value. ``answers`` does the
+    same for other keys that are frequent in the frame at hand. ``buckets`` is the
+    number of files that the pairs lie in by hash, if they do: joins then leave
+    them where they are.
     """
 
     pairs: DataFrame
     identities: tuple[int, ...] = ()
+    buckets: int = 0
+    answers: Mapping[int, int | None] = field(default_factory=dict)
 
     @cached_property
     def lookup(self) -> DataFrame:

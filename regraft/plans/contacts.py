@@ -15,6 +15,7 @@ from regraft.operators.integrity import first_per_key, in_use, keep_children, wi
 from regraft.operators.match import (
     Created,
     Keep,
+    buckets_of,
     inner_match,
     lazily,
     match_or_create,
@@ -45,7 +46,7 @@ def user_relationship(source: App, target: App, keep: Keep = lazily) -> Relation
 
     by_email = inner_match(addresses(source), addresses(target), ["Email"])
     pairs = prefer_later(by_global_id.fillna(0, subset=["new_id"]), by_email)
-    return Relationship(keep("User_ids", pairs), USER_IDENTITIES)
+    return Relationship(keep("User_ids", pairs), USER_IDENTITIES, buckets_of(keep))
 
 
 def lead_sources(source: App, target: App, keep: Keep = lazily) -> Outcome:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regraft.functions.columns import as_id, filled
-from regraft.operators.match import Keep, lazily, match_or_create
+from regraft.operators.match import Keep, buckets_of, lazily, match_or_create
 from regraft.operators.relationship import Relationship
 from regraft.operators.remap import remap, remap_or_default
 from regraft.plans.crm import (
@@ -226,9 +226,9 @@ class Orders:
         if name in self.rels:
             return self.rels[name]
         if name in self.KEPT:
-            return Relationship(self.members(self.KEPT[name]).select("old_id", "new_id"))
+            return Relationship(self.members(self.KEPT[name]).select("old_id", "new_id"), buckets=buckets_of(self.keep))
         return Relationship(
-            self.numbered(name).select("old_id", "new_id"), ORDER_TABLES[name].identities
+            self.numbered(name).select("old_id", "new_id"), ORDER_TABLES[name].identities, buckets_of(self.keep)
         )
 
     def rows(self, name: str) -> DataFrame:

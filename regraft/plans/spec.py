@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regraft.operators.ids import fill_new_ids
-from regraft.operators.match import Keep, lazily
+from regraft.operators.match import Keep, buckets_of, lazily
 from regraft.operators.relationship import Relationship
-from regraft.operators.remap import remap, remap_list
+from regraft.operators.remap import remap, remap_list, with_hot_answers
 
 Relationships = Mapping[str, Relationship]
 
@@ -93,6 +93,11 @@ def _named(names: Mapping[str, str], rels: Relationships) -> dict[str, Relations
     return {column: rels[name] for column, name in names.items()}
 
 
+def _with_parents(spec: TableSpec, keys: DataFrame, rels: Relationships) -> DataFrame:
+    parents = with_hot_answers(keys, _named(spec.parents, rels))
+    return remap(keys, parents, required=True, row_id="old_id")
+
+
 def _narrow(spec: TableSpec, rows: DataFrame) -> DataFrame:
     keys = [c for c in (*spec.parents, *spec.lookups) if c in rows.columns]
     return rows.selectExpr(
@@ -112,7 +117,7 @@ def give_ids(
     """The narrow frame with new ids; parents are settled first unless all count."""
     narrow = _narrow(spec, rows)
     if spec.parents and not spec.numbers_all:
-        settled = remap(narrow, _named(spec.parents, rels), required=True, row_id="old_id")
+        settled = _with_parents(spec, narrow, rels)
         narrow = keep(f"{spec.table}_members", settled)
     numbered = fill_new_ids(narrow, next_id + spec.offset).drop("created")
     return keep(f"{spec.table}_ids", numbered)
@@ -124,7 +129,7 @@ def members(
     """The numbered rows whose parents all resolve, parents rewritten."""
     if not spec.numbers_all:
         return numbered
-    settled = remap(numbered, _named(spec.parents, rels), required=True, row_id="old_id")
+    settled = _with_parents(spec, numbered, rels)
     return keep(f"{spec.table}_members", settled)
 
 
@@ -132,7 +137,7 @@ def assemble(
     spec: TableSpec, rows: DataFrame, keys: DataFrame, rels: Relationships
 ) -> DataFrame:
     """The members' whole rows: other keys looked up, the other columns joined."""
-    keys = remap(keys, _named(spec.lookups, rels), row_id="old_id")
+    keys = remap(keys, with_hot_answers(keys, _named(spec.lookups, rels)), row_id="old_id")
     payload = [
         c for c in rows.columns if c != "Id" and c not in keys.columns and c not in spec.constants
     ]
@@ -166,8 +171,8 @@ def settle(
     kept = members(spec, numbered, rels, keep)
     return Moved(
         assemble(spec, rows, kept, rels),
-        Relationship(numbered.select("old_id", "new_id"), spec.identities),
-        Relationship(kept.select("old_id", "new_id")),
+        Relationship(numbered.select("old_id", "new_id"), spec.identities, buckets_of(keep)),
+        Relationship(kept.select("old_id", "new_id"), buckets=buckets_of(keep)),
     )
 
 

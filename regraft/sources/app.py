@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from regraft.operators.diff import append_rows, column_types, schema_rows
 from regraft.operators.ids import high_water
 from regraft.operators.settings import setting
-from regraft.sources.sinks import read_wide
+from regraft.sources.ledger import Book
 
 Reader = Callable[[str], DataFrame]
 
@@ -49,7 +49,8 @@ class App:
 
     @classmethod
     def parquet(cls, spark: SparkSession, name: str, root: str, **kwargs) -> App:
-        return cls(name, lambda table: read_wide(spark, f"{root}/{table}"), place=root, **kwargs)
+        """Tables of a folder, all as its ledger has them now, whatever is published later."""
+        return cls(name, Book(spark, root).read, place=root, **kwargs)
 
     @classmethod
     def jdbc(

@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 
 from regraft.operators.diff import append_rows, column_types, pick
 from regraft.operators.integrity import without_existing
+from regraft.sources.files import Files
 
 BATCH_ROWS = 10_000
 SHOWN = 5
+#: After the name of a table that a swap puts aside.
+ASIDE = ".aside"
 
 
 class IdsTaken(ValueError):
@@ -29,13 +32,17 @@ class IdsTaken(ValueError):
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table with all columns that any of its files has."""
+    recovered(spark, path)
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def in_types_of(rows: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows with the target's types where it has the column; their other columns stay."""
-    kinds = column_types(target.schema)
-    return rows.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else c for c in rows.columns])
+    """Rows with the target's types where it has the column; their other columns stay.
+
+    A value that the type can't hold raises an error, whatever the session's mode.
+    """
+    kinds, own = column_types(target.schema), column_types(rows.schema)
+    return rows.select(*[strictly(F.col(c), kinds[c]).alias(c) if kinds.get(c, own[c]) != own[c] else c for c in rows.columns])
 
 
 def fresh_rows(rows: DataFrame, target: DataFrame, keys: Sequence[str] = ("Id",)) -> DataFrame:
@@ -59,16 +66,42 @@ def append_parquet(rows: DataFrame, path: str, keys: Sequence[str] = ("Id",)) ->
 
 
 def replace_parquet(table: DataFrame, path: str) -> None:
-    """Writes a table beside the one at ``path`` and swaps them, so that a failure leaves one of the two."""
-    context = table.sparkSession.sparkContext
-    fresh, old = f"{path}-{uuid.uuid4().hex}", f"{path}-{uuid.uuid4().hex}"
-    table.write.parquet(fresh)
-    place, before, after = (context._jvm.org.apache.hadoop.fs.Path(p) for p in (path, old, fresh))
-    files = place.getFileSystem(context._jsc.hadoopConfiguration())
-    if files.exists(place):
-        files.rename(place, before)
-    files.rename(after, place)
-    files.delete(before, True)
+    """Writes a table beside the one at ``path`` and swaps them.
+
+    The old one is put aside under a fixed name and goes last. If the swap fails it
+    is put back; if the program ends in the middle of it, :func:`recovered` does so
+    before the next read or write.
+    """
+    folder, _, name = path.rstrip("/").rpartition("/")
+    files, fresh, old = Files(table.sparkSession, folder), f"{name}-{uuid.uuid4().hex}", f"{name}{ASIDE}"
+    recovered(table.sparkSession, path)
+    table.write.parquet(f"{folder}/{fresh}")
+    there = files.exists(name)
+    if there:
+        files.remove(old)
+        files.rename(name, old)
+    try:
+        files.rename(fresh, name)
+    except OSError:
+        if there:
+            files.rename(old, name)
+        raise
+    files.remove(old)
+
+
+def recovered(spark: SparkSession, path: str) -> None:
+    """Puts back the table at ``path`` if a swap put it aside and never ended."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    files = Files(spark, folder)
+    if not files.exists(name) and files.exists(f"{name}{ASIDE}"):
+        files.rename(f"{name}{ASIDE}", name)
+
+
+def check_keys(updates: DataFrame, key: str) -> None:
+    """Stops at updates that repeat a key or lack it: which one counts would be anyone's guess."""
+    wrong = updates.groupBy(key).count().where(F.col(key).isNull() | (F.col("count") > 1)).limit(SHOWN)
+    if found := [r[key] for r in wrong.collect()]:
+        raise ValueError(f"updates repeat or lack {key}, such as {found}")
 
 
 def with_updates(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
@@ -85,6 +118,7 @@ def with_updates(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
 
 def update_parquet(updates: DataFrame, path: str, key: str) -> None:
     """Keyed rows only: what else changed in the table meanwhile stays as it is."""
+    check_keys(updates, key)
     replace_parquet(with_updates(read_wide(updates.sparkSession, path), updates, key), path)
 
 
@@ -134,9 +168,9 @@ def read_named_csv(spark: SparkSession, path: str, kinds: Mapping[str, str]) ->
 
 
 def strictly(cell: Column, kind: str) -> Column:
-    """Text as ``kind``; what can't be read raises an error, whatever the session's mode."""
+    """A value as ``kind``; what can't be read or held raises an error, whatever the session's mode."""
     value = cell.try_cast(kind)
-    wrong = F.raise_error(F.concat(F.lit(f"not {kind}: "), cell)).cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"not {kind}: "), cell.cast("string"))).cast(kind)
     return F.when(cell.isNotNull() & value.isNull(), wrong).otherwise(value)
 
 
@@ -156,6 +190,4 @@ def insert_members(target: DataFrame, staged: DataFrame, column: str, members: D
 
 def readable(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` was finished."""
-    context = spark.sparkContext
-    place = context._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+    return Files(spark, path).exists("_SUCCESS")

@@ -16,10 +16,12 @@ from typing import TypeVar
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from regraft.sources.files import Files
 from regraft.sources.sinks import readable
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 JOBS_AT_ONCE = 6
+CLUSTERED_BY, BUCKETS_FILE = "old_id", "_buckets"
 
 T = TypeVar("T")
 
@@ -43,19 +45,39 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir") + "/stages"
 
 
+def _forget(spark: SparkSession, table: str) -> None:
+    """Takes a table out of the catalog; its files stay."""
+    if spark.sparkContext._jsc is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def _remove(spark: SparkSession, path: str) -> None:
-    context = spark.sparkContext
-    if context._jsc is None:  # the session has ended
-        return
-    place = context._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    if spark.sparkContext._jsc is not None:  # else the session has ended
+        Files(spark, path).remove("")
+
+
+class Keeper:
+    """``keep`` of the operators: writes below a folder of a staging."""
+
+    def __init__(self, staging: Staging, folder: str = "") -> None:
+        self.staging, self.folder, self.buckets = staging, folder, staging.buckets
+
+    def __call__(self, name: str, frame: DataFrame) -> DataFrame:
+        return self.staging.write(self.folder + name, frame)
 
 
 class Staging:
-    """A folder of stage tables. With a fixed root a rerun finds them again; without, they go at the program's end."""
+    """A folder of stage tables. With a fixed root a rerun finds them again; without, they go at the program's end.
 
-    def __init__(self, spark: SparkSession, root: str | None = None) -> None:
+    With ``buckets``, a frame with an ``old_id`` is shuffled by it once, when it is
+    written: each bucket is one sorted file, and a join on ``old_id`` reads the files
+    as they lie. A file beside them tells the number, and each session makes the
+    table known to its catalog under a name of its own.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int = 0) -> None:
         self.spark = spark
+        self.buckets = buckets
         self.root = root or f"{shared_folder(spark)}/regraft/{uuid.uuid4().hex}"
         if root is None:
             atexit.register(_remove, spark, self.root)
@@ -68,11 +90,41 @@ class Staging:
         return readable(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        plain = self.spark.read.parquet(self.path(name))
+        buckets = self._buckets(name)
+        return self._clustered(name, plain, buckets) if buckets else plain
 
     def write(self, name: str, frame: DataFrame) -> DataFrame:
-        frame.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(frame.schema).parquet(self.path(name))
+        path = self.path(name)
+        if not self.buckets or CLUSTERED_BY not in frame.columns:
+            frame.write.mode("overwrite").parquet(path)
+            return self.spark.read.schema(frame.schema).parquet(path)
+        table = self._table(name)
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        dealt = frame.repartition(self.buckets, CLUSTERED_BY).write.mode("overwrite").format("parquet")
+        dealt.bucketBy(self.buckets, CLUSTERED_BY).sortBy(CLUSTERED_BY).option("path", path).saveAsTable(table)
+        Files(self.spark, path).put(BUCKETS_FILE, str(self.buckets))
+        atexit.register(_forget, self.spark, table)
+        return self.spark.table(table)
 
     def keep(self, name: str, frame: DataFrame) -> DataFrame:
         return self.write(name, frame)
+
+    def keeper(self, folder: str = "") -> Keeper:
+        return Keeper(self, folder)
+
+    def _table(self, name: str) -> str:
+        return f"regraft_{uuid.uuid5(uuid.NAMESPACE_URL, self.path(name)).hex}"
+
+    def _buckets(self, name: str) -> int:
+        files = Files(self.spark, self.path(name))
+        return int(files.read(BUCKETS_FILE)) if files.exists(BUCKETS_FILE) else 0
+
+    def _clustered(self, name: str, plain: DataFrame, buckets: int) -> DataFrame:
+        table, path = self._table(name), self.path(name).replace("\\", "\\\\").replace("'", "\\'")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
+        by = f"CLUSTERED BY ({CLUSTERED_BY}) SORTED BY ({CLUSTERED_BY}) INTO {buckets} BUCKETS"
+        if not self.spark.catalog.tableExists(table):
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {by} LOCATION '{path}'")
+            atexit.register(_forget, self.spark, table)
+        return self.spark.table(table)

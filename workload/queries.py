@@ -21,7 +21,7 @@ from regraft.operators.integrity import (
     keep_children,
     without_existing,
 )
-from regraft.operators.match import Keep, lazily, match_or_create, natural_match
+from regraft.operators.match import Keep, buckets_of, lazily, match_or_create, natural_match
 from regraft.operators.names import free_names
 from regraft.operators.relationship import Relationship
 from regraft.operators.remap import bad_list_tokens, remap, remap_list, remap_or_default, remap_or_keep
@@ -65,7 +65,8 @@ class Work:
         self.keep: Keep = lazily
 
     def staged(self) -> Work:
-        self.keep = Staging(self.spark).keep
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.keep = Staging(self.spark, buckets=buckets).keeper()
         return self
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -75,7 +76,7 @@ class Work:
     def contact(self) -> Relationship:
         rows = people.people(self.source).select("Id")
         numbered = give_ids(CONTACT, rows, self.target.next_id("Contact"), {}, self.keep)
-        return Relationship(numbered.select("old_id", "new_id"), CONTACT.identities)
+        return Relationship(numbered.select("old_id", "new_id"), CONTACT.identities, buckets_of(self.keep))
 
     @cached_property
     def user(self) -> Relationship:
@@ -106,7 +107,7 @@ class Work:
         numbered = give_ids(
             CREDIT_CARD, self["staged_card"], self.target.next_id("CreditCard"), {}, self.keep
         )
-        return Relationship(numbered.select("old_id", "new_id"), CREDIT_CARD.identities)
+        return Relationship(numbered.select("old_id", "new_id"), CREDIT_CARD.identities, buckets_of(self.keep))
 
     @cached_property
     def existing_contact(self) -> Relationship:
