@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from regraft.operators.diff import append_rows, column_types, schema_rows
 from regraft.operators.ids import high_water
 from regraft.operators.settings import setting
+from regraft.sources.catalog import quoted, recovered_table
 from regraft.sources.ledger import Book
 
 Reader = Callable[[str], DataFrame]
@@ -52,6 +53,16 @@ class App:
         """Tables of a folder, all as its ledger has them now, whatever is published later."""
         return cls(name, Book(spark, root).read, place=root, **kwargs)
 
+    @classmethod
+    def catalog(cls, spark: SparkSession, name: str, database: str, **kwargs) -> App:
+        """Tables of a database in a catalog of the session."""
+
+        def read(table: str) -> DataFrame:
+            recovered_table(spark, f"{database}.{table}")
+            return spark.table(quoted(f"{database}.{table}"))
+
+        return cls(name, read, place=f"catalog:{database}", **kwargs)
+
     @classmethod
     def jdbc(
         cls,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -66,8 +66,8 @@ def update_table(updates: DataFrame, table: str, key: str) -> None:
     updates.createOrReplaceTempView(view)
     try:
         _merge(spark, table, view, updates.columns, key)
-    except AnalysisException as refused:
-        if "MERGE INTO" not in str(refused):
+    except PySparkException as refused:
+        if refused.getCondition() != "UNSUPPORTED_FEATURE.TABLE_OPERATION":
             raise
         _exchange(spark, table, with_updates(target, updates, key))
     finally:
