@@ -12,8 +12,9 @@ only moved if some code within ``RADIUS`` bits met theirs. Buckets beyond
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing and stay; vectors of different length never link;
-repeated rows of one ``vec_id`` count once, as the smallest of them; an empty
-table gives no rows; further columns are ignored.
+repeated rows of one ``vec_id`` count once, as the smallest of them; a vector
+without a ``vec_id`` links with nothing and stays, a row of its own with a null
+component; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -219,4 +220,5 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, sample_size: int =
     result = single.select("vec_id").join(known, "vec_id", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")
     )
-    return result.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    unnamed = vectors.where("vec_id IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id"))
+    return result.union(unnamed).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

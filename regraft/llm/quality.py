@@ -12,7 +12,8 @@ Defined results: null and empty texts have no n-gram and get the score of the
 intercept; labels that are null or neither 0 nor 1 teach nothing; if a document
 is labelled more than once, each label counts; with one class only, or no label
 at all, every score is the share of label 1 (0.5 without any). Rows that repeat
-are scored alike.
+are scored alike. A document without an id is scored like any other, and isn't
+held out.
 """
 
 from __future__ import annotations
@@ -233,8 +234,8 @@ def accepted(documents: DataFrame, labels: DataFrame, threshold: float = 0.3) ->
 
 
 def held_out():
-    """Rows that are never learnt from."""
-    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    """Rows that are never learnt from; a row without an id isn't one of them, and has no label either."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
 def quality(documents: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

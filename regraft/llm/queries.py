@@ -126,6 +126,43 @@ def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest_digests(table(spark, folder, "documents"))
 
 
+def manifest_sql(levels: int = 7, tops: int = 3) -> str:
+    """The manifest level by level: enough for ``8 ** levels`` rows of a language and ``8 ** tops`` languages."""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaf = lambda text: f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+    # CRC-32 over the decimal id: each byte is added, then eight bits are shifted out
+    bits = "flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')])"
+    step = "CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), lambda a, x: {step}), 4294967295)"
+    parts = [
+        f"d AS (SELECT *, {leaf('text')} AS leaf, CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS fold FROM documents)",
+        "p0 AS (SELECT doc_id, lang, leaf, fold, '' AS proof, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS node, count(*) OVER (PARTITION BY lang) AS n FROM d)",
+        "n0 AS (SELECT lang, node, leaf AS h, n FROM p0)",
+    ]
+
+    def climb(tree: str, level: int, keys: str, same: str) -> None:
+        alone = f"n <= {8**level}"
+        parts.append(f"{tree}{level + 1} AS (SELECT {keys} node // 8 AS node, CASE WHEN {alone} THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY node)) END AS h, n, list(h ORDER BY node) AS run FROM {tree}{level} GROUP BY {keys} node // 8, n)")
+        at = "p.node % 8 + 1"
+        beside = f"array_to_string(list_filter(r.run, lambda x, i: i != {at}), '')"
+        up = f"sha256(array_to_string(list_transform(r.run, lambda x, i: CASE WHEN i = {at} THEN p.fold ELSE x END), ''))"
+        path, following = ("p", "p") if tree == "n" else ("q", "q")
+        more = ", p.subroot" if tree == "t" else ""
+        parts.append(f"{following}{level + 1} AS (SELECT p.doc_id, p.lang, p.leaf, CASE WHEN p.{alone} THEN p.fold ELSE {up} END AS fold, CASE WHEN p.{alone} THEN p.proof ELSE p.proof || {beside} END AS proof, p.node // 8 AS node, p.n{more} FROM {path}{level} AS p JOIN {tree}{level + 1} AS r ON {same} r.node = p.node // 8)")
+
+    for level in range(levels):
+        climb("n", level, "lang,", "p.lang IS NOT DISTINCT FROM r.lang AND")
+    parts.append(f"t0 AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS node, count(*) OVER () AS n FROM n{levels})")
+    parts.append(f"q0 AS (SELECT p.doc_id, p.lang, p.leaf, p.fold, p.proof, t.node, t.n, t.h AS subroot FROM p{levels} AS p JOIN t0 AS t ON p.lang IS NOT DISTINCT FROM t.lang)")
+    for level in range(tops):
+        climb("t", level, "", "")
+    return (
+        f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, "
+        f"fold = t.h AS verified FROM q{tops}, t{tops} AS t"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_phrases": op2_phrases,
@@ -142,4 +179,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_manifest": op13_manifest,
 }
 
-ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL, "op13_manifest": manifest_sql()}

@@ -147,6 +147,12 @@ def test_odd_vectors(spark):
     assert near_duplicates(table.where("false")).count() == 0
 
 
+def test_vectors_without_and_with_repeated_ids(spark):
+    rows = [(None, [1.0] * 16), (None, None), (1, [1.0] * 16), (1, [1.0] * 16), (2, [2.0] * 16)]
+    got = near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, got), key=str) == [(1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True), (None, 0, None, True)]
+
+
 @pytest.mark.parametrize("copies", [BLOCK + 100])
 def test_a_large_group_of_vectors_in_blocks(spark, copies):
     draw = np.random.default_rng(5)

@@ -159,6 +159,8 @@ def test_quality_without_classes(spark, documents):
     assert [r.score for r in quality(table, labels.where("false")).collect()] == [0.5] * 5
     assert accepted(table, labels).columns == table.columns
     assert quality(table.where("false"), labels).count() == 0
+    unnamed = quality(documents((None, "a b"), (None, None)), labels).collect()
+    assert [(r.held_out, r.predicted in (0, 1)) for r in unnamed] == [(False, True)] * 2
 
 
 def test_descent_separates():
