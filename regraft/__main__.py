@@ -1,7 +1,8 @@
 """``python -m regraft``: transfer between two folders of Parquet tables or two databases.
 
 A side that begins with ``jdbc:`` is a database; user, password and driver come
-from a properties file, ``--source-properties`` and ``--target-properties``.
+from a properties file, ``--source-properties`` and ``--target-properties``. One that
+begins with ``catalog:`` is a database of the session's catalog.
 
 Stages go below the run folder; the same command again takes up an unfinished
 run. Without ``--publish`` the target is left as it is and only the report is
@@ -18,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from regraft.plans.transfer import Selection, Transfer, stage_report
 from regraft.sources.app import App
-from regraft.sources.relationships import write_csv, write_json
+from regraft.sources.relationships import read_relationships, write_csv, write_json
 from regraft.sources.staging import Staging
 
 SKIPPABLE = (
@@ -38,7 +39,7 @@ SKIPPABLE = (
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="regraft", description=__doc__)
     for side in ("source", "target"):
-        parser.add_argument(f"--{side}", required=True, help=f"folder or JDBC address of the {side}'s tables")
+        parser.add_argument(f"--{side}", required=True, help=f"folder, JDBC address or catalog:database of the {side}'s tables")
         parser.add_argument(f"--{side}-properties", help="file of name=value lines for JDBC")
         parser.add_argument(f"--{side}-name", default=side)
     parser.add_argument("--run", required=True, help="shared folder for the stages of this run")
@@ -50,6 +51,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--actions-snapshot", help="where to put the prepared actions for review")
     parser.add_argument("--next-ids", nargs="*", default=[], metavar="TABLE=ID", help="next free ids of the target, where they lie above the greatest")
     parser.add_argument("--export-relationships", help="folder for each relationship as JSON and CSV")
+    parser.add_argument("--import-relationships", help="folder of relationships of an earlier run, as JSON; their stages count as done")
     parser.add_argument("--publish", action="store_true")
     return parser.parse_args(given)
 
@@ -68,6 +70,8 @@ def app(spark: SparkSession, args: argparse.Namespace, side: str) -> App:
     next_ids = {t: int(i) for t, i in (x.split("=", 1) for x in args.next_ids)} if side == "target" else {}
     if address.startswith("jdbc:"):
         return App.jdbc(spark, name, jdbc_options(address, getattr(args, f"{side}_properties")), next_ids=next_ids)
+    if address.startswith("catalog:"):
+        return App.catalog(spark, name, address.removeprefix("catalog:"), next_ids=next_ids)
     return App.parquet(spark, name, address, next_ids=next_ids)
 
 
@@ -87,10 +91,10 @@ def main() -> None:
         app(spark, args, "source"),
         app(spark, args, "target"),
         selection,
-        Staging(spark, args.run),
+        Staging(spark, args.run, int(spark.conf.get("spark.sql.shuffle.partitions"))),
         datetime.now(),
+        read_relationships(spark, args.import_relationships) if args.import_relationships else None,
     ).run()
-    stage_report(transfer.report()).show(truncate=False)
     if transfer.dropdowns_modified():
         print("Dropdown lists have changed: users of the target must reload.")
     if selection.orders:
@@ -101,8 +105,12 @@ def main() -> None:
             write_csv(rel, f"{args.export_relationships}/{name}.csv")
     if args.publish and args.target.startswith("jdbc:"):
         transfer.publish_jdbc(jdbc_options(args.target, args.target_properties))
+    elif args.publish and args.target.startswith("catalog:"):
+        transfer.publish_catalog(args.target.removeprefix("catalog:"))
     elif args.publish:
         transfer.publish_parquet(args.target)
+    # what was moved by this run; after publishing, as the target holds it
+    stage_report(transfer.report(app(spark, args, "target") if args.publish else None)).show(truncate=False)
 
 
 if __name__ == "__main__":

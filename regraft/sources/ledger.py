@@ -175,7 +175,7 @@ class Publish:
         base = f"{self.name}/{table}-{uuid.uuid4().hex}"
         dealt = rows.repartitionByRange(RANGES, key).withColumn("_range", F.spark_partition_id())
         dealt.write.partitionBy("_range").parquet(f"{self.book.root}/{base}")
-        written = self.book.spark.read.parquet(f"{self.book.root}/{base}")
+        written = self.book.spark.read.schema(StructType([*rows.schema.fields, *dealt.select("_range").schema.fields])).parquet(f"{self.book.root}/{base}")
         ends = written.groupBy("_range").agg(F.min(key).cast("string").alias("low"), F.max(key).cast("string").alias("high"))
         return [Part(f"{base}/_range={r._range}", key, r.low, r.high) for r in sorted(ends.collect())]
 

@@ -153,8 +153,10 @@ def update_jdbc(updates: DataFrame, table: str, options: Mapping[str, str], key:
 
 
 def snapshot(rows: DataFrame, path: str, form: str = "parquet") -> None:
-    """The prepared rows, for review before they are inserted."""
-    rows.write.mode("overwrite").option("header", True).format(form).save(path)
+    """The prepared rows, for review before they are inserted; as text, times keep all their digits."""
+    digits = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    writer = rows.write.mode("overwrite").option("header", True).option("timestampNTZFormat", digits)
+    writer.option("timestampFormat", f"{digits}XXX").format(form).save(path)
 
 
 def read_named_csv(spark: SparkSession, path: str, kinds: Mapping[str, str]) -> DataFrame:

@@ -92,6 +92,8 @@ def test_a_null_key_stays_and_updates_must_not_repeat(spark, frame, rows, root):
     p.replace("S", frame("Name STRING, Value STRING", ("x", "1"), (None, "kept")))
     p.update("S", frame("Name STRING, Value STRING", ("x", "2")), "Name")
     p.update("S", frame("Name STRING, Value STRING", ("a", "3")), "Name")
+    p.update("S", frame("Name STRING, Value STRING"), "Name")
+    p.update("S", frame("Name STRING, Value STRING", ("x", "2")), "Name")
     assert sorted(rows(p.read("S")), key=str) == [("a", "3"), ("x", "2"), (None, "kept")]
     for wrong in ((("x", "1"), ("x", "2")), ((None, "1"),)):
         with pytest.raises(ValueError, match="repeat or lack"):

@@ -38,8 +38,12 @@ from regraft.plans.custom_fields import (
     tabs_and_headers,
 )
 from regraft.plans.spec import give_ids
-from regraft.sources.relationships import pairs_from_json, pairs_to_json
-from regraft.sources.sinks import fresh_rows, with_updates
+from regraft.plans.transfer import Selection, Transfer
+from regraft.sources.app import App
+from regraft.sources.catalog import append_table
+from regraft.sources.ledger import Book
+from regraft.sources.relationships import checked_pairs, csv_rows, pairs_from_json, pairs_to_json, read_csv, read_relationships, write_csv, write_json
+from regraft.sources.sinks import fresh_rows, overridden, snapshot, with_updates
 from regraft.sources.staging import Staging, at_once
 from workload.inputs import Inputs, with_inputs
 
@@ -64,8 +68,7 @@ class Work:
         self.target = self.inputs.target()
         self.keep: Keep = lazily
 
-    def staged(self) -> Work:
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+    def staged(self, buckets: int = 0) -> Work:
         self.keep = Staging(self.spark, buckets=buckets).keeper()
         return self
 
@@ -1120,39 +1123,44 @@ def dropdowns(w: Work) -> DataFrame:
 # Report, export, groups.
 
 
+_MOVED_TO = "CASE WHEN s.CompanyID = 0 THEN 0 ELSE c.new_id END"
+_CONTACTS_MOVED = f"""SELECT count(*) FROM {{rel_contact}} AS r JOIN {{src_contact}} AS s ON s.Id = r.old_id
+                   LEFT JOIN {{rel_contact}} AS c ON c.old_id = s.CompanyID WHERE r.new_id %s {_MOVED_TO}"""
+_APPLIED = f"""SELECT (SELECT count(*) FROM {{rel_contact}}) + count(*) FROM (
+                   SELECT DISTINCT NewContact, NewTag FROM (
+                       SELECT {_ident('s.ContactId', 'c', 0)} AS NewContact, t.new_id AS NewTag
+                       FROM {{src_tag_application}} AS s {_CONTACT} LEFT JOIN {{rel_tag}} AS t ON s.GroupId = t.old_id) AS m
+                   WHERE NewContact IS NOT NULL AND NOT EXISTS (
+                       SELECT 1 FROM {{dst_tag_application}} AS d WHERE d.ContactId = m.NewContact AND d.GroupId = m.NewTag))"""
+#: What the report tells of: the target's rows before, and how many come.
+_REPORTED = {
+    "Contacts": ("{dst_contact} WHERE IsUser = 0 AND Id <> CompanyID", _CONTACTS_MOVED % "<>"),
+    "Companies": ("{dst_contact} WHERE Id = CompanyID", _CONTACTS_MOVED % "="),
+    "Tags": ("{dst_tag}", "SELECT count(*) + 1 FROM {rel_tag} WHERE created"),
+    "Lead Sources": ("{dst_lead_source}", "SELECT count(*) FROM {rel_lead_source} WHERE created"),
+    "Tag Applications": ("{dst_tag_application}", _APPLIED),
+    "Products": ("{dst_product}", "SELECT count(*) FROM {rel_product} WHERE created"),
+    "Custom Fields": ("{dst_form_field}", "SELECT count(*) FROM {rel_field} WHERE created"),
+    "Contact Actions": ("{dst_action}", f"SELECT count(*) FROM ({ORACLES['q36_actions']})"),
+    "Opportunities": ("{dst_opportunity}", "SELECT count(*) FROM {rel_opportunity}"),
+    "Credit Cards": ("{dst_card}", f"SELECT count(*) FROM ({ORACLES['q35_cards']})"),
+    "Subscriptions": ("{dst_subscription}", "SELECT count(*) FROM {rel_subscription}"),
+    "Orders": ("{dst_job}", "SELECT count(*) FROM {kept_job}"),
+}
+
+
 @query(
     "q40_transfer_report",
-    """WITH counts AS (
-           SELECT 'Contacts' AS object, (SELECT count(*) FROM {dst_contact} WHERE IsUser = 0 AND Id <> CompanyID) AS before,
-                  (SELECT count(*) FROM {rel_contact} AS r JOIN {src_contact} AS s ON s.Id = r.old_id
-                   LEFT JOIN {rel_contact} AS c ON c.old_id = s.CompanyID
-                   WHERE r.new_id <> CASE WHEN s.CompanyID = 0 THEN 0 ELSE c.new_id END) AS transferred
-           UNION ALL SELECT 'Lead Sources', (SELECT count(*) FROM {dst_lead_source}),
-                  (SELECT count(*) FROM {rel_lead_source} WHERE created)
-           UNION ALL SELECT 'Tags', (SELECT count(*) FROM {dst_tag}),
-                  (SELECT count(*) + 1 FROM {rel_tag} WHERE created)
-           UNION ALL SELECT 'Orders', (SELECT count(*) FROM {dst_job}), (SELECT count(*) FROM {kept_job}))
-       SELECT object, before, before + transferred AS after, transferred FROM counts""",
+    "SELECT object, before, before + transferred AS after, transferred FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS object, (SELECT count(*) FROM {before}) AS before, ({moved}) AS transferred"
+        for name, (before, moved) in _REPORTED.items()
+    )
+    + ")",
 )
 def report(w: Work) -> DataFrame:
-    made = people.contacts(w.source, w.target, run_time=RUN_TIME)
-    orders_made = sales.Orders(w.source, w.target, {"contact": made.rels["contact"], "user": made.rels["user"]})
-    after = w.target.appended(
-        Contact=made.rows["Contact"],
-        LeadSource=made.rows["LeadSource"],
-        ContactGroup=made.rows["ContactGroup"],
-        Job=orders_made.rows("job"),
-    )
-
-    def counted(app) -> dict[str, DataFrame]:
-        return {
-            "Contacts": app.table("Contact").where("IsUser = 0 AND Id <> CompanyID"),
-            "Lead Sources": app.table("LeadSource"),
-            "Tags": app.table("ContactGroup"),
-            "Orders": app.table("Job"),
-        }
-
-    return count_report(counted(w.target), counted(after))
+    """The report of a whole run over all objects: what moves was counted while it was written."""
+    return Transfer(w.spark, w.source, w.target, Selection(), Staging(w.spark), RUN_TIME).run().report()
 
 
 @query(
@@ -1244,3 +1252,93 @@ def bad_tokens(w: Work) -> DataFrame:
     marked = F.when(F.col("OrderId") % 3 == 0, F.concat(F.lit(",x"), (F.col("OrderId") % 2).cast("string"))).otherwise(F.lit(",7 "))
     rows = w["product_sold"].select(F.col("OrderId").alias("Id"), F.concat("ProductSold", marked).alias("ProductSold"))
     return bad_list_tokens(rows, "ProductSold").groupBy("token").agg(F.count("*").alias("lists"))
+
+
+# Through files and tables of a catalog.
+
+
+@query(
+    "q48_ledger_update",
+    f"""SELECT coalesce(n.Id, d.Id) AS Id, CASE WHEN n.Id IS NULL THEN d.MarketSegment ELSE n.MarketSegment END AS MarketSegment,
+               d.Balance, d.Nation, CASE WHEN n.Id IS NULL THEN d.Code9 ELSE n.Code9 END AS Code9, n.Nickname
+        FROM {{dst_custom}} AS d FULL JOIN (SELECT Id, MarketSegment, Code9, Nickname FROM ({_NEW_VALUES})) AS n ON d.Id = n.Id""",
+)
+def ledger_update(w: Work) -> DataFrame:
+    """Published to files in two steps; the second rewrites only ranges of ids that it touches."""
+    rows = w.inputs.sql(
+        "SELECT CASE WHEN Code9 < 12 THEN 100000 + 3 * Id ELSE 9000000000 + Id END AS Id, "
+        "Segment AS MarketSegment, Code9, NoField AS Nickname FROM {src_custom}"
+    )
+    book = Book(w.spark, Staging(w.spark).path("ledger"))
+    first = book.begin()
+    first.replace("Custom_Contact", w["dst_custom"])
+    first.update("Custom_Contact", rows.where("Code9 < 12"), "Id")
+    first.commit()
+    second = book.begin()
+    second.update("Custom_Contact", rows.where("NOT coalesce(Code9 < 12, FALSE)"), "Id")
+    second.commit()
+    return Book(w.spark, book.root).read("Custom_Contact")
+
+
+@query(
+    "q49_catalog_append",
+    f"""SELECT Id, Name, LeadSourceCategoryId, CAST(NULL AS VARCHAR) AS Origin FROM {{dst_lead_source}}
+        UNION ALL SELECT r.new_id, s.Name, {_ident('s.LeadSourceCategoryId', 'c', 0)}, 'src'
+        FROM {{src_lead_source}} AS s JOIN {{rel_lead_source}} AS r ON s.Id = r.old_id
+        LEFT JOIN {{rel_lead_source_category}} AS c ON s.LeadSourceCategoryId = c.old_id WHERE r.created""",
+)
+def catalog_append(w: Work) -> DataFrame:
+    """Into a table of the session's catalog, twice, with a column that it lacks."""
+    staging = Staging(w.spark)
+    database = f"regraft_{staging.root.rsplit('/', 1)[-1]}"
+    w.spark.sql(f"CREATE DATABASE {database} LOCATION '{staging.path('database')}'")
+    w["dst_lead_source"].write.saveAsTable(f"{database}.LeadSource")
+    made = people.lead_sources(w.source, w.target).rows["LeadSource"].withColumn("Origin", F.lit("src"))
+    for _ in range(2):
+        append_table(made, f"{database}.LeadSource")
+    return App.catalog(w.spark, "dst", database).table("LeadSource")
+
+
+@query("q50_relationship_import", "SELECT old_id, new_id FROM {rel_product}")
+def relationship_import(w: Work) -> DataFrame:
+    """Written by one run, read and checked by the next."""
+    folder = Staging(w.spark).path("relationships")
+    products = match_or_create(w["src_product"], w["dst_product"], ["ProductName"], w.target.next_id("Product"))
+    write_json(Relationship(products.relationship.pairs, (0,)), f"{folder}/product.json")
+    target = append_rows(w["dst_product"], products.rows)
+    return checked_pairs("product", read_relationships(w.spark, folder)["product"], target, (0,))
+
+
+@query("q51_relationship_csv", "SELECT old_id AS OldId, new_id AS NewId FROM {rel_contact} UNION ALL SELECT 0, 0")
+def relationship_csv(w: Work) -> DataFrame:
+    folder = Staging(w.spark).path("csv")
+    write_csv(w.contact, folder)
+    return csv_rows(read_csv(w.spark, folder))
+
+
+@query("q52_override_from_snapshot", ORACLES["q36_actions"])
+def override_from_snapshot(w: Work) -> DataFrame:
+    """Prepared actions as a CSV for review, which then takes their place."""
+    prepared = people.contact_actions(w.source, w.target, w.contact, w.user).rows
+    path = Staging(w.spark).path("actions")
+    snapshot(prepared, path, "csv")
+    return overridden(prepared, path)
+
+
+@query(
+    "q53_marker_tag",
+    """SELECT (SELECT max(new_id) + 1 FROM {rel_tag}) + 10 AS Id, 'Data Transferred - src > dst' AS GroupName,
+              0 AS GroupCategoryId, '' AS GroupDescription, 0 AS ImportId""",
+)
+def marker_tag(w: Work) -> DataFrame:
+    made = people.contacts(w.source, w.target, with_companies=False, run_time=RUN_TIME)
+    return made.rows["ContactGroup"].where("GroupName LIKE 'Data Transferred%'")
+
+
+@query("q54_clustered_relationships", ORACLES["q30_order_items"])
+def clustered_relationships(w: Work) -> DataFrame:
+    """Order items by relationships in buckets, which lie still in every join."""
+    w.staged(int(w.spark.conf.get("spark.sql.shuffle.partitions")))
+    family = w.orders("contact", "user", "product", "plan")
+    family.number("job", "invoice_item", "order_item")
+    return family.rows("order_item")
