@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bucket_bits, given_id, rows_of, runs_of, split_seed, spread, stage
+from .common import bucket_bits, given_id, rows_of, runs_of, scattered, split_seed, spread, stage
 from .ngram_join import WordHashes, sequences
 from .seeds import keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, with_seeds, with_spans
 
@@ -178,7 +178,7 @@ def _packed(sent: dict[bytes, list], bits: int) -> Iterator[pa.RecordBatch]:
     items = list(sent.items())
     if items:
         values = np.array([p[0][0] for _, p in items], np.uint64)
-        bucket, _ = split_seed(values, bits)
+        bucket, _ = split_seed(scattered(values), bits)
         order, signed = np.argsort(bucket, kind="stable"), values.view(np.int64)
         cuts = [0, *(np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1).tolist(), len(order)]
         for a, b in zip(cuts, cuts[1:]):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bits, marked_ids, row_key, rows_of, runs_of, split_seed, spread, stage, texts
+from .common import id_bits, marked_ids, row_key, rows_of, runs_of, scattered, split_seed, spread, stage, texts
 
 #: Rows of a batch that share one packed exchange.
 PACKED_ROWS = 60_000
@@ -58,7 +58,7 @@ def recurring_seeds(given: DataFrame, seeds_of: Callable[[str], np.ndarray], bit
                 each = [seeds_of(t) for (t,) in rows_of(batch, "text")]
                 values = np.concatenate(each)
                 who = np.repeat(np.arange(len(each)), [len(e) for e in each])
-                bucket, rest = split_seed(values, bits)
+                bucket, rest = split_seed(scattered(values), bits)
                 order = np.argsort(bucket, kind="stable")
                 bucket, rest, who = bucket[order], rest[order], who[order]
                 cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else [], len(bucket)).astype(int)
@@ -130,7 +130,7 @@ def recurring(values: np.ndarray, found: list[dict], bits: int) -> np.ndarray:
     known = np.sort(np.concatenate([
         np.frombuffer(f["rest"], np.uint32).astype(np.uint64) | np.uint64(f["bucket"] << 32) for f in found
     ]))
-    own = values >> np.uint64(32 - bits)
+    own = scattered(values) >> np.uint64(32 - bits)
     at = np.minimum(np.searchsorted(known, own), len(known) - 1)
     return known[at] == own
 

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, given_id, pieces, runs_of, split_seed, spread, stage, with_key, without_rows
+from .common import bucket_bits, given_id, pieces, runs_of, scattered, split_seed, spread, stage, with_key, without_rows
 from .ngram_join import mixed
 from .seeds import covered, keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, with_seeds, with_spans
 from .suffix import repeat_classes
@@ -206,7 +206,7 @@ def _packed(spans: list[tuple], sent: list[tuple], length: int, bits: int) -> It
         starts, ends, value = (np.concatenate([s[k] for s in sent]) for k in (4, 5, 6))
         offsets = np.repeat([s[2] for s in sent], counts) + starts
         sizes = ends - 1 + length - starts
-        bucket, _ = split_seed(value, bits)
+        bucket, _ = split_seed(scattered(value), bits)
         order = np.argsort(bucket, kind="stable")
         cuts = [0, *(np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1).tolist(), len(order)]
         for a, b in zip(cuts, cuts[1:]):
