@@ -68,6 +68,7 @@ OPPORTUNITY = TableSpec(
     offset=50,
     parents={"ContactID": "contact"},
     lookups={"UserID": "user", "CreatedBy": "user", "LastUpdatedBy": "user"},
+    fallbacks={"StageID": "stage"},
     constants={"AffiliateId": 0, "PayPlanId": 0},
 )
 

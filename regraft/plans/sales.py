@@ -34,6 +34,7 @@ from regraft.plans.spec import (
     give_ids,
     members,
     move,
+    settle,
 )
 from regraft.sources.app import App
 from regraft.sources.staging import at_once
@@ -130,17 +131,16 @@ def opportunities(
 ) -> Outcome:
     """Opportunities of transferred contacts; stages that are gone get the default."""
     rows, next_id = source.table("Opportunity"), target.next_id("Opportunity")
-    made_stages, moved = at_once(
+    made_stages, numbered = at_once(
         [
             partial(stages, source, target, keep),
-            partial(move, OPPORTUNITY, rows, next_id, rels, keep),
+            partial(give_ids, OPPORTUNITY, rows, next_id, rels, keep),
         ]
     )
-    stage_rel = made_stages.rels["stage"]
     default = as_id(target.setting(DEFAULT_STAGE_SETTING))
-    rows = remap_or_default(moved.rows, "StageID", stage_rel, default)
+    moved = settle(OPPORTUNITY, rows, numbered, {**rels, **made_stages.rels}, keep, {"StageID": default})
     return made_stages.and_then(
-        Outcome(rows={"Opportunity": rows}, rels={"opportunity": moved.relationship})
+        Outcome(rows={"Opportunity": moved.rows}, rels={"opportunity": moved.relationship})
     )
 
 

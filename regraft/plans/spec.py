@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from regraft.operators.ids import fill_new_ids
 from regraft.operators.match import Keep, buckets_of, lazily
 from regraft.operators.relationship import Relationship
-from regraft.operators.remap import remap, remap_list, with_hot_answers
+from regraft.operators.remap import remap, remap_list, remap_or_default, with_hot_answers
 
 Relationships = Mapping[str, Relationship]
 
@@ -27,6 +27,7 @@ class TableSpec:
 
     ``parents``: foreign keys that must resolve, or the row stays behind.
     ``lookups``: foreign keys that become null when they do not resolve.
+    ``fallbacks``: foreign keys that take a value given at the time when they do not.
     ``lists``: comma-separated lists of foreign keys.
     ``constants``: columns set to one value.
     ``numbers_all``: ids are given before rows are dropped, which leaves gaps.
@@ -36,6 +37,7 @@ class TableSpec:
     offset: int = 0
     parents: Mapping[str, str] = field(default_factory=dict)
     lookups: Mapping[str, str] = field(default_factory=dict)
+    fallbacks: Mapping[str, str] = field(default_factory=dict)
     lists: Mapping[str, str] = field(default_factory=dict)
     strict_lists: bool = True
     constants: Mapping[str, object] = field(default_factory=dict)
@@ -99,7 +101,7 @@ def _with_parents(spec: TableSpec, keys: DataFrame, rels: Relationships) -> Data
 
 
 def _narrow(spec: TableSpec, rows: DataFrame) -> DataFrame:
-    keys = [c for c in (*spec.parents, *spec.lookups) if c in rows.columns]
+    keys = [c for c in (*spec.parents, *spec.lookups, *spec.fallbacks) if c in rows.columns]
     return rows.selectExpr(
         "CAST(Id AS BIGINT) AS old_id",
         "CAST(NULL AS BIGINT) AS new_id",
@@ -134,10 +136,13 @@ def members(
 
 
 def assemble(
-    spec: TableSpec, rows: DataFrame, keys: DataFrame, rels: Relationships
+    spec: TableSpec, rows: DataFrame, keys: DataFrame, rels: Relationships, defaults: Mapping[str, Column] | None = None
 ) -> DataFrame:
     """The members' whole rows: other keys looked up, the other columns joined."""
     keys = remap(keys, with_hot_answers(keys, _named(spec.lookups, rels)), row_id="old_id")
+    for column, rel in with_hot_answers(keys, _named(spec.fallbacks, rels)).items():
+        if column in keys.columns:
+            keys = remap_or_default(keys, column, rel, (defaults or {})[column], row_id="old_id")
     payload = [
         c for c in rows.columns if c != "Id" and c not in keys.columns and c not in spec.constants
     ]
@@ -166,11 +171,12 @@ def settle(
     numbered: DataFrame,
     rels: Relationships,
     keep: Keep = lazily,
+    defaults: Mapping[str, Column] | None = None,
 ) -> Moved:
     """Settle the keys of a numbered table and put its rows together."""
     kept = members(spec, numbered, rels, keep)
     return Moved(
-        assemble(spec, rows, kept, rels),
+        assemble(spec, rows, kept, rels, defaults),
         Relationship(numbered.select("old_id", "new_id"), spec.identities, buckets_of(keep)),
         Relationship(kept.select("old_id", "new_id"), buckets=buckets_of(keep)),
     )
