@@ -208,11 +208,6 @@ def split_seed(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (values >> np.uint64(64 - bits)).astype(np.uint16), (values >> np.uint64(32 - bits)).astype(np.uint32)
 
 
-def scattered(values: np.ndarray) -> np.ndarray:
-    """Seeds in other words, one to one: seeds are least hashes and so crowd at 0, these don't."""
-    return values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-
-
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Batches in parts of few rows, where Python objects are made of them."""
     for batch in batches:

@@ -7,7 +7,6 @@ from collections import Counter
 import numpy as np
 
 from regraft.llm.phrases import passage_windows, phrase_digests, remove_phrases
-from regraft.llm.common import scattered, split_seed
 from regraft.llm.seeds import merged, seeds
 from regraft.llm.suffix import common_prefixes, joined, repeat_classes, suffix_array
 from regraft.llm.suffix_dedup import remove_repeats, repeat_digests, without_repeats
@@ -181,13 +180,3 @@ def test_ranges_and_windows():
     words = [b"%d" % i for i in range(12)]
     recurs = np.array([True] * 7 + [False, True])
     assert passage_windows(words, recurs, 4) == [tuple(words[k : k + 4]) for k in (0, 4, 6, 8)]
-
-
-def test_buckets_of_seeds_are_even():
-    draw = np.random.default_rng(1)
-    hashes = draw.integers(0, 1 << 63, 400_000).astype(np.uint64) * np.uint64(2)
-    _, _, place = seeds(hashes, 35)
-    values = hashes[place]
-    even = np.bincount(split_seed(scattered(values), 6)[0], minlength=64)
-    assert even.max() < 2 * even.mean() < np.bincount(split_seed(values, 6)[0], minlength=64).max()
-    assert len(np.unique(scattered(values))) == len(np.unique(values))
