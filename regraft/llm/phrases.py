@@ -1,13 +1,13 @@
-"""Repeated phrases: recurring passages are confirmed, compiled into automata, and located everywhere.
+"""Repeated phrases: recurring passages are proposed, compiled into automata, and confirmed and located by them.
 
 Seeds tell which regions of a text can hold a recurring window. Regions go, by
 seed hash, to shards that hold all regions of a seed, copies within a task as
-one. A shard confirms the windows that recur, joins those that follow each other
-to passages, compiles windows that cover the passages into an Aho-Corasick
-automaton over words, and streams all its regions through it to find every
-occurrence. Each window that recurs is part of a passage of its own region, so
-every word it covers is found. All regions of all documents go through the
-automaton that can hold their passages.
+one. A shard proposes windows that may recur by their hashes, joins those that
+follow each other to passages, compiles windows that cover the passages into an
+Aho-Corasick automaton over words, and streams its regions through it. Hits are
+counted by window, and only a window met twice or more is removed, so words
+decide and not hashes. A region without a proposed window has none that recurs
+and isn't streamed.
 
 Defined results: null, empty and blank texts have no words; texts shorter than a
 window keep all words; a window that recurs within one text counts; rows that
@@ -36,10 +36,11 @@ MERGE_BITS = 2
 SHARD = 2_000
 #: Characters that stand for a digit of a word's number in an automaton.
 ALPHABET = 256
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _confirmed(contexts: list[list[bytes]], weights: np.ndarray, length: int, hashes: WordHashes) -> list[np.ndarray]:
-    """For each context which windows recur: seen twice, or in a context that stands for several."""
+def _candidates(contexts: list[list[bytes]], weights: np.ndarray, length: int, hashes: WordHashes) -> list[np.ndarray]:
+    """For each context which windows may recur: equal windows have equal hashes, so none is missed."""
     keys = [sequences(hashes.of(words), length) for words in contexts]
     every = np.concatenate(keys)
     times = np.repeat(weights, [len(k) for k in keys])
@@ -49,7 +50,7 @@ def _confirmed(contexts: list[list[bytes]], weights: np.ndarray, length: int, ha
 
 
 def passage_windows(words: list[bytes], recurs: np.ndarray, length: int) -> list[tuple[bytes, ...]]:
-    """Recurring windows that together cover the passages of a context: end to end, and the last of each."""
+    """Windows that together cover the passages of a context, if those recur: end to end, and the last of each."""
     starts = np.flatnonzero(recurs)
     if not len(starts):
         return []
@@ -78,20 +79,55 @@ def word_codes(windows: set[tuple[bytes, ...]]) -> tuple[dict[bytes, str], str]:
     return codes, "\x01" * digits
 
 
-def locate(contexts: list[list[bytes]], windows: set[tuple[bytes, ...]], length: int) -> list[list[int]]:
-    """For each context where any of the windows begins: one automaton over words, all contexts streamed through it."""
+def locate(contexts: list[list[bytes]], windows: set[tuple[bytes, ...]], length: int) -> tuple[list[tuple[bytes, ...]], list[list[tuple[int, int]]]]:
+    """The windows in order, and for each context where which of them begins: one automaton over words, all contexts streamed through it."""
     codes, other = word_codes(windows)
+    ordered = list(windows)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for window in windows:
-        automaton.add_word("".join([codes[w] for w in window]), 1)
+    for number, window in enumerate(ordered):
+        automaton.add_word("".join([codes[w] for w in window]), number)
     automaton.make_automaton()
     size = len(other)
-    return [
-        [(last + 1) // size - length for last, _ in automaton.iter("".join([codes.get(w, other) for w in words]))]
+    return ordered, [
+        [((last + 1) // size - length, number) for last, number in automaton.iter("".join([codes.get(w, other) for w in words]))]
         for words in contexts
     ]
 
 
+def recurring_places(contexts: list[list[bytes]], weights: np.ndarray, length: int, hashes: WordHashes) -> list[list[int]]:
+    """For each context starts of windows that together cover all its recurring ones.
+
+    Hashes propose windows, the automaton decides: one that it meets only once,
+    copies counted by weight, stays. Where a proposed window of a passage is such
+    a one, all candidates of the passage's context are compiled in its place.
+    """
+    candidates = _candidates(contexts, weights, length, hashes)
+    some = [i for i, recurs in enumerate(candidates) if recurs.any()]
+    places: list[list[int]] = [[] for _ in contexts]
+    if not some:
+        return places
+    own, times = [contexts[i] for i in some], weights[some]
+    compiled = [passage_windows(contexts[i], candidates[i], length) for i in some]
+
+    def met() -> tuple[np.ndarray, list, dict]:
+        ordered, hits = locate(own, {w for windows in compiled for w in windows}, length)
+        counts = np.zeros(len(ordered), np.int64)
+        for found, weight in zip(hits, times.tolist()):
+            for _, number in found:
+                counts[number] += weight
+        return counts, hits, {w: n for n, w in enumerate(ordered)}
+
+    counts, hits, numbers = met()
+    if (counts < 2).any():
+        for k, i in enumerate(some):
+            if any(counts[numbers[w]] < 2 for w in compiled[k]):
+                compiled[k] = [tuple(contexts[i][at : at + length]) for at in np.flatnonzero(candidates[i]).tolist()]
+        counts, hits, _ = met()
+    for i, found in zip(some, hits):
+        places[i] = [at for at, number in found if counts[number] > 1]
+    return places
+
+
 def recurring_spans(given: DataFrame, length: int) -> DataFrame:
     """``doc_id, mark, data``: packed word ranges covered by windows of ``length`` words that recur."""
     bits = bucket_bits(given)
@@ -144,11 +180,7 @@ def recurring_spans(given: DataFrame, length: int) -> DataFrame:
                     alike.setdefault(texts[i], []).append(i)
                 contexts = [text.split(b" ") for text in alike]
                 times = np.array([weights[i].sum() for i in alike.values()])
-                confirmed = _confirmed(contexts, times, length, own_hashes)
-                windows = {w for words, recurs in zip(contexts, confirmed) for w in passage_windows(words, recurs, length)}
-                if not windows:
-                    continue
-                for places, hits in zip(alike.values(), locate(contexts, windows, length)):
+                for places, hits in zip(alike.values(), recurring_places(contexts, times, length, own_hashes)):
                     for i in places if hits else ():
                         if weights[i] == 1:  # the copies of a task's own are settled there
                             doc, mark, offset, _ = owners[i].tolist()
@@ -178,7 +210,7 @@ def _packed(sent: dict[bytes, list], bits: int) -> Iterator[pa.RecordBatch]:
     items = list(sent.items())
     if items:
         values = np.array([p[0][0] for _, p in items], np.uint64)
-        bucket, _ = split_seed(values, bits)
+        bucket, _ = split_seed(values * MIX, bits)  # seeds are minima and crowd at 0
         order, signed = np.argsort(bucket, kind="stable"), values.view(np.int64)
         cuts = [0, *(np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1).tolist(), len(order)]
         for a, b in zip(cuts, cuts[1:]):

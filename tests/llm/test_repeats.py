@@ -6,7 +6,9 @@ from collections import Counter
 
 import numpy as np
 
-from regraft.llm.phrases import passage_windows, phrase_digests, remove_phrases
+from regraft.llm import phrases
+from regraft.llm.ngram_join import WordHashes
+from regraft.llm.phrases import passage_windows, phrase_digests, recurring_places, remove_phrases
 from regraft.llm.seeds import merged, seeds
 from regraft.llm.suffix import common_prefixes, joined, repeat_classes, suffix_array
 from regraft.llm.suffix_dedup import remove_repeats, repeat_digests, without_repeats
@@ -70,6 +72,16 @@ def test_phrases_of_odd_texts(documents):
     assert got == phrases_by_hand(list(enumerate(texts)), 35)
 
 
+def test_words_decide_where_hashes_collide(monkeypatch):
+    passage = [b"p%d" % k for k in range(9)]
+    contexts = [[b"a%d" % k for k in range(20)], [b"x", *passage, b"y"], [*passage, *(b"b%d" % k for k in range(8))], [b"c%d" % k for k in range(6)]]
+    weights = np.array([1, 1, 1, 2])
+    monkeypatch.setattr(phrases, "sequences", lambda words, n: np.zeros(max(len(words) - n + 1, 0), np.uint64))
+    got = recurring_places(contexts, weights, 5, WordHashes())
+    gone = [covered(len(c), at, 5).tolist() for c, at in zip(contexts, got)]
+    assert gone == [[False] * 20, [False] + [True] * 9 + [False], [True] * 9 + [False] * 8, [True] * 6]
+
+
 def test_phrases_keep_the_text(documents):
     twice = " ".join(f"w{k}" for k in range(40))
     got = {r.doc_id: r.kept for r in remove_phrases(documents(f"one {twice}", f"{twice} two", "three")).collect()}
