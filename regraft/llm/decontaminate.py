@@ -16,9 +16,10 @@ capitalised word is a name, at the beginning of a sentence if it isn't a usual o
 there.
 
 Defined results: null and empty texts have no window; an item of fewer words
-than a window is one window as a whole, and matches nothing if it has fewer than
-``LITERALS`` words at all; repeated rows of documents give the
-hits of one; texts that repeat an ``item_id`` are judged one by one and the best
+than a window is one window as a whole, and is left out if it has fewer than ``shortest`` (by
+default ``LITERALS``) words at all, as "yes" would be found anywhere; repeated
+rows of documents give the hits of one, rows that share an id are judged each by
+its text, and a null id is one like others; texts that repeat an ``item_id`` are judged one by one and the best
 covered is shown; an empty table gives no rows; further columns are ignored.
 """
 
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import given_id, row_key, stage, with_key
 
 WINDOW = 8
 #: Words of a window that must not be placeholders where values may differ.
@@ -82,28 +83,48 @@ def _plain_words(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.lower(F.translate(_spaced(text), "\u0001", "")), PUNCTUATION, ""), " "), "")
 
 
-def _window_hashes(length: Column) -> Column:
-    """Of each window of the columns ``typed`` and ``plain`` both hashes."""
-    last = F.size("typed") - length
-    part = lambda name, i: F.xxhash64(F.slice(name, i + 1, length)).alias(name)
-    return F.when(
-        last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(part("typed", i), part("plain", i)))
-    )
-
-
-def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """``item_id, item, typed, plain, length``: each distinct text of an id that is long enough."""
+def _with_windows(words: DataFrame, lengths: list[int]) -> DataFrame:
+    """The columns ``typed`` and ``plain`` hashed, and ``windows``: of each window its length, first word and both hashes.
+
+    Each word is hashed once; hashes of twice as many words come from two of half
+    as many, those of other lengths from two that overlap.
+    """
+    hashed = words.withColumns({c: F.transform(c, lambda w: F.xxhash64(w)) for c in ("typed", "plain")})
+
+    def pairs(column: str, apart: int) -> Column:
+        return F.transform(column, lambda h, i: F.xxhash64(h, F.get(F.col(column), i + apart)))
+
+    size = 1
+    while 2 * size <= max(lengths):
+        hashed = hashed.withColumns({f"{c}{2 * size}": pairs(c if size == 1 else f"{c}{size}", size) for c in ("typed", "plain")})
+        size *= 2
+    for n in lengths:
+        half = 1 << (n.bit_length() - 1)
+        if n != half:
+            hashed = hashed.withColumns({f"{c}{n}": pairs(c if half == 1 else f"{c}{half}", n - half) for c in ("typed", "plain")})
+    parts = []
+    for n in lengths:
+        typed, plain = ("typed", "plain") if n == 1 else (f"typed{n}", f"plain{n}")
+        # zipped rather than looked up, as a lookup in a function could be planned as its whole array for each word
+        each = F.transform(F.arrays_zip(F.col(typed), F.col(plain)), lambda h, i: F.struct(
+            F.lit(n).alias("length"), i.alias("place"), h[typed].alias("typed"), h[plain].alias("plain")))  # noqa: B023
+        parts.append(F.slice(each, 1, F.greatest(F.size("plain") - (n - 1), F.lit(0))))
+    return hashed.withColumn("windows", F.concat(*parts) if len(parts) > 1 else parts[0])
+
+
+def benchmark_items(benchmark: DataFrame, shortest: int = LITERALS) -> DataFrame:
+    """``item_id, item, typed, plain, length``: each distinct text of an id that has ``shortest`` words or more."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(
         "item_id", F.xxhash64("text").alias("item"), _typed_words(F.col("text")).alias("typed"), _plain_words(F.col("text")).alias("plain")
     ).distinct()
-    return items.withColumn("length", F.least(F.size("typed"), F.lit(WINDOW))).where(f"length >= {LITERALS}")
+    return items.withColumn("length", F.least(F.size("typed"), F.lit(WINDOW))).where(F.col("length") >= max(shortest, 1))
 
 
-def benchmark_windows(items: DataFrame) -> DataFrame:
+def benchmark_windows(items: DataFrame, lengths: list[int]) -> DataFrame:
     """``item_id, item, length, at, typed, plain, literal``: each distinct window of an item once, at its first place."""
-    each = items.select(
-        "item_id", "item", "length", F.col("typed").alias("words"), F.posexplode(_window_hashes(F.col("length"))).alias("at", "hashes")
-    )
+    named = items.select("item_id", "item", "length", F.col("typed").alias("words"), "typed", "plain")
+    each = _with_windows(named, lengths or [WINDOW]).select("item_id", "item", "length", "words", F.explode_outer("windows").alias("hashes"))
+    each = each.where("length = hashes.length").withColumn("at", F.col("hashes.place"))
     slots = F.size(F.filter(F.slice("words", F.col("at") + 1, F.col("length")), lambda w: w.startswith("\u0001")))
     each = each.select("item_id", "item", "length", "at", "hashes.typed", "hashes.plain", (F.col("length") - slots >= LITERALS).alias("literal"))
     return (
@@ -119,71 +140,76 @@ def window_keys(known: DataFrame) -> DataFrame:
     return rows.groupBy("item_id", "item", "length", "hash").agg(F.min("at").alias("at"))
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, share: float = 0.5) -> DataFrame:
+def contamination(documents: DataFrame, benchmark: DataFrame, share: float = 0.5, shortest: int = LITERALS) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, coverage, kind`` for each item found in a document."""
-    items = stage(benchmark_items(benchmark), "items")
-    known = stage(benchmark_windows(items), "windows")
-    lengths = [r.length for r in known.select("length").distinct().collect()]  # WINDOW values at most
+    found = found_items(documents, benchmark, share, shortest)
+    return found.select(given_id("doc", "mark").alias("doc_id"), *(c for c in found.columns if c not in ("doc", "mark")))
+
+
+def found_items(documents: DataFrame, benchmark: DataFrame, share: float = 0.5, shortest: int = LITERALS) -> DataFrame:
+    """As :func:`contamination`, with the key of the row (``doc, mark``) in place of its id."""
+    items = stage(benchmark_items(benchmark, shortest), "items")
+    lengths = sorted(r.length for r in items.select("length").distinct().collect())  # WINDOW values at most
+    known = stage(benchmark_windows(items, lengths), "windows")
     small = known.count() <= BROADCAST_WINDOWS
     sent = F.broadcast if small else lambda frame: frame
-    texts = documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    words = texts.select("doc_id", _typed_words(F.col("text")).alias("typed"), _plain_words(F.col("text")).alias("plain"))
-    side = sent(stage(window_keys(known), "keys"))
-    hits = None
-    for n in lengths or [WINDOW]:
-        each = words.select("doc_id", F.posexplode(_window_hashes(F.lit(n))).alias("place", "hashes"))
-        both = F.array("hashes.plain", "hashes.typed")
-        each = each.select("doc_id", "place", F.explode(F.when(F.col("hashes.plain") == F.col("hashes.typed"), F.array("hashes.plain")).otherwise(both)).alias("hash"))
-        found = each.join(side.where(F.col("length") == n), "hash")
-        hits = found if hits is None else hits.union(found)
-    alignment = ["doc_id", "item_id", "item", "diagonal"]
-    alignments = stage(hits.select("doc_id", "item_id", "item", (F.col("place") - F.col("at")).alias("diagonal")).distinct(), "alignments")
+    doc, mark = row_key()
+    texts = documents.where("text IS NOT NULL").select(doc.alias("doc"), mark.alias("mark"), "text")
+    words = texts.select("doc", "mark", _typed_words(F.col("text")).alias("typed"), _plain_words(F.col("text")).alias("plain"))
+    # outer, as else a filter on the size of the windows would compute them a second time
+    each = _with_windows(words, lengths or [WINDOW]).select("doc", "mark", F.explode_outer("windows").alias("w"))
+    keys = F.when(F.col("w.plain") == F.col("w.typed"), F.array("w.plain")).otherwise(F.array("w.plain", "w.typed"))
+    each = each.select("doc", "mark", F.col("w.place").alias("place"), F.col("w.length").alias("length"), F.explode(keys).alias("hash"))
+    hits = each.join(sent(stage(window_keys(known), "keys")), ["hash", "length"])
+    alignment = ["doc", "mark", "item_id", "item", "diagonal"]
+    alignments = stage(hits.select("doc", "mark", "item_id", "item", (F.col("place") - F.col("at")).alias("diagonal")).distinct(), "alignments")
 
     # word by word along the diagonals, for the few documents that have some
-    ids = stage(alignments.select("doc_id").distinct(), "ids")
+    ids = stage(alignments.select("doc", "mark").distinct(), "ids")
     if ids.count() <= BROADCAST_WINDOWS:
         ids = F.broadcast(ids)
-    ours = texts.join(ids, "doc_id", "left_semi").distinct().select(
-        "doc_id", F.xxhash64("text").alias("row"), _typed_words(F.col("text")).alias("our_typed"), _plain_words(F.col("text")).alias("our_plain")
+    ours = texts.join(ids, ["doc", "mark"], "left_semi").dropDuplicates(["doc", "mark"]).select(
+        "doc", "mark", _typed_words(F.col("text")).alias("our_typed"), _plain_words(F.col("text")).alias("our_plain")
     )
-    compared = alignments.join(ours, "doc_id").join(sent(items), ["item_id", "item"]).select(
-        *alignment, "row", "length", F.posexplode(F.transform("typed", lambda t, k: F.struct(
+    compared = alignments.join(ours, ["doc", "mark"]).join(sent(items), ["item_id", "item"]).select(
+        *alignment, "length", F.posexplode(F.transform("typed", lambda t, k: F.struct(
             t.alias("type"), F.get("plain", k).alias("theirs"), F.get("our_plain", k + F.col("diagonal")).alias("ours"),
             F.get("our_typed", k + F.col("diagonal")).alias("our_type"),
         ))).alias("at", "word"),
     ).select(
-        *alignment, "row", "length", "at", "word.type", "word.theirs", "word.ours",
+        *alignment, "length", "at", "word.type", "word.theirs", "word.ours",
         F.col("word.theirs").eqNullSafe(F.col("word.ours")).alias("same"),
         (F.startswith("word.type", F.lit("\u0001")) & F.col("word.type").eqNullSafe(F.col("word.our_type"))).alias("slot"),
     )
-    value = [*alignment, "row", "type", "theirs"]
+    value = [*alignment, "type", "theirs"]
     agreeing, places = (F.count_if("slot").over(Window.partitionBy(*keys)) for keys in ([*value, "ours"], value))
     judged = compared.withColumn("agrees", F.col("same") | (F.col("slot") & (2 * agreeing > places)))
     # a text shorter than a window ends within its only one
-    frame = Window.partitionBy(*alignment, "row").orderBy("at").rowsBetween(0, WINDOW - 1)
+    frame = Window.partitionBy(*alignment).orderBy("at").rowsBetween(0, WINDOW - 1)
     counting = judged.withColumn("agree", F.count_if("agrees").over(frame)).withColumn("alike", F.count_if("same").over(frame)).where(
         "agree = length"
-    ).select("doc_id", "item_id", "item", "at", (F.col("alike") < F.col("length")).alias("changed"))
+    ).select("doc", "mark", "item_id", "item", "at", (F.col("alike") < F.col("length")).alias("changed"))
     per_window = counting.join(sent(known.select("item_id", "item", "at", "literal")), ["item_id", "item", "at"]).where(
         "literal OR NOT changed"
-    ).groupBy("doc_id", "item_id", "item", "at", "literal").agg(F.min("changed").alias("changed"))
+    ).groupBy("doc", "mark", "item_id", "item", "at", "literal").agg(F.min("changed").alias("changed"))
     totals = known.groupBy("item_id", "item").agg(F.count("*").alias("item_windows"), F.count_if("literal").alias("item_literal"))
     measure = lambda n, of: F.struct((F.col(n) / F.col(of)).alias("coverage"), F.col(n).alias("n_windows"), F.col(of).alias("item_windows"), "changed")
     return (
-        per_window.groupBy("doc_id", "item_id", "item")
+        per_window.groupBy("doc", "mark", "item_id", "item")
         .agg(F.count("*").alias("n_windows"), F.count_if("literal").alias("n_literal"), F.max("changed").alias("changed"))
         .join(sent(totals), ["item_id", "item"])
         .withColumn("best", F.greatest(measure("n_windows", "item_windows"), F.when(F.col("item_literal") > 0, measure("n_literal", "item_literal"))))
-        .groupBy("doc_id", "item_id").agg(F.max("best").alias("best"))
+        .groupBy("doc", "mark", "item_id").agg(F.max("best").alias("best"))
         .where(F.col("best.coverage") >= share)
         .select(
-            "doc_id", "item_id", "best.n_windows", "best.item_windows", "best.coverage",
+            "doc", "mark", "item_id", "best.n_windows", "best.item_windows", "best.coverage",
             F.when(F.col("best.changed"), "reparameterised").otherwise("exact").alias("kind"),
         )
     )
 
 
-def decontaminated(documents: DataFrame, benchmark: DataFrame, share: float = 0.5) -> DataFrame:
-    """The documents in which no item is found, with all their columns."""
-    found = stage(contamination(documents, benchmark, share).select("doc_id").distinct(), "contaminated")
-    return documents.hint("merge").join(found, "doc_id", "left_anti").select(*documents.columns)
+def decontaminated(documents: DataFrame, benchmark: DataFrame, share: float = 0.5, shortest: int = LITERALS) -> DataFrame:
+    """The documents in which no item is found, with all their columns; texts are shuffled only if very many go."""
+    found = stage(found_items(documents, benchmark, share, shortest).selectExpr("doc AS _key_id", "mark AS _key_mark").distinct(), "contaminated")
+    rows = F.broadcast(found) if found.count() <= BROADCAST_WINDOWS else found
+    return with_key(documents).join(rows, ["_key_id", "_key_mark"], "left_anti").select(*documents.columns)

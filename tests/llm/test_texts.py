@@ -1,7 +1,10 @@
 """Operators on single texts: licenses, templates, quality, pages, encoding, lists."""
 
+import itertools
 import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from regraft.llm.bpe import bpe_decode, bpe_digests, bpe_encode, lowered
-from regraft.llm.decontaminate import contamination, decontaminated
+from regraft.llm.decontaminate import _plain_words, _typed_words, contamination, decontaminated
 from regraft.llm.html import Page, decode, extract, features, fit_pages, main_text
 from regraft.llm.licenses import TEMPLATES, WORDS, align, license_scan, longest_increasing
 from regraft.llm.quality import SLOTS, accepted, descend, indicators, quality
@@ -142,6 +145,71 @@ def test_names_that_begin_sentences_and_other_letter_case(spark, documents):
     assert got == [(0, 1, "reparameterised"), (1, 1, "reparameterised"), (2, 1, "exact"), (3, 2, "exact"), (4, 2, "exact"), (5, 1, "reparameterised")]
 
 
+def items_by_hand(spark, rows, items):
+    """Coverage and kind of every item in every text, all diagonals tried."""
+    frame = spark.createDataFrame([(str(k), t) for k, t in [*enumerate(rows), *(("i", t) for t in items)] if t is not None], "k string, text string")
+    split = {r.text: (r.typed, r.plain) for r in frame.select("text", _typed_words(frame.text).alias("typed"), _plain_words(frame.text).alias("plain")).collect()}
+    out = {}
+    for (k, text), (m, item) in itertools.product(enumerate(rows), enumerate(items)):
+        theirs, their_plain = split[item]
+        n = min(8, len(theirs))
+        if text is None or n < 5:
+            continue
+        ours, our_plain = split[text]
+        first, literal = {}, {}
+        for a in range(len(theirs) - n + 1):
+            first.setdefault(tuple(their_plain[a : a + n]), a)
+            literal[a] = sum(w[0] != "\x01" for w in theirs[a : a + n]) >= 5
+        windows, met = list(first.values()), {}
+        for d in range(-len(theirs), len(ours)):
+            inside = [a for a in range(len(theirs) - n + 1) if 0 <= a + d <= len(ours) - n]
+            if not any(their_plain[a : a + n] == our_plain[a + d : a + d + n] or literal[a] and theirs[a : a + n] == ours[a + d : a + d + n] for a in inside):
+                continue
+            both = [(a, a + d) for a in range(len(theirs)) if 0 <= a + d < len(ours)]
+            slot = {a: theirs[a][0] == "\x01" and theirs[a] == ours[b] for a, b in both}
+            to = Counter((theirs[a], their_plain[a], our_plain[b]) for a, b in both if slot[a])
+            of = Counter((theirs[a], their_plain[a]) for a, _ in both if slot[a])
+            same = {a: their_plain[a] == our_plain[b] for a, b in both}
+            agrees = {a: same[a] or slot[a] and 2 * to[theirs[a], their_plain[a], our_plain[b]] > of[theirs[a], their_plain[a]] for a, b in both}
+            for a in set(inside) & set(windows):
+                changed = not all(same[x] for x in range(a, a + n))
+                if all(agrees[x] for x in range(a, a + n)) and (literal[a] or not changed):
+                    met[a] = min(changed, met.get(a, True))
+        if met:
+            best = max([(len(met) / len(windows), len(met), len(windows))] + [
+                (sum(literal[a] for a in met) / c, sum(literal[a] for a in met), c) for c in [sum(literal[a] for a in windows)] if c])
+            if best[0] >= 0.5:
+                out[k, m] = (best[1], best[2], "reparameterised" if any(met.values()) else "exact")
+    return out
+
+
+def test_contamination_by_hand(spark, documents):
+    draw = random.Random(7)
+    words = "the river ran past 3 old mills where Anna sold 12 kg of flour and Tom paid 5 dollars for bread while rain fell on Sunday over seven hills".split()
+    items = [" ".join(draw.choices(words, k=n)) for n in (5, 7, 8, 12, 20, 40)] + ["Anna sold 12 kg of flour and Tom paid 5 dollars for bread"]
+    texts = [None, "", "3 4 5"]
+    for item in items * 3:
+        text = "".join(str(draw.randrange(2, 30)) if w.isdigit() and draw.random() < 0.6 else draw.choice(["Eve", "Bob"]) if w in ("Anna", "Tom") and draw.random() < 0.5 else w for w in re.split("( )", item))
+        cut = draw.randrange(0, 3)
+        texts.append(" ".join(draw.choices(words, k=6)) + " " + text[cut:] + " " + " ".join(draw.choices(words, k=4)))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.item_windows, r.kind) for r in contamination(documents(*texts), benchmark).collect()}
+    assert got == items_by_hand(spark, texts, items) and {k for *_, k in got.values()} == {"exact", "reparameterised"}
+
+
+def test_contaminated_rows_go_by_their_own_text(spark, documents):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota"
+    benchmark = spark.createDataFrame([(1, item), (2, "two words")], "item_id int, text string")
+    table = documents((None, f"x {item}"), (None, "clean"), (7, item), (7, "clean too"), (7, item), (8, "here two, words"), (9, None))
+    got = [(r.doc_id, r.item_id) for r in contamination(table, benchmark).collect()]
+    assert sorted(got, key=str) == [(7, 1), (None, 1)]
+    kept = decontaminated(table, benchmark)
+    assert kept.columns == table.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == [(7, "clean too"), (8, "here two, words"), (9, None), (None, "clean")]
+    short = sorted(((r.doc_id, r.item_id) for r in contamination(table, benchmark, shortest=1).collect()), key=str)
+    assert short == [(7, 1), (8, 2), (None, 1)]
+
+
 def test_quality_on_held_out_rows(spark, folder):
     place = folder.replace("0.001", "0.01")
     table, labels = (spark.read.parquet(f"{place}/{n}.parquet") for n in ("documents", "labels"))
