@@ -147,9 +147,12 @@ def id_bits(frame: DataFrame, column: str) -> bytes:
     return bytes(marked)
 
 
+def id_places(values: np.ndarray) -> np.ndarray:
+    return (values ^ (values >> 23)) & (ID_BITS - 1)
+
+
 def marked_ids(bits: bytes, ids: pa.Array) -> np.ndarray:
-    values = np.asarray(ids.cast(pa.int64()).fill_null(-1))
-    place = (values ^ (values >> 23)) & (ID_BITS - 1)
+    place = id_places(np.asarray(ids.cast(pa.int64()).fill_null(-1)))
     return (np.frombuffer(bits, np.uint8)[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 

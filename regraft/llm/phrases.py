@@ -25,9 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bucket_bits, given_id, rows_of, runs_of, split_seed, spread, stage
+from .common import bucket_bits, given_id, runs_of, split_seed, spread, stage
 from .ngram_join import WordHashes, sequences
-from .seeds import keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, with_seeds, with_spans
+from .seeds import MIX, PACKED, dealt_spans, group_count, keyed, merged, open_or_settled, recurring, recurring_seeds, seeds, spans_of, texts_with_items, with_seeds, with_spans
 
 GRAM = 8
 #: Each hash range of the seeds is confirmed in so many parts, as a power of two.
@@ -36,7 +36,10 @@ MERGE_BITS = 2
 SHARD = 2_000
 #: Characters that stand for a digit of a word's number in an automaton.
 ALPHABET = 256
-MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Characters of regions that a task looks for copies in at a time.
+HELD = 1 << 24
+#: Ranges of confirmed passages that a task packs together.
+HELD_ROWS = 200_000
 
 
 def _candidates(contexts: list[list[bytes]], weights: np.ndarray, length: int, hashes: WordHashes) -> list[np.ndarray]:
@@ -129,8 +132,8 @@ def recurring_places(contexts: list[list[bytes]], weights: np.ndarray, length: i
 
 
 def recurring_spans(given: DataFrame, length: int) -> DataFrame:
-    """``doc_id, mark, data``: packed word ranges covered by windows of ``length`` words that recur."""
-    bits = bucket_bits(given)
+    """Packed rows of the word ranges covered by windows of ``length`` words that recur."""
+    bits, groups = bucket_bits(given), group_count(given)
     width = length - GRAM + 1
 
     def grams(words: np.ndarray) -> np.ndarray:
@@ -144,23 +147,29 @@ def recurring_spans(given: DataFrame, length: int) -> DataFrame:
 
     def regions(batches) -> Iterator[pa.RecordBatch]:
         own_hashes = WordHashes()
-        for batch in batches:
-            sent: dict[bytes, list] = {}
-            for doc, mark, text, found in rows_of(batch, "doc_id", "mark", "text", "found"):
-                words = text.encode().split()
-                values = grams(own_hashes.of(words))
-                starts, ends, at = seeds(values, width)
-                for k in np.flatnonzero(recurring(values[at], found, bits)).tolist():
-                    a, b = int(starts[k]), int(ends[k]) - 1 + length
-                    sent.setdefault(b" ".join(words[a:b]), []).append((int(values[at[k]]), doc, mark, a, b))
-            yield from _packed(sent, bits + MERGE_BITS)
+        sent: dict[bytes, list] = {}
+        size = 0
+        for doc, mark, text, found in texts_with_items(batches):
+            if not len(found):
+                continue
+            words = text.encode().split()
+            values = grams(own_hashes.of(words))
+            starts, ends, at = seeds(values, width)
+            for k in np.flatnonzero(recurring(values[at], found, bits)).tolist():
+                a, b = int(starts[k]), int(ends[k]) - 1 + length
+                sent.setdefault(b" ".join(words[a:b]), []).append((int(values[at[k]]), doc, mark, a, b))
+            size += len(text)
+            if size > HELD:
+                yield from _packed(sent, bits + MERGE_BITS, groups)
+                sent, size = {}, 0
+        yield from _packed(sent, bits + MERGE_BITS, groups)
 
     found = recurring_seeds(given, seeds_of, bits)
-    schema = "bucket int, doc_id long, mark long, data binary, texts binary, weights binary, owners binary"
+    schema = f"bucket int, texts binary, weights binary, owners binary, {PACKED}"
     both = stage(with_seeds(given, found).mapInArrow(regions, schema), "regions")
 
     def confirm(batches) -> Iterator[pa.RecordBatch]:
-        own_hashes = WordHashes()
+        own_hashes, rows = WordHashes(), []
         for group in runs_of(batches, ["bucket"]):
             texts: list[bytes] = []
             for row in group.column("texts").to_pylist():
@@ -172,7 +181,6 @@ def recurring_spans(given: DataFrame, length: int) -> DataFrame:
             # regions of one seed together, about SHARD at a time
             begins = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
             cuts = [*begins[np.unique(np.searchsorted(begins, np.arange(0, len(order), SHARD)).clip(max=len(begins) - 1))].tolist(), len(order)]
-            rows = []
             for a, b in zip(cuts, cuts[1:]):
                 own = order[a:b].tolist()
                 alike: dict[bytes, list[int]] = {}  # equal regions of several tasks as one
@@ -184,29 +192,28 @@ def recurring_spans(given: DataFrame, length: int) -> DataFrame:
                     for i in places if hits else ():
                         if weights[i] == 1:  # the copies of a task's own are settled there
                             doc, mark, offset, _ = owners[i].tolist()
-                            rows.append((doc, mark, spans_bytes(np.array(hits, np.int64) + offset, length)))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "mark", "data"]
-                )
+                            rows.append((doc, mark, spans_of(np.array(hits, np.int64) + offset, length)))
+            if len(rows) > HELD_ROWS:
+                yield from dealt_spans(rows, groups)
+                rows = []
+        yield from dealt_spans(rows, groups)
 
     open_rows = both.where("bucket IS NOT NULL").select("bucket", "texts", "weights", "owners")
-    confirmed = spread(open_rows, "bucket").sortWithinPartitions("bucket").mapInArrow(confirm, "doc_id long, mark long, data binary")
-    return both.where("bucket IS NULL").select("doc_id", "mark", "data").union(confirmed)
+    confirmed = spread(open_rows, "bucket").sortWithinPartitions("bucket").mapInArrow(confirm, PACKED)
+    return both.where("bucket IS NULL").select(*confirmed.columns).union(confirmed)
 
 
-def _packed(sent: dict[bytes, list], bits: int) -> Iterator[pa.RecordBatch]:
-    names = ["bucket", "doc_id", "mark", "data", "texts", "weights", "owners"]
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+def _packed(sent: dict[bytes, list], bits: int, groups: int) -> Iterator[pa.RecordBatch]:
     settled: dict[tuple, list[tuple[int, int]]] = {}
     for places in sent.values():
         if len(places) > 1:
             for _, doc, mark, a, b in places:
                 settled.setdefault((doc, mark), []).append((a, b))
-    rows = []
+    spans = []
     for (doc, mark), ranges in settled.items():
         pairs = np.array(sorted(ranges), np.int64)
-        rows.append((None, doc, mark, np.stack(merged(pairs[:, 0], pairs[:, 1]), 1).tobytes(), None, None, None))
+        spans.append((doc, mark, np.stack(merged(pairs[:, 0], pairs[:, 1]), 1)))
+    rows = []
     items = list(sent.items())
     if items:
         values = np.array([p[0][0] for _, p in items], np.uint64)
@@ -216,12 +223,11 @@ def _packed(sent: dict[bytes, list], bits: int) -> Iterator[pa.RecordBatch]:
         for a, b in zip(cuts, cuts[1:]):
             own = [items[i] for i in order[a:b].tolist()]
             rows.append((
-                int(bucket[order[a]]), None, None, None, b"\n".join(t for t, _ in own),
+                int(bucket[order[a]]), b"\n".join(t for t, _ in own),
                 np.array([len(p) for _, p in own], np.int64).tobytes(),
                 np.array([(p[0][1], p[0][2], p[0][3], v) for (_, p), v in zip(own, signed[order[a:b]])], np.int64).tobytes(),
             ))
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+    yield from open_or_settled(["bucket", "texts", "weights", "owners"], rows, dealt_spans(spans, groups))
 
 
 def kept_words(text: str, ranges: np.ndarray) -> tuple[int, list[bytes]]:

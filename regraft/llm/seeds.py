@@ -16,10 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bits, marked_ids, row_key, rows_of, runs_of, split_seed, spread, stage, texts
+from .common import ID_BITS, id_places, marked_ids, row_key, rows_of, runs_of, spread, stage, texts
+from .ngram_join import mixed
 
 #: Rows of a batch that share one packed exchange.
 PACKED_ROWS = 60_000
+#: Items that a task packs together; of more it makes several sets of rows.
+ITEMS = 1 << 21
+PACKED = "group int, docs binary, marks binary, counts binary, items binary"
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -45,20 +50,117 @@ def seeds(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return starts, np.append(starts[1:], count), (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
+def seed_keys(values: np.ndarray, bits: int) -> np.ndarray:
+    """Bucket (upper ``bits``) and 32 bits more; mixed first, as seeds are minima and crowd at 0."""
+    return (values * MIX) >> np.uint64(32 - bits)
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range after the other."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def group_count(frame: DataFrame) -> int:
+    """Row keys are dealt out over as many groups as there are shuffle partitions; what goes back to a group's texts is packed."""
+    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def group_of(docs: np.ndarray, marks: np.ndarray, groups: int) -> np.ndarray:
+    key = mixed(docs.view(np.uint64) ^ mixed(marks.view(np.uint64)) * MIX)
+    return ((key >> np.uint64(33)) % np.uint64(groups)).astype(np.int32)
+
+
+def dealt(docs: np.ndarray, marks: np.ndarray, counts: np.ndarray, items: np.ndarray, groups: int) -> Iterator[pa.RecordBatch]:
+    """One row for each group of row keys: the keys, how many 64-bit items each has, and the items.
+
+    ``items`` of a key stand together; a key may come more than once.
+    """
+    if not len(docs):
+        return
+    group = group_of(docs, marks, groups)
+    order = np.argsort(group, kind="stable")
+    sizes = counts[order]
+    items = items[ragged((np.cumsum(counts) - counts)[order], sizes)]
+    group, docs, marks = group[order], docs[order], marks[order]
+    heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    cuts = [*heads.tolist(), len(group)]
+    ends = np.concatenate([[0], np.cumsum(sizes)])[cuts].tolist()
+    parts = [[c[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for c in (docs, marks, sizes.astype(np.int64))]
+    parts.append([items[a:b].tobytes() for a, b in zip(ends, ends[1:])])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(group[heads], pa.int32()), *(pa.array(p, pa.binary()) for p in parts)], ["group", "docs", "marks", "counts", "items"]
+    )
+
+
+def dealt_together(made: Iterator[tuple], groups: int) -> Iterator[pa.RecordBatch]:
+    """``(docs, marks, counts, items)`` of a task's buckets as :func:`dealt`, about ``ITEMS`` at a time."""
+    held, size = [], 0
+    for part in made:
+        held.append(part)
+        size += len(part[3])
+        if size > ITEMS:
+            yield from dealt(*(np.concatenate(c) for c in zip(*held)), groups)
+            held, size = [], 0
+    if held:
+        yield from dealt(*(np.concatenate(c) for c in zip(*held)), groups)
+
+
+def dealt_spans(spans: list[tuple[int, int, np.ndarray]], groups: int) -> Iterator[pa.RecordBatch]:
+    """``(doc, mark, ranges)`` as :func:`dealt`."""
+    if spans:
+        docs, marks = (np.array([s[k] for s in spans], np.int64) for k in (0, 1))
+        counts = np.array([s[2].size for s in spans], np.int64)
+        yield from dealt(docs, marks, counts, np.concatenate([s[2].ravel() for s in spans]), groups)
+
+
+def open_or_settled(names: list[str], rows: list[tuple], spans: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a bucket that go on (its number, then binary columns), and packed rows of what is settled, in one schema."""
+    packed = ["group", "docs", "marks", "counts", "items"]
+    types = [pa.int32(), *[pa.binary()] * (len(names) - 1)]
+    if rows:
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.array(c, t) for c, t in zip(zip(*rows), types)), *(pa.nulls(len(rows), t) for t in [pa.int32(), *[pa.binary()] * 4])], names + packed
+        )
+    for batch in spans:
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(batch.num_rows, t) for t in types), *batch.columns], names + packed)
+
+
+def packed_bits(packed: DataFrame) -> bytes:
+    """As :func:`common.id_bits`, of the keys of packed rows."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.zeros(ID_BITS, bool)
+        for batch in batches:
+            for docs in batch.column("docs").to_pylist():
+                flags[id_places(np.frombuffer(docs, np.int64))] = True
+        parts = np.packbits(flags, bitorder="little").reshape(-1, 4096)
+        some = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int32()), pa.array([parts[k].tobytes() for k in some.tolist()], pa.binary())], ["part", "bits"]
+        )
+
+    marked = bytearray(ID_BITS // 8)
+    rows = packed.select("docs").mapInArrow(mark, "part int, bits binary").groupBy("part").agg(F.bitmap_or_agg("bits").alias("bits"))
+    for part, bits in rows.collect():  # 256 at most
+        marked[part * 4096 : (part + 1) * 4096] = bytes(bits)
+    return bytes(marked)
+
+
 def recurring_seeds(given: DataFrame, seeds_of: Callable[[str], np.ndarray], bits: int) -> DataFrame:
-    """``doc_id, mark, found``: packed seeds of a text, by bucket, that were given more than once.
+    """Packed rows (:func:`dealt`) of those seeds of each text that were given more than once, as :func:`seed_keys`.
 
     ``seeds_of`` gives the seeds of a text that count, with repeats if they do.
     """
+    groups = group_count(given)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, PACKED_ROWS):
                 batch = whole.slice(begin, PACKED_ROWS)
                 each = [seeds_of(t) for (t,) in rows_of(batch, "text")]
-                values = np.concatenate(each)
+                keys = seed_keys(np.concatenate(each), bits)
                 who = np.repeat(np.arange(len(each)), [len(e) for e in each])
-                bucket, rest = split_seed(values, bits)
+                bucket, rest = (keys >> np.uint64(32)).astype(np.uint16), keys.astype(np.uint32)
                 order = np.argsort(bucket, kind="stable")
                 bucket, rest, who = bucket[order], rest[order], who[order]
                 cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else [], len(bucket)).astype(int)
@@ -74,9 +176,9 @@ def recurring_seeds(given: DataFrame, seeds_of: Callable[[str], np.ndarray], bit
                         ["bucket", "rest", "who", "ids", "marks"],
                     )
 
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def recur(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for group in runs_of(batches, ["bucket"]):
-            number = group.column("bucket")[0].as_py()
+            number = np.uint64(group.column("bucket")[0].as_py() << 32)
             parts = [np.frombuffer(r, np.uint32) for r in group.column("rest").to_pylist()]
             every = np.concatenate(parts)
             packed = np.sort((every.astype(np.uint64) << np.uint64(32)) | np.arange(len(every), dtype=np.uint64))
@@ -86,51 +188,93 @@ def recurring_seeds(given: DataFrame, seeds_of: Callable[[str], np.ndarray], bit
             recurs = np.zeros(len(every), bool)
             recurs[(packed[equal] & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
             at = 0
+            sent: list[tuple] = []
             others = (group.column(c).to_pylist() for c in ("who", "ids", "marks"))
             for part, who, ids, marks in zip(parts, *others):
                 mine = recurs[at : at + len(part)]
                 at += len(part)
-                if not mine.any():
-                    continue
-                owner, kept = np.frombuffer(who, np.uint16)[mine], part[mine]
-                begins = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-                docs = owner[begins]
-                data = kept.tobytes()
-                ends = np.append(begins[1:], len(kept)).tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.frombuffer(ids, np.int64)[docs]), pa.array(np.frombuffer(marks, np.int64)[docs]),
-                        pa.array(np.full(len(docs), number, np.int32)),
-                        pa.array([data[4 * a : 4 * b] for a, b in zip(begins.tolist(), ends)], pa.binary()),
-                    ],
-                    ["doc_id", "mark", "bucket", "rest"],
-                )
+                owner = np.frombuffer(who, np.uint16)[mine]
+                if len(owner):
+                    begins = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+                    docs = owner[begins]
+                    sent.append((np.frombuffer(ids, np.int64)[docs], np.frombuffer(marks, np.int64)[docs], np.diff(begins, append=len(owner))))
+            if sent:
+                yield *(np.concatenate(c) for c in zip(*sent)), every[recurs] | number
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from dealt_together(recur(batches), groups)
 
     packed = given.mapInArrow(pack, "bucket int, rest binary, who binary, ids binary, marks binary")
-    back = spread(packed, "bucket").sortWithinPartitions("bucket").mapInArrow(again, "doc_id long, mark long, bucket int, rest binary")
-    # one entry for each bucket and row of the text's own seeds
-    return back.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("bucket", "rest")).alias("found"))
+    return spread(packed, "bucket").sortWithinPartitions("bucket").mapInArrow(again, PACKED)
 
 
-def with_seeds(given: DataFrame, found: DataFrame) -> DataFrame:
-    """The texts that have recurring seeds, joined with them."""
-    found = stage(found, "seeds")
-    bits = given.sparkSession.sparkContext.broadcast(id_bits(found, "doc_id"))
+def _chosen(given: DataFrame, bits, groups: int) -> DataFrame:
+    """``group, doc_id, mark, text`` of the texts whose ids are marked."""
 
     def candidates(batches):
         for batch in batches:
-            yield batch.filter(pa.array(marked_ids(bits.value, batch.column("doc_id"))))
+            some = batch.filter(pa.array(marked_ids(bits.value, batch.column("doc_id"))))
+            keys = (np.asarray(some.column(c)) for c in ("doc_id", "mark"))
+            yield pa.RecordBatch.from_arrays([pa.array(group_of(*keys, groups)), *some.columns], ["group", *some.schema.names])
+
+    return given.mapInArrow(candidates, "group int, doc_id long, mark long, text string")
+
+
+def _together(chosen: DataFrame, packed: DataFrame) -> DataFrame:
+    """Packed rows and texts by group, the packed rows of a group first."""
+    both = packed.unionByName(chosen, allowMissingColumns=True)
+    return both.repartitionById(group_count(both), F.col("group")).sortWithinPartitions(F.col("group"), F.col("docs").isNull())
+
+
+def texts_with_items(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, str, np.ndarray]]:
+    """``(doc, mark, text, items)`` of what :func:`_together` brings; without items an empty array."""
+    held, number, none = [], None, np.zeros(0, np.uint64)
+    found: dict[tuple[int, int], np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        group, is_text = np.asarray(batch.column("group")), np.asarray(batch.column("docs").is_null())
+        cuts = [0, *(np.flatnonzero((group[1:] != group[:-1]) | (is_text[1:] != is_text[:-1])) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if group[a] != number:
+                held, number, found = [], group[a], None
+            part = batch.slice(a, b - a)
+            if not is_text[a]:
+                held += part.select(["docs", "marks", "counts", "items"]).to_pylist()
+                continue
+            if found is None:
+                found, held = _by_key(held), []
+            for doc, mark, text in rows_of(part, "doc_id", "mark", "text"):
+                yield doc, mark, text, found.get((doc, mark), none)
+
+
+def _by_key(packed: list[dict]) -> dict[tuple[int, int], np.ndarray]:
+    if not packed:
+        return {}
+    docs, marks, counts = (np.concatenate([np.frombuffer(p[c], np.int64) for p in packed]) for c in ("docs", "marks", "counts"))
+    items = np.concatenate([np.frombuffer(p["items"], np.uint64) for p in packed])
+    order = np.lexsort((marks, docs))
+    sizes = counts[order]
+    items = items[ragged((np.cumsum(counts) - counts)[order], sizes)]
+    docs, marks = docs[order], marks[order]
+    heads = np.flatnonzero(np.concatenate([[True], (docs[1:] != docs[:-1]) | (marks[1:] != marks[:-1])]))
+    cuts = np.concatenate([[0], np.cumsum(sizes)])[[*heads.tolist(), len(docs)]].tolist()
+    return {k: items[a:b] for k, a, b in zip(zip(docs[heads].tolist(), marks[heads].tolist()), cuts, cuts[1:])}
 
-    chosen = given.mapInArrow(candidates, "doc_id long, mark long, text string")
-    return chosen.hint("merge").join(found, ["doc_id", "mark"])
 
+def with_seeds(given: DataFrame, found: DataFrame) -> DataFrame:
+    """The texts that may have recurring seeds and these, for :func:`texts_with_items`."""
+    found = stage(found, "seeds")
+    bits = given.sparkSession.sparkContext.broadcast(packed_bits(found))
+    return _together(_chosen(given, bits, group_count(given)), found)
 
-def recurring(values: np.ndarray, found: list[dict], bits: int) -> np.ndarray:
+
+def recurring(values: np.ndarray, found: np.ndarray, bits: int) -> np.ndarray:
     """Which of a text's seeds are among those given back."""
-    known = np.sort(np.concatenate([
-        np.frombuffer(f["rest"], np.uint32).astype(np.uint64) | np.uint64(f["bucket"] << 32) for f in found
-    ]))
-    own = values >> np.uint64(32 - bits)
+    if not len(found):
+        return np.zeros(len(values), bool)
+    known = np.sort(found)
+    own = seed_keys(values, bits)
     at = np.minimum(np.searchsorted(known, own), len(known) - 1)
     return known[at] == own
 
@@ -144,15 +288,14 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[first], np.append(reach[:-1][first[1:]], reach[-1])
 
 
-def spans_bytes(starts: np.ndarray, length: int) -> bytes:
-    """Ranges covered by windows of ``length`` at ascending ``starts``, packed."""
-    a, b = merged(starts, starts + length)
-    return np.stack([a, b], 1).astype(np.int64).tobytes()
+def spans_of(starts: np.ndarray, length: int) -> np.ndarray:
+    """Ranges (n, 2) covered by windows of ``length`` at ascending ``starts``."""
+    return np.stack(merged(starts, starts + length), 1).astype(np.int64)
 
 
-def covered(packed: list[bytes]) -> np.ndarray:
-    """Disjoint ranges (n, 2), ascending, from packed spans."""
-    pairs = np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 2) for p in packed])
+def covered(items: np.ndarray) -> np.ndarray:
+    """Disjoint ranges (n, 2), ascending, from the items of a text."""
+    pairs = items.view(np.int64).reshape(-1, 2)
     pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
     return np.stack(merged(pairs[:, 0], pairs[:, 1]), 1)
 
@@ -160,32 +303,32 @@ def covered(packed: list[bytes]) -> np.ndarray:
 def with_spans(given: DataFrame, spans: DataFrame, finish: Callable[[str, np.ndarray], tuple], fields: list[pa.Field], schema: str) -> DataFrame:
     """``doc_id, mark`` and ``finish(text, ranges)`` of every text, those without a span where they are read.
 
-    ``spans`` has ``doc_id, mark, data`` with any number of rows for a text.
+    ``spans`` has packed rows (:func:`dealt`) of ranges.
     """
-    gathered = stage(spans.groupBy("doc_id", "mark").agg(F.collect_list("data").alias("data")), "spans")
-    bits = given.sparkSession.sparkContext.broadcast(id_bits(gathered, "doc_id"))
+    gathered = stage(spans, "spans")
+    bits = given.sparkSession.sparkContext.broadcast(packed_bits(gathered))
     none = np.zeros((0, 2), np.int64)
 
-    def made(batch, rows):
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("mark"), *(pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(fields), fields))],
-            ["doc_id", "mark", *(f.name for f in fields)],
-        )
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.int64(), pa.int64(), *(f.type for f in fields)]
+        columns = zip(*rows) if rows else [[]] * len(types)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "mark", *(f.name for f in fields)])
 
     def alone(batches):
         for batch in batches:
             rest = batch.filter(pa.array(~marked_ids(bits.value, batch.column("doc_id"))))
-            yield made(rest, [finish(t, none) for (t,) in rows_of(rest, "text")])
-
-    def candidates(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(marked_ids(bits.value, batch.column("doc_id"))))
+            yield made([(d, m, *finish(t, none)) for d, m, t in rows_of(rest, "doc_id", "mark", "text")])
 
     def cut(batches):
-        for batch in batches:
-            yield made(batch, [finish(t, covered(d) if d else none) for t, d in rows_of(batch, "text", "data")])
+        rows, size = [], 0
+        for doc, mark, text, items in texts_with_items(batches):
+            rows.append((doc, mark, *finish(text, covered(items) if len(items) else none)))
+            size += len(text)
+            if len(rows) >= 1000 or size > 1 << 24:
+                yield made(rows)
+                rows, size = [], 0
+        yield made(rows)
 
-    chosen = given.mapInArrow(candidates, "doc_id long, mark long, text string")
-    together = chosen.hint("merge").join(gathered, ["doc_id", "mark"], "left")
     schema = f"doc_id long, mark long, {schema}"
+    together = _together(_chosen(given, bits, group_count(given)), gathered)
     return given.mapInArrow(alone, schema).union(together.mapInArrow(cut, schema))

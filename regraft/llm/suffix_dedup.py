@@ -1,11 +1,11 @@
-"""Substrings that occur in an earlier document: suffix arrays of shards, merged by binary search.
+"""Substrings that occur in an earlier document: suffix arrays of shards, whose strings are merged by their bytes.
 
 Seeds tell which regions of a text can hold a string of another text. Each task
 lines up such regions into shards of up to 0.6 MB, orders their suffixes, and
 finds the classes of equal strings by their common prefixes: what has an earlier
 document in its shard is settled. What the earliest document of a shard has goes
-on, by seed hash, to where the shards are merged: there every shard's strings
-are looked up by binary search among all others'. A class goes on from one
+on, by seed hash, to where the shards are merged: there sorted keys bring strings
+of all shards together, and those of equal bytes are one. A class goes on from one
 document of a shard, so copies are combined before the shuffle.
 
 Defined results: null and empty texts have no bytes; texts shorter than the
@@ -25,16 +25,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, given_id, pieces, runs_of, split_seed, spread, stage, with_key, without_rows
+from .common import bucket_bits, given_id, runs_of, split_seed, spread, stage, with_key, without_rows
 from .ngram_join import mixed
-from .seeds import covered, keyed, merged, recurring, recurring_seeds, seeds, spans_bytes, with_seeds, with_spans
+from .seeds import (
+    MIX, PACKED, dealt_spans, dealt_together, group_count, keyed, merged, open_or_settled, ragged, recurring, recurring_seeds, seeds, spans_of,
+    texts_with_items, with_seeds, with_spans,
+)
 from .suffix import repeat_classes
 
 GRAM = 16
 #: Each hash range of the seeds is merged in so many parts, as a power of two.
 MERGE_BITS = 4
-#: Strings looked up at a time.
-LOOKUP = 1 << 18
+#: What goes on to be merged: windows of a shard, by bucket of their seed.
+OPEN = ["bucket", "data", "owners", "offsets", "sizes"]
+#: Texts whose settled ranges are packed together.
+HELD = 20_000
 _M = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Regions of a shard; a longer one is cut, with an overlap of a string.
 SHARD = 600_000
@@ -52,13 +57,63 @@ def gram_hashes(data: bytes) -> np.ndarray:
 
 
 def string_keys(data: bytes, length: int) -> np.ndarray:
-    """A 64-bit key of each string of ``length`` bytes in ``data``."""
-    eights = _eights(data)
-    count = len(data) - length + 1
-    total = np.zeros(count, np.uint64)
+    """A 64-bit key of each string of ``length`` bytes in ``data``, from keys of half of it."""
+    key, size = mixed(_eights(data)), 8
+    while size * 2 <= length:
+        key, size = mixed(key[:-size] * _M + key[size:]), size * 2
+    count, rest = len(data) - length + 1, length - size
+    return mixed(key[:count] * _M + key[rest : rest + count]) if rest else key
+
+
+def equal_strings(data: bytes, place: np.ndarray, other: np.ndarray, length: int) -> np.ndarray:
+    """Whether the strings at ``place`` and ``other`` have equal bytes; if not all are, some equal ones may count as not.
+
+    Where both follow the pair before by one byte, only the last byte is compared.
+    """
+    fresh = np.ones(len(place), bool)
+    fresh[1:] = (place[1:] != place[:-1] + 1) | (other[1:] != other[:-1] + 1)
+    symbols, eights = np.frombuffer(data, np.uint8), _eights(data)
+    same = symbols[place + length - 1] == symbols[other + length - 1]
+    first = np.flatnonzero(fresh)
+    a, b = place[first], other[first]
     for at in [*range(0, length - 7, 8), length - 8]:
-        total = mixed(total * _M + eights[at : at + count])
-    return total
+        same[first] &= eights[a + at] == eights[b + at]
+    wrong = np.cumsum(~same)
+    before = np.concatenate([[0], wrong])[first]
+    return wrong == np.repeat(before, np.diff(first, append=len(place)))
+
+
+def later_strings(data: bytes, place: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
+    """Which of the strings at ``place`` have equal bytes at a place of smaller ``rank``.
+
+    Keys bring strings that may be equal together, their bytes are compared with
+    those of the first; classes in which some differ are made anew by the bytes.
+    """
+    count = len(place)
+    if not count:
+        return np.zeros(0, bool)
+    low = np.uint64(max(1, count.bit_length()))
+    packed = np.sort((string_keys(data, length)[place] >> low << low) | np.arange(count, dtype=np.uint64))
+    order = (packed & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    packed >>= low
+    heads = np.flatnonzero(np.concatenate([[True], packed[1:] != packed[:-1]]))
+    del packed
+    sizes = np.diff(heads, append=count)
+    later = np.zeros(count, bool)
+    earliest = np.minimum.reduceat(rank[order], heads)
+    later[order] = rank[order] > np.repeat(earliest, sizes)
+    first = np.empty(count, np.int64)
+    first[order] = np.repeat(order[heads], sizes)
+    some = np.flatnonzero(first != np.arange(count))
+    unequal = some[~equal_strings(data, place[some], place[first[some]], length)] if len(some) else some
+    if len(unequal):
+        again = np.flatnonzero(np.isin(first, first[unequal]))
+        strings = [data[p : p + length] for p in place[again].tolist()]
+        least: dict[bytes, int] = {}
+        for string, own in zip(strings, rank[again].tolist()):
+            least[string] = min(own, least.get(string, own))
+        later[again] = [own > least[string] for string, own in zip(strings, rank[again].tolist())]
+    return later
 
 
 def id_order(docs: np.ndarray, marks: np.ndarray) -> np.ndarray:
@@ -78,10 +133,14 @@ def _shards(regions: Iterator[tuple]) -> Iterator[list[tuple]]:
         yield held
 
 
-def settled_shard(shard: list[tuple], length: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """What an earlier document of the shard has, and the first occurrences that go on."""
+def settled_shard(shard: list[tuple], length: int) -> tuple[list[tuple], list[tuple]]:
+    """Ranges that an earlier document of the shard has, and the first occurrences that go on."""
     docs = id_order(*(np.array([r[k] for r in shard], np.int64) for k in (0, 1)))
     place, classes, owner = repeat_classes([r[3] for r in shard], length)
+    spans: list[tuple] = []
+    sent: list[tuple] = []
+    if not len(place):
+        return spans, sent
     first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
     earliest = np.minimum.reduceat(docs[owner], first)
     later = docs[owner] > np.repeat(earliest, np.diff(np.append(first, len(place))))
@@ -90,22 +149,21 @@ def settled_shard(shard: list[tuple], length: int, bits: int) -> Iterator[pa.Rec
     settled[place[later]] = True
     open_[place[~later] + 1] = 1
     opened = np.cumsum(open_)
-    base, spans = 0, []
-    sent: list[tuple] = []
+    base = 0
     for doc, mark, offset, data, starts, ends, value in shard:
         done = np.flatnonzero(settled[base : base + len(data)])
         if len(done):
-            spans.append((doc, mark, spans_bytes(done + offset, length)))
+            spans.append((doc, mark, spans_of(done + offset, length)))
         go = np.flatnonzero(opened[base + ends] > opened[base + starts])
         if len(go):
             sent.append((doc, mark, offset, data, starts[go], ends[go], value[go]))
         base += len(data) + 1
-    yield from _packed(spans, sent, length, bits)
+    return spans, sent
 
 
 def earlier_spans(given: DataFrame, length: int) -> DataFrame:
-    """``doc_id, mark, data``: packed byte ranges covered by strings that start in an earlier document."""
-    bits = bucket_bits(given)
+    """Packed rows of the byte ranges covered by strings that start in an earlier document."""
+    bits, groups = bucket_bits(given), group_count(given)
     width = length - GRAM + 1
 
     def seeds_of(text: str) -> np.ndarray:
@@ -114,111 +172,90 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
 
     def regions(batches) -> Iterator[tuple]:
         """``(doc, mark, offset, bytes, starts, ends, seed hashes)`` of merged candidate windows."""
-        for batch in pieces(batches):
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "mark", "text", "found")]
-            for doc, mark, text, found in zip(*columns):
-                data = text.encode()
-                hashes = gram_hashes(data)
-                starts, ends, at = seeds(hashes, width)
-                own = recurring(hashes[at], found, bits)
-                starts, ends, value = starts[own], ends[own], hashes[at[own]]
-                for a, b in zip(*(x.tolist() for x in merged(starts, ends - 1 + length))):
-                    while a + length <= b:
-                        stop = min(b, a + SHARD - 1)
-                        i, j = np.searchsorted(ends, a, "right"), np.searchsorted(starts, stop - length, "right")
-                        yield (
-                            doc, mark, a, data[a:stop], np.maximum(starts[i:j], a) - a,
-                            np.minimum(ends[i:j], stop - length + 1) - a, value[i:j],
-                        )
-                        a = stop - length + 1
+        for doc, mark, text, found in texts_with_items(batches):
+            if not len(found):
+                continue
+            data = text.encode()
+            hashes = gram_hashes(data)
+            starts, ends, at = seeds(hashes, width)
+            own = recurring(hashes[at], found, bits)
+            starts, ends, value = starts[own], ends[own], hashes[at[own]]
+            for a, b in zip(*(x.tolist() for x in merged(starts, ends - 1 + length))):
+                while a + length <= b:
+                    stop = min(b, a + SHARD - 1)
+                    i, j = np.searchsorted(ends, a, "right"), np.searchsorted(starts, stop - length, "right")
+                    yield (
+                        doc, mark, a, data[a:stop], np.maximum(starts[i:j], a) - a,
+                        np.minimum(ends[i:j], stop - length + 1) - a, value[i:j],
+                    )
+                    a = stop - length + 1
 
     def settle(batches) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for shard in _shards(regions(batches)):
-            yield from settled_shard(shard, length, bits + MERGE_BITS)
+            spans, sent = settled_shard(shard, length)
+            held += spans
+            yield from open_or_settled(OPEN, _packed(sent, length, bits + MERGE_BITS), iter(()))
+            if len(held) > HELD:
+                yield from open_or_settled(OPEN, [], dealt_spans(held, groups))
+                held = []
+        yield from open_or_settled(OPEN, [], dealt_spans(held, groups))
 
     found = recurring_seeds(given, seeds_of, bits)
-    both = stage(
-        with_seeds(given, found).mapInArrow(settle, "bucket int, doc_id long, mark long, data binary, docs binary, offsets binary, sizes binary"), "shards"
-    )
+    schema = f"bucket int, data binary, owners binary, offsets binary, sizes binary, {PACKED}"
+    both = stage(with_seeds(given, found).mapInArrow(settle, schema), "shards")
 
-    def merge(batches) -> Iterator[pa.RecordBatch]:
+    def later_ranges(batches) -> Iterator[tuple]:
         for group in runs_of(batches, ["bucket"]):
-            rows = group.select(["data", "docs", "offsets", "sizes"]).to_pylist()
+            docs = np.concatenate([np.frombuffer(r, np.int64).reshape(-1, 2) for r in group.column("owners").to_pylist()])
+            offsets, sizes = (np.concatenate([np.frombuffer(r, np.int64) for r in group.column(c).to_pylist()]) for c in ("offsets", "sizes"))
+            data = b"".join([zstandard.decompress(r) for r in group.column("data").to_pylist()])
             del group
-            docs = np.concatenate([np.frombuffer(r["docs"], np.int64).reshape(-1, 2) for r in rows])
-            offsets = np.concatenate([np.frombuffer(r["offsets"], np.int64) for r in rows])
-            sizes = np.concatenate([np.frombuffer(r["sizes"], np.int64) for r in rows])
             counts = sizes - length + 1
-            keys = []
-            for r in rows:
-                own = np.frombuffer(r["sizes"], np.int64)
-                ends = np.cumsum(own)
-                every = string_keys(zstandard.decompress(r.pop("data")), length)
-                inside = np.ones(len(every), bool)
-                for back in range(1, length):
-                    hit = ends[:-1] - back
-                    inside[hit[hit >= 0]] = False
-                keys.append(every[inside])
-            keys = np.concatenate(keys)
-            doc = np.repeat(id_order(docs[:, 0], docs[:, 1]), counts)
-            order = np.argsort(keys, kind="stable")
-            ordered = keys[order]
-            heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            earliest = np.minimum.reduceat(doc[order], heads)
-            distinct, ordered = ordered[heads], None
-            # each shard's strings looked up by binary search among the merged ones, part by part
-            later = np.concatenate([
-                earliest[np.searchsorted(distinct, keys[k : k + LOOKUP])] < doc[k : k + LOOKUP] for k in range(0, len(keys), LOOKUP)
-            ])
-            del order, keys, doc, distinct, earliest
+            ends = np.cumsum(counts)
+            later = later_strings(
+                data, ragged(np.cumsum(sizes) - sizes, counts), np.repeat(id_order(docs[:, 0], docs[:, 1]), counts), length
+            )
             found = np.flatnonzero(later)
             if not len(found):
                 continue
-            ends = np.cumsum(counts)
             which = np.searchsorted(ends, found, "right")
             place = found - (ends - counts)[which] + offsets[which]
-            by_text = np.lexsort((place, docs[which, 1], docs[which, 0]))
-            who, place = docs[which[by_text]], place[by_text]
-            cuts = [0, *(np.flatnonzero((who[1:] != who[:-1]).any(1)) + 1).tolist(), len(place)]
-            heads = np.array(cuts[:-1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(who[heads, 0]), pa.array(who[heads, 1]),
-                    pa.array([spans_bytes(place[a:b], length) for a, b in zip(cuts, cuts[1:])], pa.binary()),
-                ],
-                ["doc_id", "mark", "data"],
-            )
+            heads = np.flatnonzero(np.concatenate([[True], (np.diff(found) != 1) | (which[1:] != which[:-1])]))
+            spans = np.stack([place[heads], place[np.append(heads[1:], len(found)) - 1] + length], 1)
+            who = docs[which[heads]]
+            yield who[:, 0], who[:, 1], np.full(len(who), 2), spans.ravel()
 
-    open_rows = both.where("bucket IS NOT NULL").select("bucket", "data", "docs", "offsets", "sizes")
-    merged_spans = spread(open_rows, "bucket", times=4).sortWithinPartitions("bucket").mapInArrow(merge, "doc_id long, mark long, data binary")
-    return both.where("bucket IS NULL").select("doc_id", "mark", "data").union(merged_spans)
-
-
-def _packed(spans: list[tuple], sent: list[tuple], length: int, bits: int) -> Iterator[pa.RecordBatch]:
-    names = ["bucket", "doc_id", "mark", "data", "docs", "offsets", "sizes"]
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    rows = [(None, doc, mark, data, None, None, None) for doc, mark, data in spans]
-    if sent:
-        counts = [len(s[4]) for s in sent]
-        docs = np.repeat(np.array([(s[0], s[1]) for s in sent], np.int64), counts, axis=0)
-        text = np.frombuffer(b"".join(s[3] for s in sent), np.uint8)
-        base = np.repeat(np.cumsum([0] + [len(s[3]) for s in sent[:-1]]), counts)
-        starts, ends, value = (np.concatenate([s[k] for s in sent]) for k in (4, 5, 6))
-        offsets = np.repeat([s[2] for s in sent], counts) + starts
-        sizes = ends - 1 + length - starts
-        bucket, _ = split_seed(value, bits)
-        order = np.argsort(bucket, kind="stable")
-        cuts = [0, *(np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1).tolist(), len(order)]
-        for a, b in zip(cuts, cuts[1:]):
-            own = order[a:b]
-            size = sizes[own]
-            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(base[own] + starts[own], size)
-            rows.append((
-                int(bucket[own[0]]), None, None, zstandard.compress(text[place].tobytes(), 1), docs[own].tobytes(),
-                offsets[own].astype(np.int64).tobytes(), size.astype(np.int64).tobytes(),
-            ))
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+    def merge(batches) -> Iterator[pa.RecordBatch]:
+        yield from dealt_together(later_ranges(batches), groups)
+
+    open_rows = both.where("bucket IS NOT NULL").select(*OPEN)
+    merged_spans = spread(open_rows, "bucket", times=4).sortWithinPartitions("bucket").mapInArrow(merge, PACKED)
+    return both.where("bucket IS NULL").select(*merged_spans.columns).union(merged_spans)
+
+
+def _packed(sent: list[tuple], length: int, bits: int) -> list[tuple]:
+    """Rows of ``OPEN``: the bytes of windows that go on, by bucket of their seed."""
+    if not sent:
+        return []
+    rows = []
+    counts = [len(s[4]) for s in sent]
+    docs = np.repeat(np.array([(s[0], s[1]) for s in sent], np.int64), counts, axis=0)
+    text = np.frombuffer(b"".join(s[3] for s in sent), np.uint8)
+    base = np.repeat(np.cumsum([0] + [len(s[3]) for s in sent[:-1]]), counts)
+    starts, ends, value = (np.concatenate([s[k] for s in sent]) for k in (4, 5, 6))
+    offsets = np.repeat([s[2] for s in sent], counts) + starts
+    sizes = ends - 1 + length - starts
+    bucket, _ = split_seed(value * MIX, bits)
+    order = np.argsort(bucket, kind="stable")
+    cuts = [0, *(np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1).tolist(), len(order)]
+    for a, b in zip(cuts, cuts[1:]):
+        own = order[a:b]
+        rows.append((
+            int(bucket[own[0]]), zstandard.compress(text[ragged(base[own] + starts[own], sizes[own])].tobytes(), 1), docs[own].tobytes(),
+            offsets[own].astype(np.int64).tobytes(), sizes[own].astype(np.int64).tobytes(),
+        ))
+    return rows
 
 
 def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
@@ -261,12 +298,12 @@ def without_repeats(documents: DataFrame, length: int) -> DataFrame:
         data = text.encode()
         return (kept_bytes(data, whole_characters(data, ranges)).decode() if len(ranges) else None,)
 
-    spans = stage(earlier_spans(given, length), "repeats")
-    cut = with_spans(given, spans, finish, [pa.field("kept", pa.string())], "kept string").where("kept IS NOT NULL AND kept != ''")
-    cut = cut.select(F.col("doc_id").alias("_key_id"), F.col("mark").alias("_key_mark"), F.col("kept").alias("_kept")).distinct()
-    changed = with_key(documents).drop("text", "n_chars").hint("merge").join(cut, ["_key_id", "_key_mark"])
+    cut = with_spans(given, earlier_spans(given, length), finish, [pa.field("kept", pa.string())], "kept string").where("kept IS NOT NULL")
+    cut = stage(cut.dropDuplicates(["doc_id", "mark"]), "repeats")
+    kept = cut.where("kept != ''").select(F.col("doc_id").alias("_key_id"), F.col("mark").alias("_key_mark"), F.col("kept").alias("_kept"))
+    changed = with_key(documents).drop("text", "n_chars").hint("merge").join(kept, ["_key_id", "_key_mark"])
     text = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("long")}
-    return without_rows(documents, spans).union(
+    return without_rows(documents, cut).union(
         changed.select(*(text[c].alias(c) if c in text else c for c in documents.columns))
     )
 

@@ -5,11 +5,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
-from regraft.llm import phrases
+from regraft.llm import phrases, suffix_dedup
 from regraft.llm.ngram_join import WordHashes
 from regraft.llm.phrases import passage_windows, phrase_digests, recurring_places, remove_phrases
-from regraft.llm.seeds import merged, seeds
+from regraft.llm.seeds import dealt, group_of, merged, ragged, seeds, texts_with_items
 from regraft.llm.suffix import common_prefixes, joined, repeat_classes, suffix_array
 from regraft.llm.suffix_dedup import remove_repeats, repeat_digests, without_repeats
 
@@ -192,3 +194,47 @@ def test_ranges_and_windows():
     words = [b"%d" % i for i in range(12)]
     recurs = np.array([True] * 7 + [False, True])
     assert passage_windows(words, recurs, 4) == [tuple(words[k : k + 4]) for k in (0, 4, 6, 8)]
+
+
+@pytest.mark.parametrize("keys", ["own", "all alike", "few"])
+def test_merged_strings_are_equal_by_bytes(monkeypatch, keys):
+    """Colliding keys neither remove a string nor hide one."""
+    own_keys = suffix_dedup.string_keys
+    if keys != "own":
+        most = np.uint64(1 if keys == "all alike" else 3)
+        monkeypatch.setattr(suffix_dedup, "string_keys", lambda data, length: (own_keys(data, length) % most) << np.uint64(60))
+    draw, length = random.Random(5), 17
+    for trial in range(30):
+        passages = [bytes(draw.choices(b"ab\0", k=draw.randint(17, 40))) for _ in range(4)]
+        regions = [b"".join(draw.choices(passages, k=draw.randint(1, 3))) for _ in range(12)]
+        ranks = np.array([draw.randint(0, 6) for _ in regions])
+        sizes = np.array([len(r) for r in regions])
+        counts = sizes - length + 1
+        place = ragged(np.cumsum(sizes) - sizes, counts)
+        least: dict[bytes, int] = {}
+        strings = [(r[i : i + length], int(k)) for r, k in zip(regions, ranks) for i in range(len(r) - length + 1)]
+        for string, rank in strings:
+            least[string] = min(rank, least.get(string, rank))
+        later = suffix_dedup.later_strings(b"".join(regions), place, np.repeat(ranks, counts), length)
+        assert later.tolist() == [rank > least[string] for string, rank in strings]
+
+
+def test_items_find_their_texts_in_any_batches():
+    """Packed rows of a group, split over several, come back by row key, whatever the batches."""
+    draw = np.random.default_rng(3)
+    docs, marks = draw.integers(-5, 40, 300), draw.integers(0, 2, 300)
+    counts = draw.integers(0, 4, 300)
+    items = draw.integers(0, 1 << 40, counts.sum()).astype(np.uint64)
+    wanted: dict[tuple[int, int], list[int]] = {}
+    for doc, mark, own in zip(docs.tolist(), marks.tolist(), np.split(items, np.cumsum(counts)[:-1])):
+        wanted.setdefault((doc, mark), []).extend(own.tolist())
+    packed = [row for half in (slice(0, 150), slice(150, 300)) for b in dealt(docs[half], marks[half], counts[half], np.split(items, [counts[:150].sum()])[half.start > 0], 7) for row in b.to_pylist()]
+    every = [(doc, mark) for doc in range(-6, 41) for mark in (0, 1)]
+    groups = group_of(*(np.array(c, np.int64) for c in zip(*every)), 7)
+    texts = [{"group": int(g), "doc_id": d, "mark": m, "text": f"{d} {m}"} for g, (d, m) in zip(groups, every)]
+    rows = sorted(packed + texts, key=lambda r: (r["group"], "text" in r))
+    fields = [("group", pa.int32()), *((c, pa.binary()) for c in ("docs", "marks", "counts", "items")), ("doc_id", pa.int64()), ("mark", pa.int64()), ("text", pa.string())]
+    for size in (1, 5, 1000):
+        batches = pa.Table.from_pylist(rows, pa.schema(fields)).to_batches(size)
+        got = {(d, m): (t, i.tolist()) for d, m, t, i in texts_with_items(iter(batches))}
+        assert got == {(d, m): (f"{d} {m}", wanted.get((d, m), [])) for d, m in every}
