@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -49,6 +50,26 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def release() -> None:
+    """Gives memory that is free in this process back to the system, where its C library knows how."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def in_arrow(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` whose tasks leave no memory behind: Python workers serve stage after stage, and would keep the most that any took."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return frame.mapInArrow(run, schema)
+
+
 def per_batch(
     frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch], schema: str
 ) -> DataFrame:
@@ -60,7 +81,7 @@ def per_batch(
                 made = work(batch)
                 yield from [made] if isinstance(made, pa.RecordBatch) else made
 
-    return frame.mapInArrow(run, schema)
+    return in_arrow(frame, run, schema)
 
 
 def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[tuple[int, int]]:
@@ -174,7 +195,7 @@ def without_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
             for batch in batches:
                 yield batch.filter(pa.array(marked_ids(bits.value, batch.column("doc_id")) == marked))
 
-        return documents.mapInArrow(run, documents.schema)
+        return in_arrow(documents, run, documents.schema)
 
     return chosen(False).union(chosen(True).hint("merge").join(found, "doc_id", "left_anti").select(*documents.columns))
 
@@ -195,7 +216,7 @@ def without_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
             for batch in batches:
                 yield batch.filter(pa.array(marked_ids(bits.value, batch.column("_key_id")) == marked))
 
-        return given.mapInArrow(run, given.schema)
+        return in_arrow(given, run, given.schema)
 
     rest = chosen(True).hint("merge").join(found, ["_key_id", "_key_mark"], "left_anti")
     return chosen(False).select(*documents.columns).union(rest.select(*documents.columns))

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import in_arrow, stage
 
 
 def smallest_labels(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -44,7 +44,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             if batch.num_rows:
                 yield forest(batch)
 
-    stars = stage(edges.select("a", "b").where("a != b").mapInArrow(contract, "a long, b long").distinct(), "edges")
+    stars = stage(in_arrow(edges.select("a", "b").where("a != b"), contract, "a long, b long").distinct(), "edges")
     before = None
     while True:
         state = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())

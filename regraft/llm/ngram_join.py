@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, id_bits, marked_ids, row_key, runs_of, split_seed, spread, stage, texts
+from .common import bucket_bits, id_bits, in_arrow, marked_ids, row_key, rows_of, runs_of, split_seed, spread, stage, texts
 from .components import connected_components, smallest_labels
 
 #: Frequency classes of n-grams are kept for so many slots of hashes (4 MB, whatever the input).
@@ -99,12 +99,16 @@ def frequency_classes(documents: DataFrame, size: int) -> np.ndarray:
         hashes = WordHashes()
         for batch in batches:
             sets = {}
-            for text in batch.column("text").to_pylist():
+            for (text,) in rows_of(batch, "text"):
                 tokens = ngrams(text, size, hashes)
                 sets[hashlib.blake2b(tokens.tobytes(), digest_size=8).digest()] = tokens
             if not sets:
                 continue
-            bucket, rest = split_seed(np.sort(np.concatenate(list(sets.values()))), bits)
+            every = np.concatenate(list(sets.values()))
+            del sets
+            every.sort()
+            bucket, rest = split_seed(every, bits)
+            del every
             cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else [], len(bucket)).astype(int)
             if len(cuts) > 1:
                 yield pa.RecordBatch.from_arrays(
@@ -126,8 +130,8 @@ def frequency_classes(documents: DataFrame, size: int) -> np.ndarray:
             kind = np.log2(counts[often]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(kind)], ["slot", "kind"])
 
-    packed = spread(documents.mapInArrow(pack, "bucket int, rest binary"), "bucket").sortWithinPartitions("bucket")
-    slots = stage(packed.mapInArrow(count, "slot long, kind int").groupBy("slot").agg(F.max("kind").alias("kind")), "slots")
+    packed = spread(in_arrow(documents, pack, "bucket int, rest binary"), "bucket").sortWithinPartitions("bucket")
+    slots = stage(in_arrow(packed, count, "slot long, kind int").groupBy("slot").agg(F.max("kind").alias("kind")), "slots")
     taken, least = 0, 64
     for kind, n in sorted(((r.kind, r.n) for r in slots.groupBy("kind").agg(F.count("*").alias("n")).collect()), reverse=True):
         taken += n
@@ -299,7 +303,7 @@ def jaccard_rows(documents: DataFrame, size: int, percent: int) -> DataFrame:
         hashes = WordHashes()
         for batch in batches:
             sizes, marks, fragments, seen = [], [], [], set()
-            for text in batch.column("text").to_pylist():
+            for (text,) in rows_of(batch, "text"):
                 tokens = ngrams(text, size, hashes)
                 mark = int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
                 sizes.append(len(tokens))
@@ -316,7 +320,7 @@ def jaccard_rows(documents: DataFrame, size: int, percent: int) -> DataFrame:
             )
 
     schema = "doc_id long, key_id long, key_mark long, n_shingles long, mark long, fragment array<long>"
-    described = stage(given.mapInArrow(describe, schema), "described")
+    described = stage(in_arrow(given, describe, schema), "described")
     sets = stage(
         described.where("mark IS NOT NULL").groupBy("mark", "n_shingles").agg(
             F.min("doc_id").alias("id"), F.min(F.struct("key_id", "key_mark")).alias("sender"), F.count("*").alias("copies")
@@ -324,8 +328,8 @@ def jaccard_rows(documents: DataFrame, size: int, percent: int) -> DataFrame:
     )
     postings = described.where("fragment IS NOT NULL").select("mark", "n_shingles", F.explode("fragment").alias("token"))
     order = ["token", "n_shingles", "mark"]
-    counted = spread(postings, "token").sortWithinPartitions(*order).mapInArrow(
-        lambda b: candidate_edges(b, percent), "a long, b long, shared long, least long"
+    counted = in_arrow(
+        spread(postings, "token").sortWithinPartitions(*order), lambda b: candidate_edges(b, percent), "a long, b long, shared long, least long"
     )
     near = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("least").alias("least")).where("shared >= least")
     groups = connected_components(near)
@@ -350,16 +354,16 @@ def jaccard_rows(documents: DataFrame, size: int, percent: int) -> DataFrame:
         for batch in batches:
             chosen = batch.filter(pa.array(marked_ids(bits.value, batch.column("key_id"))))
             if chosen.num_rows:
-                sets = [ngrams(t, size, hashes).tobytes() for t in chosen.column("text").to_pylist()]
+                sets = [ngrams(t, size, hashes).tobytes() for (t,) in rows_of(chosen, "text")]
                 yield pa.RecordBatch.from_arrays(
                     [chosen.column("key_id"), chosen.column("key_mark"), pa.array(sets, pa.binary())], ["key_id", "key_mark", "tokens"]
                 )
 
-    full = given.mapInArrow(tokens_of, "key_id long, key_mark long, tokens binary")
+    full = in_arrow(given, tokens_of, "key_id long, key_mark long, tokens binary")
     placed = members.select("key_id", "key_mark", F.col("mark").alias("id"), "copies", "grp", "block").join(sides, ["grp", "block"])
     met = full.join(placed, ["key_id", "key_mark"]).select(*_KEYS, "block", "id", "copies", "tokens")
     links = stage(
-        spread(met, *_KEYS).sortWithinPartitions(*_KEYS).mapInArrow(lambda b: _linked(b, percent), "a long, b long, n long"), "links"
+        in_arrow(spread(met, *_KEYS).sortWithinPartitions(*_KEYS), lambda b: _linked(b, percent), "a long, b long, n long"), "links"
     )
     linked = connected_components(links.where("b IS NOT NULL")).select(F.col("node").alias("mark"), "component")
     named = linked.join(sets, "mark").groupBy("component").agg(F.min("id").alias("component_id"))

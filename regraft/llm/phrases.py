@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bucket_bits, given_id, runs_of, split_seed, spread, stage
+from .common import bucket_bits, given_id, in_arrow, runs_of, split_seed, spread, stage
 from .ngram_join import WordHashes, sequences
 from .seeds import MIX, PACKED, dealt_spans, group_count, keyed, merged, open_or_settled, recurring, recurring_seeds, seeds, spans_of, texts_with_items, with_seeds, with_spans
 
@@ -166,7 +166,7 @@ def recurring_spans(given: DataFrame, length: int) -> DataFrame:
 
     found = recurring_seeds(given, seeds_of, bits)
     schema = f"bucket int, texts binary, weights binary, owners binary, {PACKED}"
-    both = stage(with_seeds(given, found).mapInArrow(regions, schema), "regions")
+    both = stage(in_arrow(with_seeds(given, found), regions, schema), "regions")
 
     def confirm(batches) -> Iterator[pa.RecordBatch]:
         own_hashes, rows = WordHashes(), []
@@ -199,7 +199,7 @@ def recurring_spans(given: DataFrame, length: int) -> DataFrame:
         yield from dealt_spans(rows, groups)
 
     open_rows = both.where("bucket IS NOT NULL").select("bucket", "texts", "weights", "owners")
-    confirmed = spread(open_rows, "bucket").sortWithinPartitions("bucket").mapInArrow(confirm, PACKED)
+    confirmed = in_arrow(spread(open_rows, "bucket").sortWithinPartitions("bucket"), confirm, PACKED)
     return both.where("bucket IS NULL").select(*confirmed.columns).union(confirmed)
 
 

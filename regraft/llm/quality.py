@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, id_bits, marked_ids, per_batch, stage, texts
+from .common import bounded_sample, id_bits, in_arrow, marked_ids, per_batch, rows_of, stage, texts
 
 SLOTS = 1 << 16
 #: Labelled rows that the linear model is fitted on; the log-count ratios use all.
@@ -139,7 +139,7 @@ def class_counts(labelled: DataFrame) -> np.ndarray:
     schema = "chunk long, counts binary"
     found = np.zeros((2, SLOTS), np.int64)
     # SLOTS / CHUNK rows come to the driver, whatever the input
-    for chunk, part in labelled.mapInArrow(count, schema).groupBy("chunk").applyInArrow(total, schema).collect():
+    for chunk, part in in_arrow(labelled, count, schema).groupBy("chunk").applyInArrow(total, schema).collect():
         found[:, chunk : chunk + CHUNK] = np.frombuffer(bytes(part), np.int64).reshape(2, -1)
     return found
 
@@ -184,7 +184,7 @@ def fit_quality(documents: DataFrame, labels: DataFrame, cost: float = 1.0, fit_
 
     def featurise(batch: pa.RecordBatch) -> pa.RecordBatch:
         chosen = batch.filter(pa.array(marked_ids(bits.value, batch.column("doc_id"))))
-        slots = [indicators(t).tobytes() for t in chosen.column("text").to_pylist()]
+        slots = [indicators(t).tobytes() for (t,) in rows_of(chosen, "text")]
         return pa.RecordBatch.from_arrays([chosen.column("doc_id"), pa.array(slots, pa.binary())], ["doc_id", "slots"])
 
     features = per_batch(texts(documents), featurise, "doc_id long, slots binary")
@@ -214,7 +214,7 @@ def score_quality(documents: DataFrame, model: QualityModel) -> DataFrame:
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = [sent.value.score(indicators(t)) for t in batch.column("text").to_pylist()]
+        scores = [sent.value.score(indicators(t)) for (t,) in rows_of(batch, "text")]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return per_batch(texts(documents), work, "doc_id long, score double")
@@ -227,10 +227,10 @@ def accepted(documents: DataFrame, labels: DataFrame, threshold: float = 0.3) ->
 
     def work(batches):
         for batch in batches:
-            scores = np.array([sent.value.score(indicators(t or "")) for t in batch.column("text").to_pylist()])
+            scores = np.array([sent.value.score(indicators(t or "")) for (t,) in rows_of(batch, "text")])
             yield batch.filter(pa.array(scores >= threshold))
 
-    return documents.mapInArrow(work, documents.schema)
+    return in_arrow(documents, work, documents.schema)
 
 
 def held_out():

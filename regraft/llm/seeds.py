@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ID_BITS, id_places, marked_ids, row_key, rows_of, runs_of, spread, stage, texts
+from .common import ID_BITS, id_places, in_arrow, marked_ids, row_key, rows_of, runs_of, spread, stage, texts
 from .ngram_join import mixed
 
 #: Rows of a batch that share one packed exchange.
@@ -140,7 +140,7 @@ def packed_bits(packed: DataFrame) -> bytes:
         )
 
     marked = bytearray(ID_BITS // 8)
-    rows = packed.select("docs").mapInArrow(mark, "part int, bits binary").groupBy("part").agg(F.bitmap_or_agg("bits").alias("bits"))
+    rows = in_arrow(packed.select("docs"), mark, "part int, bits binary").groupBy("part").agg(F.bitmap_or_agg("bits").alias("bits"))
     for part, bits in rows.collect():  # 256 at most
         marked[part * 4096 : (part + 1) * 4096] = bytes(bits)
     return bytes(marked)
@@ -204,8 +204,8 @@ def recurring_seeds(given: DataFrame, seeds_of: Callable[[str], np.ndarray], bit
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from dealt_together(recur(batches), groups)
 
-    packed = given.mapInArrow(pack, "bucket int, rest binary, who binary, ids binary, marks binary")
-    return spread(packed, "bucket").sortWithinPartitions("bucket").mapInArrow(again, PACKED)
+    packed = in_arrow(given, pack, "bucket int, rest binary, who binary, ids binary, marks binary")
+    return in_arrow(spread(packed, "bucket").sortWithinPartitions("bucket"), again, PACKED)
 
 
 def _chosen(given: DataFrame, bits, groups: int) -> DataFrame:
@@ -217,7 +217,7 @@ def _chosen(given: DataFrame, bits, groups: int) -> DataFrame:
             keys = (np.asarray(some.column(c)) for c in ("doc_id", "mark"))
             yield pa.RecordBatch.from_arrays([pa.array(group_of(*keys, groups)), *some.columns], ["group", *some.schema.names])
 
-    return given.mapInArrow(candidates, "group int, doc_id long, mark long, text string")
+    return in_arrow(given, candidates, "group int, doc_id long, mark long, text string")
 
 
 def _together(chosen: DataFrame, packed: DataFrame) -> DataFrame:
@@ -331,4 +331,4 @@ def with_spans(given: DataFrame, spans: DataFrame, finish: Callable[[str, np.nda
 
     schema = f"doc_id long, mark long, {schema}"
     together = _together(_chosen(given, bits, group_count(given)), gathered)
-    return given.mapInArrow(alone, schema).union(together.mapInArrow(cut, schema))
+    return in_arrow(given, alone, schema).union(in_arrow(together, cut, schema))

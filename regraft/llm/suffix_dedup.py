@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, given_id, runs_of, split_seed, spread, stage, with_key, without_rows
+from .common import bucket_bits, given_id, in_arrow, runs_of, split_seed, spread, stage, with_key, without_rows
 from .ngram_join import mixed
 from .seeds import (
     MIX, PACKED, dealt_spans, dealt_together, group_count, keyed, merged, open_or_settled, ragged, recurring, recurring_seeds, seeds, spans_of,
@@ -203,7 +203,7 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
 
     found = recurring_seeds(given, seeds_of, bits)
     schema = f"bucket int, data binary, owners binary, offsets binary, sizes binary, {PACKED}"
-    both = stage(with_seeds(given, found).mapInArrow(settle, schema), "shards")
+    both = stage(in_arrow(with_seeds(given, found), settle, schema), "shards")
 
     def later_ranges(batches) -> Iterator[tuple]:
         for group in runs_of(batches, ["bucket"]):
@@ -230,7 +230,7 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
         yield from dealt_together(later_ranges(batches), groups)
 
     open_rows = both.where("bucket IS NOT NULL").select(*OPEN)
-    merged_spans = spread(open_rows, "bucket", times=4).sortWithinPartitions("bucket").mapInArrow(merge, PACKED)
+    merged_spans = in_arrow(spread(open_rows, "bucket", times=4).sortWithinPartitions("bucket"), merge, PACKED)
     return both.where("bucket IS NULL").select(*merged_spans.columns).union(merged_spans)
 
 
