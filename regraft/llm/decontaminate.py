@@ -11,8 +11,10 @@ window counts if all its words agree. An item is found in a document if at least
 ``share`` of its distinct windows count, or of those with ``LITERALS`` words or
 more that aren't placeholders; it is ``exact`` if no value differs. Windows are
 joined on their plain words too, so those of fewer such words are found where a
-document holds them word for word (letter case and punctuation aside). A
-capitalised word is a name, at the beginning of a sentence if it isn't a usual one
+document holds them word for word (letter case and punctuation aside). Each window of the
+benchmark has an anchor, a few plain words in a row that any passage it agrees with
+holds unchanged; only documents that hold some anchor are typed and hashed by
+windows. A capitalised word is a name, at the beginning of a sentence if it isn't a usual one
 there.
 
 Defined results: null and empty texts have no window; an item of fewer words
@@ -35,6 +37,8 @@ WINDOW = 8
 LITERALS = 5
 #: Windows of a benchmark that are broadcast; beyond it the join is shuffled.
 BROADCAST_WINDOWS = 1_000_000
+#: Words of an anchor, the most that a window has; five words of eight that aren't placeholders hold two in a row.
+ANCHORS = (4, 2, 1)
 
 # Placeholders, spelled numbers and units.
 NUMBER, UNIT, NAME = "\u0001n", "\u0001u", "\u0001p"
@@ -80,7 +84,8 @@ def _typed_words(text: Column) -> Column:
 
 def _plain_words(text: Column) -> Column:
     """The words that typed ones stand for, lower case without punctuation, as many as those."""
-    return F.array_remove(F.split(F.translate(F.lower(F.translate(_spaced(text), "\u0001", "")), PUNCTUATION, ""), " "), "")
+    plain = F.when(F.contains(text, F.lit("\u0001")), F.translate(text, "\u0001", "")).otherwise(text)
+    return F.array_remove(F.split(F.translate(F.lower(plain), PUNCTUATION, ""), r"[\x20\x09-\x0D]+"), "")
 
 
 def _with_windows(words: DataFrame, lengths: list[int]) -> DataFrame:
@@ -140,6 +145,45 @@ def window_keys(known: DataFrame) -> DataFrame:
     return rows.groupBy("item_id", "item", "length", "hash").agg(F.min("at").alias("at"))
 
 
+def _with_runs(words: DataFrame, longest: int) -> DataFrame:
+    """``run1``, ``run2`` ... up to ``longest``: a hash for each run of so many plain words; the last ones end early."""
+    hashed, size = words.withColumn("run1", F.transform("plain", lambda w: F.xxhash64(w))), 1
+    while size < longest:
+        column = f"run{size}"
+        hashed = hashed.withColumn(f"run{2 * size}", F.transform(column, lambda h, i: F.xxhash64(h, F.get(F.col(column), i + size))))  # noqa: B023
+        size *= 2
+    return hashed
+
+
+def window_anchors(known: DataFrame, items: DataFrame) -> DataFrame:
+    """``size, run``: for each window the longest run of words that is held unchanged wherever the window is found.
+
+    Where values may differ that is a run without placeholders, else any.
+    """
+    words = _with_runs(items.select("item_id", "item", F.col("typed").alias("type"), "plain"), max(ANCHORS)).withColumnRenamed("plain", "word")
+    each = known.select("item_id", "item", "length", "at", "literal").join(words, ["item_id", "item"])
+
+    def runs(size: int) -> Column:
+        first = F.when(F.col("length") >= size, F.sequence(F.lit(0), F.col("length") - size)).otherwise(F.array().cast("array<int>"))
+        own = lambda column, i: F.slice(column, F.col("at") + i + 1, size)
+        fixed = F.filter(first, lambda i: ~F.col("literal") | ~F.exists(own("type", i), lambda w: w.startswith("\u0001")))
+        return F.transform(fixed, lambda i: F.struct(
+            F.lit(size).alias("size"), F.length(F.concat_ws("", own("word", i))).alias("chars"), F.get(f"run{size}", F.col("at") + i).alias("run")))
+
+    best = F.array_max(F.concat(*(runs(size) for size in ANCHORS)))
+    return each.select(best.alias("best")).select("best.size", "best.run").distinct()
+
+
+def with_anchors(texts: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``doc, mark`` of the texts that hold an anchor."""
+    sizes = sorted(r.size for r in anchors.select("size").distinct().collect())  # of ANCHORS
+    small = anchors.count() <= BROADCAST_WINDOWS
+    runs = _with_runs(texts.select("doc", "mark", _plain_words(F.col("text")).alias("plain")), max(sizes, default=1))
+    each = runs.select("doc", "mark", F.explode(F.concat(*(f"run{n}" for n in sizes or [1]))).alias("run"))
+    known = anchors.select("run").distinct()
+    return each.join(F.broadcast(known) if small else known, "run", "left_semi").select("doc", "mark").distinct()
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame, share: float = 0.5, shortest: int = LITERALS) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, coverage, kind`` for each item found in a document."""
     found = found_items(documents, benchmark, share, shortest)
@@ -155,6 +199,9 @@ def found_items(documents: DataFrame, benchmark: DataFrame, share: float = 0.5,
     sent = F.broadcast if small else lambda frame: frame
     doc, mark = row_key()
     texts = documents.where("text IS NOT NULL").select(doc.alias("doc"), mark.alias("mark"), "text")
+    some = stage(with_anchors(texts, stage(window_anchors(known, items), "anchors")), "anchored")
+    if some.count() <= BROADCAST_WINDOWS:  # of more, all are typed, which shuffles no text
+        texts = texts.join(F.broadcast(some), ["doc", "mark"], "left_semi")
     words = texts.select("doc", "mark", _typed_words(F.col("text")).alias("typed"), _plain_words(F.col("text")).alias("plain"))
     # outer, as else a filter on the size of the windows would compute them a second time
     each = _with_windows(words, lengths or [WINDOW]).select("doc", "mark", F.explode_outer("windows").alias("w"))

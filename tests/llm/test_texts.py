@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from regraft.llm.bpe import bpe_decode, bpe_digests, bpe_encode, lowered
-from regraft.llm.decontaminate import _plain_words, _typed_words, contamination, decontaminated
+from regraft.llm.decontaminate import _plain_words, _typed_words, benchmark_items, benchmark_windows, contamination, decontaminated, window_anchors, with_anchors
 from regraft.llm.html import Page, decode, extract, features, fit_pages, main_text
 from regraft.llm.licenses import TEMPLATES, WORDS, align, license_scan, longest_increasing
 from regraft.llm.quality import SLOTS, accepted, descend, indicators, quality
@@ -145,6 +145,24 @@ def test_names_that_begin_sentences_and_other_letter_case(spark, documents):
     assert got == [(0, 1, "reparameterised"), (1, 1, "reparameterised"), (2, 1, "exact"), (3, 2, "exact"), (4, 2, "exact"), (5, 1, "reparameterised")]
 
 
+def test_only_texts_with_an_anchor_are_typed(spark, documents):
+    """What holds a window holds its anchor, other values, single words and stray characters included; the rest goes no further."""
+    items = [(1, "add 3 red 4 blue and 5 green apples"), (2, "alpha beta gamma delta epsilon zeta eta theta iota"), (3, "hm yes"), (4, "Why?")]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    known = benchmark_items(benchmark, 1)
+    anchors = window_anchors(benchmark_windows(known, [1, 2, 8]), known)
+    assert {r.size for r in anchors.collect()} == {1, 2, 4}
+    texts = [
+        "so add 7 red 9 blue and 8 green apples", "ALPHA, beta g\u0001amma\tdelta epsilon ... zeta eta theta!", "oh: hm ... yes", "(why)",
+        "alpha beta, then gamma", "red 4 and blue", "yes, hm", None, "",
+    ]
+    table = documents(*texts).where("text IS NOT NULL").selectExpr("doc_id AS doc", "doc_id AS mark", "text")
+    assert sorted(r.doc for r in with_anchors(table, anchors).collect()) == [0, 1, 2, 3]
+    assert with_anchors(table, anchors.where("false")).count() == 0
+    got = sorted((r.doc_id, r.item_id) for r in contamination(documents(*texts), benchmark, shortest=1).collect())
+    assert got == [(0, 1), (1, 2), (2, 3), (3, 4)]
+
+
 def items_by_hand(spark, rows, items):
     """Coverage and kind of every item in every text, all diagonals tried."""
     frame = spark.createDataFrame([(str(k), t) for k, t in [*enumerate(rows), *(("i", t) for t in items)] if t is not None], "k string, text string")
