@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from .common import bucket_bits, given_id, in_arrow, runs_of, split_seed, spread, stage
 from .ngram_join import WordHashes, sequences
-from .seeds import MIX, PACKED, dealt_spans, group_count, keyed, merged, open_or_settled, recurring, recurring_seeds, seeds, spans_of, texts_with_items, with_seeds, with_spans
+from .seeds import MIX, PACKED, dealt_spans, group_count, keyed, merged, open_or_settled, ragged, recurring, recurring_seeds, seeds, spans_of, texts_with_items, with_seeds, with_spans
 
 GRAM = 8
 #: Each hash range of the seeds is confirmed in so many parts, as a power of two.
@@ -43,13 +43,18 @@ HELD_ROWS = 200_000
 
 
 def _candidates(contexts: list[list[bytes]], weights: np.ndarray, length: int, hashes: WordHashes) -> list[np.ndarray]:
-    """For each context which windows may recur: equal windows have equal hashes, so none is missed."""
-    keys = [sequences(hashes.of(words), length) for words in contexts]
-    every = np.concatenate(keys)
-    times = np.repeat(weights, [len(k) for k in keys])
-    _, index = np.unique(every, return_inverse=True)
-    recurs = np.bincount(index, times)[index] > 1
-    return np.split(recurs, np.cumsum([len(k) for k in keys])[:-1])
+    """For each context which windows may recur: equal windows have equal hashes, so none is missed.
+
+    The contexts are hashed as one text; windows that reach from one into the next don't count.
+    """
+    sizes = np.array([len(words) for words in contexts])
+    counts = np.maximum(sizes - length + 1, 0)
+    recurs = np.zeros(counts.sum(), bool)
+    if len(recurs):
+        keys = sequences(hashes.of([w for words in contexts for w in words]), length)[ragged(np.cumsum(sizes) - sizes, counts)]
+        _, index = np.unique(keys, return_inverse=True)
+        recurs = np.bincount(index, np.repeat(weights, counts))[index] > 1
+    return np.split(recurs, np.cumsum(counts)[:-1])
 
 
 def passage_windows(words: list[bytes], recurs: np.ndarray, length: int) -> list[tuple[bytes, ...]]:

@@ -84,6 +84,24 @@ def test_words_decide_where_hashes_collide(monkeypatch):
     assert gone == [[False] * 20, [False] + [True] * 9 + [False], [True] * 9 + [False] * 8, [True] * 6]
 
 
+def test_windows_of_a_shard_are_hashed_at_once(monkeypatch):
+    """One call for all contexts, and none of its windows reaches over the end of one."""
+    draw, length, calls, own = random.Random(8), 4, [], phrases.sequences
+    monkeypatch.setattr(phrases, "sequences", lambda words, n: calls.append(n) or own(words, n))
+    for trial in range(40):
+        calls.clear()
+        contexts = [[b"%d" % draw.randrange(3) for _ in range(draw.randint(1, 9))] for _ in range(draw.randint(1, 8))]
+        weights = np.array([draw.randint(1, 2) for _ in contexts])
+        times = Counter()
+        for words, weight in zip(contexts, weights.tolist()):
+            for k in range(len(words) - length + 1):
+                times[tuple(words[k : k + length])] += weight
+        want = [covered(len(w), [k for k in range(len(w) - length + 1) if times[tuple(w[k : k + length])] > 1], length).tolist() for w in contexts]
+        got = recurring_places(contexts, weights, length, WordHashes())
+        assert [covered(len(w), at, length).tolist() for w, at in zip(contexts, got)] == want
+        assert len(calls) == any(len(w) >= length for w in contexts)
+
+
 def test_phrases_keep_the_text(documents):
     twice = " ".join(f"w{k}" for k in range(40))
     got = {r.doc_id: r.kept for r in remove_phrases(documents(f"one {twice}", f"{twice} two", "three")).collect()}
