@@ -34,10 +34,14 @@ from pyspark.sql import functions as F
 from .common import bucket_bits, id_bits, in_arrow, marked_ids, row_key, rows_of, runs_of, split_seed, spread, stage, texts
 from .components import connected_components, smallest_labels
 
-#: Frequency classes of n-grams are kept for so many slots of hashes (4 MB, whatever the input).
-SLOT_BITS = 22
-#: Sets that one side of a comparison holds.
+#: Frequency classes of n-grams are kept for so many slots of hashes (16 MB, whatever the input).
+SLOT_BITS = 24
+#: Sets that are compared at once, and the least that one side of a comparison holds.
 BLOCK = 256
+#: Sets and, on average, n-grams that one side holds at most where a group has many blocks.
+MOST_SETS, MOST_NGRAMS = 2048, 1 << 21
+#: Blocks of a group whose sides need not hold more than ``BLOCK``; each set is sent once for each block.
+BLOCKS = 16
 #: Documents of an n-gram that are tried pair by pair.
 SHORT = 32
 #: N-grams in a fragment of a comparison.
@@ -91,7 +95,9 @@ def frequency_classes(documents: DataFrame, size: int) -> np.ndarray:
     """For each slot the binary logarithm of its most frequent n-gram's count, over all documents.
 
     N-grams are counted by hash range as packed arrays. The slots are filled with
-    the most frequent, down to the class at which a sixteenth of them is taken.
+    the most frequent, down to the class at which half of them is taken. A rare
+    n-gram that shares a slot only stands later in the order; a frequent one
+    without a slot makes long lists, which tie documents of no likeness together.
     """
     bits = bucket_bits(documents)
 
@@ -126,20 +132,20 @@ def frequency_classes(documents: DataFrame, size: int) -> np.ndarray:
             counts = np.diff(np.append(starts, len(every)))
             often = counts >= 8
             value = every[starts[often]].astype(np.uint64) | np.uint64(group.column("bucket")[0].as_py() << 32)
-            place = (value >> np.uint64(32 + bits - SLOT_BITS)).astype(np.int64)
-            kind = np.log2(counts[often]).astype(np.int32)
+            place = (value >> np.uint64(32 + bits - SLOT_BITS)).astype(np.int32)
+            kind = np.log2(counts[often]).astype(np.int8)
             yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(kind)], ["slot", "kind"])
 
     packed = spread(in_arrow(documents, pack, "bucket int, rest binary"), "bucket").sortWithinPartitions("bucket")
-    slots = stage(in_arrow(packed, count, "slot long, kind int").groupBy("slot").agg(F.max("kind").alias("kind")), "slots")
+    slots = stage(in_arrow(packed, count, "slot int, kind tinyint").groupBy("slot").agg(F.max("kind").alias("kind")), "slots")
     taken, least = 0, 64
     for kind, n in sorted(((r.kind, r.n) for r in slots.groupBy("kind").agg(F.count("*").alias("n")).collect()), reverse=True):
         taken += n
-        if taken > 1 << SLOT_BITS - 4:
+        if taken > 1 << SLOT_BITS - 1:
             break
         least = kind
     classes = np.zeros(1 << SLOT_BITS, np.uint8)
-    found = slots.where(F.col("kind") >= least).toArrow()  # a sixteenth of the slots at most
+    found = slots.where(F.col("kind") >= least).toArrow()  # half of the slots at most
     if found.num_rows:
         classes[np.asarray(found.column("slot"))] = np.asarray(found.column("kind")).astype(np.uint8)
     return classes
@@ -246,6 +252,24 @@ def _edges_of(rows: np.ndarray, long_list: bool, percent: int, first_long: bool
         )
 
 
+def linked_pairs(sets: list[np.ndarray], size: np.ndarray, first: np.ndarray, second: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ``first`` and ``second`` (or within ``first``, if they are the same) above the threshold, ``BLOCK`` by ``BLOCK``."""
+    within = first is second
+    found = [np.zeros((2, 0), np.int64)]
+    for a in range(0, len(first), BLOCK):
+        one = first[a : a + BLOCK]
+        for b in range(a if within else 0, len(second), BLOCK):
+            two = second[b : b + BLOCK]
+            if 100 * min(size[one].max(), size[two].max()) < percent * max(size[one].min(), size[two].min()):
+                continue
+            same = within and a == b
+            common = overlaps([sets[k] for k in one], None if same else [sets[k] for k in two])
+            taken = 100 * common >= percent * (size[one][:, None] + size[two][None, :] - common)
+            i, j = np.nonzero(np.triu(taken, 1) if same else taken)
+            found.append(np.stack([one[i], two[j]]))
+    return tuple(np.concatenate(found, axis=1))
+
+
 _KEYS = ["grp", "low", "high"]
 
 
@@ -266,14 +290,9 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         second = first if low == high else np.flatnonzero(block == high)
         if not len(first) or not len(second):
             continue
-        common = overlaps([sets[i] for i in first], None if low == high else [sets[i] for i in second])
-        taken = 100 * common >= percent * (size[first][:, None] + size[second][None, :] - common)
-        if low == high:
-            taken = np.triu(taken, 1)
-        i, j = np.nonzero(taken)
+        i, j = linked_pairs(sets, size, first, second, percent)
         if not len(i):
             continue
-        i, j = first[i], second[j]
         links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
         label = smallest_labels(len(ids), i, j)
         tied, some = np.flatnonzero(label != np.arange(len(ids))), np.flatnonzero(links)
@@ -339,7 +358,9 @@ def jaccard_rows(documents: DataFrame, size: int, percent: int) -> DataFrame:
         "mark", "grp", "n_shingles", "copies", "sender.key_id", "sender.key_mark"
     )
     in_group = Window.partitionBy("grp").orderBy("n_shingles", "mark")
-    members = stage(members.withColumn("block", F.floor((F.row_number().over(in_group) - 1) / BLOCK).cast("int")), "members")
+    whole = Window.partitionBy("grp")
+    side = F.greatest(F.lit(BLOCK), F.least(F.lit(MOST_SETS), F.ceil(F.count("*").over(whole) / BLOCKS), F.floor(MOST_NGRAMS / F.avg("n_shingles").over(whole))))
+    members = stage(members.withColumn("block", F.floor((F.row_number().over(in_group) - 1) / side).cast("int")), "members")
     blocks = members.groupBy("grp", "block").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
     one, two = blocks.alias("one"), blocks.alias("two")
     pairs = one.join(two, F.col("one.grp") == F.col("two.grp")).where(

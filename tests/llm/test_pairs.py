@@ -7,7 +7,7 @@ import pytest
 
 from regraft.llm.components import connected_components
 from regraft.llm.neardup_vectors import BLOCK, bits_of, near_duplicates
-from regraft.llm.ngram_join import fragment_length, jaccard_classes, overlaps
+from regraft.llm.ngram_join import fragment_length, frequency_classes, jaccard_classes, linked_pairs, overlaps
 
 
 def labels(count, edges):
@@ -55,6 +55,25 @@ def test_jaccard_of_the_table(corpus):
     assert sorted(map(tuple, jaccard_classes(table).collect())) == jaccard_by_hand(rows, 4, 85)
 
 
+def test_frequent_ngrams_have_slots(spark):
+    words = " ".join(f"w{k}" for k in range(300_000))
+    texts = spark.createDataFrame([(f"{words} end{i}",) for i in range(9)], "text STRING").coalesce(1)
+    assert (frequency_classes(texts, 4) > 0).sum() > 290_000
+
+
+def test_linked_pairs_over_blocks():
+    rng = np.random.default_rng(7)
+    sizes = np.sort(rng.integers(20, 60, 700))
+    sets = [np.sort(rng.choice(70, n, replace=False)).astype(np.uint64) for n in sizes]
+    whole = np.arange(700)
+    for first, second in ((whole, whole), (whole[:300], whole[300:])):
+        i, j = linked_pairs(sets, sizes, first, second, 60)
+        common = overlaps([sets[k] for k in first], [sets[k] for k in second])
+        taken = 100 * common >= 60 * (sizes[first][:, None] + sizes[second] - common)
+        a, b = np.nonzero(np.triu(taken, 1) if first is second else taken)
+        assert len(a) and set(zip(i, j)) == set(zip(first[a], second[b])) and len(i) == len(a)
+
+
 def test_jaccard_of_odd_texts(documents):
     base = [f"w{k}" for k in range(100)]
     near = [" ".join(base[:i] + ["new"] + base[i + 1 :]) for i in range(0, 100, 7)]
