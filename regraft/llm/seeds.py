@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,27 @@ PACKED_ROWS = 60_000
 ITEMS = 1 << 21
 PACKED = "group int, docs binary, marks binary, counts binary, items binary"
 MIX = np.uint64(0x9E3779B97F4A7C15)
+_PRESS, _UNPRESS = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def pressed(data: bytes) -> bytes:
+    return _PRESS.compress(data) if data else data
+
+
+def unpressed(data: bytes) -> bytes:
+    return _UNPRESS.decompress(data) if data else data
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """Rows of integers, compressed by the places of their bytes: first all lowest bytes, last all highest."""
+    return pressed(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b"")
+
+
+def restored(data: bytes, kind, columns: int = 1) -> np.ndarray:
+    """What :func:`squeezed` was given."""
+    size = np.dtype(kind).itemsize * columns
+    rows = np.ascontiguousarray(np.frombuffer(unpressed(data), np.uint8).reshape(size, -1).T).view(kind)
+    return rows.ravel() if columns == 1 else rows
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -65,13 +87,17 @@ def group_count(frame: DataFrame) -> int:
     return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def key_hashes(docs: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """32 bits for each row key: rows that share them share their recurring seeds, which only propose."""
+    return (mixed(docs.view(np.uint64) ^ mixed(marks.view(np.uint64)) * MIX) >> np.uint64(32)).astype(np.int64)
+
+
 def group_of(docs: np.ndarray, marks: np.ndarray, groups: int) -> np.ndarray:
-    key = mixed(docs.view(np.uint64) ^ mixed(marks.view(np.uint64)) * MIX)
-    return ((key >> np.uint64(33)) % np.uint64(groups)).astype(np.int32)
+    return ((key_hashes(docs, marks) >> 1) % groups).astype(np.int32)
 
 
 def dealt(docs: np.ndarray, marks: np.ndarray, counts: np.ndarray, items: np.ndarray, groups: int) -> Iterator[pa.RecordBatch]:
-    """One row for each group of row keys: the keys, how many 64-bit items each has, and the items.
+    """One row for each group of row keys: the keys, how many 64-bit items each has, and the items, all :func:`squeezed`.
 
     ``items`` of a key stand together; a key may come more than once.
     """
@@ -85,8 +111,8 @@ def dealt(docs: np.ndarray, marks: np.ndarray, counts: np.ndarray, items: np.nda
     heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     cuts = [*heads.tolist(), len(group)]
     ends = np.concatenate([[0], np.cumsum(sizes)])[cuts].tolist()
-    parts = [[c[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for c in (docs, marks, sizes.astype(np.int64))]
-    parts.append([items[a:b].tobytes() for a, b in zip(ends, ends[1:])])
+    parts = [[squeezed(c[a:b]) for a, b in zip(cuts, cuts[1:])] for c in (docs, marks, sizes.astype(np.int64))]
+    parts.append([squeezed(items[a:b]) for a, b in zip(ends, ends[1:])])
     yield pa.RecordBatch.from_arrays(
         [pa.array(group[heads], pa.int32()), *(pa.array(p, pa.binary()) for p in parts)], ["group", "docs", "marks", "counts", "items"]
     )
@@ -132,7 +158,7 @@ def packed_bits(packed: DataFrame) -> bytes:
         flags = np.zeros(ID_BITS, bool)
         for batch in batches:
             for docs in batch.column("docs").to_pylist():
-                flags[id_places(np.frombuffer(docs, np.int64))] = True
+                flags[id_places(restored(docs, np.int64))] = True
         parts = np.packbits(flags, bitorder="little").reshape(-1, 4096)
         some = np.flatnonzero(parts.any(1))
         yield pa.RecordBatch.from_arrays(
@@ -150,6 +176,7 @@ def recurring_seeds(given: DataFrame, seeds_of: Callable[[str], np.ndarray], bit
     """Packed rows (:func:`dealt`) of those seeds of each text that were given more than once, as :func:`seed_keys`.
 
     ``seeds_of`` gives the seeds of a text that count, with repeats if they do.
+    In place of the row key the rows have its hash (:func:`key_hashes`) and 0.
     """
     groups = group_count(given)
 
@@ -158,22 +185,23 @@ def recurring_seeds(given: DataFrame, seeds_of: Callable[[str], np.ndarray], bit
             for begin in range(0, whole.num_rows, PACKED_ROWS):
                 batch = whole.slice(begin, PACKED_ROWS)
                 each = [seeds_of(t) for (t,) in rows_of(batch, "text")]
+                owners = key_hashes(*(np.asarray(batch.column(c)) for c in ("doc_id", "mark"))).astype(np.uint32)
+                by = np.argsort(owners, kind="stable")
+                each = [each[i] for i in by.tolist()]
                 keys = seed_keys(np.concatenate(each), bits)
-                who = np.repeat(np.arange(len(each)), [len(e) for e in each])
+                who = np.repeat(owners[by], [len(e) for e in each])
                 bucket, rest = (keys >> np.uint64(32)).astype(np.uint16), keys.astype(np.uint32)
                 order = np.argsort(bucket, kind="stable")
                 bucket, rest, who = bucket[order], rest[order], who[order]
                 cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else [], len(bucket)).astype(int)
-                ids, marks = np.asarray(batch.column("doc_id")), np.asarray(batch.column("mark"))
-                rows = []
-                for a, b in zip(cuts, cuts[1:]):
-                    docs, index = np.unique(who[a:b], return_inverse=True)
-                    rows.append((int(bucket[a]), rest[a:b].tobytes(), index.astype(np.uint16).tobytes(), ids[docs].tobytes(), marks[docs].tobytes()))
-                if rows:
-                    columns = list(zip(*rows))
+                if len(cuts) > 1:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-                        ["bucket", "rest", "who", "ids", "marks"],
+                        [
+                            pa.array(bucket[cuts[:-1]].astype(np.int32)),
+                            pa.array([rest[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                            pa.array([squeezed(np.diff(who[a:b], prepend=np.uint32(0))) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                        ],
+                        ["bucket", "rest", "who"],
                     )
 
     def recur(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -189,35 +217,46 @@ def recurring_seeds(given: DataFrame, seeds_of: Callable[[str], np.ndarray], bit
             recurs[(packed[equal] & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
             at = 0
             sent: list[tuple] = []
-            others = (group.column(c).to_pylist() for c in ("who", "ids", "marks"))
-            for part, who, ids, marks in zip(parts, *others):
+            for part, who in zip(parts, group.column("who").to_pylist()):
                 mine = recurs[at : at + len(part)]
                 at += len(part)
-                owner = np.frombuffer(who, np.uint16)[mine]
+                owner = np.cumsum(restored(who, np.uint32), dtype=np.int64)[mine]
                 if len(owner):
                     begins = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-                    docs = owner[begins]
-                    sent.append((np.frombuffer(ids, np.int64)[docs], np.frombuffer(marks, np.int64)[docs], np.diff(begins, append=len(owner))))
+                    sent.append((owner[begins], np.diff(begins, append=len(owner))))
             if sent:
-                yield *(np.concatenate(c) for c in zip(*sent)), every[recurs] | number
+                owners, counts = (np.concatenate(c) for c in zip(*sent))
+                yield owners, np.zeros_like(owners), counts, every[recurs] | number
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from dealt_together(recur(batches), groups)
 
-    packed = in_arrow(given, pack, "bucket int, rest binary, who binary, ids binary, marks binary")
+    packed = in_arrow(given, pack, "bucket int, rest binary, who binary")
     return in_arrow(spread(packed, "bucket").sortWithinPartitions("bucket"), again, PACKED)
 
 
-def _chosen(given: DataFrame, bits, groups: int) -> DataFrame:
-    """``group, doc_id, mark, text`` of the texts whose ids are marked."""
+def _chosen(given: DataFrame, bits, groups: int, hashed: bool = False) -> DataFrame:
+    """``group, key, doc_id, mark, text`` (compressed) of the texts whose ids are marked, or if ``hashed`` whose keys' hashes are.
+
+    ``key`` and 0 stand for the row key in packed rows; null, it stands there itself.
+    """
 
     def candidates(batches):
         for batch in batches:
-            some = batch.filter(pa.array(marked_ids(bits.value, batch.column("doc_id"))))
-            keys = (np.asarray(some.column(c)) for c in ("doc_id", "mark"))
-            yield pa.RecordBatch.from_arrays([pa.array(group_of(*keys, groups)), *some.columns], ["group", *some.schema.names])
-
-    return in_arrow(given, candidates, "group int, doc_id long, mark long, text string")
+            keys = [np.asarray(batch.column(c)) for c in ("doc_id", "mark")]
+            if hashed:
+                keys = [key_hashes(*keys), np.zeros(batch.num_rows, np.int64)]
+            some = marked_ids(bits.value, pa.array(keys[0]))
+            batch, keys = batch.filter(pa.array(some)), [k[some] for k in keys]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(group_of(*keys, groups)), pa.array(keys[0]) if hashed else pa.nulls(batch.num_rows, pa.int64()),
+                    batch.column("doc_id"), batch.column("mark"), pa.array([pressed(t.encode()) for (t,) in rows_of(batch, "text")], pa.binary()),
+                ],
+                ["group", "key", "doc_id", "mark", "text"],
+            )
+
+    return in_arrow(given, candidates, "group int, key long, doc_id long, mark long, text binary")
 
 
 def _together(chosen: DataFrame, packed: DataFrame) -> DataFrame:
@@ -244,15 +283,17 @@ def texts_with_items(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, i
                 continue
             if found is None:
                 found, held = _by_key(held), []
-            for doc, mark, text in rows_of(part, "doc_id", "mark", "text"):
-                yield doc, mark, text, found.get((doc, mark), none)
+            hashed = "key" in part.schema.names and part.column("key")[0].is_valid
+            for doc, mark, text, *key in rows_of(part, "doc_id", "mark", "text", *["key"] * hashed):
+                text = text if isinstance(text, str) else unpressed(text).decode()
+                yield doc, mark, text, found.get((key[0], 0) if hashed else (doc, mark), none)
 
 
 def _by_key(packed: list[dict]) -> dict[tuple[int, int], np.ndarray]:
     if not packed:
         return {}
-    docs, marks, counts = (np.concatenate([np.frombuffer(p[c], np.int64) for p in packed]) for c in ("docs", "marks", "counts"))
-    items = np.concatenate([np.frombuffer(p["items"], np.uint64) for p in packed])
+    docs, marks, counts = (np.concatenate([restored(p[c], np.int64) for p in packed]) for c in ("docs", "marks", "counts"))
+    items = np.concatenate([restored(p["items"], np.uint64) for p in packed])
     order = np.lexsort((marks, docs))
     sizes = counts[order]
     items = items[ragged((np.cumsum(counts) - counts)[order], sizes)]
@@ -266,7 +307,7 @@ def with_seeds(given: DataFrame, found: DataFrame) -> DataFrame:
     """The texts that may have recurring seeds and these, for :func:`texts_with_items`."""
     found = stage(found, "seeds")
     bits = given.sparkSession.sparkContext.broadcast(packed_bits(found))
-    return _together(_chosen(given, bits, group_count(given)), found)
+    return _together(_chosen(given, bits, group_count(given), hashed=True), found)
 
 
 def recurring(values: np.ndarray, found: np.ndarray, bits: int) -> np.ndarray:

@@ -28,16 +28,18 @@ from pyspark.sql import functions as F
 from .common import bucket_bits, given_id, in_arrow, runs_of, split_seed, spread, stage, with_key, without_rows
 from .ngram_join import mixed
 from .seeds import (
-    MIX, PACKED, dealt_spans, dealt_together, group_count, keyed, merged, open_or_settled, ragged, recurring, recurring_seeds, seeds, spans_of,
-    texts_with_items, with_seeds, with_spans,
+    MIX, PACKED, dealt_spans, dealt_together, group_count, keyed, merged, open_or_settled, ragged, recurring, recurring_seeds, restored, seeds, spans_of,
+    squeezed, texts_with_items, with_seeds, with_spans,
 )
 from .suffix import repeat_classes
 
 GRAM = 16
 #: Each hash range of the seeds is merged in so many parts, as a power of two.
 MERGE_BITS = 4
-#: What goes on to be merged: windows of a shard, by bucket of their seed.
-OPEN = ["bucket", "data", "owners", "offsets", "sizes"]
+#: What goes on to be merged: windows of shards, by bucket of their seed; a window's place is its row key, offset and size.
+OPEN = ["bucket", "data", "places"]
+#: Bytes of regions whose windows a task packs together.
+SENT = 1 << 23
 #: Texts whose settled ranges are packed together.
 HELD = 20_000
 _M = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -192,23 +194,28 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
 
     def settle(batches) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        sent: list[tuple] = []
+        size = 0
         for shard in _shards(regions(batches)):
-            spans, sent = settled_shard(shard, length)
+            spans, more = settled_shard(shard, length)
             held += spans
-            yield from open_or_settled(OPEN, _packed(sent, length, bits + MERGE_BITS), iter(()))
+            sent += more
+            size += sum(len(s[3]) for s in more)
+            if size > SENT:
+                yield from open_or_settled(OPEN, _packed(sent, length, bits + MERGE_BITS), iter(()))
+                sent, size = [], 0
             if len(held) > HELD:
                 yield from open_or_settled(OPEN, [], dealt_spans(held, groups))
                 held = []
-        yield from open_or_settled(OPEN, [], dealt_spans(held, groups))
+        yield from open_or_settled(OPEN, _packed(sent, length, bits + MERGE_BITS), dealt_spans(held, groups))
 
     found = recurring_seeds(given, seeds_of, bits)
-    schema = f"bucket int, data binary, owners binary, offsets binary, sizes binary, {PACKED}"
-    both = stage(in_arrow(with_seeds(given, found), settle, schema), "shards")
+    both = in_arrow(with_seeds(given, found), settle, f"bucket int, data binary, places binary, {PACKED}")
 
     def later_ranges(batches) -> Iterator[tuple]:
         for group in runs_of(batches, ["bucket"]):
-            docs = np.concatenate([np.frombuffer(r, np.int64).reshape(-1, 2) for r in group.column("owners").to_pylist()])
-            offsets, sizes = (np.concatenate([np.frombuffer(r, np.int64) for r in group.column(c).to_pylist()]) for c in ("offsets", "sizes"))
+            places = np.concatenate([restored(r, np.int64, 4) for r in group.column("places").to_pylist()])
+            docs, offsets, sizes = places[:, :2], places[:, 2].copy(), places[:, 3].copy()
             data = b"".join([zstandard.decompress(r) for r in group.column("data").to_pylist()])
             del group
             counts = sizes - length + 1
@@ -227,11 +234,24 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
             yield who[:, 0], who[:, 1], np.full(len(who), 2), spans.ravel()
 
     def merge(batches) -> Iterator[pa.RecordBatch]:
-        yield from dealt_together(later_ranges(batches), groups)
+        settled: list[pa.RecordBatch] = []
 
-    open_rows = both.where("bucket IS NOT NULL").select(*OPEN)
-    merged_spans = in_arrow(spread(open_rows, "bucket", times=4).sortWithinPartitions("bucket"), merge, PACKED)
-    return both.where("bucket IS NULL").select(*merged_spans.columns).union(merged_spans)
+        def unsettled() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = np.asarray(batch.column("bucket")) >= 0
+                if not own.all():
+                    settled.append(batch.filter(pa.array(~own)).select(["group", "docs", "marks", "counts", "items"]))
+                yield batch.filter(pa.array(own))
+
+        for made in dealt_together(later_ranges(unsettled()), groups):
+            yield from settled
+            settled.clear()
+            yield made
+        yield from settled
+
+    # what is settled goes along, so that nothing is written between shards and merge
+    both = both.withColumn("bucket", F.expr("coalesce(bucket, -1 - group)"))
+    return in_arrow(spread(both, "bucket", times=4).sortWithinPartitions("bucket"), merge, PACKED)
 
 
 def _packed(sent: list[tuple], length: int, bits: int) -> list[tuple]:
@@ -246,14 +266,14 @@ def _packed(sent: list[tuple], length: int, bits: int) -> list[tuple]:
     starts, ends, value = (np.concatenate([s[k] for s in sent]) for k in (4, 5, 6))
     offsets = np.repeat([s[2] for s in sent], counts) + starts
     sizes = ends - 1 + length - starts
+    places, press = np.column_stack([docs, offsets, sizes]).astype(np.int64), zstandard.ZstdCompressor(level=3)
     bucket, _ = split_seed(value * MIX, bits)
     order = np.argsort(bucket, kind="stable")
     cuts = [0, *(np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1).tolist(), len(order)]
     for a, b in zip(cuts, cuts[1:]):
         own = order[a:b]
         rows.append((
-            int(bucket[own[0]]), zstandard.compress(text[ragged(base[own] + starts[own], sizes[own])].tobytes(), 1), docs[own].tobytes(),
-            offsets[own].astype(np.int64).tobytes(), sizes[own].astype(np.int64).tobytes(),
+            int(bucket[own[0]]), press.compress(text[ragged(base[own] + starts[own], sizes[own])].tobytes()), squeezed(places[own]),
         ))
     return rows
 

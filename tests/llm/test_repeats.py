@@ -11,7 +11,7 @@ import pytest
 from regraft.llm import phrases, suffix_dedup
 from regraft.llm.ngram_join import WordHashes
 from regraft.llm.phrases import passage_windows, phrase_digests, recurring_places, remove_phrases
-from regraft.llm.seeds import dealt, group_of, merged, ragged, seeds, texts_with_items
+from regraft.llm.seeds import dealt, group_of, merged, ragged, recurring_seeds, restored, seeds, squeezed, texts_with_items
 from regraft.llm.suffix import common_prefixes, joined, repeat_classes, suffix_array
 from regraft.llm.suffix_dedup import remove_repeats, repeat_digests, without_repeats
 
@@ -256,3 +256,22 @@ def test_items_find_their_texts_in_any_batches():
         batches = pa.Table.from_pylist(rows, pa.schema(fields)).to_batches(size)
         got = {(d, m): (t, i.tolist()) for d, m, t, i in texts_with_items(iter(batches))}
         assert got == {(d, m): (f"{d} {m}", wanted.get((d, m), [])) for d, m in every}
+
+
+def test_recurring_seeds_go_back_in_few_bytes(spark):
+    """However many buckets the seeds of a text are dealt over."""
+    rows = [(k * 1_000_003, -k * 0x9E3779B97F4A7C1 % (1 << 62), str(k % 1500)) for k in range(3000)]
+    given = spark.createDataFrame(rows, "doc_id LONG, mark LONG, text STRING").coalesce(1)
+    found = recurring_seeds(given, lambda text: np.random.default_rng(int(text)).integers(0, 1 << 63, 40).astype(np.uint64), 12).collect()
+    counts = sum(int(restored(r["counts"], np.int64).sum()) for r in found)
+    assert counts == 3000 * 40
+    assert sum(len(r[c]) for r in found for c in ("docs", "marks", "counts", "items")) < 14 * counts
+
+
+@pytest.mark.parametrize("kind", [np.int64, np.uint32])
+def test_squeezed_comes_back(kind):
+    draw = np.random.default_rng(4)
+    for count in (0, 1, 1000):
+        values = draw.integers(0, 1 << 31, (count, 4)).astype(kind)
+        assert (restored(squeezed(values), kind, 4) == values).all() and restored(squeezed(values), kind, 4).shape == values.shape
+        assert (restored(squeezed(values[:, 1]), kind) == values[:, 1]).all()
