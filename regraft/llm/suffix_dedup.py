@@ -34,9 +34,11 @@ from .seeds import (
 from .suffix import repeat_classes
 
 GRAM = 16
-#: Each hash range of the seeds is merged in so many parts, as a power of two.
-MERGE_BITS = 4
-#: What goes on to be merged: windows of shards, by bucket of their seed; a window's place is its row key, offset and size.
+#: Each hash range of the seeds goes to the merge in so many parts, as a power of two; a task sends a row for each.
+MERGE_BITS = 1
+#: Each of these is merged in so many parts, one after the other.
+PART_BITS = 3
+#: What goes on to be merged: windows of shards, by bucket of their seed; a window's place is its row key, offset, size and part.
 OPEN = ["bucket", "data", "places"]
 #: Bytes of regions whose windows a task packs together.
 SENT = 1 << 23
@@ -214,10 +216,18 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
 
     def later_ranges(batches) -> Iterator[tuple]:
         for group in runs_of(batches, ["bucket"]):
-            places = np.concatenate([restored(r, np.int64, 4) for r in group.column("places").to_pylist()])
-            docs, offsets, sizes = places[:, :2], places[:, 2].copy(), places[:, 3].copy()
-            data = b"".join([zstandard.decompress(r) for r in group.column("data").to_pylist()])
+            places = np.concatenate([restored(r, np.int64, 5) for r in group.column("places").to_pylist()])
+            data = np.frombuffer(b"".join([zstandard.decompress(r) for r in group.column("data").to_pylist()]), np.uint8)
             del group
+            begins = np.cumsum(places[:, 3]) - places[:, 3]
+            order = np.argsort(places[:, 4], kind="stable")
+            cuts = np.flatnonzero(np.diff(places[order, 4])) + 1
+            for own in np.split(order, cuts):
+                yield from later_of(places[own], data[ragged(begins[own], places[own, 3])].tobytes())
+
+    def later_of(places: np.ndarray, data: bytes) -> Iterator[tuple]:
+        if len(places):
+            docs, offsets, sizes = places[:, :2], places[:, 2], places[:, 3]
             counts = sizes - length + 1
             ends = np.cumsum(counts)
             later = later_strings(
@@ -225,7 +235,7 @@ def earlier_spans(given: DataFrame, length: int) -> DataFrame:
             )
             found = np.flatnonzero(later)
             if not len(found):
-                continue
+                return
             which = np.searchsorted(ends, found, "right")
             place = found - (ends - counts)[which] + offsets[which]
             heads = np.flatnonzero(np.concatenate([[True], (np.diff(found) != 1) | (which[1:] != which[:-1])]))
@@ -266,9 +276,11 @@ def _packed(sent: list[tuple], length: int, bits: int) -> list[tuple]:
     starts, ends, value = (np.concatenate([s[k] for s in sent]) for k in (4, 5, 6))
     offsets = np.repeat([s[2] for s in sent], counts) + starts
     sizes = ends - 1 + length - starts
-    places, press = np.column_stack([docs, offsets, sizes]).astype(np.int64), zstandard.ZstdCompressor(level=3)
-    bucket, _ = split_seed(value * MIX, bits)
-    order = np.argsort(bucket, kind="stable")
+    fine, _ = split_seed(value * MIX, bits + PART_BITS)
+    bucket = fine >> PART_BITS
+    places = np.column_stack([docs, offsets, sizes, fine & (1 << PART_BITS) - 1]).astype(np.int64)
+    press = zstandard.ZstdCompressor(level=3)
+    order = np.argsort(fine, kind="stable")
     cuts = [0, *(np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1).tolist(), len(order)]
     for a, b in zip(cuts, cuts[1:]):
         own = order[a:b]
